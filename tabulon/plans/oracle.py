@@ -164,3 +164,50 @@ ORACLE["monotonic_id_check"] = """
 WITH p AS (SELECT event_id, lag(event_id) OVER (ORDER BY ts, event_id) AS prev FROM events)
 SELECT count(*)::BIGINT AS rows, count(*) FILTER (WHERE prev IS NOT NULL AND event_id <= prev)::BIGINT AS violations,
        count(*) FILTER (WHERE prev IS NOT NULL AND event_id <= prev) = 0 AS strictly_increasing FROM p"""
+
+
+# ---------------------------------------------------------------- sampling
+def rank_sql(table: str, key: str, label: str, seed: int = 42) -> str:
+    """Rows of ``table`` with ``rank_in_class`` in md5 order within ``label``."""
+    return (f"(SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY "
+            f"md5('{seed}-' || CAST({key} AS VARCHAR)), {key}) AS rank_in_class FROM {table})")
+
+
+def quota_sql(table: str, label: str, target: str) -> str:
+    """Largest-remainder quotas; ``target`` is an expression over ``total``."""
+    return f"""(WITH cc AS (SELECT {label}, count(*) AS n FROM {table} GROUP BY ALL),
+  c1 AS (SELECT *, sum(n) OVER () AS total FROM cc),
+  c2 AS (SELECT *, ({target}) AS t FROM c1),
+  c3 AS (SELECT *, n::DOUBLE * t / total AS cont FROM c2),
+  c4 AS (SELECT *, floor(cont) AS base, cont - floor(cont) AS rem FROM c3),
+  c5 AS (SELECT *, t - sum(base) OVER () AS extra, row_number() OVER (ORDER BY rem DESC, {label}) AS ord FROM c4)
+  SELECT {label}, n, (base + CASE WHEN ord <= extra THEN 1 ELSE 0 END)::BIGINT AS quota FROM c5)"""
+
+
+def split_sql(table: str, key: str, label: str, fraction: float, seed: int = 42,
+              names=("tuning", "evaluation")) -> str:
+    return f"""(SELECT r.*, CASE WHEN rank_in_class <= quota THEN '{names[0]}' ELSE '{names[1]}' END AS part
+  FROM {rank_sql(table, key, label, seed)} r JOIN {quota_sql(table, label, f'floor(total::DOUBLE * {float(fraction)!r})')} q USING ({label}))"""
+
+
+def folds_sql(table: str, key: str, label: str, k: int, seed: int = 42) -> str:
+    return f"""(WITH cc AS (SELECT {label}, count(*) AS n FROM {table} GROUP BY ALL),
+  off AS (SELECT {label}, coalesce(sum(n) OVER (ORDER BY {label} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS coff FROM cc)
+  SELECT r.*, ((coff + rank_in_class - 1) % {k})::INTEGER AS fold FROM {rank_sql(table, key, label, seed)} r JOIN off USING ({label}))"""
+
+
+ORACLE["stratified_split"] = f"SELECT o_orderkey, o_orderpriority, part FROM {split_sql('orders', 'o_orderkey', 'o_orderpriority', 0.25)}"
+ORACLE["stratified_folds"] = f"SELECT o_orderkey, fold FROM {folds_sql('orders', 'o_orderkey', 'o_orderpriority', 10)}"
+ORACLE["fold_class_counts"] = f"""
+WITH c AS (SELECT fold, o_orderpriority, count(*) AS n FROM {folds_sql('orders', 'o_orderkey', 'o_orderpriority', 10)} GROUP BY ALL)
+SELECT fold, o_orderpriority, n, (max(n) OVER (PARTITION BY o_orderpriority) - min(n) OVER (PARTITION BY o_orderpriority))::BIGINT AS spread FROM c"""
+ORACLE["stratified_probe"] = f"""
+SELECT o_orderkey, o_orderpriority, rank_in_class FROM {rank_sql('orders', 'o_orderkey', 'o_orderpriority')} r
+JOIN {quota_sql('orders', 'o_orderpriority', 'least(total, 1000)')} q USING (o_orderpriority) WHERE rank_in_class <= quota"""
+ORACLE["split_sizes"] = f"""
+WITH c AS (SELECT part AS partition, count(*) AS instances FROM {split_sql('orders', 'o_orderkey', 'o_orderpriority', 0.25)} GROUP BY 1)
+SELECT partition, instances, round(instances / sum(instances) OVER (), 4) AS fraction FROM c"""
+ORACLE["smote_targets"] = """
+WITH c AS (SELECT toxic, count(*) AS n FROM labels GROUP BY 1)
+SELECT toxic, n, greatest(n, ceil(0.25 * max(n) OVER ()))::BIGINT AS target,
+       (greatest(n, ceil(0.25 * max(n) OVER ())) - n)::BIGINT AS n_synthetic FROM c"""

@@ -137,3 +137,44 @@ def q_monotonic(spark, sf):
 
 def flagship(spark, sf):
     return audit.duplicates(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL)
+
+
+# ---------------------------------------------------------------- sampling
+from ..operators import sampling  # noqa: E402
+
+SEED = 42
+
+
+@register("stratified_split")
+def q_split(spark, sf):
+    s = sampling.stratified_split(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 0.25, SEED)
+    return s.select("o_orderkey", "o_orderpriority", "part")
+
+
+@register("stratified_folds")
+def q_folds(spark, sf):
+    f = sampling.stratified_folds(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 10, SEED)
+    return f.select("o_orderkey", "fold")
+
+
+@register("fold_class_counts")
+def q_fold_class_counts(spark, sf):
+    f = sampling.stratified_folds(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 10, SEED)
+    return sampling.fold_class_counts(f, "o_orderpriority")
+
+
+@register("stratified_probe")
+def q_probe(spark, sf):
+    p = sampling.stratified_take(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 1000, SEED)
+    return p.select("o_orderkey", "o_orderpriority", "rank_in_class")
+
+
+@register("split_sizes")
+def q_split_sizes(spark, sf):
+    s = sampling.stratified_split(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 0.25, SEED)
+    return sampling.split_sizes(s)
+
+
+@register("smote_targets")
+def q_smote_targets(spark, sf):
+    return sampling.oversample_targets(load(spark, sf, "labels"), "toxic", cap=0.25)
