@@ -211,3 +211,106 @@ ORACLE["smote_targets"] = """
 WITH c AS (SELECT toxic, count(*) AS n FROM labels GROUP BY 1)
 SELECT toxic, n, greatest(n, ceil(0.25 * max(n) OVER ()))::BIGINT AS target,
        (greatest(n, ceil(0.25 * max(n) OVER ())) - n)::BIGINT AS n_synthetic FROM c"""
+
+
+# ---------------------------------------------------------------- neighbours and metrics
+EMB_FOLDS_SQL = folds_sql("embeddings", "vec_id", "label", 5)
+
+
+def _dist(metric: str) -> str:
+    if metric == "manhattan":
+        return ("list_reduce(list_transform(list_zip(q.embedding, t.embedding), "
+                "lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE)), lambda a, b: a + b, 0.0::DOUBLE)")
+    return ("sqrt(list_reduce(list_transform(list_zip(q.embedding, t.embedding), "
+            "lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE)), lambda a, b: a + b, 0.0::DOUBLE))")
+
+
+def neighbours_sql(k: int, metric: str = "manhattan") -> str:
+    return f"""(WITH f AS {EMB_FOLDS_SQL},
+  pairs AS (SELECT q.vec_id AS query, t.vec_id AS neighbor, t.label AS label, q.fold AS fold, q.label AS y,
+                   {_dist(metric)} AS d FROM f q JOIN f t ON q.fold <> t.fold),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(d, 9), neighbor) AS rn FROM pairs)
+  SELECT * FROM r WHERE rn <= {k})"""
+
+
+def predictions_sql(ks: list[int], weights: str, metric: str = "manhattan") -> str:
+    kv = ", ".join(f"({k})" for k in ks)
+    if weights == "distance":
+        w = ("CASE WHEN max(CASE WHEN d = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY query, k) = 1 "
+             "THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / d END")
+    else:
+        w = "1.0"
+    return f"""(WITH nb AS {neighbours_sql(max(ks), metric)},
+  nk AS (SELECT nb.*, ks.k FROM nb JOIN (VALUES {kv}) ks(k) ON nb.rn <= ks.k),
+  wt AS (SELECT query, fold, y, k, label, {w} AS w FROM nk),
+  v AS (SELECT query, fold, y, k, label, sum(w) AS w FROM wt GROUP BY ALL),
+  tot AS (SELECT query, k, sum(w) AS tot FROM v GROUP BY ALL)
+  SELECT query, any_value(fold) AS fold, any_value(y) AS y, k, arg_max(label, (w, -label)) AS pred,
+         map_from_entries(list((label, w / tot))) AS pm
+  FROM v JOIN tot USING (query, k) GROUP BY query, k)"""
+
+
+ORACLE["knn_neighbours"] = f"SELECT query, neighbor, round(d, 6) AS d, rn::INTEGER AS rn FROM {neighbours_sql(5)}"
+ORACLE["knn_neighbours_euclidean"] = f"SELECT query, neighbor, round(d, 6) AS d, rn::INTEGER AS rn FROM {neighbours_sql(5, 'euclidean')}"
+ORACLE["knn_vote_uniform"] = f"SELECT query, pred FROM {predictions_sql([5], 'uniform')}"
+ORACLE["knn_vote_distance"] = f"SELECT query, pred FROM {predictions_sql([5], 'distance')}"
+ORACLE["knn_many_k"] = f"SELECT query, k, pred FROM {predictions_sql([1, 5, 15], 'uniform')}"
+ORACLE["knn_class_distribution"] = f"""
+SELECT query, c.cls::INTEGER AS cls, round(coalesce(pm[c.cls], 0.0), 6) AS prob
+FROM {predictions_sql([15], 'distance')} p, range(0, 10) c(cls)"""
+
+KNN5_CONF = f"(SELECT fold, y, pred, count(*) AS n FROM {predictions_sql([5], 'distance')} GROUP BY ALL)"
+
+
+def class_totals_sql(conf: str, by: list[str]) -> str:
+    b = ", ".join(by)
+    bc = (b + ", ") if by else ""
+    return f"""(SELECT {bc}cls, sum(t) AS t, sum(p) AS p, sum(tp) AS tp FROM (
+    SELECT {bc}y AS cls, n AS t, 0 AS p, CASE WHEN y = pred THEN n ELSE 0 END AS tp FROM {conf}
+    UNION ALL SELECT {bc}pred AS cls, 0 AS t, n AS p, 0 AS tp FROM {conf}) GROUP BY ALL)"""
+
+
+def scores_sql(conf: str, by: list[str], domain: str = "observed", n_classes: int = 10) -> str:
+    b = ", ".join(by)
+    bc = (b + ", ") if by else ""
+    den = "count(*)" if domain == "observed" else f"{float(n_classes)}"
+    return f"""(WITH ct AS {class_totals_sql(conf, by)},
+  g AS (SELECT {bc}sum(tp) AS c, sum(t)::DOUBLE AS s,
+        avg(CASE WHEN t > 0 THEN tp / t END) AS bal,
+        sum(coalesce(2.0 * tp / nullif(t + p, 0), 0)) / {den} AS f1m,
+        sum(coalesce(2.0 * tp / nullif(t + p, 0), 0) * t) AS f1w,
+        sum(p * t) AS pt, sum(p * p) AS pp, sum(t * t) AS tt,
+        avg(coalesce(tp / nullif(p, 0), 0)) AS prec, avg(coalesce(tp / nullif(t, 0), 0)) AS rec
+        FROM ct {"GROUP BY " + b if by else ""})
+  SELECT {bc}round(c / s, 6) AS accuracy, round(bal, 6) AS balanced_accuracy, round(f1m, 6) AS f1_macro,
+         round(f1w / s, 6) AS f1_weighted,
+         round(coalesce((c * s - pt) / nullif(sqrt((s * s - pp) * (s * s - tt)), 0), 0), 6) AS mcc,
+         round(coalesce((c / s - pt / (s * s)) / nullif(1.0 - pt / (s * s), 0), 0), 6) AS kappa,
+         round(prec, 6) AS precision_macro, round(rec, 6) AS recall_macro FROM g)"""
+
+
+ORACLE["confusion_counts"] = f"""
+SELECT f.fold, a.y::INTEGER AS y, b.pred::INTEGER AS pred, coalesce(c.n, 0)::BIGINT AS n
+FROM (SELECT DISTINCT fold FROM {KNN5_CONF}) f, range(0, 10) a(y), range(0, 10) b(pred)
+LEFT JOIN {KNN5_CONF} c ON c.fold = f.fold AND c.y = a.y AND c.pred = b.pred"""
+ORACLE["fold_metrics"] = f"SELECT * FROM {scores_sql(KNN5_CONF, ['fold'])}"
+ORACLE["fold_metrics_all_classes"] = f"SELECT fold, f1_macro FROM {scores_sql(KNN5_CONF, ['fold'], 'all', 10)}"
+ORACLE["per_class_metrics"] = f"""
+SELECT fold, cls, round(coalesce(tp / nullif(p, 0), 0), 6) AS precision, round(coalesce(tp / nullif(t, 0), 0), 6) AS recall,
+       round(coalesce(2.0 * tp / nullif(t + p, 0), 0), 6) AS f1, t::BIGINT AS support FROM {class_totals_sql(KNN5_CONF, ['fold'])}"""
+
+KNN_CONFIGS = " UNION ALL ".join(
+    f"SELECT 'knn_k' || CAST(k AS VARCHAR) || '_{w}' AS configuration, query, fold, y, pred FROM {predictions_sql([1, 5, 15], w)}"
+    for w in ("uniform", "distance"))
+CONFIG_CONF = f"(SELECT configuration, fold, y, pred, count(*) AS n FROM ({KNN_CONFIGS}) GROUP BY ALL)"
+ORACLE["pooled_precision_recall"] = f"""
+SELECT configuration, precision_macro AS precision_macro_pooled, recall_macro AS recall_macro_pooled
+FROM {scores_sql(f"(SELECT configuration, y, pred, sum(n) AS n FROM {CONFIG_CONF} GROUP BY ALL)", ['configuration'])}"""
+_M = ["accuracy", "balanced_accuracy", "f1_macro", "f1_weighted", "mcc", "kappa", "precision_macro", "recall_macro"]
+ORACLE["config_summary"] = f"""
+SELECT configuration, {", ".join(f"round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_std" for m in _M)},
+       count(*)::BIGINT AS n_folds
+FROM {scores_sql(CONFIG_CONF, ['configuration', 'fold'])} GROUP BY configuration"""
+ORACLE["row_normalised_confusion"] = f"""
+WITH c AS (SELECT y, pred, sum(n) AS n FROM {KNN5_CONF} GROUP BY ALL)
+SELECT y, pred, n, round(n / greatest(sum(n) OVER (PARTITION BY y), 1), 6) AS share FROM c"""

@@ -178,3 +178,123 @@ def q_split_sizes(spark, sf):
 @register("smote_targets")
 def q_smote_targets(spark, sf):
     return sampling.oversample_targets(load(spark, sf, "labels"), "toxic", cap=0.25)
+
+
+# ---------------------------------------------------------------- neighbours and metrics
+from ..operators import metrics, neighbors  # noqa: E402
+
+EMB_CLASSES = list(range(10))
+EMB_FOLDS = 5
+
+
+def embedding_folds(spark, sf):
+    """Embeddings with a stratified 5-fold column (vec_id, embedding, label, fold)."""
+    e = load(spark, sf, "embeddings")
+    return sampling.stratified_folds(e, "vec_id", "label", EMB_FOLDS, SEED) \
+        .select("vec_id", "embedding", "label", "fold")
+
+
+def embedding_classes(spark, sf) -> list[int]:
+    # class list: at most a few hundred codes, collected once
+    return [r[0] for r in load(spark, sf, "embeddings").select("label").distinct().orderBy("label").collect()]
+
+
+def oof_neighbours(spark, sf, k, metric="manhattan"):
+    f = embedding_folds(spark, sf)
+    return neighbors.knn(f, f, "vec_id", "embedding", "label", k, metric, fold="fold")
+
+
+def oof_predictions(spark, sf, ks, weights, metric="manhattan"):
+    f = embedding_folds(spark, sf).persist()
+    neigh = neighbors.knn(f, f, "vec_id", "embedding", "label", max(ks), metric, fold="fold")
+    v = neighbors.vote(neigh, ks, weights, embedding_classes(spark, sf))
+    meta = f.select(F.col("vec_id").alias("query"), "fold", F.col("label").alias("y"))
+    return v.join(meta, "query", "inner")
+
+
+def knn_configurations(spark, sf):
+    """k-NN configurations scored out of fold: (configuration, query, fold, y, pred)."""
+    parts = []
+    for weights in ("uniform", "distance"):
+        p = oof_predictions(spark, sf, [1, 5, 15], weights)
+        parts.append(p.select(F.concat(F.lit("knn_k"), F.col("k").cast("string"), F.lit("_" + weights))
+                              .alias("configuration"), "query", "fold", "y", "pred"))
+    return parts[0].unionByName(parts[1])
+
+
+@register("knn_neighbours")
+def q_knn_neighbours(spark, sf):
+    n = oof_neighbours(spark, sf, 5)
+    return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))
+
+
+@register("knn_neighbours_euclidean")
+def q_knn_neighbours_euclid(spark, sf):
+    n = oof_neighbours(spark, sf, 5, "euclidean")
+    return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))
+
+
+@register("knn_vote_uniform")
+def q_knn_vote_uniform(spark, sf):
+    return oof_predictions(spark, sf, [5], "uniform").select("query", "pred")
+
+
+@register("knn_vote_distance")
+def q_knn_vote_distance(spark, sf):
+    return oof_predictions(spark, sf, [5], "distance").select("query", "pred")
+
+
+@register("knn_many_k")
+def q_knn_many_k(spark, sf):
+    return oof_predictions(spark, sf, [1, 5, 15], "uniform").select("query", "k", "pred")
+
+
+@register("knn_class_distribution")
+def q_knn_distribution(spark, sf):
+    p = oof_predictions(spark, sf, [15], "distance")
+    return p.select("query", F.posexplode("p").alias("cls", "prob")) \
+        .select("query", "cls", F.round("prob", 6).alias("prob"))
+
+
+def _knn5_conf(spark, sf):
+    p = oof_predictions(spark, sf, [5], "distance")
+    return metrics.confusion(p, ["fold"])
+
+
+@register("confusion_counts")
+def q_confusion(spark, sf):
+    return metrics.confusion_filled(_knn5_conf(spark, sf), ["fold"], EMB_CLASSES)
+
+
+@register("fold_metrics")
+def q_fold_metrics(spark, sf):
+    return metrics.scores(_knn5_conf(spark, sf), ["fold"])
+
+
+@register("fold_metrics_all_classes")
+def q_fold_metrics_all(spark, sf):
+    return metrics.scores(_knn5_conf(spark, sf), ["fold"], domain="all", n_classes=len(EMB_CLASSES)) \
+        .select("fold", "f1_macro")
+
+
+@register("per_class_metrics")
+def q_per_class(spark, sf):
+    return metrics.per_class(_knn5_conf(spark, sf), ["fold"])
+
+
+@register("pooled_precision_recall")
+def q_pooled(spark, sf):
+    conf = metrics.confusion(knn_configurations(spark, sf), ["configuration", "fold"])
+    return metrics.pooled_precision_recall(conf, ["configuration"])
+
+
+@register("config_summary")
+def q_config_summary(spark, sf):
+    conf = metrics.confusion(knn_configurations(spark, sf), ["configuration", "fold"])
+    return metrics.summary(metrics.scores(conf, ["configuration", "fold"]), ["configuration"])
+
+
+@register("row_normalised_confusion")
+def q_row_norm(spark, sf):
+    conf = metrics.summed(_knn5_conf(spark, sf), [])
+    return metrics.row_normalised(conf, []).select("y", "pred", "n", "share")
