@@ -314,3 +314,72 @@ FROM {scores_sql(CONFIG_CONF, ['configuration', 'fold'])} GROUP BY configuration
 ORACLE["row_normalised_confusion"] = f"""
 WITH c AS (SELECT y, pred, sum(n) AS n FROM {KNN5_CONF} GROUP BY ALL)
 SELECT y, pred, n, round(n / greatest(sum(n) OVER (PARTITION BY y), 1), 6) AS share FROM c"""
+
+
+# ---------------------------------------------------------------- bounds
+BF = "l_quantity, l_linenumber, l_linestatus"
+LI_KEYED = ("(SELECT *, concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_key "
+            "FROM lineitem)")
+LI_EVAL = (f"(SELECT row_key, {BF}, l_returnflag FROM "
+           f"{split_sql(LI_KEYED, 'row_key', 'l_returnflag', 0.25)} WHERE part = 'evaluation')")
+LI_FOLDS = folds_sql(LI_EVAL, "row_key", "l_returnflag", 10)
+
+
+def _f1_sql(conf: str, by: str) -> str:
+    return f"""(SELECT {by}, cls, coalesce(2.0 * sum(tp) / nullif(sum(t) + sum(p), 0), 0) AS f1 FROM (
+   SELECT {by}, y AS cls, n AS t, 0 AS p, CASE WHEN y = pred THEN n ELSE 0 END AS tp FROM {conf}
+   UNION ALL SELECT {by}, pred AS cls, 0, n, 0 FROM {conf}) GROUP BY ALL)"""
+
+
+RESUB_CONF = f"""(WITH vl AS (SELECT {BF}, l_returnflag AS y, count(*) AS n FROM lineitem GROUP BY ALL),
+  m AS (SELECT *, first(y) OVER (PARTITION BY {BF} ORDER BY n DESC, y) AS pred FROM vl)
+  SELECT 1 AS one, y, pred, sum(n) AS n FROM m GROUP BY ALL)"""
+
+ORACLE["bound_resubstitution"] = f"""
+WITH c AS {RESUB_CONF}, f AS {_f1_sql('c', 'one')}
+SELECT (SELECT count(*) FROM (SELECT DISTINCT {BF} FROM lineitem))::BIGINT AS distinct_vectors,
+       (SELECT count(*) FROM lineitem)::BIGINT AS total_rows,
+       round((SELECT sum(n) FILTER (WHERE y = pred) / sum(n) FROM c), 6) AS accuracy,
+       round((SELECT sum(f1) / (SELECT count(DISTINCT l_returnflag) FROM lineitem) FROM f), 6) AS f1_macro"""
+
+ORACLE["bound_resubstitution_per_class"] = f"""
+WITH c AS {RESUB_CONF}, f AS {_f1_sql('c', 'one')},
+s AS (SELECT y AS cls, sum(n) AS support FROM c GROUP BY 1)
+SELECT f.cls, round(f1, 6) AS f1_resubstitution, coalesce(support, 0)::BIGINT AS support
+FROM f LEFT JOIN s USING (cls)"""
+
+MEM_PRED = f"""(WITH ev AS {LI_FOLDS},
+  cf AS (SELECT fold, {BF}, l_returnflag AS y, count(*) AS n_f FROM ev GROUP BY ALL),
+  tot AS (SELECT {BF}, y, sum(n_f) AS n_all FROM cf GROUP BY ALL),
+  held AS (SELECT DISTINCT fold, {BF} FROM cf),
+  tr AS (SELECT h.fold, h.l_quantity, h.l_linenumber, h.l_linestatus, t.y, t.n_all - coalesce(c.n_f, 0) AS n_tr
+         FROM held h JOIN tot t USING ({BF})
+         LEFT JOIN cf c ON c.fold = h.fold AND c.l_quantity = h.l_quantity AND c.l_linenumber = h.l_linenumber
+                        AND c.l_linestatus = h.l_linestatus AND c.y = t.y),
+  maj AS (SELECT fold, {BF}, y AS majority FROM (
+          SELECT *, row_number() OVER (PARTITION BY fold, {BF} ORDER BY n_tr DESC, y) AS rn FROM tr WHERE n_tr > 0) WHERE rn = 1),
+  cls AS (SELECT fold, y, sum(n_f) AS n_fc FROM cf GROUP BY ALL),
+  fb AS (SELECT fold, y AS fallback FROM (
+          SELECT c.fold, c.y, row_number() OVER (PARTITION BY c.fold ORDER BY t.n_c - c.n_fc DESC, c.y) AS rn
+          FROM cls c JOIN (SELECT y, sum(n_fc) AS n_c FROM cls GROUP BY y) t USING (y)) WHERE rn = 1)
+  SELECT cf.fold, cf.y, cf.n_f AS n, maj.majority IS NOT NULL AS hit, coalesce(maj.majority, fb.fallback) AS pred,
+         CASE WHEN maj.majority IS NOT NULL THEN maj.majority ELSE cf.y END AS conceded
+  FROM cf LEFT JOIN maj USING (fold, {BF}) LEFT JOIN fb USING (fold))"""
+
+MEM_PER_CLASS = f"""(WITH mp AS {MEM_PRED},
+  cm AS (SELECT fold, y, pred, sum(n) AS n FROM mp GROUP BY ALL),
+  cc AS (SELECT fold, y, conceded AS pred, sum(n) AS n FROM mp GROUP BY ALL),
+  fm AS {_f1_sql('cm', 'fold')}, fc AS {_f1_sql('cc', 'fold')},
+  grid AS (SELECT fold, cls FROM (SELECT DISTINCT fold FROM mp), (SELECT DISTINCT l_returnflag AS cls FROM lineitem))
+  SELECT cls, round(avg(coalesce(fm.f1, 0)), 6) AS f1_memorisation_cv, round(avg(coalesce(fc.f1, 0)), 6) AS f1_conceded_cv
+  FROM grid LEFT JOIN fm USING (fold, cls) LEFT JOIN fc USING (fold, cls) GROUP BY cls)"""
+
+MATCHED = f"""(SELECT round(avg(m), 6) AS matched_fraction, count(*)::BIGINT AS n_folds FROM (
+  SELECT fold, sum(CASE WHEN hit THEN n ELSE 0 END) / sum(n) AS m FROM {MEM_PRED} GROUP BY fold))"""
+
+ORACLE["bound_memorisation_cv"] = f"SELECT * FROM {MEM_PER_CLASS}"
+ORACLE["matched_fraction"] = f"SELECT * FROM {MATCHED}"
+ORACLE["bound_cv_summary"] = f"""
+SELECT round(avg(f1_memorisation_cv), 6) AS macro_f1_memorisation_cv, round(avg(f1_conceded_cv), 6) AS macro_f1_conceded_cv,
+       any_value(m.matched_fraction) AS matched_fraction, any_value(m.n_folds) AS n_folds
+FROM {MEM_PER_CLASS}, {MATCHED} m"""

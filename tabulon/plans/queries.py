@@ -298,3 +298,69 @@ def q_config_summary(spark, sf):
 def q_row_norm(spark, sf):
     conf = metrics.summed(_knn5_conf(spark, sf), [])
     return metrics.row_normalised(conf, []).select("y", "pred", "n", "share")
+
+
+# ---------------------------------------------------------------- bounds
+from ..operators import bounds  # noqa: E402
+
+
+def lineitem_keyed(spark, sf):
+    li = load(spark, sf, "lineitem")
+    return li.withColumn("row_key", F.concat_ws("-", *[F.col(c).cast("string") for c in LINEITEM_KEY]))
+
+
+def lineitem_classes(spark, sf) -> list[str]:
+    return [r[0] for r in load(spark, sf, "lineitem").select(BOUND_LABEL).distinct().orderBy(BOUND_LABEL).collect()]
+
+
+def lineitem_eval_folds(spark, sf, k: int = 10):
+    """75% evaluation partition of lineitem, stratified by return flag, in k folds."""
+    s = sampling.stratified_split(lineitem_keyed(spark, sf), "row_key", BOUND_LABEL, 0.25, SEED)
+    ev = s.filter(F.col("part") == "evaluation").select("row_key", *BOUND_FEATURES, BOUND_LABEL)
+    return sampling.stratified_folds(ev, "row_key", BOUND_LABEL, k, SEED)
+
+
+def _memorisation(spark, sf):
+    return bounds.memorisation_predictions(lineitem_eval_folds(spark, sf), BOUND_FEATURES, BOUND_LABEL, "fold")
+
+
+@register("bound_resubstitution")
+def q_bound_resub(spark, sf):
+    return bounds.resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL,
+                                 len(lineitem_classes(spark, sf)))
+
+
+@register("bound_resubstitution_per_class")
+def q_bound_resub_pc(spark, sf):
+    return bounds.resubstitution_per_class(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL)
+
+
+@register("bound_memorisation_cv")
+def q_bound_mem(spark, sf):
+    return bounds.cv_bounds_per_class(_memorisation(spark, sf), lineitem_classes(spark, sf))
+
+
+@register("bound_cv_summary")
+def q_bound_cv_summary(spark, sf):
+    return bounds.cv_bounds_summary(_memorisation(spark, sf), lineitem_classes(spark, sf))
+
+
+@register("matched_fraction")
+def q_matched(spark, sf):
+    return bounds.matched_fraction(_memorisation(spark, sf))
+
+
+@register("bound_reweighted")
+def q_bound_reweighted(spark, sf):
+    w, best = bounds.reweighted_resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL,
+                                               lineitem_classes(spark, sf))
+    return w.withColumn("macro_f1_reweighted", F.lit(round(best, 6)))
+
+
+def flagship(spark, sf):  # noqa: F811 - the entry query: bound + unresolvable records
+    from .sizing import join_single_rows
+    r = bounds.resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL,
+                              len(lineitem_classes(spark, sf)))
+    d = audit.duplicates(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL) \
+        .select("unresolvable", "conflict_records", "unresolvable_percent")
+    return join_single_rows(r, d)
