@@ -383,3 +383,96 @@ ORACLE["bound_cv_summary"] = f"""
 SELECT round(avg(f1_memorisation_cv), 6) AS macro_f1_memorisation_cv, round(avg(f1_conceded_cv), 6) AS macro_f1_conceded_cv,
        any_value(m.matched_fraction) AS matched_fraction, any_value(m.n_folds) AS n_folds
 FROM {MEM_PER_CLASS}, {MATCHED} m"""
+
+
+# ---------------------------------------------------------------- paired statistics
+FT = (f"(SELECT fold AS block, CAST(o_orderpriority AS VARCHAR) AS grp, round(avg(o_totalprice), 6) AS metric "
+      f"FROM {folds_sql('orders', 'o_orderkey', 'o_orderpriority', 10)} GROUP BY ALL)")
+PAIRS = f"""(SELECT a.block, a.grp AS group_a, b.grp AS group_b, a.metric AS a, b.metric AS b, a.metric - b.metric AS d
+  FROM {FT} a JOIN {FT} b ON a.block = b.block AND a.grp < b.grp)"""
+
+ORACLE["friedman"] = f"""
+WITH ft AS {FT},
+rk AS (SELECT *, rank() OVER (PARTITION BY block ORDER BY metric) + (count(*) OVER (PARTITION BY block, metric) - 1) / 2.0 AS rr FROM ft),
+ties AS (SELECT sum(t * t * t - t) AS tie FROM (SELECT block, metric, count(*) AS t FROM ft GROUP BY ALL)),
+rs AS (SELECT grp, sum(rr) AS rsum FROM rk GROUP BY grp),
+g AS (SELECT sum(rsum * rsum) AS ssr, count(*) AS k FROM rs),
+nb AS (SELECT count(DISTINCT block) AS nblk FROM ft),
+st AS (SELECT round((12.0 / (nblk * k * (k + 1)) * ssr - 3.0 * nblk * (k + 1)) / (1.0 - tie / (nblk * k * (k * k - 1))), 6) AS statistic,
+              k::INTEGER AS n_groups, nblk::INTEGER AS n_folds FROM g, nb, ties)
+SELECT statistic, n_groups, n_folds,
+       round(least(1.0, exp(-statistic / 2) * (SELECT sum(pow(statistic / 2, i) / factorial(i::INTEGER)) FROM range(0, (n_groups - 1) // 2) t(i))), 9) AS p_value
+FROM st"""
+
+WILCOXON = f"""(WITH pd AS {PAIRS},
+  nz AS (SELECT *, abs(d) AS ad FROM pd WHERE d <> 0),
+  r AS (SELECT *, rank() OVER (PARTITION BY group_a, group_b ORDER BY ad) + (count(*) OVER (PARTITION BY group_a, group_b, ad) - 1) / 2.0 AS rk,
+               row_number() OVER (PARTITION BY group_a, group_b ORDER BY block) - 1 AS idx FROM nz),
+  g AS (SELECT group_a, group_b, count(*) AS n, sum(CASE WHEN d > 0 THEN rk ELSE 0 END) AS wp,
+               sum(CASE WHEN d < 0 THEN rk ELSE 0 END) AS wm FROM r GROUP BY ALL),
+  pat AS (SELECT g.group_a, g.group_b, s.pattern FROM g, LATERAL range(0, (1 << g.n)::BIGINT) s(pattern)),
+  wpat AS (SELECT p.group_a, p.group_b, p.pattern, sum(CASE WHEN (p.pattern >> r.idx) & 1 = 1 THEN r.rk ELSE 0 END) AS wplus
+           FROM pat p JOIN r USING (group_a, group_b) GROUP BY ALL),
+  cnt AS (SELECT w.group_a, w.group_b, count(*) FILTER (WHERE wplus <= least(g.wp, g.wm)) AS c
+          FROM wpat w JOIN g USING (group_a, group_b) GROUP BY ALL)
+  SELECT group_a, group_b, n::INTEGER AS n, least(wp, wm) AS wilcoxon_statistic,
+         round(least(1.0, 2.0 * c / pow(2, n)), 9) AS wilcoxon_p FROM g JOIN cnt USING (group_a, group_b))"""
+ORACLE["wilcoxon_pairs"] = f"SELECT * FROM {WILCOXON}"
+
+ORACLE["paired_t"] = f"""
+SELECT group_a, group_b, round(avg(a), 6) AS mean_a, round(avg(b), 6) AS mean_b, round(avg(d), 6) AS mean_difference,
+       round(avg(d) / (stddev_samp(d) / sqrt(count(*))), 6) AS paired_t_statistic, count(*)::INTEGER AS n
+FROM {PAIRS} GROUP BY ALL"""
+
+ORACLE["holm"] = f"""
+WITH w AS (SELECT group_a, group_b, wilcoxon_p FROM {WILCOXON}),
+o AS (SELECT *, (count(*) OVER () - row_number() OVER (ORDER BY wilcoxon_p, group_a, group_b) + 1) * wilcoxon_p AS s,
+             row_number() OVER (ORDER BY wilcoxon_p, group_a, group_b) AS i FROM w)
+SELECT group_a, group_b, wilcoxon_p,
+       round(least(1.0, max(s) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 9) AS holm_p,
+       round(least(1.0, max(s) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 9) < 0.05 AS significant
+FROM o"""
+
+ORACLE["diff_shape"] = f"""
+SELECT group_a, group_b,
+       round(skewness(d) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1)), 6) AS skewness,
+       round(kurtosis_pop(d), 6) AS kurtosis,
+       round(count(*) / 6.0 * (pow(skewness(d) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1)), 2) + pow(kurtosis_pop(d), 2) / 4.0), 6) AS jarque_bera
+FROM {PAIRS} GROUP BY ALL"""
+
+ORACLE["fold_winners"] = f"""
+SELECT grp, count(*)::BIGINT AS folds_won FROM (
+  SELECT *, row_number() OVER (PARTITION BY block ORDER BY metric DESC, grp) AS rn FROM {FT}) WHERE rn = 1 GROUP BY grp"""
+
+ORACLE["fold_margins"] = f"""
+WITH p AS (SELECT block, max(CASE WHEN grp = '1-URGENT' THEN metric END) AS a, max(CASE WHEN grp = '5-LOW' THEN metric END) AS b
+           FROM {FT} GROUP BY block)
+SELECT round(min(a - b), 6) AS min_margin, round(max(a - b), 6) AS max_margin, count(*) FILTER (WHERE a > b)::BIGINT AS blocks_a_ahead FROM p"""
+
+ORACLE["paired_wins"] = f"""
+SELECT group_a, group_b, count(*) FILTER (WHERE a > b)::BIGINT AS wins, count(*) FILTER (WHERE a >= b)::BIGINT AS wins_or_ties,
+       round(avg(d), 6) AS mean_gain FROM {PAIRS} GROUP BY ALL"""
+
+ORACLE["lead_share"] = f"""
+WITH items AS (
+  SELECT t.block, max(CASE WHEN grp = '1-URGENT' THEN metric END) AS a, max(CASE WHEN grp = '2-HIGH' THEN metric END) AS b,
+         any_value(s.rows) AS rows
+  FROM {FT} t JOIN (SELECT fold AS block, count(*) AS rows FROM {folds_sql('orders', 'o_orderkey', 'o_orderpriority', 10)} GROUP BY 1) s
+    USING (block) GROUP BY t.block),
+s AS (SELECT *, CASE WHEN a - b > 1000.0 THEN 'a' WHEN b - a > 1000.0 THEN 'b' ELSE 'tie' END AS side FROM items),
+g AS (SELECT side, count(*)::BIGINT AS items, sum(rows) AS w,
+             array_to_string(list_sort(list(CAST(block AS VARCHAR))), ',') AS members FROM s GROUP BY side)
+SELECT side, items, members, round(w / sum(w) OVER (), 6) AS share FROM g"""
+
+_SPLIT_O = split_sql("orders", "o_orderkey", "o_orderpriority", 0.25)
+ORACLE["rank_stability"] = f"""
+WITH t AS (SELECT part, CAST(o_orderpriority AS VARCHAR) AS grp, round(avg(o_totalprice), 6) AS metric FROM {_SPLIT_O} GROUP BY ALL),
+r1 AS (SELECT grp, metric AS m1, rank() OVER (ORDER BY metric DESC) + (count(*) OVER (PARTITION BY metric) - 1) / 2.0 AS rank_1 FROM t WHERE part = 'tuning'),
+r2 AS (SELECT grp, metric AS m2, rank() OVER (ORDER BY metric DESC) + (count(*) OVER (PARTITION BY metric) - 1) / 2.0 AS rank_2 FROM t WHERE part = 'evaluation')
+SELECT grp, m1 AS metric_1, m2 AS metric_2, round(m2 - m1, 6) AS gain, rank_1, rank_2, rank_1 = rank_2 AS same_rank
+FROM r1 JOIN r2 USING (grp)"""
+
+ORACLE["stepwise_gain"] = """
+WITH t AS (SELECT grp, round(avg(metric), 6) AS metric FROM (
+  SELECT o_orderstatus, CAST(o_orderpriority AS VARCHAR) AS grp, round(avg(o_totalprice), 6) AS metric FROM orders GROUP BY ALL) GROUP BY grp)
+SELECT grp, metric, round(coalesce(metric - lag(metric) OVER (ORDER BY grp), 0.0), 6) AS gain FROM t"""

@@ -364,3 +364,85 @@ def flagship(spark, sf):  # noqa: F811 - the entry query: bound + unresolvable r
     d = audit.duplicates(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL) \
         .select("unresolvable", "conflict_records", "unresolvable_percent")
     return join_single_rows(r, d)
+
+
+# ---------------------------------------------------------------- paired statistics
+from ..operators import stats  # noqa: E402
+
+
+def orders_fold_table(spark, sf):
+    """Blocks = 10 stratified folds of orders, groups = priorities, metric = mean total price."""
+    f = sampling.stratified_folds(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 10, SEED)
+    return stats.fold_table(f, "fold", "o_orderpriority", "o_totalprice")
+
+
+@register("friedman")
+def q_friedman(spark, sf):
+    return stats.friedman(orders_fold_table(spark, sf))
+
+
+@register("wilcoxon_pairs")
+def q_wilcoxon(spark, sf):
+    return stats.wilcoxon_pairs(orders_fold_table(spark, sf))
+
+
+@register("paired_t")
+def q_paired_t(spark, sf):
+    return stats.paired_t(orders_fold_table(spark, sf))
+
+
+@register("holm")
+def q_holm(spark, sf):
+    return stats.holm(stats.wilcoxon_pairs(orders_fold_table(spark, sf)).select("group_a", "group_b", "wilcoxon_p"),
+                      "wilcoxon_p")
+
+
+@register("pairwise_tests")
+def q_pairwise(spark, sf):
+    return stats.pairwise(orders_fold_table(spark, sf))
+
+
+@register("diff_shape")
+def q_diff_shape(spark, sf):
+    return stats.diff_shape(orders_fold_table(spark, sf))
+
+
+@register("fold_winners")
+def q_fold_winners(spark, sf):
+    return stats.fold_winners(orders_fold_table(spark, sf))
+
+
+@register("fold_margins")
+def q_fold_margins(spark, sf):
+    return stats.fold_margins(orders_fold_table(spark, sf), "1-URGENT", "5-LOW")
+
+
+@register("paired_wins")
+def q_paired_wins(spark, sf):
+    return stats.paired_wins(orders_fold_table(spark, sf))
+
+
+@register("lead_share")
+def q_lead_share(spark, sf):
+    t = orders_fold_table(spark, sf)
+    f = sampling.stratified_folds(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 10, SEED)
+    sizes = f.groupBy(F.col("fold").alias("block")).agg(F.count(F.lit(1)).alias("rows"))
+    items = (t.groupBy("block").agg(F.max(F.when(F.col("grp") == "1-URGENT", F.col("metric"))).alias("a"),
+                                    F.max(F.when(F.col("grp") == "2-HIGH", F.col("metric"))).alias("b"))
+             .join(sizes, "block"))
+    return stats.lead_share(items, "block", "rows", "a", "b", tol=1000.0)
+
+
+@register("rank_stability")
+def q_rank_stability(spark, sf):
+    s = sampling.stratified_split(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 0.25, SEED)
+    t1 = stats.fold_table(s.filter("part = 'tuning'"), "part", "o_orderpriority", "o_totalprice")
+    t2 = stats.fold_table(s.filter("part = 'evaluation'"), "part", "o_orderpriority", "o_totalprice")
+    return stats.rank_stability(t1, t2)
+
+
+@register("stepwise_gain")
+def q_stepwise(spark, sf):
+    t = stats.fold_table(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", "o_totalprice") \
+        .groupBy("grp").agg(F.round(F.avg("metric"), 6).alias("metric"))
+    return stats.stepwise_gain(t, "grp", "metric")
