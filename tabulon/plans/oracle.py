@@ -476,3 +476,94 @@ ORACLE["stepwise_gain"] = """
 WITH t AS (SELECT grp, round(avg(metric), 6) AS metric FROM (
   SELECT o_orderstatus, CAST(o_orderpriority AS VARCHAR) AS grp, round(avg(o_totalprice), 6) AS metric FROM orders GROUP BY ALL) GROUP BY grp)
 SELECT grp, metric, round(coalesce(metric - lag(metric) OVER (ORDER BY grp), 0.0), 6) AS gain FROM t"""
+
+
+# ---------------------------------------------------------------- features
+DOC_SPLIT = split_sql("documents", "doc_id", "lang", 0.25)
+RARE_KEPT = f"""(WITH t AS (SELECT lang FROM {DOC_SPLIT} WHERE part = 'evaluation'),
+  c AS (SELECT lang AS level, count(*) AS n FROM t GROUP BY 1),
+  s AS (SELECT *, n / sum(n) OVER () AS share, row_number() OVER (ORDER BY n DESC, level) AS rk FROM c)
+  SELECT level FROM s WHERE share >= 0.12 OR (rk = 1 AND (SELECT max(share) FROM s) < 0.12))"""
+ORACLE["rare_levels"] = f"""
+SELECT doc_id, CASE WHEN lang IN (SELECT level FROM {RARE_KEPT}) THEN lang ELSE 'other' END AS lang FROM documents"""
+ORACLE["one_hot"] = f"""
+WITH lv AS (SELECT list_sort(list(DISTINCT CASE WHEN lang IN (SELECT level FROM {RARE_KEPT}) THEN lang ELSE 'other' END)) AS levels
+            FROM {DOC_SPLIT} WHERE part = 'evaluation'),
+g AS (SELECT doc_id, CASE WHEN lang IN (SELECT level FROM {RARE_KEPT}) THEN lang ELSE 'other' END AS lang FROM documents)
+SELECT doc_id, array_to_string(list_transform(levels, lambda l: CASE WHEN l = lang THEN '1' ELSE '0' END), ',') AS onehot FROM g, lv"""
+
+PART_SPLIT = split_sql("part", "p_partkey", "p_size", 0.25)
+
+
+def _codes(c: str) -> str:
+    return (f"(SELECT lv, (row_number() OVER (ORDER BY lv) - 1)::INTEGER AS code FROM "
+            f"(SELECT DISTINCT CAST({c} AS VARCHAR) AS lv FROM {PART_SPLIT} WHERE part = 'tuning'))")
+
+
+ORACLE["ordinal_codes"] = f"""
+SELECT p.p_partkey, coalesce(a.code, -1) AS p_type_code, coalesce(b.code, -1) AS p_brand_code, coalesce(c.code, -1) AS p_name_code
+FROM part p LEFT JOIN {_codes('p_type')} a ON a.lv = p.p_type LEFT JOIN {_codes('p_brand')} b ON b.lv = p.p_brand
+LEFT JOIN {_codes('p_name')} c ON c.lv = p.p_name"""
+
+ORACLE["constant_filter"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, coalesce(min({c}) < max({c}), false) AS kept FROM labels WHERE toxic = 1"
+    for c in ["doc_id", "quality", "toxic"])
+
+ORACLE["leave_fold_out_params"] = f"""
+WITH f AS {folds_sql('orders', 'o_orderkey', 'o_orderpriority', 10)},
+lv AS (SELECT fold, 'o_orderstatus' AS feature, CAST(o_orderstatus AS VARCHAR) AS level, count(*) AS n_f FROM f GROUP BY ALL),
+tot AS (SELECT feature, level, sum(n_f) AS n_all FROM lv GROUP BY ALL),
+fl AS (SELECT d.fold, t.feature, t.level, t.n_all FROM tot t JOIN (SELECT DISTINCT feature, fold FROM lv) d USING (feature)),
+t AS (SELECT fl.fold, fl.feature, fl.level, fl.n_all - coalesce(lv.n_f, 0) AS n_train FROM fl LEFT JOIN lv USING (fold, feature, level))
+SELECT fold, feature, level, n_train::BIGINT AS n_train, round(n_train / sum(n_train) OVER (PARTITION BY fold, feature), 6) AS share,
+       round(n_train / sum(n_train) OVER (PARTITION BY fold, feature), 6) >= 0.3 AS kept FROM t"""
+
+# quantile knots: the training folds hold more than 1,000 rows at every driver scale
+REFS_1000 = "[" + ", ".join(repr(float(v)) for v in __import__("numpy").linspace(0, 1, 1000)) + "]::DOUBLE[]"
+LI_FOLDS_ALL = folds_sql(LI_KEYED, "row_key", "l_returnflag", 10)
+_SC = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _scale_sql(kind: str) -> str:
+    sel = []
+    for c in _SC:
+        x = f"CAST({c} AS DOUBLE)"
+        if kind == "minmax":
+            e = (f"({x} - (SELECT min({x}) FROM tr)) / (SELECT CASE WHEN max({x}) - min({x}) <> 0 THEN max({x}) - min({x}) ELSE 1.0 END FROM tr)")
+        elif kind == "log":
+            lx = f"ln(1 + greatest({x}, 0.0))"
+            e = (f"({lx} - (SELECT min({lx}) FROM tr)) / (SELECT CASE WHEN max({lx}) - min({lx}) <> 0 THEN max({lx}) - min({lx}) ELSE 1.0 END FROM tr)")
+        elif kind == "zscore":
+            e = f"({x} - (SELECT avg({x}) FROM tr)) / (SELECT CASE WHEN stddev_pop({x}) <> 0 THEN stddev_pop({x}) ELSE 1.0 END FROM tr)"
+        elif kind == "robust":
+            e = (f"({x} - (SELECT quantile_cont({x}, 0.5) FROM tr)) / (SELECT CASE WHEN quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) <> 0 "
+                 f"THEN quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) ELSE 1.0 END FROM tr)")
+        else:
+            e = f"r_{c}"
+        sel.append(f"round({e}, 6) AS {c}")
+    if kind != "rank":
+        return f"WITH f AS {LI_FOLDS_ALL}, tr AS (SELECT * FROM f WHERE fold <> 0) SELECT row_key, {', '.join(sel)} FROM f WHERE fold = 0"
+    # rank: 1000 exact quantile knots, forward/backward interpolation averaged, bounds pinned
+    parts = []
+    for c in _SC:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""kn_{c} AS (SELECT quantile_cont({x}, {REFS_1000}) AS K, {REFS_1000} AS R FROM tr)""")
+    body = []
+    for c in _SC:
+        x = f"CAST(te.{c} AS DOUBLE)"
+        body.append(f"""ip_{c} AS (SELECT row_key, x, K, R, len(K) AS m,
+              len(list_filter(K, lambda k: k <= x)) AS lo, len(K) - len(list_filter(K, lambda k: k >= x)) + 1 AS hi
+            FROM (SELECT row_key, {x} AS x FROM te), kn_{c}),
+  v_{c} AS (SELECT row_key, CASE WHEN x - 1e-7 < K[1] THEN R[1] WHEN x + 1e-7 > K[m] THEN R[m] ELSE 0.5 * (
+      (CASE WHEN lo = 0 THEN R[1] WHEN lo >= m THEN R[m] WHEN K[lo] = x THEN R[lo]
+            ELSE (R[lo + 1] - R[lo]) / (K[lo + 1] - K[lo]) * (x - K[lo]) + R[lo] END) +
+      (CASE WHEN hi > m THEN R[m] WHEN hi <= 1 THEN R[1] WHEN K[hi] = x THEN R[hi]
+            ELSE R[hi] - (R[hi] - R[hi - 1]) / (K[hi] - K[hi - 1]) * (K[hi] - x) END)) END AS r_{c} FROM ip_{c})""")
+    return f"""WITH f AS {LI_FOLDS_ALL}, tr AS (SELECT * FROM f WHERE fold <> 0), te AS (SELECT * FROM f WHERE fold = 0),
+  {', '.join(parts)}, {', '.join(body)}
+  SELECT row_key, {', '.join(sel)} FROM te JOIN v_l_quantity USING (row_key) JOIN v_l_extendedprice USING (row_key)
+  JOIN v_l_discount USING (row_key)"""
+
+
+for _k in ("minmax", "zscore", "robust", "log", "rank"):
+    ORACLE[f"scale_{_k}"] = _scale_sql(_k)

@@ -446,3 +446,85 @@ def q_stepwise(spark, sf):
     t = stats.fold_table(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", "o_totalprice") \
         .groupBy("grp").agg(F.round(F.avg("metric"), 6).alias("metric"))
     return stats.stepwise_gain(t, "grp", "metric")
+
+
+# ---------------------------------------------------------------- features
+from ..operators import features  # noqa: E402
+
+SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def documents_split(spark, sf):
+    return sampling.stratified_split(load(spark, sf, "documents"), "doc_id", "lang", 0.25, SEED)
+
+
+@register("rare_levels")
+def q_rare_levels(spark, sf):
+    d = documents_split(spark, sf)
+    kept = features.fit_rare_levels(d.filter("part = 'evaluation'"), ["lang"], 0.12)
+    return features.apply_rare_levels(load(spark, sf, "documents"), kept).select("doc_id", "lang")
+
+
+@register("one_hot")
+def q_one_hot(spark, sf):
+    d = documents_split(spark, sf)
+    train = d.filter("part = 'evaluation'")
+    kept = features.fit_rare_levels(train, ["lang"], 0.12)
+    levels = features.fit_one_hot(features.apply_rare_levels(train, kept), ["lang"])
+    docs = features.apply_rare_levels(load(spark, sf, "documents"), kept)
+    oh = features.one_hot_expr("lang", levels["lang"])
+    return docs.select("doc_id", F.array_join(F.transform(oh, lambda x: x.cast("int").cast("string")), ",").alias("onehot"))
+
+
+@register("ordinal_codes")
+def q_ordinal(spark, sf):
+    p = sampling.stratified_split(load(spark, sf, "part"), "p_partkey", "p_size", 0.25, SEED)
+    cols = ["p_type", "p_brand", "p_name"]
+    codes = features.fit_ordinal(p.filter("part = 'tuning'"), cols)
+    return features.apply_ordinal(load(spark, sf, "part"), codes, cols) \
+        .select("p_partkey", "p_type_code", "p_brand_code", "p_name_code")
+
+
+@register("constant_filter")
+def q_constant_filter(spark, sf):
+    lab = load(spark, sf, "labels")
+    return features.constant_filter_table(lab.filter("toxic = 1"), ["doc_id", "quality", "toxic"])
+
+
+@register("correlation_filter")
+def q_correlation_filter(spark, sf):
+    dm = document_measures(load(spark, sf, "documents"))
+    kept = features.fit_correlation_filter(dm, DOC_MEASURES, 0.95)
+    return dm.select(*kept).agg(*[F.count(F.lit(1)).alias("rows")]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(c in kept).alias("kept")) for c in DOC_MEASURES])))
+
+
+@register("leave_fold_out_params")
+def q_lfo(spark, sf):
+    f = sampling.stratified_folds(load(spark, sf, "orders"), "o_orderkey", "o_orderpriority", 10, SEED)
+    return features.leave_fold_out_levels(f, ["o_orderstatus"], "fold", 0.3)
+
+
+def lineitem_folds(spark, sf):
+    return sampling.stratified_folds(lineitem_keyed(spark, sf), "row_key", BOUND_LABEL, 10, SEED)
+
+
+def _scaled(spark, sf, kind):
+    f = lineitem_folds(spark, sf).persist()
+    params = features.fit_scaler(f.filter("fold <> 0"), SCALE_COLS, kind)
+    out = features.apply_scaler(f.filter("fold = 0"), params)
+    return out.select("row_key", *[F.round(c, 6).alias(c) for c in SCALE_COLS])
+
+
+for _kind in ("minmax", "zscore", "robust", "log", "rank"):
+    register(f"scale_{_kind}")(lambda spark, sf, _k=_kind: _scaled(spark, sf, _k))
+
+
+@register("knn_features")
+def q_knn_features(spark, sf):
+    """K-NN preparation of lineitem fitted on folds <> 0, applied to fold 0."""
+    f = lineitem_folds(spark, sf).persist()
+    out = features.knn_features(f.filter("fold <> 0"), f.filter("fold = 0"),
+                                ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                                ["l_linestatus", "l_shipmode"] if "l_shipmode" in f.columns else ["l_linestatus"])
+    return out.select("row_key", F.transform("features", lambda x: F.round(x, 6)).alias("features"))
