@@ -32,7 +32,7 @@ NEIGHBOUR_SCHEMA = T.StructType([
 ])
 
 
-def _local_topk(k: int, metric: str, chunk_cells: int = 4_000_000):
+def _local_topk(k: int, metric: str, same: bool = False, chunk_cells: int = 4_000_000):
     def run(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(tpdf) == 0:
             return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name in ("query", "neighbor") else
@@ -56,8 +56,11 @@ def _local_topk(k: int, metric: str, chunk_cells: int = 4_000_000):
                 D += np.abs(diff) if metric == "manhattan" else diff * diff
             if metric == "euclidean":
                 D = np.sqrt(D)
-            same = qfold[s:s + step, None] == tfold[None, :]
-            D[same & (qfold[s:s + step, None] >= 0)] = np.inf
+            eq = qfold[s:s + step, None] == tfold[None, :]
+            if same:  # only rows of the same partition value, never the row itself
+                D[~eq | (qk[s:s + step, None] == tk[None, :])] = np.inf
+            else:     # only rows of other folds
+                D[eq & (qfold[s:s + step, None] >= 0)] = np.inf
             Dr = np.round(D, 9)
             kk = min(k, nt)
             thr = np.partition(Dr, kk - 1, axis=1)[:, kk - 1]
@@ -81,19 +84,22 @@ def _local_topk(k: int, metric: str, chunk_cells: int = 4_000_000):
 
 
 def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: str, k: int,
-        metric: str = "manhattan", fold: str | None = None,
+        metric: str = "manhattan", fold: str | None = None, same: str | None = None,
         query_block: int = 2048, train_block: int = 50_000) -> DataFrame:
     """The k nearest training rows of every query row.
 
     Output ``query, neighbor, label, d, d_r, rn``: ``d`` the exact distance,
     ``d_r`` rounded to 9 decimals, ``rn`` 1..k in (d_r, neighbor) order.
-    With ``fold``, a query only meets training rows of other folds.
+    With ``fold``, a query only meets training rows of other folds; with
+    ``same`` (an integer-coded column), only other rows with the same value
+    (same-class neighbours for SMOTE).
     """
+    part = same or fold
     q = queries.select(F.col(key).cast("long").alias("q"), F.col(features).alias("qf"),
-                       (F.col(fold) if fold else F.lit(-1)).cast("long").alias("qfold"))
+                       (F.col(part) if part else F.lit(-1)).cast("long").alias("qfold"))
     t = train.select(F.col(key).cast("long").alias("t"), F.col(features).alias("tf"),
                      F.col(label).cast("int").alias("y"),
-                     (F.col(fold) if fold else F.lit(-2)).cast("long").alias("tfold"))
+                     (F.col(part) if part else F.lit(-2)).cast("long").alias("tfold"))
     nq, nt = q.count(), t.count()
     qb = max(1, math.ceil(nq / query_block))
     tb = max(1, math.ceil(nt / train_block))
@@ -102,7 +108,7 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
     t = t.withColumn("_tb", F.pmod(F.xxhash64("t"), F.lit(tb))) \
         .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))))
     local = (q.groupBy("_qb", "_tb").cogroup(t.groupBy("_qb", "_tb"))
-             .applyInPandas(_local_topk(k, metric), NEIGHBOUR_SCHEMA))
+             .applyInPandas(_local_topk(k, metric, same=same is not None), NEIGHBOUR_SCHEMA))
     rn = F.row_number().over(Window.partitionBy("query").orderBy("d_r", "neighbor"))
     return local.withColumn("rn", rn).filter(F.col("rn") <= k)
 

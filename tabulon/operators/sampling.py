@@ -111,3 +111,39 @@ def fold_class_counts(folds: DataFrame, label: str, fold: str = "fold") -> DataF
     c = folds.groupBy(fold, label).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(label)
     return c.withColumn("spread", (F.max("n").over(w) - F.min("n").over(w)).cast("bigint"))
+
+
+def smote(df: DataFrame, key: str, label: str, features: str, cap: float = 0.25, k: int = 5,
+          seed: int = 42) -> DataFrame:
+    """K6: capped SMOTE, hash-driven so it is reproducible and partition-free.
+
+    For class c with need = target - n_c synthetic rows (K5), synthetic row i
+    takes base row number ``pmod(h1, n_c) + 1`` (hash order within c), its
+    neighbour number ``pmod(h2, k_c) + 1`` among the base row's k_c =
+    max(1, min(k, smallest class - 1)) nearest same-class rows, and the gap
+    u = h3 / 2^32, where h1..h3 are md5 prefixes of '<seed>-<class>-<i>-<tag>'.
+    Output: label, i, base, neighbor, u, features (x + u (x_nn - x)).
+    """
+    from . import neighbors
+    targets = oversample_targets(df, label, cap)
+    smallest = targets.agg(F.min("n")).first()[0]
+    k_eff = max(1, min(k, (smallest or 1) - 1))
+    ranked = hash_rank(df, key, label, seed).select(key, label, features, "rank_in_class")
+    need = targets.filter(F.col("n_synthetic") > 0)
+    syn = need.select(label, "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_synthetic"))).alias("i"))
+
+    def h(tag):
+        return F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(label).cast("string"),
+                                                    F.col("i").cast("string"), F.lit(tag))), 1, 8), 16, 10).cast("bigint")
+    syn = syn.select(label, "i", (F.pmod(h("base"), F.col("n")) + 1).alias("rank_in_class"),
+                     (F.pmod(h("nn"), F.lit(k_eff)) + 1).cast("int").alias("rn"),
+                     (h("gap") / F.lit(4294967296.0)).alias("u"))
+    minority = df.join(need.select(label), label, "left_semi")
+    neigh = neighbors.knn(minority, minority, key, features, label, k_eff, same=label)
+    base = syn.join(ranked, [label, "rank_in_class"], "inner")
+    nb = neigh.select(F.col("query").alias(key), "rn", F.col("neighbor"))
+    both = base.join(nb, [key, "rn"], "inner")
+    feat = ranked.select(F.col(key).alias("neighbor"), F.col(features).alias("_xn"))
+    out = both.join(feat, "neighbor", "inner")
+    new = F.zip_with(F.col(features), F.col("_xn"), lambda a, b: a.cast("double") + F.col("u") * (b.cast("double") - a.cast("double")))
+    return out.select(label, "i", F.col(key).alias("base"), "neighbor", "u", new.alias(features))

@@ -567,3 +567,44 @@ def _scale_sql(kind: str) -> str:
 
 for _k in ("minmax", "zscore", "robust", "log", "rank"):
     ORACLE[f"scale_{_k}"] = _scale_sql(_k)
+
+
+# ---------------------------------------------------------------- trees, rules, SMOTE
+ORACLE["power_class_weights"] = """
+SELECT toxic, n, round(pow(sum(n) OVER () / (count(*) OVER () * n), 0.75), 9) AS w
+FROM (SELECT toxic, count(*) AS n FROM labels GROUP BY 1)"""
+
+ORACLE["weighted_argmax"] = f"""
+WITH p AS {predictions_sql([15], 'distance')},
+wt AS (SELECT label AS cls, round(pow(sum(n) OVER () / (count(*) OVER () * n), 1.0), 9) AS w
+       FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)),
+x AS (SELECT p.query, wt.cls, coalesce(p.pm[wt.cls], 0.0) * wt.w AS v FROM p, wt)
+SELECT query, arg_max(cls, (v, -cls)) AS pred FROM x GROUP BY query"""
+
+LD = """(SELECT d.doc_id, l.toxic, d.n_chars::DOUBLE AS x0,
+   (length(d.text) - length(replace(d.text, ' ', '')))::DOUBLE AS x1,
+   (length(d.text) - length(replace(d.text, chr(10), '')) + 1)::DOUBLE AS x2
+   FROM documents d JOIN labels l USING (doc_id))"""
+ORACLE["smote_rows"] = f"""
+WITH ld AS {LD},
+tg AS (SELECT toxic, n, greatest(n, ceil(0.25 * max(n) OVER ()))::BIGINT - n AS need FROM (SELECT toxic, count(*) AS n FROM ld GROUP BY 1)),
+ke AS (SELECT greatest(1, least(5, min(n) - 1)) AS k FROM tg),
+rk AS {rank_sql('ld', 'doc_id', 'toxic')},
+mino AS (SELECT * FROM ld WHERE toxic IN (SELECT toxic FROM tg WHERE need > 0)),
+pairs AS (SELECT q.doc_id AS base, t.doc_id AS neighbor, q.toxic,
+          abs(q.x0 - t.x0) + abs(q.x1 - t.x1) + abs(q.x2 - t.x2) AS d
+          FROM mino q JOIN mino t ON q.toxic = t.toxic AND q.doc_id <> t.doc_id),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY round(d, 9), neighbor) AS rn FROM pairs)
+       WHERE rn <= (SELECT k FROM ke)),
+syn AS (SELECT tg.toxic, tg.n, s.i FROM tg, LATERAL range(1, tg.need + 1) s(i) WHERE tg.need > 0),
+h AS (SELECT toxic, i, n,
+        ('0x' || substr(md5('42-' || CAST(toxic AS VARCHAR) || '-' || CAST(i AS VARCHAR) || '-base'), 1, 8))::BIGINT AS h1,
+        ('0x' || substr(md5('42-' || CAST(toxic AS VARCHAR) || '-' || CAST(i AS VARCHAR) || '-nn'), 1, 8))::BIGINT AS h2,
+        ('0x' || substr(md5('42-' || CAST(toxic AS VARCHAR) || '-' || CAST(i AS VARCHAR) || '-gap'), 1, 8))::BIGINT AS h3 FROM syn),
+sel AS (SELECT toxic, i, h1 % n + 1 AS rank_in_class, (h2 % (SELECT k FROM ke) + 1)::INTEGER AS rn, h3 / 4294967296.0 AS u FROM h),
+b AS (SELECT sel.*, rk.doc_id AS base, rk.x0, rk.x1, rk.x2 FROM sel JOIN rk USING (toxic, rank_in_class)),
+j AS (SELECT b.*, nb.neighbor FROM b JOIN nb ON nb.base = b.base AND nb.rn = b.rn)
+SELECT j.toxic, j.i, j.base, j.neighbor, round(u, 9) AS u,
+       round(j.x0 + u * (t.x0 - j.x0), 6) AS x0, round(j.x1 + u * (t.x1 - j.x1), 6) AS x1,
+       round(j.x2 + u * (t.x2 - j.x2), 6) AS x2
+FROM j JOIN ld t ON t.doc_id = j.neighbor"""

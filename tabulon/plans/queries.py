@@ -528,3 +528,97 @@ def q_knn_features(spark, sf):
                                 ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
                                 ["l_linestatus", "l_shipmode"] if "l_shipmode" in f.columns else ["l_linestatus"])
     return out.select("row_key", F.transform("features", lambda x: F.round(x, 6)).alias("features"))
+
+
+# ---------------------------------------------------------------- trees, rules, SMOTE
+from ..operators import rules, trees  # noqa: E402
+
+
+def labelled_documents(spark, sf):
+    """documents x labels with numeric measures, as used by the imbalanced-target queries."""
+    d = document_measures(load(spark, sf, "documents")).join(
+        load(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id")
+    return d.join(load(spark, sf, "labels"), "doc_id", "inner")
+
+
+def _doc_tree_frame(spark, sf):
+    d = labelled_documents(spark, sf)
+    f = sampling.stratified_folds(d, "doc_id", "toxic", 5, SEED)
+    return features.tree_features(f, f, DOC_MEASURES, ["lang", "source"]).select(
+        "doc_id", "features", "toxic", "fold")
+
+
+@register("power_class_weights")
+def q_power_weights(spark, sf):
+    return trees.power_weights(load(spark, sf, "labels"), "toxic", 0.75)
+
+
+@register("smote_rows")
+def q_smote(spark, sf):
+    d = labelled_documents(spark, sf).select(
+        "doc_id", "toxic", F.array(F.col("n_chars").cast("double"), F.col("n_spaces").cast("double"),
+                                   F.col("n_lines").cast("double")).alias("x"))
+    s = sampling.smote(d, "doc_id", "toxic", "x", cap=0.25, k=5, seed=SEED)
+    return s.select("toxic", "i", "base", "neighbor", F.round("u", 9).alias("u"),
+                    *[F.round(F.col("x")[j], 6).alias(f"x{j}") for j in range(3)])
+
+
+@register("tree_distribution")
+def q_tree_distribution(spark, sf):
+    f = _doc_tree_frame(spark, sf).persist()
+    p = trees.out_of_fold(f, "doc_id", "features", "toxic", "fold", [0, 1], max_depth=4, alpha=0.75)
+    return p.select("doc_id", "fold", "y", F.round(F.col("p")[0], 6).alias("p0"),
+                    F.round(F.col("p")[1], 6).alias("p1"), "pred")
+
+
+def _doc_tree_grid(spark, sf):
+    f = _doc_tree_frame(spark, sf).persist()
+    return trees.grid(f, "doc_id", "features", "toxic", "fold", [0, 1],
+                      {"max_depth": [3, 6], "alpha": [0.0, 1.0]})
+
+
+@register("tree_grid")
+def q_tree_grid(spark, sf):
+    return _doc_tree_grid(spark, sf)
+
+
+@register("alpha_sweep")
+def q_alpha_sweep(spark, sf):
+    return trees.best_per(_doc_tree_grid(spark, sf), "alpha")
+
+
+def _knn15(spark, sf):
+    return oof_predictions(spark, sf, [15], "distance")
+
+
+def _emb_weights(spark, sf):
+    w = trees.power_weights(load(spark, sf, "embeddings"), "label", 1.0).orderBy("label").collect()
+    return [r["w"] for r in w]
+
+
+@register("weighted_argmax")
+def q_weighted_argmax(spark, sf):
+    p = _knn15(spark, sf)
+    return rules.weighted_argmax(p.select("query", "p"), _emb_weights(spark, sf), embedding_classes(spark, sf)) \
+        .select("query", "pred")
+
+
+@register("multiplier_fit")
+def q_multiplier_fit(spark, sf):
+    p = _knn15(spark, sf).select("fold", "y", "p")
+    w, best = rules.fit_multipliers(p, embedding_classes(spark, sf), rounds=2)
+    return w.withColumn("mean_macro_f1", F.lit(round(best, 6)))
+
+
+@register("plain_vs_tuned")
+def q_plain_vs_tuned(spark, sf):
+    classes = embedding_classes(spark, sf)
+    p = _knn15(spark, sf).persist()
+    w, _ = rules.fit_multipliers(p.select("fold", "y", "p"), classes, rounds=2)
+    wl = [r["w"] for r in w.orderBy("cls").collect()]
+    tuned = rules.weighted_argmax(p.drop("pred"), wl, classes)
+    def f1(df):
+        return metrics.scores(metrics.confusion(df, ["fold"]), ["fold"], domain="all", n_classes=len(classes))
+    a = f1(p).select("fold", F.col("f1_macro").alias("plain"))
+    b = f1(tuned).select("fold", F.col("f1_macro").alias("tuned"))
+    return a.join(b, "fold")
