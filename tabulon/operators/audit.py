@@ -196,13 +196,16 @@ def correlations(df: DataFrame, numeric: list[str], method: str = "auto") -> Dat
     xs = [F.col(c).cast("double") for c in numeric]
     aggs = []
     for i, j in pairs:
-        aggs.append(F.try_divide(F.covar_samp(xs[i], xs[j]),
-                                 F.stddev_samp(xs[i]) * F.stddev_samp(xs[j])).alias(f"r{i}_{j}"))
+        den = F.stddev_samp(xs[i]) * F.stddev_samp(xs[j])
+        # a constant column has no correlation: NULL, never 0/0 = NaN
+        aggs.append(F.when(den > 0, F.covar_samp(xs[i], xs[j]) / den).alias(f"r{i}_{j}"))
     row = df.agg(*aggs)
     return _long(row, {
         "feature_a": [F.lit(numeric[i]) for i, _ in pairs],
         "feature_b": [F.lit(numeric[j]) for _, j in pairs],
-        "abs_r": [F.round(F.least(F.abs(F.col(f"r{i}_{j}")), F.lit(1.0)), 6) for i, j in pairs],
+        # least() skips NULLs, so clip only defined correlations
+        "abs_r": [F.round(F.when(F.col(f"r{i}_{j}").isNotNull(),
+                                 F.least(F.abs(F.col(f"r{i}_{j}")), F.lit(1.0))), 6) for i, j in pairs],
     })
 
 
@@ -232,8 +235,8 @@ def correlation_counts(corr: DataFrame, thresholds=(0.90, 0.95, 0.99)) -> DataFr
 
 def named_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     """R of one named pair and whether it is exactly 1."""
-    r = F.try_divide(F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")),
-                     F.stddev_samp(F.col(a).cast("double")) * F.stddev_samp(F.col(b).cast("double")))
+    den = F.stddev_samp(F.col(a).cast("double")) * F.stddev_samp(F.col(b).cast("double"))
+    r = F.when(den > 0, F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")) / den)
     return df.agg(F.round(r, 6).alias("r")).withColumn("exact_one", F.col("r") == 1.0) \
         .select(F.lit(f"{a}~{b}").alias("pair"), "r", "exact_one")
 

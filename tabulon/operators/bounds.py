@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.sizing import materialize
 from . import metrics
 
 
@@ -55,8 +56,8 @@ def memorisation_predictions(df: DataFrame, features: list[str], label: str, fol
     vector occurs in the training folds, ``pred`` its training-majority label
     or else the training fold's majority class, ``conceded`` = pred when hit,
     else the true label (B5)."""
-    cf = df.groupBy(F.col(fold).alias("fold"), *features, F.col(label).alias("y")) \
-        .agg(F.count(F.lit(1)).alias("n_f"))
+    cf = materialize(df.groupBy(F.col(fold).alias("fold"), *features, F.col(label).alias("y"))
+                     .agg(F.count(F.lit(1)).alias("n_f")))
     tot = cf.groupBy(*features, "y").agg(F.sum("n_f").alias("n_all"))
     held = cf.select("fold", *features).distinct()
     # training counts of every label of a held-out vector: total minus the fold's own

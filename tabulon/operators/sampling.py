@@ -25,20 +25,39 @@ def _key(key) -> Column:
     return F.col(key) if isinstance(key, str) else key
 
 
-def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3) -> DataFrame:
+def _hashed(df: DataFrame, key, label: str, seed: int, digits: int) -> DataFrame:
+    return df.withColumn("_h", hash_hex(seed, _key(key))).withColumn("_b", F.substring("_h", 1, digits))
+
+
+def bucket_counts(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3) -> DataFrame:
+    """Rows per (class, hash bucket): at most classes x 16^digits rows.
+
+    Persisted, because the offsets, the class counts and the quotas of one
+    split are all derived from it; the input is scanned once for it."""
+    from pyspark import StorageLevel
+    return (_hashed(df, key, label, seed, digits).groupBy(label, "_b")
+            .agg(F.count(F.lit(1)).alias("_nb")).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3,
+              counts: DataFrame | None = None) -> DataFrame:
     """Adds ``rank_in_class`` (1-based) in hash order within each class."""
     k = _key(key)
-    d = df.withColumn("_h", hash_hex(seed, k)).withColumn("_b", F.substring("_h", 1, digits))
-    counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    d = _hashed(df, key, label, seed, digits)
+    counts = counts if counts is not None else bucket_counts(df, key, label, seed, digits)
     before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(label, "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
-    d = d.join(bounded_broadcast(offs), [label, "_b"], "inner")
+    # joined on (class, bucket): the shuffle it needs is the one the
+    # row_number window below needs anyway, so no broadcast and no extra pass
+    d = d.join(offs, [label, "_b"], "inner")
     rn = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", k))
     return d.withColumn("rank_in_class", F.col("_off") + rn).drop("_b", "_off", "_h")
 
 
-def class_counts(df: DataFrame, label: str) -> DataFrame:
-    """Rows per class (one row per class; map-side combined)."""
+def class_counts(df: DataFrame, label: str, counts: DataFrame | None = None) -> DataFrame:
+    """Rows per class (one row per class; map-side combined, or summed from bucket counts)."""
+    if counts is not None:
+        return counts.groupBy(label).agg(F.sum("_nb").alias("n"))
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -62,8 +81,9 @@ def stratified_split(df: DataFrame, key, label: str, fraction: float, seed: int
                      names: tuple[str, str] = ("tuning", "evaluation")) -> DataFrame:
     """K1/K3: ``floor(N * fraction)`` rows to ``names[0]``, in proportion per
     class (largest remainder), the rest to ``names[1]``. Adds ``part``."""
-    ranked = hash_rank(df, key, label, seed)
-    q = quotas(class_counts(df, label), label,
+    bc = bucket_counts(df, key, label, seed)
+    ranked = hash_rank(df, key, label, seed, counts=bc)
+    q = quotas(class_counts(df, label, bc), label,
                F.floor(F.col("_N").cast("double") * F.lit(float(fraction))))
     ranked = ranked.join(bounded_broadcast(q.select(label, "quota")), label, "inner")
     return ranked.withColumn("part", F.when(F.col("rank_in_class") <= F.col("quota"), F.lit(names[0]))
@@ -74,8 +94,9 @@ def stratified_folds(df: DataFrame, key, label: str, k: int, seed: int = 42) ->
     """K2: ``fold = (rows of earlier classes + rank_in_class - 1) mod k``.
 
     Every class differs by at most one row across folds, and so do fold totals."""
-    ranked = hash_rank(df, key, label, seed)
-    cc = class_counts(df, label)
+    bc = bucket_counts(df, key, label, seed)
+    ranked = hash_rank(df, key, label, seed, counts=bc)
+    cc = class_counts(df, label, bc)
     offs = cc.select(label, F.coalesce(F.sum("n").over(
         Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_coff"))
     ranked = ranked.join(bounded_broadcast(offs), label, "inner")
@@ -85,8 +106,9 @@ def stratified_folds(df: DataFrame, key, label: str, k: int, seed: int = 42) ->
 
 def stratified_take(df: DataFrame, key, label: str, n: int, seed: int = 42) -> DataFrame:
     """K4: a fixed-size stratified probe of ``n`` rows (the whole table if smaller)."""
-    ranked = hash_rank(df, key, label, seed)
-    q = quotas(class_counts(df, label), label, F.least(F.col("_N"), F.lit(n)))
+    bc = bucket_counts(df, key, label, seed)
+    ranked = hash_rank(df, key, label, seed, counts=bc)
+    q = quotas(class_counts(df, label, bc), label, F.least(F.col("_N"), F.lit(n)))
     ranked = ranked.join(bounded_broadcast(q.select(label, "quota")), label, "inner")
     return ranked.filter(F.col("rank_in_class") <= F.col("quota")).drop("quota")
 

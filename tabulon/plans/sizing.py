@@ -31,3 +31,15 @@ def join_single_rows(*frames: DataFrame) -> DataFrame:
     for f in frames[1:]:
         out = out.join(F.broadcast(f), how="inner")
     return out
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage for a table reused by several branches of a plan.
+
+    Writes a reliable checkpoint under the session's ``spark.checkpoint.dir``
+    (shared storage on a cluster), so a lost executor does not force the
+    upstream sorts and shuffles to rerun.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
