@@ -622,3 +622,94 @@ def q_plain_vs_tuned(spark, sf):
     a = f1(p).select("fold", F.col("f1_macro").alias("plain"))
     b = f1(tuned).select("fold", F.col("f1_macro").alias("tuned"))
     return a.join(b, "fold")
+
+
+# ---------------------------------------------------------------- search and studies
+from . import search, studies  # noqa: E402
+
+DOC_NUMERIC = ["n_chars", "text_len", "n_spaces", "n_lines"]
+DOC_NOMINAL = ["lang", "source"]
+
+
+def doc_study_frame(spark, sf, k: int = 5):
+    d = labelled_documents(spark, sf).select("doc_id", "toxic", *DOC_NUMERIC, *DOC_NOMINAL)
+    return sampling.stratified_folds(d, "doc_id", "toxic", k, SEED).persist()
+
+
+@register("knn_grid")
+def q_knn_grid(spark, sf):
+    f = embedding_folds(spark, sf).persist()
+    return search.knn_grid(f, "vec_id", "embedding", "label", "fold", embedding_classes(spark, sf),
+                           [1, 3, 5, 9, 15], ["uniform", "distance"], ["manhattan", "euclidean"])
+
+
+@register("knn_refined_grid")
+def q_knn_refine(spark, sf):
+    f = embedding_folds(spark, sf).persist()
+    classes = embedding_classes(spark, sf)
+    coarse = search.knn_grid(f, "vec_id", "embedding", "label", "fold", classes, [1, 5, 15], ["uniform", "distance"],
+                             ["manhattan"])
+    b = search.best(coarse, "f1_mean", ["k", "weights", "metric"])
+    return search.knn_grid(f, "vec_id", "embedding", "label", "fold", classes, search.refine_k(b["k"]),
+                           [b["weights"]], [b["metric"]])
+
+
+@register("cv_scores")
+def q_cv_scores(spark, sf):
+    f = doc_study_frame(spark, sf)
+    p = studies.oof_knn(f, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1], k=5)
+    return search.score_predictions(p, [])
+
+
+@register("ablation_knn")
+def q_ablation_knn(spark, sf):
+    f = doc_study_frame(spark, sf)
+    return studies.ablation_knn(f, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1], id_col="doc_id")
+
+
+@register("ablation_tree")
+def q_ablation_tree(spark, sf):
+    f = doc_study_frame(spark, sf)
+    return studies.ablation_tree(f, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1])
+
+
+@register("scaling_study")
+def q_scaling_study(spark, sf):
+    f = doc_study_frame(spark, sf)
+    return studies.scaling_study(f, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1])
+
+
+@register("redundancy_study")
+def q_redundancy_study(spark, sf):
+    f = doc_study_frame(spark, sf)
+    return studies.redundancy_study(f, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1])
+
+
+@register("k_under_rule")
+def q_k_under_rule(spark, sf):
+    return studies.k_under_rule(oof_predictions(spark, sf, [5, 15, 31], "distance"), embedding_classes(spark, sf))
+
+
+@register("training_size")
+def q_training_size(spark, sf):
+    e = load(spark, sf, "embeddings")
+    s = sampling.stratified_split(e, "vec_id", "label", 0.25, SEED).persist()
+    classes = embedding_classes(spark, sf)
+    out = []
+    for part in ("tuning", "evaluation"):
+        f = sampling.stratified_folds(s.filter(F.col("part") == part).drop("rank_in_class"), "vec_id", "label", 5, SEED)
+        g = search.knn_grid(f, "vec_id", "embedding", "label", "fold", classes, [1, 5, 15], ["uniform", "distance"],
+                            ["manhattan"])
+        out.append(g.select(F.concat_ws("_", F.lit("k"), F.col("k").cast("string"), "weights").alias("configuration"),
+                            "f1_mean"))
+    return studies.training_size(out[0], out[1])
+
+
+@register("four_configurations")
+def q_four_configurations(spark, sf):
+    d = labelled_documents(spark, sf).select("doc_id", "toxic", *DOC_NUMERIC, *DOC_NOMINAL)
+    s = sampling.stratified_split(d, "doc_id", "toxic", 0.25, SEED).drop("rank_in_class").persist()
+    tune = sampling.stratified_folds(s.filter("part = 'tuning'").drop("part"), "doc_id", "toxic", 3, SEED).persist()
+    ev = sampling.stratified_folds(s.filter("part = 'evaluation'").drop("part"), "doc_id", "toxic", 5, SEED).persist()
+    return studies.four_configurations(ev, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1],
+                                       tune_fold_df=tune, knn_k=15, rounds=1)
