@@ -42,7 +42,7 @@ def _profile_sql_joined(table: str, cols: list[str], nominal: list[str] = ()) ->
 SELECT '{c}' AS feature, 'numeric' AS kind, count(DISTINCT x)::BIGINT AS cardinality,
   round(min(x), 6) AS minimum, round(max(x), 6) AS maximum, round(max(x) - min(x), 6) AS rng,
   round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std, round(quantile_cont(x, 0.5), 6) AS median,
-  round(CASE WHEN min(x) = max(x) THEN 0.0 WHEN count(x) > 2 THEN skewness(x) END, 6) AS skewness,
+  round(CASE WHEN min(x) = max(x) THEN 0.0 WHEN count(x) > 2 THEN skewness(x) END, 6) + 0.0 AS skewness,
   round(CASE WHEN q3 - q1 > 0 THEN 100.0 * count(*) FILTER (
       WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) / count(*) END, 6) AS pct_outlier,
   round(100.0 * count(*) FILTER (WHERE x = 0) / count(*), 6) AS pct_zero
@@ -608,3 +608,81 @@ SELECT j.toxic, j.i, j.base, j.neighbor, round(u, 9) AS u,
        round(j.x0 + u * (t.x0 - j.x0), 6) AS x0, round(j.x1 + u * (t.x1 - j.x1), 6) AS x1,
        round(j.x2 + u * (t.x2 - j.x2), 6) AS x2
 FROM j JOIN ld t ON t.doc_id = j.neighbor"""
+
+
+# ---------------------------------------------------------------- report tables and checks
+ORACLE["report_class_distribution"] = f"""
+WITH b AS ({ORACLE['audit_class_balance']}),
+r AS (SELECT class, code, count, percent, (row_number() OVER (ORDER BY count DESC, code) - 1)::INTEGER AS ord FROM b)
+SELECT * FROM r UNION ALL
+SELECT 'total', NULL::INTEGER, sum(count)::BIGINT, round(sum(percent), 3), count(*)::INTEGER FROM b"""
+
+ORACLE["report_top_correlations"] = f"""
+WITH dm AS {DOC_MEASURES_SQL}, c AS ({_CORR_PAIRS})
+SELECT * FROM c WHERE abs_r IS NOT NULL ORDER BY abs_r DESC, feature_a, feature_b LIMIT 3"""
+
+ORACLE["report_most_skewed"] = f"""
+WITH p AS {PROFILE_LI_PART}
+SELECT feature, minimum, maximum, skewness, coalesce(printf('%.2f', pct_outlier), '--') AS pct_outlier
+FROM p WHERE kind = 'numeric' AND skewness IS NOT NULL ORDER BY skewness DESC, feature LIMIT 4"""
+
+_CFGS = [f"knn_k{k}_{w}" for w in ("uniform", "distance") for k in (1, 5, 15)]
+CFG_FOLDS = scores_sql(CONFIG_CONF, ["configuration", "fold"])
+ORACLE["report_final"] = f"""
+WITH f AS {CFG_FOLDS},
+s AS (SELECT configuration, round(avg(accuracy), 6) AS accuracy, round(avg(balanced_accuracy), 6) AS balanced_accuracy,
+             round(avg(f1_macro), 6) AS f1_macro, round(avg(kappa), 6) AS kappa FROM f GROUP BY configuration),
+l AS ({" UNION ALL ".join(f"SELECT configuration, '{m}' AS metric, {m} AS v FROM s" for m in ["accuracy", "balanced_accuracy", "f1_macro", "kappa"])})
+SELECT metric, {", ".join(f"max(v) FILTER (WHERE configuration = '{c}') AS {c}" for c in _CFGS)} FROM l GROUP BY metric"""
+
+ORACLE["report_per_class"] = f"""
+WITH ct AS {class_totals_sql(CONFIG_CONF, ['configuration', 'fold'])},
+pc AS (SELECT configuration, fold, cls, round(coalesce(tp / nullif(t, 0), 0), 6) AS recall, t FROM ct),
+m AS (SELECT cls, configuration, round(avg(recall), 6) AS recall, sum(t) AS n FROM pc GROUP BY ALL)
+SELECT cls, {", ".join(f"max(recall) FILTER (WHERE configuration = '{c}') AS {c}" for c in _CFGS)}, max(n)::BIGINT AS n
+FROM m GROUP BY cls"""
+
+ORACLE["report_per_fold"] = f"""
+WITH f AS {CFG_FOLDS}
+SELECT CAST(fold AS VARCHAR) AS fold, {", ".join(f"max(f1_macro) FILTER (WHERE configuration = '{c}') AS {c}" for c in _CFGS)} FROM f GROUP BY fold
+UNION ALL SELECT 'mean', {", ".join(f"round(avg(f1_macro) FILTER (WHERE configuration = '{c}'), 6)" for c in _CFGS)} FROM f
+UNION ALL SELECT 'sd', {", ".join(f"round(stddev_samp(f1_macro) FILTER (WHERE configuration = '{c}'), 6)" for c in _CFGS)} FROM f"""
+
+ORACLE["report_bounds"] = f"""
+WITH r AS ({ORACLE['bound_resubstitution_per_class']}), cv AS {MEM_PER_CLASS},
+j AS (SELECT CAST(cls AS VARCHAR) AS cls, f1_memorisation_cv, f1_conceded_cv, f1_resubstitution FROM r JOIN cv USING (cls))
+SELECT * FROM j UNION ALL
+SELECT 'macro mean', round(avg(f1_memorisation_cv), 6), round(avg(f1_conceded_cv), 6), round(avg(f1_resubstitution), 6) FROM j"""
+
+ORACLE["chart_confusion"] = f"""
+WITH c AS (SELECT y, pred, sum(n) AS n FROM {KNN5_CONF} GROUP BY ALL),
+s AS (SELECT y, pred, n, round(n / greatest(sum(n) OVER (PARTITION BY y), 1), 6) AS share FROM c)
+SELECT *, share >= 0.12 AS labelled FROM s"""
+
+ORACLE["claim_check"] = """
+WITH c AS (SELECT o_orderpriority AS class, count(*) AS n FROM orders GROUP BY 1),
+f AS (SELECT 'n_instances' AS name, CAST((SELECT count(*) FROM orders) AS VARCHAR) AS value
+  UNION ALL SELECT 'n_classes', CAST((SELECT count(*) FROM c) AS VARCHAR)
+  UNION ALL SELECT 'id_unique', CAST((SELECT count(DISTINCT o_orderkey) = count(*) FROM orders) AS VARCHAR)
+  UNION ALL SELECT 'imbalance_ratio', CAST((SELECT round(max(n) / min(n), 6) FROM c) AS VARCHAR)
+  UNION ALL SELECT 'majority', (SELECT arg_min(class, (-n, class)) FROM c)
+  UNION ALL SELECT 'minority', (SELECT arg_min(class, (n, class)) FROM c)),
+cl AS (SELECT * FROM (VALUES ('n_instances', '15000', 0.0), ('n_classes', '5', 0.0), ('id_unique', 'true', 0.0),
+        ('imbalance_ratio', '1.01', 0.01), ('majority', '4-NOT SPECIFIED', 0.0), ('minority', '1-URGENT', 0.0)) t(name, claimed, tol))
+SELECT cl.name, claimed, value AS computed,
+       CASE WHEN value IS NULL THEN false
+            WHEN TRY_CAST(claimed AS DOUBLE) IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NOT NULL
+            THEN abs(TRY_CAST(claimed AS DOUBLE) - TRY_CAST(value AS DOUBLE)) <= tol
+            ELSE claimed = value END AS ok
+FROM cl LEFT JOIN f USING (name)"""
+
+ORACLE["summary_consistency"] = f"""
+WITH f AS {CFG_FOLDS},
+s AS (SELECT configuration, round(avg(f1_macro), 15) AS f1_macro_mean, avg(f1_macro) AS m FROM f GROUP BY configuration)
+SELECT bool_and(abs(f1_macro_mean - m) <= 1e-9) AS consistent, count(*)::BIGINT AS groups FROM s"""
+
+ORACLE["bound_order"] = f"""
+WITH cv AS (SELECT round(avg(f1_memorisation_cv), 6) AS macro_f1_memorisation_cv, round(avg(f1_conceded_cv), 6) AS macro_f1_conceded_cv FROM {MEM_PER_CLASS}),
+r AS ({ORACLE['bound_resubstitution']})
+SELECT macro_f1_memorisation_cv, macro_f1_conceded_cv, r.f1_macro AS macro_f1_resubstitution,
+       macro_f1_memorisation_cv <= macro_f1_conceded_cv AND macro_f1_conceded_cv <= r.f1_macro AS ordered FROM cv, r"""

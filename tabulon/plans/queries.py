@@ -713,3 +713,104 @@ def q_four_configurations(spark, sf):
     ev = sampling.stratified_folds(s.filter("part = 'evaluation'").drop("part"), "doc_id", "toxic", 5, SEED).persist()
     return studies.four_configurations(ev, "doc_id", "toxic", "fold", DOC_NUMERIC, DOC_NOMINAL, [0, 1],
                                        tune_fold_df=tune, knn_k=15, rounds=1)
+
+
+# ---------------------------------------------------------------- report tables and checks
+from . import report  # noqa: E402
+from ..operators import checks  # noqa: E402
+
+KNN_CONFIGS = [f"knn_k{k}_{w}" for w in ("uniform", "distance") for k in (1, 5, 15)]
+
+
+@register("report_class_distribution")
+def q_report_classes(spark, sf):
+    return report.class_distribution(audit.class_balance(load(spark, sf, "orders"), "o_orderpriority"))
+
+
+@register("report_top_correlations")
+def q_report_top_corr(spark, sf):
+    return report.top_pairs(audit.correlations(document_measures(load(spark, sf, "documents")), DOC_MEASURES), 3)
+
+
+@register("report_most_skewed")
+def q_report_skewed(spark, sf):
+    return report.most_skewed(_profile_li_part(spark, sf), 4)
+
+
+def _knn_config_folds(spark, sf):
+    conf = metrics.confusion(knn_configurations(spark, sf), ["configuration", "fold"])
+    return metrics.scores(conf, ["configuration", "fold"]), conf
+
+
+@register("report_final")
+def q_report_final(spark, sf):
+    folds, _ = _knn_config_folds(spark, sf)
+    s = metrics.summary(folds, ["configuration"])
+    return report.metric_by_configuration(s, KNN_CONFIGS, ["accuracy", "balanced_accuracy", "f1_macro", "kappa"])
+
+
+@register("report_per_class")
+def q_report_per_class(spark, sf):
+    _, conf = _knn_config_folds(spark, sf)
+    pc = metrics.per_class(conf, ["configuration", "fold"])
+    return report.per_class_by_configuration(pc, KNN_CONFIGS)
+
+
+@register("report_per_fold")
+def q_report_per_fold(spark, sf):
+    folds, _ = _knn_config_folds(spark, sf)
+    return report.per_fold_table(folds, KNN_CONFIGS, "f1_macro")
+
+
+@register("report_bounds")
+def q_report_bounds(spark, sf):
+    resub = bounds.resubstitution_per_class(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL)
+    cv = bounds.cv_bounds_per_class(_memorisation(spark, sf), lineitem_classes(spark, sf))
+    return report.bounds_by_class(resub, cv)
+
+
+@register("chart_confusion")
+def q_chart_confusion(spark, sf):
+    conf = metrics.summed(_knn5_conf(spark, sf), [])
+    return report.labelled_cells(metrics.row_normalised(conf, []).select("y", "pred", "n", "share"), 0.12)
+
+
+@register("report_summary_cells")
+def q_report_cells(spark, sf):
+    folds, _ = _knn_config_folds(spark, sf)
+    return report.summary_cells(metrics.summary(folds, ["configuration"]), ["f1_macro", "balanced_accuracy"])
+
+
+@register("grid_completeness")
+def q_grid_completeness(spark, sf):
+    return report.grid_completeness(q_knn_grid(spark, sf), ["k", "weights", "metric"])
+
+
+# fixed values: claims as stated for the driver tables (name, claimed value, tolerance)
+CLAIMS = [("n_instances", "15000", 0.0), ("n_classes", "5", 0.0), ("id_unique", "true", 0.0),
+          ("imbalance_ratio", "1.01", 0.01), ("majority", "4-NOT SPECIFIED", 0.0), ("minority", "1-URGENT", 0.0)]
+
+
+@register("claim_check")
+def q_claim_check(spark, sf):
+    o = load(spark, sf, "orders")
+    facts = audit.facts(o, "o_orderpriority", ["o_totalprice"], ["o_orderstatus"], "o_orderkey") \
+        .select(F.col("fact").alias("name"), F.col("value"))
+    claims = spark.createDataFrame(CLAIMS, "name string, claimed string, tol double")
+    return checks.compare(claims, facts)
+
+
+@register("summary_consistency")
+def q_summary_consistency(spark, sf):
+    folds, _ = _knn_config_folds(spark, sf)
+    s = metrics.summary(folds, ["configuration"], digits=15)
+    return checks.summary_matches_folds(s, folds, ["configuration"], "f1_macro")
+
+
+@register("bound_order")
+def q_bound_order(spark, sf):
+    from .sizing import join_single_rows
+    cv = bounds.cv_bounds_summary(_memorisation(spark, sf), lineitem_classes(spark, sf))
+    r = bounds.resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL, len(lineitem_classes(spark, sf)))
+    return checks.bound_order(join_single_rows(cv, r.select(F.col("f1_macro").alias("macro_f1_resubstitution"))),
+                              ["macro_f1_memorisation_cv", "macro_f1_conceded_cv", "macro_f1_resubstitution"])

@@ -43,7 +43,9 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     parts = []
     for f in _folds(df, fold):
         train = df.filter(F.col(fold) != f)
-        prepared = features.knn_features(train, df, numeric, nominal, **prep).select(key, label, fold, "features")
+        # persisted: the size checks, SMOTE and the neighbour join all read it
+        prepared = features.knn_features(train, df, numeric, nominal, **prep) \
+            .select(key, label, fold, "features").persist()
         tr = prepared.filter(F.col(fold) != f)
         te = prepared.filter(F.col(fold) == f)
         if smote:
@@ -65,7 +67,7 @@ def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     for f in _folds(df, fold):
         train = df.filter(F.col(fold) != f)
         prepared = features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr, onehot=onehot) \
-            .select(key, label, fold, "features")
+            .select(key, label, fold, "features").persist()
         tr = prepared.filter(F.col(fold) != f)
         te = prepared.filter(F.col(fold) == f)
         if smote:
