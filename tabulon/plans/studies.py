@@ -43,13 +43,15 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     parts = []
     for f in _folds(df, fold):
         train = df.filter(F.col(fold) != f)
-        # persisted: the size checks, SMOTE and the neighbour join all read it
-        prepared = features.knn_features(train, df, numeric, nominal, **prep) \
-            .select(key, label, fold, "features").persist()
+        # checkpointed: the size checks, SMOTE and the neighbour join all read
+        # it, and later plans start from a short leaf instead of re-analysing
+        # the whole preparation chain
+        prepared = materialize(features.knn_features(train, df, numeric, nominal, **prep)
+                               .select(key, label, fold, "features"))
         tr = prepared.filter(F.col(fold) != f)
         te = prepared.filter(F.col(fold) == f)
         if smote:
-            tr = _with_smote(tr, key, label, "features")
+            tr = materialize(_with_smote(tr, key, label, "features"))
         neigh = neighbors.knn(te, tr, key, "features", label, k, metric)
         v = neighbors.vote(neigh, [k], weights, classes)
         parts.append(v.join(te.select(F.col(key).cast("long").alias("query"), F.col(label).alias("y")), "query")
@@ -57,7 +59,7 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return materialize(out)
 
 
 def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str], nominal: list[str],
@@ -66,8 +68,8 @@ def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     parts = []
     for f in _folds(df, fold):
         train = df.filter(F.col(fold) != f)
-        prepared = features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr, onehot=onehot) \
-            .select(key, label, fold, "features").persist()
+        prepared = materialize(features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr,
+                                                      onehot=onehot).select(key, label, fold, "features"))
         tr = prepared.filter(F.col(fold) != f)
         te = prepared.filter(F.col(fold) == f)
         if smote:
@@ -81,7 +83,7 @@ def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return materialize(out)
 
 
 def _timed_score(name_col: str, name: str, fn) -> DataFrame:
