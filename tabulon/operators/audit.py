@@ -88,9 +88,13 @@ def profile(df: DataFrame, numeric: list[str], nominal: list[str] = (),
     """
     numeric, nominal = list(numeric), list(nominal)
     aggs = [F.count(F.lit(1)).alias("_rows")]
+    if exact and numeric:
+        # exact quartiles from distinct-value counts (no single-task percentile buffer)
+        from .features import exact_quantiles
+        eq = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
     for i, c in enumerate(numeric):
         x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(.25), F.lit(.5), F.lit(.75))) if exact
+        q = (F.array(*[F.lit(v) for v in eq[c]]) if exact
              else F.percentile_approx(x, [.25, .5, .75], 100000))
         aggs += [F.count_distinct(x).alias(f"card{i}"), F.min(x).alias(f"min{i}"),
                  F.max(x).alias(f"max{i}"), F.avg(x).alias(f"mean{i}"),
