@@ -21,6 +21,17 @@ from ..functions.exprs import hash_hex
 from ..plans.sizing import bounded_broadcast
 
 
+def _join_null_safe(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner equi-join that treats NULL keys as equal, so rows with a NULL
+    label form their own stratum instead of being dropped."""
+    ren = small.select(*[F.col(c).alias(f"_j_{c}") if c in keys else F.col(c) for c in small.columns])
+    cond = None
+    for k in keys:
+        e = big[k].eqNullSafe(ren[f"_j_{k}"])
+        cond = e if cond is None else cond & e
+    return big.join(ren, cond, "inner").drop(*[f"_j_{k}" for k in keys])
+
+
 def _key(key) -> Column:
     return F.col(key) if isinstance(key, str) else key
 
@@ -49,7 +60,7 @@ def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3,
     offs = counts.select(label, "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
     # joined on (class, bucket): the shuffle it needs is the one the
     # row_number window below needs anyway, so no broadcast and no extra pass
-    d = d.join(offs, [label, "_b"], "inner")
+    d = _join_null_safe(d, offs, [label, "_b"])
     rn = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", k))
     return d.withColumn("rank_in_class", F.col("_off") + rn).drop("_b", "_off", "_h")
 
@@ -72,7 +83,7 @@ def quotas(counts: DataFrame, label: str, target: Column) -> DataFrame:
     c = c.withColumn("_cont", F.col("n").cast("double") * F.col("_t") / F.col("_N"))
     c = c.withColumn("_base", F.floor("_cont")).withColumn("_rem", F.col("_cont") - F.col("_base"))
     c = c.withColumn("_extra", F.col("_t") - F.sum("_base").over(Window.partitionBy()))
-    order = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label)))
+    order = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc_nulls_last(label)))
     return c.select(label, "n", (F.col("_base") + F.when(order <= F.col("_extra"), 1).otherwise(0))
                     .cast("bigint").alias("quota"))
 
@@ -85,7 +96,7 @@ def stratified_split(df: DataFrame, key, label: str, fraction: float, seed: int
     ranked = hash_rank(df, key, label, seed, counts=bc)
     q = quotas(class_counts(df, label, bc), label,
                F.floor(F.col("_N").cast("double") * F.lit(float(fraction))))
-    ranked = ranked.join(bounded_broadcast(q.select(label, "quota")), label, "inner")
+    ranked = _join_null_safe(ranked, bounded_broadcast(q.select(label, "quota")), [label])
     return ranked.withColumn("part", F.when(F.col("rank_in_class") <= F.col("quota"), F.lit(names[0]))
                              .otherwise(F.lit(names[1]))).drop("quota")
 
@@ -98,8 +109,8 @@ def stratified_folds(df: DataFrame, key, label: str, k: int, seed: int = 42) ->
     ranked = hash_rank(df, key, label, seed, counts=bc)
     cc = class_counts(df, label, bc)
     offs = cc.select(label, F.coalesce(F.sum("n").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_coff"))
-    ranked = ranked.join(bounded_broadcast(offs), label, "inner")
+        Window.orderBy(F.asc_nulls_last(label)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_coff"))
+    ranked = _join_null_safe(ranked, bounded_broadcast(offs), [label])
     return ranked.withColumn("fold", F.pmod(F.col("_coff") + F.col("rank_in_class") - 1, F.lit(k))
                              .cast("int")).drop("_coff")
 
@@ -109,7 +120,7 @@ def stratified_take(df: DataFrame, key, label: str, n: int, seed: int = 42) -> D
     bc = bucket_counts(df, key, label, seed)
     ranked = hash_rank(df, key, label, seed, counts=bc)
     q = quotas(class_counts(df, label, bc), label, F.least(F.col("_N"), F.lit(n)))
-    ranked = ranked.join(bounded_broadcast(q.select(label, "quota")), label, "inner")
+    ranked = _join_null_safe(ranked, bounded_broadcast(q.select(label, "quota")), [label])
     return ranked.filter(F.col("rank_in_class") <= F.col("quota")).drop("quota")
 
 

@@ -50,3 +50,12 @@ def test_smote_points_lie_on_segments(spark):
         assert 0 <= u < 1
         for j in range(2):
             assert abs(r["x"][j] - (a[j] + u * (b[j] - a[j]))) < 1e-9
+
+
+def test_null_labels_are_kept_as_a_stratum(spark):
+    rows = [(i, None if i % 4 == 0 else ("a" if i % 2 else "b")) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, y string")
+    f = sampling.stratified_folds(df, "k", "y", 5, 42)
+    assert f.count() == 40
+    s = sampling.stratified_split(df, "k", "y", 0.5, 42)
+    assert s.count() == 40 and s.filter("part = 'tuning'").count() == 20
