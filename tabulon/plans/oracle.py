@@ -686,3 +686,19 @@ WITH cv AS (SELECT round(avg(f1_memorisation_cv), 6) AS macro_f1_memorisation_cv
 r AS ({ORACLE['bound_resubstitution']})
 SELECT macro_f1_memorisation_cv, macro_f1_conceded_cv, r.f1_macro AS macro_f1_resubstitution,
        macro_f1_memorisation_cv <= macro_f1_conceded_cv AND macro_f1_conceded_cv <= r.f1_macro AS ordered FROM cv, r"""
+
+
+# ---------------------------------------------------------------- k-NN grid
+_KG = " UNION ALL ".join(
+    f"SELECT k, '{w}' AS weights, '{m}' AS metric, fold, y, pred FROM {predictions_sql([1, 3, 5, 9, 15], w, m)}"
+    for m in ("manhattan", "euclidean") for w in ("uniform", "distance"))
+KG_CONF = f"(SELECT k, weights, metric, fold, y, pred, count(*) AS n FROM ({_KG}) GROUP BY ALL)"
+KNN_GRID = f"""(SELECT k::INTEGER AS k, weights, metric,
+  round(avg(balanced_accuracy), 6) AS bal_mean, round(stddev_samp(balanced_accuracy), 6) AS bal_std,
+  round(avg(f1_macro), 6) AS f1_mean, round(stddev_samp(f1_macro), 6) AS f1_std
+  FROM {scores_sql(KG_CONF, ['k', 'weights', 'metric', 'fold'])} GROUP BY ALL)"""
+ORACLE["knn_grid"] = f"SELECT * FROM {KNN_GRID}"
+ORACLE["grid_completeness"] = f"""
+SELECT count(*) AS rows, count(DISTINCT k) AS n_k, count(DISTINCT weights) AS n_weights, count(DISTINCT metric) AS n_metric,
+       count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS expected,
+       count(*) = count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS complete FROM {KNN_GRID}"""
