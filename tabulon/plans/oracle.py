@@ -702,3 +702,28 @@ ORACLE["grid_completeness"] = f"""
 SELECT count(*) AS rows, count(DISTINCT k) AS n_k, count(DISTINCT weights) AS n_weights, count(DISTINCT metric) AS n_metric,
        count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS expected,
        count(*) = count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS complete FROM {KNN_GRID}"""
+
+
+# ---------------------------------------------------------------- chart tables and search slices
+ORACLE["chart_feature_ranges"] = f"""
+SELECT feature, rng, greatest(rng, 0.001) AS rng_clipped FROM {PROFILE_LI_PART} p WHERE kind = 'numeric'"""
+ORACLE["chart_score_by_k"] = f"SELECT weights || '/' || metric AS series, k, f1_mean, f1_std FROM {KNN_GRID}"
+ORACLE["knn_metric_wins"] = f"""
+WITH g AS {KNN_GRID},
+j AS (SELECT a.f1_mean AS a, b.f1_mean AS b FROM g a JOIN g b ON a.k = b.k AND a.weights = b.weights
+      WHERE a.metric = 'manhattan' AND b.metric = 'euclidean')
+SELECT count(*) FILTER (WHERE a > b)::BIGINT AS wins, count(*)::BIGINT AS settings, round(avg(a - b), 6) AS mean_gain FROM j"""
+ORACLE["chart_metric_by_fold"] = f"""
+WITH f AS {CFG_FOLDS}
+SELECT configuration, fold, 'accuracy' AS metric, accuracy AS value FROM f
+UNION ALL SELECT configuration, fold, 'balanced_accuracy', balanced_accuracy FROM f
+UNION ALL SELECT configuration, fold, 'f1_macro', f1_macro FROM f"""
+ORACLE["chart_per_class_recall"] = f"""
+WITH ct AS {class_totals_sql(CONFIG_CONF, ['configuration', 'fold'])},
+pc AS (SELECT configuration, fold, cls, round(coalesce(tp / nullif(t, 0), 0), 6) AS recall FROM ct)
+SELECT configuration, cls, round(avg(recall), 6) AS recall_mean, round(stddev_samp(recall), 6) AS recall_std FROM pc GROUP BY ALL"""
+ORACLE["report_differences"] = f"""
+WITH f AS {CFG_FOLDS},
+s AS (SELECT configuration, round(avg(f1_macro), 6) AS m FROM f GROUP BY configuration),
+g AS (SELECT max(m) FILTER (WHERE configuration = 'knn_k15_distance') AS a, max(m) FILTER (WHERE configuration = 'knn_k1_uniform') AS b FROM s)
+SELECT round(a - b, 6) AS difference, round(100.0 * (a - b) / b, 6) AS percent_change, round(a / b, 6) AS ratio FROM g"""

@@ -814,3 +814,57 @@ def q_bound_order(spark, sf):
     r = bounds.resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL, len(lineitem_classes(spark, sf)))
     return checks.bound_order(join_single_rows(cv, r.select(F.col("f1_macro").alias("macro_f1_resubstitution"))),
                               ["macro_f1_memorisation_cv", "macro_f1_conceded_cv", "macro_f1_resubstitution"])
+
+
+# ---------------------------------------------------------------- chart tables and search slices
+@register("chart_feature_ranges")
+def q_chart_ranges(spark, sf):
+    """Numeric ranges ascending, clipped below at 1e-3 for a log axis."""
+    from ..functions.exprs import lower_clip
+    p = _profile_li_part(spark, sf).filter("kind = 'numeric'")
+    return p.select("feature", "rng", lower_clip("rng").alias("rng_clipped"))
+
+
+@register("chart_score_by_k")
+def q_chart_score_by_k(spark, sf):
+    """Score by k, one series per (weights, metric)."""
+    g = q_knn_grid(spark, sf)
+    return g.select(F.concat_ws("/", "weights", "metric").alias("series"), "k", "f1_mean", "f1_std")
+
+
+@register("knn_metric_wins")
+def q_knn_metric_wins(spark, sf):
+    """Manhattan against euclidean matched on (k, weights): wins and mean gain."""
+    g = q_knn_grid(spark, sf)
+    a = g.filter("metric = 'manhattan'").select("k", "weights", F.col("f1_mean").alias("a"))
+    b = g.filter("metric = 'euclidean'").select("k", "weights", F.col("f1_mean").alias("b"))
+    j = a.join(b, ["k", "weights"])
+    return j.agg(F.count_if(F.col("a") > F.col("b")).cast("bigint").alias("wins"),
+                 F.count(F.lit(1)).cast("bigint").alias("settings"),
+                 F.round(F.avg(F.col("a") - F.col("b")), 6).alias("mean_gain"))
+
+
+@register("chart_metric_by_fold")
+def q_chart_metric_by_fold(spark, sf):
+    """Metric by fold and configuration, long form."""
+    folds, _ = _knn_config_folds(spark, sf)
+    return folds.select("configuration", "fold", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("accuracy", "balanced_accuracy", "f1_macro")
+    ])).alias("_e")).select("configuration", "fold", "_e.metric", "_e.value")
+
+
+@register("chart_per_class_recall")
+def q_chart_per_class_recall(spark, sf):
+    """Per-class recall mean and SD over folds by configuration."""
+    _, conf = _knn_config_folds(spark, sf)
+    pc = metrics.per_class(conf, ["configuration", "fold"])
+    return pc.groupBy("configuration", "cls").agg(F.round(F.avg("recall"), 6).alias("recall_mean"),
+                                                  F.round(F.stddev_samp("recall"), 6).alias("recall_std"))
+
+
+@register("report_differences")
+def q_report_differences(spark, sf):
+    """Difference, percent change and ratio of macro F1 between two configurations."""
+    folds, _ = _knn_config_folds(spark, sf)
+    s = metrics.summary(folds, ["configuration"])
+    return report.difference_rows(s, "configuration", "knn_k15_distance", "knn_k1_uniform", "f1_macro_mean")
