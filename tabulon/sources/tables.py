@@ -29,12 +29,14 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFram
     marker, as in the raw study table.
     """
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    return (spark.read.schema(schema)
-            .option("header", "true")
-            .option("nullValue", "\u0000never\u0000")
-            .option("emptyValue", "")
-            .option("mode", "FAILFAST")
-            .csv(path))
+    df = (spark.read.schema(schema)
+          .option("header", "true")
+          .option("nullValue", "\u0000never\u0000")
+          .option("emptyValue", "")
+          .option("mode", "FAILFAST")
+          .csv(path))
+    # the null marker never matches, so a NULL can only be an unquoted empty field
+    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
