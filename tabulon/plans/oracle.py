@@ -727,3 +727,24 @@ WITH f AS {CFG_FOLDS},
 s AS (SELECT configuration, round(avg(f1_macro), 6) AS m FROM f GROUP BY configuration),
 g AS (SELECT max(m) FILTER (WHERE configuration = 'knn_k15_distance') AS a, max(m) FILTER (WHERE configuration = 'knn_k1_uniform') AS b FROM s)
 SELECT round(a - b, 6) AS difference, round(100.0 * (a - b) / b, 6) AS percent_change, round(a / b, 6) AS ratio FROM g"""
+
+ORACLE["report_quality_facts"] = f"""
+WITH p AS (SELECT * FROM {PROFILE_LI_PART} q WHERE kind = 'numeric' AND rng IS NOT NULL),
+g AS (SELECT arg_max(feature, (rng, feature)) AS wf, max(rng) AS wr,
+             arg_min(feature, (rng, feature)) FILTER (WHERE rng > 0) AS nf, min(rng) FILTER (WHERE rng > 0) AS nr,
+             arg_max(feature, (skewness, feature)) FILTER (WHERE skewness IS NOT NULL) AS sf, max(skewness) AS sv,
+             arg_max(feature, (pct_outlier, feature)) FILTER (WHERE pct_outlier IS NOT NULL) AS of, max(pct_outlier) AS ov,
+             count(*) FILTER (WHERE pct_outlier >= 1.0) AS k FROM p),
+r AS (SELECT *, wr / nr AS ratio, floor(log10(wr / nr)) AS e FROM g)
+SELECT 'widest_range' AS fact, wf AS feature, wr AS value FROM r
+UNION ALL SELECT 'narrowest_range', nf, nr FROM r
+UNION ALL SELECT 'range_ratio_mantissa', NULL, round(ratio / pow(10.0, e), 6) FROM r
+UNION ALL SELECT 'range_ratio_exponent', NULL, e::DOUBLE FROM r
+UNION ALL SELECT 'most_skewed', sf, sv FROM r
+UNION ALL SELECT 'worst_outlier_share', of, ov FROM r
+UNION ALL SELECT 'features_over_outlier_threshold', NULL, k::DOUBLE FROM r"""
+
+ORACLE["chart_metric_means"] = f"""
+WITH f AS {CFG_FOLDS},
+s AS (SELECT configuration, {", ".join(f"round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_sd" for m in ["accuracy", "balanced_accuracy", "f1_macro"])} FROM f GROUP BY configuration)
+{" UNION ALL ".join(f"SELECT configuration, '{m}' AS metric, {m}_mean AS mean, {m}_sd AS sd FROM s" for m in ["accuracy", "balanced_accuracy", "f1_macro"])}"""

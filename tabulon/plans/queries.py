@@ -868,3 +868,45 @@ def q_report_differences(spark, sf):
     folds, _ = _knn_config_folds(spark, sf)
     s = metrics.summary(folds, ["configuration"])
     return report.difference_rows(s, "configuration", "knn_k15_distance", "knn_k1_uniform", "f1_macro_mean")
+
+
+@register("report_quality_facts")
+def q_report_quality_facts(spark, sf):
+    return report.quality_facts(_profile_li_part(spark, sf), outlier_threshold=1.0)
+
+
+@register("chart_metric_means")
+def q_chart_metric_means(spark, sf):
+    folds, _ = _knn_config_folds(spark, sf)
+    return report.metric_means_long(metrics.summary(folds, ["configuration"]), ["accuracy", "balanced_accuracy", "f1_macro"])
+
+
+ABLATION_ORDER = ["selected", "no scaling", "min-max scaling", "correlation filter 0.95", "no rare-level grouping",
+                  "identifier kept"]
+
+
+@register("report_ablation")
+def q_report_ablation(spark, sf):
+    return report.ablation_table(q_ablation_knn(spark, sf), ABLATION_ORDER)
+
+
+@register("report_exponent_sweep")
+def q_report_exponent(spark, sf):
+    return report.exponent_sweep(q_alpha_sweep(spark, sf))
+
+
+@register("report_multipliers")
+def q_report_multipliers(spark, sf):
+    classes = embedding_classes(spark, sf)
+    parts = []
+    for weights in ("uniform", "distance"):
+        p = oof_predictions(spark, sf, [15], weights).select("fold", "y", "p")
+        w, _ = rules.fit_multipliers(p, classes, rounds=1)
+        parts.append(w.withColumn("configuration", F.lit(f"knn_k15_{weights}")))
+    counts = load(spark, sf, "embeddings").groupBy(F.col("label").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
+    return report.multipliers_by_class(parts[0].unionByName(parts[1]), counts, ["knn_k15_uniform", "knn_k15_distance"])
+
+
+@register("chart_score_by_depth")
+def q_chart_depth(spark, sf):
+    return report.score_by_depth(_doc_tree_grid(spark, sf))

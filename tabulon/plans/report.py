@@ -97,3 +97,68 @@ def grid_completeness(grid: DataFrame, axes: list[str]) -> DataFrame:
     for a in axes:
         prod = prod * F.col(f"n_{a}")
     return row.withColumn("expected", prod).withColumn("complete", F.col("rows") == F.col("expected"))
+
+
+def quality_facts(prof: DataFrame, outlier_threshold: float = 10.0) -> DataFrame:
+    """R2: widest and narrowest non-zero range, their ratio as mantissa and
+    exponent, the most skewed feature, the worst outlier share, and how many
+    features reach the outlier threshold: ``(fact, feature, value)``."""
+    p = prof.filter((F.col("kind") == "numeric") & F.col("rng").isNotNull())
+    g = p.agg(F.max(F.struct("rng", "feature")).alias("w"),
+              F.min(F.when(F.col("rng") > 0, F.struct("rng", "feature"))).alias("n"),
+              F.max(F.when(F.col("skewness").isNotNull(), F.struct("skewness", "feature"))).alias("s"),
+              F.max(F.when(F.col("pct_outlier").isNotNull(), F.struct("pct_outlier", "feature"))).alias("o"),
+              F.count_if(F.col("pct_outlier") >= outlier_threshold).alias("k"))
+    ratio = F.col("w.rng") / F.col("n.rng")
+    e = F.floor(F.log10(ratio))
+    def fact(name, feature, value):
+        return F.struct(F.lit(name).alias("fact"), feature.cast("string").alias("feature"),
+                        value.cast("double").alias("value"))
+    none = F.lit(None)
+    return g.select(F.inline(F.array(
+        fact("widest_range", F.col("w.feature"), F.col("w.rng")),
+        fact("narrowest_range", F.col("n.feature"), F.col("n.rng")),
+        fact("range_ratio_mantissa", none, F.round(ratio / F.pow(F.lit(10.0), e), 6)),
+        fact("range_ratio_exponent", none, e),
+        fact("most_skewed", F.col("s.feature"), F.col("s.skewness")),
+        fact("worst_outlier_share", F.col("o.feature"), F.col("o.pct_outlier")),
+        fact("features_over_outlier_threshold", none, F.col("k")),
+    )))
+
+
+def metric_means_long(summary: DataFrame, metrics: list[str]) -> DataFrame:
+    """Metric means and SDs by configuration, long form."""
+    return summary.select("configuration", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(f"{m}_mean").alias("mean"), F.col(f"{m}_std").alias("sd"))
+        for m in metrics])).alias("_e")).select("configuration", "_e.metric", "_e.mean", "_e.sd")
+
+
+def ablation_table(abl: DataFrame, order: list[str], score: str = "bal_mean") -> DataFrame:
+    """Variants in the given order with the change against the first row."""
+    o = F.array_position(F.array(*[F.lit(v) for v in order]), F.col("variant"))
+    w = Window.orderBy("ord")
+    t = abl.withColumn("ord", o)
+    return t.select("ord", "variant", fmt_mean_sd(F.col("bal_mean"), F.col("bal_std")).alias("balanced_accuracy"),
+                    F.round(F.col(score) - F.first(score).over(w), 6).alias("change"), "f1_mean", "seconds")
+
+
+def exponent_sweep(sweep: DataFrame) -> DataFrame:
+    """Best macro F1 per alpha, the best alpha and its gain over alpha 0 and 1."""
+    b = sweep.agg(F.max(F.struct("f1_mean", "alpha")).alias("b"),
+                  F.max(F.when(F.col("alpha") == 0.0, F.col("f1_mean"))).alias("f0"),
+                  F.max(F.when(F.col("alpha") == 1.0, F.col("f1_mean"))).alias("f1"))
+    return b.select(F.col("b.alpha").alias("best_alpha"), F.col("b.f1_mean").alias("best_f1"),
+                    F.round(F.col("b.f1_mean") - F.col("f0"), 6).alias("gain_over_alpha_0"),
+                    F.round(F.col("b.f1_mean") - F.col("f1"), 6).alias("gain_over_alpha_1"))
+
+
+def multipliers_by_class(weights: DataFrame, class_counts: DataFrame, configurations: list[str]) -> DataFrame:
+    """Multipliers by class x configuration, classes in descending frequency."""
+    piv = weights.groupBy("cls").pivot("configuration", configurations).agg(F.first("w"))
+    return piv.join(class_counts, "cls").orderBy(F.desc("n"), "cls")
+
+
+def score_by_depth(grid: DataFrame, unbounded_as: int = 40) -> DataFrame:
+    """Score by depth, unbounded depth drawn at ``unbounded_as``, one series per weighting."""
+    return grid.select(F.coalesce(F.col("max_depth"), F.lit(unbounded_as)).alias("depth"),
+                       F.concat(F.lit("alpha="), F.col("alpha").cast("string")).alias("series"), "f1_mean", "f1_std")
