@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 __all__ = ["signed_log", "safe_div", "inverse_distance", "argmax_index", "weighted",
            "manhattan", "euclidean", "linear_grid", "lower_clip", "fmt_fixed",
            "fmt_mean_sd", "fmt_thousands", "small_int_word", "mantissa_exponent",
-           "missing_to_level", "strict_double", "NUMBER_PATTERN", "hash_unit", "hash_hex"]
+           "missing_to_level", "strict_double", "NUMBER_PATTERN", "hash_unit", "hash_hex",
+           "numeric_columns", "class_names", "vector_key"]
 
 # fixed values: spelled-out small integers used in report cells
 SMALL_INT_WORDS = ["zero", "one", "two", "three", "four", "five", "six", "seven",
@@ -114,3 +115,20 @@ def hash_hex(seed: int, key) -> Column:
 def hash_unit(h) -> Column:
     """First 8 hex digits of a hex hash as an integer in [0, 2^32)."""
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
+def numeric_columns(columns: list[str], nominal: list[str], exclude: list[str] = ()) -> list[str]:
+    """Numeric features are every column that is not nominal (nor excluded)."""
+    return [c for c in columns if c not in set(nominal) | set(exclude)]
+
+
+def class_names(label, names: dict) -> Column:
+    """P5: class code -> name through a literal map (the class dimension is a handful of rows)."""
+    m = F.create_map(*[x for k, v in sorted(names.items()) for x in (F.lit(k), F.lit(v))])
+    return m[label if isinstance(label, Column) else F.col(label)]
+
+
+def vector_key(cols: list[str]) -> Column:
+    """P10: one string key over all feature columns, joined with chr(31); NULLs
+    are spelled out first because ``concat_ws`` would skip them."""
+    return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols])

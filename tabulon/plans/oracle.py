@@ -748,3 +748,43 @@ ORACLE["chart_metric_means"] = f"""
 WITH f AS {CFG_FOLDS},
 s AS (SELECT configuration, {", ".join(f"round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_sd" for m in ["accuracy", "balanced_accuracy", "f1_macro"])} FROM f GROUP BY configuration)
 {" UNION ALL ".join(f"SELECT configuration, '{m}' AS metric, {m}_mean AS mean, {m}_sd AS sd FROM s" for m in ["accuracy", "balanced_accuracy", "f1_macro"])}"""
+
+ORACLE["audit_facts"] = """
+WITH c AS (SELECT CAST(o_orderpriority AS VARCHAR) AS class, count(*) AS n FROM orders GROUP BY 1)
+SELECT 'n_instances' AS fact, CAST((SELECT count(*) FROM orders) AS VARCHAR) AS value
+UNION ALL SELECT 'n_columns', '6' UNION ALL SELECT 'n_descriptive', '5'
+UNION ALL SELECT 'n_numeric', '1' UNION ALL SELECT 'n_nominal', '1'
+UNION ALL SELECT 'id_unique', CAST((SELECT count(DISTINCT o_orderkey) = count(*) FROM orders) AS VARCHAR)
+UNION ALL SELECT 'n_classes', CAST((SELECT count(*) FROM c) AS VARCHAR)
+UNION ALL SELECT 'majority', (SELECT arg_min(class, (-n, class)) FROM c)
+UNION ALL SELECT 'minority', (SELECT arg_min(class, (n, class)) FROM c)
+UNION ALL SELECT 'imbalance_ratio', CAST((SELECT round(max(n) / min(n), 6) FROM c) AS VARCHAR)"""
+
+ORACLE["check_recall_equals_balanced"] = f"""
+SELECT count(*) FILTER (WHERE abs(recall_macro - balanced_accuracy) <= 5e-4)::BIGINT AS equal, count(*)::BIGINT AS folds FROM {CFG_FOLDS}"""
+
+ORACLE["check_pairwise_consistency"] = f"""
+WITH ft AS {FT}, m AS (SELECT grp, avg(metric) AS m FROM ft GROUP BY grp),
+pt AS ({ORACLE['paired_t']}),
+c AS (SELECT bool_and(abs(mean_difference - (a.m - b.m)) <= 1e-6) AS differences_match
+      FROM pt JOIN m a ON a.grp = pt.group_a JOIN m b ON b.grp = pt.group_b),
+h AS (SELECT count(*) FILTER (WHERE significant)::BIGINT AS significant_pairs FROM ({ORACLE['holm']})),
+fr AS (SELECT statistic >= n_folds * (n_groups - 1) - 1e-9 AS friedman_at_maximum FROM ({ORACLE['friedman']}))
+SELECT * FROM c, h, fr"""
+
+ORACLE["check_class_shares"] = f"""
+WITH b AS ({ORACLE['audit_class_balance']}),
+s AS (SELECT round(sum(percent), 3) AS percent_total, sum(count)::BIGINT AS count_total FROM b)
+SELECT percent_total, count_total, (SELECT count(*) FROM orders)::BIGINT AS rows,
+       abs(percent_total - 100.0) <= 0.01 AS shares_sum_to_100, count_total = (SELECT count(*) FROM orders) AS counts_sum_to_rows FROM s"""
+
+ORACLE["bound_progress"] = f"""
+WITH o AS ({ORACLE['bound_order']})
+SELECT round(macro_f1_resubstitution - macro_f1_memorisation_cv, 6) AS gap,
+       round(CASE WHEN macro_f1_resubstitution - macro_f1_memorisation_cv <> 0 THEN
+             (macro_f1_conceded_cv - macro_f1_memorisation_cv) / (macro_f1_resubstitution - macro_f1_memorisation_cv) END, 6)
+       AS share_closed_by_conceding FROM o"""
+
+ORACLE["report_search_scale"] = f"""
+SELECT 'knn_grid' AS search, count(*)::BIGINT AS settings,
+       count(*) = count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS complete FROM {KNN_GRID}"""

@@ -910,3 +910,107 @@ def q_report_multipliers(spark, sf):
 @register("chart_score_by_depth")
 def q_chart_depth(spark, sf):
     return report.score_by_depth(_doc_tree_grid(spark, sf))
+
+
+# ---------------------------------------------------------------- remaining checks, bounds and settings
+@register("audit_facts")
+def q_audit_facts(spark, sf):
+    """Headline facts of the orders table as (fact, value)."""
+    return audit.facts(load(spark, sf, "orders"), "o_orderpriority", ["o_totalprice"], ["o_orderstatus"], "o_orderkey")
+
+
+@register("check_recall_equals_balanced")
+def q_check_v3(spark, sf):
+    """V3: macro recall equals balanced accuracy when every predicted class also occurs (5e-4)."""
+    folds, _ = _knn_config_folds(spark, sf)
+    return folds.agg(F.count_if(F.abs(F.col("recall_macro") - F.col("balanced_accuracy")) <= 5e-4)
+                     .cast("bigint").alias("equal"), F.count(F.lit(1)).cast("bigint").alias("folds"))
+
+
+@register("check_pairwise_consistency")
+def q_check_v6(spark, sf):
+    """V6: pairwise mean differences equal the fold means; count significant pairs; Friedman at its maximum?"""
+    from .sizing import join_single_rows
+    t = orders_fold_table(spark, sf)
+    pt = stats.paired_t(t)
+    means = t.groupBy("grp").agg(F.avg("metric").alias("m"))
+    a = means.select(F.col("grp").alias("group_a"), F.col("m").alias("ma"))
+    b = means.select(F.col("grp").alias("group_b"), F.col("m").alias("mb"))
+    j = pt.join(a, "group_a").join(b, "group_b")
+    c = j.agg(F.bool_and(F.abs(F.col("mean_difference") - (F.col("ma") - F.col("mb"))) <= 1e-6).alias("differences_match"))
+    h = stats.holm(stats.wilcoxon_pairs(t).select("group_a", "group_b", "wilcoxon_p"), "wilcoxon_p") \
+        .agg(F.count_if("significant").cast("bigint").alias("significant_pairs"))
+    fr = stats.friedman(t).select((F.col("statistic") >= F.col("n_folds") * (F.col("n_groups") - 1) - 1e-9)
+                                  .alias("friedman_at_maximum"))
+    return join_single_rows(c, h, fr)
+
+
+@register("check_class_shares")
+def q_check_v7(spark, sf):
+    """V7/V8: class shares sum to 100 and class counts sum to the rows."""
+    from .sizing import join_single_rows
+    o = load(spark, sf, "orders")
+    b = audit.class_balance(o, "o_orderpriority")
+    s = b.agg(F.round(F.sum("percent"), 3).alias("percent_total"), F.sum("count").cast("bigint").alias("count_total"))
+    n = o.agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+    return join_single_rows(s, n).withColumn("shares_sum_to_100", F.abs(F.col("percent_total") - 100.0) <= 0.01) \
+        .withColumn("counts_sum_to_rows", F.col("count_total") == F.col("rows"))
+
+
+@register("bound_progress")
+def q_bound_progress(spark, sf):
+    """How much of the gap between memorisation and resubstitution the conceded bound closes."""
+    from .sizing import join_single_rows
+    cv = bounds.cv_bounds_summary(_memorisation(spark, sf), lineitem_classes(spark, sf))
+    r = bounds.resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL, len(lineitem_classes(spark, sf)))
+    j = join_single_rows(cv, r.select(F.col("f1_macro").alias("macro_f1_resubstitution")))
+    gap = F.col("macro_f1_resubstitution") - F.col("macro_f1_memorisation_cv")
+    return j.select(F.round(gap, 6).alias("gap"),
+                    F.round(F.when(gap != 0, (F.col("macro_f1_conceded_cv") - F.col("macro_f1_memorisation_cv")) / gap), 6)
+                    .alias("share_closed_by_conceding"))
+
+
+@register("training_probe_gap")
+def q_training_probe_gap(spark, sf):
+    """Optimism gap of k-NN: accuracy on a fixed-size stratified probe of
+    each training fold (scored against that fold) minus out-of-fold accuracy."""
+    f = embedding_folds(spark, sf).persist()
+    classes = embedding_classes(spark, sf)
+    parts = []
+    for fo in sorted(r[0] for r in f.select("fold").distinct().collect()):
+        train = f.filter(F.col("fold") != fo)
+        probe = sampling.stratified_take(train, "vec_id", "label", 100, SEED).select("vec_id", "embedding", "label")
+        n = neighbors.knn(probe, train, "vec_id", "embedding", "label", 5)
+        v = neighbors.vote(n, [5], "distance", classes).join(
+            probe.select(F.col("vec_id").alias("query"), F.col("label").alias("y")), "query")
+        parts.append(v.withColumn("fold", F.lit(fo)))
+    probe_pred = parts[0]
+    for p in parts[1:]:
+        probe_pred = probe_pred.unionByName(p)
+    tr = metrics.scores(metrics.confusion(probe_pred, ["fold"]), ["fold"]).select(
+        "fold", F.col("accuracy").alias("train_accuracy"), F.col("balanced_accuracy").alias("train_balanced_accuracy"))
+    cv = metrics.scores(_knn5_conf(spark, sf), ["fold"]).select("fold", "accuracy")
+    return tr.join(cv, "fold").withColumn("optimism_gap", F.round(F.col("train_accuracy") - F.col("accuracy"), 6))
+
+
+@register("report_settings")
+def q_report_settings(spark, sf):
+    """The selected k-NN settings and the partition sizes as (model, parameter, value)."""
+    g = q_knn_grid(spark, sf)
+    best = g.orderBy(F.desc("f1_mean"), "k", "weights", "metric").limit(1)
+    sizes = q_split_sizes(spark, sf)
+    def kvs(param, value):
+        return F.struct(F.lit("k-NN").alias("model"), F.lit(param).alias("parameter"), value.cast("string").alias("value"))
+    kv = best.select(F.inline(F.array(kvs("k", F.col("k")), kvs("weights", F.col("weights")),
+                                      kvs("metric", F.col("metric")))))
+    return kv.unionByName(sizes.select(F.lit("split").alias("model"), F.col("partition").alias("parameter"),
+                                       F.col("instances").cast("string").alias("value")))
+
+
+@register("report_search_scale")
+def q_report_search_scale(spark, sf):
+    """Settings tried per search and whether each grid is complete."""
+    from . import report as rp
+    g = q_knn_grid(spark, sf).withColumn("search", F.lit("knn_grid"))
+    comp = rp.grid_completeness(g, ["k", "weights", "metric"])
+    return comp.select(F.lit("knn_grid").alias("search"), F.col("rows").cast("bigint").alias("settings"), "complete")
