@@ -788,3 +788,10 @@ SELECT round(macro_f1_resubstitution - macro_f1_memorisation_cv, 6) AS gap,
 ORACLE["report_search_scale"] = f"""
 SELECT 'knn_grid' AS search, count(*)::BIGINT AS settings,
        count(*) = count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS complete FROM {KNN_GRID}"""
+
+ORACLE["report_settings"] = f"""
+WITH b AS (SELECT * FROM {KNN_GRID} g ORDER BY f1_mean DESC, k, weights, metric LIMIT 1)
+SELECT 'k-NN' AS model, 'k' AS parameter, CAST(k AS VARCHAR) AS value FROM b
+UNION ALL SELECT 'k-NN', 'weights', weights FROM b
+UNION ALL SELECT 'k-NN', 'metric', metric FROM b
+UNION ALL SELECT 'split', partition, CAST(instances AS VARCHAR) FROM ({ORACLE['split_sizes']})"""
