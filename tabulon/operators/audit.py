@@ -91,12 +91,14 @@ def profile(df: DataFrame, numeric: list[str], nominal: list[str] = (),
     if exact and numeric:
         # exact quartiles from distinct-value counts (no single-task percentile buffer)
         from .features import exact_quantiles
-        eq = exact_quantiles(df, numeric, [0.25, 0.5, 0.75])
+        eq, card = exact_quantiles(df, numeric, [0.25, 0.5, 0.75], with_cardinality=True)
     for i, c in enumerate(numeric):
         x = F.col(c).cast("double")
         q = (F.array(*[F.lit(v) for v in eq[c]]) if exact
              else F.percentile_approx(x, [.25, .5, .75], 100000))
-        aggs += [F.count_distinct(x).alias(f"card{i}"), F.min(x).alias(f"min{i}"),
+        # cardinality comes from the distinct-value table built for the quartiles
+        card_e = F.lit(card[c]) if exact else F.count_distinct(x)
+        aggs += [card_e.alias(f"card{i}"), F.min(x).alias(f"min{i}"),
                  F.max(x).alias(f"max{i}"), F.avg(x).alias(f"mean{i}"),
                  F.stddev_samp(x).alias(f"std{i}"), q.alias(f"q{i}"),
                  F.skewness(x).alias(f"g1{i}"), F.count(x).alias(f"cnt{i}"),
