@@ -1014,3 +1014,22 @@ def q_report_search_scale(spark, sf):
     g = q_knn_grid(spark, sf).withColumn("search", F.lit("knn_grid"))
     comp = rp.grid_completeness(g, ["k", "weights", "metric"])
     return comp.select(F.lit("knn_grid").alias("search"), F.col("rows").cast("bigint").alias("settings"), "complete")
+
+
+@register("knn_lineitem_holdout")
+def q_knn_lineitem_holdout(spark, sf):
+    """J9 at table scale: lineitem fold 0 against folds 1-9, k = 31, manhattan,
+    on min-max features fitted on folds 1-9 only. Every query meets every
+    training row (nq x nt distance pairs); no oracle (SQL brute force is too
+    slow on whole tables), the blocked join is tested against brute force."""
+    f = lineitem_folds(spark, sf)
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    params = features.fit_scaler(f.filter("fold <> 0"), cols, "minmax")
+    x = features.apply_scaler(f, params).select(
+        F.xxhash64("row_key").alias("rid"), "fold", BOUND_LABEL,
+        F.array(*[F.col(c) for c in cols]).alias("x"))
+    x = x.withColumn("y", F.when(F.col(BOUND_LABEL) == "A", 0).when(F.col(BOUND_LABEL) == "N", 1).otherwise(2))
+    from .sizing import materialize
+    x = materialize(x)
+    n = neighbors.knn(x.filter("fold = 0"), x.filter("fold <> 0"), "rid", "x", "y", 31, "manhattan")
+    return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))
