@@ -9,7 +9,8 @@ block and keeps the k best per query under the total order
 query) is cut to the global k with ``row_number`` (Spark plans a partial and
 final WindowGroupLimit). Shuffle volume is nq*TB + nt*QB rows, never nq*nt,
 and no group exceeds one query block plus one training block, whose sizes
-are parameters. Fold exclusion (train.fold <> query.fold) lets all folds run
+are parameters (8,192 / 100,000 rows; the distance block itself is computed
+in cache-sized chunks of about 65,000 cells). Fold exclusion (train.fold <> query.fold) lets all folds run
 in one job.
 """
 
@@ -32,51 +33,69 @@ NEIGHBOUR_SCHEMA = T.StructType([
 ])
 
 
-def _local_topk(k: int, metric: str, same: bool = False, chunk_cells: int = 4_000_000):
+def _local_topk(k: int, metric: str, same: bool = False, masked: bool = True, chunk_cells: int = 65_536):
+    def empty() -> pd.DataFrame:
+        return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name in ("query", "neighbor") else
+                                               "int32" if f.name == "label" else "float64")
+                             for f in NEIGHBOUR_SCHEMA.fields})
+
     def run(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(tpdf) == 0:
-            return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name in ("query", "neighbor") else
-                                                   "int32" if f.name == "label" else "float64")
-                                 for f in NEIGHBOUR_SCHEMA.fields})
+            return empty()
         Q = np.stack(qpdf["qf"].to_numpy()).astype(np.float64)
-        Tm = np.stack(tpdf["tf"].to_numpy()).astype(np.float64)
+        Tm = np.ascontiguousarray(np.stack(tpdf["tf"].to_numpy()).astype(np.float64).T)  # dims x nt
         qk = qpdf["q"].to_numpy(np.int64)
         tk = tpdf["t"].to_numpy(np.int64)
         ty = tpdf["y"].to_numpy(np.int32)
         qfold = qpdf["qfold"].to_numpy(np.int64)
         tfold = tpdf["tfold"].to_numpy(np.int64)
-        nt, dims = Tm.shape
+        dims, nt = Tm.shape
         step = max(1, chunk_cells // max(nt, 1))
+        kk = min(k, nt)
         out_q, out_t, out_y, out_d = [], [], [], []
+        D = np.empty((min(step, len(Q)), nt))
+        tmp = np.empty_like(D)
         for s in range(0, len(Q), step):
             Qc = Q[s:s + step]
-            D = np.zeros((len(Qc), nt))
+            m = len(Qc)
+            Dc, Tc = D[:m], tmp[:m]
+            Dc.fill(0.0)
             for j in range(dims):  # sequential over dimensions: same summation order as SQL
-                diff = Qc[:, j, None] - Tm[None, :, j]
-                D += np.abs(diff) if metric == "manhattan" else diff * diff
+                np.subtract(Qc[:, j, None], Tm[j][None, :], out=Tc)
+                if metric == "manhattan":
+                    np.abs(Tc, out=Tc)
+                else:
+                    np.multiply(Tc, Tc, out=Tc)
+                Dc += Tc
             if metric == "euclidean":
-                D = np.sqrt(D)
-            eq = qfold[s:s + step, None] == tfold[None, :]
-            if same:  # only rows of the same partition value, never the row itself
-                D[~eq | (qk[s:s + step, None] == tk[None, :])] = np.inf
-            else:     # only rows of other folds
-                D[eq & (qfold[s:s + step, None] >= 0)] = np.inf
-            Dr = np.round(D, 9)
-            kk = min(k, nt)
-            thr = np.partition(Dr, kk - 1, axis=1)[:, kk - 1]
-            for i in range(len(Qc)):
-                if not np.isfinite(thr[i]):
-                    cand = np.nonzero(np.isfinite(Dr[i]))[0]
+                np.sqrt(Dc, out=Dc)
+            if masked:
+                eq = qfold[s:s + step, None] == tfold[None, :]
+                if same:  # only rows of the same partition value, never the row itself
+                    Dc[~eq | (qk[s:s + step, None] == tk[None, :])] = np.inf
+                else:     # only rows of other folds
+                    Dc[eq & (qfold[s:s + step, None] >= 0)] = np.inf
+            # k-th smallest raw distance; candidates are every d whose 9-place
+            # rounding can tie with it, rounded only for those
+            thr = np.partition(Dc, kk - 1, axis=1)[:, kk - 1]
+            for i in range(m):
+                row = Dc[i]
+                if np.isfinite(thr[i]):
+                    cand = np.flatnonzero(row <= thr[i] + 1e-9)
+                    dr = np.round(row[cand], 9)
+                    keep = dr <= np.round(thr[i], 9)
+                    cand, dr = cand[keep], dr[keep]
                 else:
-                    cand = np.nonzero(Dr[i] <= thr[i])[0]
-                order = np.lexsort((tk[cand], Dr[i, cand]))[:kk]
+                    cand = np.flatnonzero(np.isfinite(row))
+                    dr = np.round(row[cand], 9)
+                order = np.lexsort((tk[cand], dr))[:kk]
                 pick = cand[order]
                 out_q.append(np.full(len(pick), qk[s + i], dtype=np.int64))
                 out_t.append(tk[pick])
                 out_y.append(ty[pick])
-                out_d.append(D[i, pick])
+                out_d.append(row[pick].copy())
         if not out_q:
-            return run(qpdf.iloc[:0], tpdf)
+            return empty()
         d = np.concatenate(out_d)
         return pd.DataFrame({"query": np.concatenate(out_q), "neighbor": np.concatenate(out_t),
                              "label": np.concatenate(out_y), "d": d, "d_r": np.round(d, 9)})
@@ -85,7 +104,7 @@ def _local_topk(k: int, metric: str, same: bool = False, chunk_cells: int = 4_00
 
 def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: str, k: int,
         metric: str = "manhattan", fold: str | None = None, same: str | None = None,
-        query_block: int = 2048, train_block: int = 50_000) -> DataFrame:
+        query_block: int = 8192, train_block: int = 100_000) -> DataFrame:
     """The k nearest training rows of every query row.
 
     Output ``query, neighbor, label, d, d_r, rn``: ``d`` the exact distance,
@@ -103,12 +122,18 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
     nq, nt = q.count(), t.count()
     qb = max(1, math.ceil(nq / query_block))
     tb = max(1, math.ceil(nt / train_block))
+    # training rows are replicated qb times and queries tb times; add query
+    # blocks only when there would be too few groups to keep every core busy
+    min_groups = 2 * queries.sparkSession.sparkContext.defaultParallelism
+    if qb * tb < min_groups:
+        qb = max(qb, min(max(nq, 1), math.ceil(min_groups / tb)))
     q = q.withColumn("_qb", F.pmod(F.xxhash64("q"), F.lit(qb))) \
         .withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tb - 1).cast("long"))))
     t = t.withColumn("_tb", F.pmod(F.xxhash64("t"), F.lit(tb))) \
         .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))))
     local = (q.groupBy("_qb", "_tb").cogroup(t.groupBy("_qb", "_tb"))
-             .applyInPandas(_local_topk(k, metric, same=same is not None), NEIGHBOUR_SCHEMA))
+             .applyInPandas(_local_topk(k, metric, same=same is not None, masked=part is not None),
+                            NEIGHBOUR_SCHEMA))
     rn = F.row_number().over(Window.partitionBy("query").orderBy("d_r", "neighbor"))
     return local.withColumn("rn", rn).filter(F.col("rn") <= k)
 
