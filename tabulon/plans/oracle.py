@@ -795,3 +795,23 @@ SELECT 'k-NN' AS model, 'k' AS parameter, CAST(k AS VARCHAR) AS value FROM b
 UNION ALL SELECT 'k-NN', 'weights', weights FROM b
 UNION ALL SELECT 'k-NN', 'metric', metric FROM b
 UNION ALL SELECT 'split', partition, CAST(instances AS VARCHAR) FROM ({ORACLE['split_sizes']})"""
+
+# M2 greedy correlation filter, walked pair by pair with a recursive CTE
+ORACLE["correlation_filter"] = f"""
+WITH RECURSIVE dm AS {DOC_MEASURES_SQL}, c AS ({_CORR_PAIRS}),
+cols AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{f}')" for i, f in enumerate(_DM))}) t(i, f)),
+both_ways AS (SELECT feature_a AS f, abs_r FROM c UNION ALL SELECT feature_b AS f, abs_r FROM c),
+red AS (SELECT f, avg(abs_r) AS r FROM both_ways GROUP BY f),
+po AS (SELECT row_number() OVER (ORDER BY ca.i, cb.i) AS step, c.feature_a AS a, c.feature_b AS b, c.abs_r,
+              ra.r AS red_a, ca.i AS ia, rb.r AS red_b, cb.i AS ib
+       FROM c JOIN cols ca ON ca.f = c.feature_a JOIN cols cb ON cb.f = c.feature_b
+       JOIN red ra ON ra.f = c.feature_a JOIN red rb ON rb.f = c.feature_b),
+walk(step, dropped) AS (
+  SELECT 0, []::VARCHAR[]
+  UNION ALL
+  SELECT w.step + 1,
+         CASE WHEN list_contains(w.dropped, p.a) OR list_contains(w.dropped, p.b) OR p.abs_r IS NULL OR p.abs_r < 0.95
+              THEN w.dropped
+              ELSE list_append(w.dropped, CASE WHEN p.red_a > p.red_b OR (p.red_a = p.red_b AND p.ia > p.ib) THEN p.a ELSE p.b END) END
+  FROM walk w JOIN po p ON p.step = w.step + 1)
+SELECT f AS feature, NOT list_contains((SELECT dropped FROM walk ORDER BY step DESC LIMIT 1), f) AS kept FROM cols"""
