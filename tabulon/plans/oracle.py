@@ -815,3 +815,23 @@ walk(step, dropped) AS (
               ELSE list_append(w.dropped, CASE WHEN p.red_a > p.red_b OR (p.red_a = p.red_b AND p.ia > p.ib) THEN p.a ELSE p.b END) END
   FROM walk w JOIN po p ON p.step = w.step + 1)
 SELECT f AS feature, NOT list_contains((SELECT dropped FROM walk ORDER BY step DESC LIMIT 1), f) AS kept FROM cols"""
+
+
+def grid_sql(ks: list[int], weights: list[str], dist: list[str]) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT k, '{w}' AS weights, '{m}' AS metric, fold, y, pred FROM {predictions_sql(ks, w, m)}"
+        for m in dist for w in weights)
+    conf = f"(SELECT k, weights, metric, fold, y, pred, count(*) AS n FROM ({parts}) GROUP BY ALL)"
+    return f"""(SELECT k::INTEGER AS k, weights, metric,
+  round(avg(balanced_accuracy), 6) AS bal_mean, round(stddev_samp(balanced_accuracy), 6) AS bal_std,
+  round(avg(f1_macro), 6) AS f1_mean, round(stddev_samp(f1_macro), 6) AS f1_std
+  FROM {scores_sql(conf, ['k', 'weights', 'metric', 'fold'])} GROUP BY ALL)"""
+
+
+# Coarse grid, best setting, then k -> {k-2, k-1, k, k+1, k+2, k+4} with the best rule
+ORACLE["knn_refined_grid"] = f"""
+WITH fine AS {grid_sql(list(range(1, 20)), ['uniform', 'distance'], ['manhattan'])},
+coarse AS (SELECT * FROM fine WHERE k IN (1, 5, 15)),
+b AS (SELECT * FROM coarse ORDER BY f1_mean DESC, k, weights, metric LIMIT 1),
+ks AS (SELECT DISTINCT b.k + d AS k FROM b, (VALUES (-2), (-1), (0), (1), (2), (4)) t(d) WHERE b.k + d >= 1)
+SELECT f.* FROM fine f JOIN b ON f.weights = b.weights AND f.metric = b.metric WHERE f.k IN (SELECT k FROM ks)"""
