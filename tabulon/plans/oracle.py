@@ -225,22 +225,22 @@ def _dist(metric: str) -> str:
             "lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) * (z[1]::DOUBLE - z[2]::DOUBLE)), lambda a, b: a + b, 0.0::DOUBLE))")
 
 
-def neighbours_sql(k: int, metric: str = "manhattan") -> str:
-    return f"""(WITH f AS {EMB_FOLDS_SQL},
+def neighbours_sql(k: int, metric: str = "manhattan", folds: str | None = None) -> str:
+    return f"""(WITH f AS {folds or EMB_FOLDS_SQL},
   pairs AS (SELECT q.vec_id AS query, t.vec_id AS neighbor, t.label AS label, q.fold AS fold, q.label AS y,
                    {_dist(metric)} AS d FROM f q JOIN f t ON q.fold <> t.fold),
   r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(d, 9), neighbor) AS rn FROM pairs)
   SELECT * FROM r WHERE rn <= {k})"""
 
 
-def predictions_sql(ks: list[int], weights: str, metric: str = "manhattan") -> str:
+def predictions_sql(ks: list[int], weights: str, metric: str = "manhattan", folds: str | None = None) -> str:
     kv = ", ".join(f"({k})" for k in ks)
     if weights == "distance":
         w = ("CASE WHEN max(CASE WHEN d = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY query, k) = 1 "
              "THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / d END")
     else:
         w = "1.0"
-    return f"""(WITH nb AS {neighbours_sql(max(ks), metric)},
+    return f"""(WITH nb AS {neighbours_sql(max(ks), metric, folds)},
   nk AS (SELECT nb.*, ks.k FROM nb JOIN (VALUES {kv}) ks(k) ON nb.rn <= ks.k),
   wt AS (SELECT query, fold, y, k, label, {w} AS w FROM nk),
   v AS (SELECT query, fold, y, k, label, sum(w) AS w FROM wt GROUP BY ALL),
@@ -817,9 +817,9 @@ walk(step, dropped) AS (
 SELECT f AS feature, NOT list_contains((SELECT dropped FROM walk ORDER BY step DESC LIMIT 1), f) AS kept FROM cols"""
 
 
-def grid_sql(ks: list[int], weights: list[str], dist: list[str]) -> str:
+def grid_sql(ks: list[int], weights: list[str], dist: list[str], folds: str | None = None) -> str:
     parts = " UNION ALL ".join(
-        f"SELECT k, '{w}' AS weights, '{m}' AS metric, fold, y, pred FROM {predictions_sql(ks, w, m)}"
+        f"SELECT k, '{w}' AS weights, '{m}' AS metric, fold, y, pred FROM {predictions_sql(ks, w, m, folds)}"
         for m in dist for w in weights)
     conf = f"(SELECT k, weights, metric, fold, y, pred, count(*) AS n FROM ({parts}) GROUP BY ALL)"
     return f"""(SELECT k::INTEGER AS k, weights, metric,
@@ -835,3 +835,23 @@ coarse AS (SELECT * FROM fine WHERE k IN (1, 5, 15)),
 b AS (SELECT * FROM coarse ORDER BY f1_mean DESC, k, weights, metric LIMIT 1),
 ks AS (SELECT DISTINCT b.k + d AS k FROM b, (VALUES (-2), (-1), (0), (1), (2), (4)) t(d) WHERE b.k + d >= 1)
 SELECT f.* FROM fine f JOIN b ON f.weights = b.weights AND f.metric = b.metric WHERE f.k IN (SELECT k FROM ks)"""
+
+
+# The same grid on the tuning and the evaluation part of a stratified split
+EMB_SPLIT = split_sql("embeddings", "vec_id", "label", 0.25)
+
+
+def _part_folds(part: str) -> str:
+    return folds_sql(f"(SELECT vec_id, embedding, label FROM {EMB_SPLIT} WHERE part = '{part}')", "vec_id", "label", 5)
+
+
+ORACLE["training_size"] = f"""
+WITH t1 AS (SELECT 'k_' || CAST(k AS VARCHAR) || '_' || weights AS grp, f1_mean AS m1
+            FROM {grid_sql([1, 5, 15], ['uniform', 'distance'], ['manhattan'], _part_folds('tuning'))}),
+t2 AS (SELECT 'k_' || CAST(k AS VARCHAR) || '_' || weights AS grp, f1_mean AS m2
+       FROM {grid_sql([1, 5, 15], ['uniform', 'distance'], ['manhattan'], _part_folds('evaluation'))}),
+r1 AS (SELECT grp, m1, rank() OVER (ORDER BY m1 DESC) + (count(*) OVER (PARTITION BY m1) - 1) / 2.0 AS rank_1 FROM t1),
+r2 AS (SELECT grp, m2, rank() OVER (ORDER BY m2 DESC) + (count(*) OVER (PARTITION BY m2) - 1) / 2.0 AS rank_2 FROM t2)
+SELECT grp AS configuration, m1 AS tuning_f1, m2 AS evaluation_f1, round(m2 - m1, 6) AS gain,
+       rank_1 AS tuning_rank, rank_2 AS evaluation_rank, rank_1 = rank_2 AS same_rank
+FROM r1 JOIN r2 USING (grp)"""
