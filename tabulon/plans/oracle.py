@@ -855,3 +855,33 @@ r2 AS (SELECT grp, m2, rank() OVER (ORDER BY m2 DESC) + (count(*) OVER (PARTITIO
 SELECT grp AS configuration, m1 AS tuning_f1, m2 AS evaluation_f1, round(m2 - m1, 6) AS gain,
        rank_1 AS tuning_rank, rank_2 AS evaluation_rank, rank_1 = rank_2 AS same_rank
 FROM r1 JOIN r2 USING (grp)"""
+
+
+def _rank_sql(cols: list[str], folds: str) -> str:
+    """CTE text: rank-scaled value ``r_<col>`` for every fold-0 row (knots fitted on folds <> 0)."""
+    parts, body = [], []
+    for c in cols:
+        parts.append(f"kn_{c} AS (SELECT quantile_cont(CAST({c} AS DOUBLE), {REFS_1000}) AS K, {REFS_1000} AS R FROM tr)")
+        body.append(f"""ip_{c} AS (SELECT row_key, x, K, R, len(K) AS m,
+              len(list_filter(K, lambda k: k <= x)) AS lo, len(K) - len(list_filter(K, lambda k: k >= x)) + 1 AS hi
+            FROM (SELECT row_key, CAST({c} AS DOUBLE) AS x FROM te), kn_{c}),
+  v_{c} AS (SELECT row_key, CASE WHEN x - 1e-7 < K[1] THEN R[1] WHEN x + 1e-7 > K[m] THEN R[m] ELSE 0.5 * (
+      (CASE WHEN lo = 0 THEN R[1] WHEN lo >= m THEN R[m] WHEN K[lo] = x THEN R[lo]
+            ELSE (R[lo + 1] - R[lo]) / (K[lo + 1] - K[lo]) * (x - K[lo]) + R[lo] END) +
+      (CASE WHEN hi > m THEN R[m] WHEN hi <= 1 THEN R[1] WHEN K[hi] = x THEN R[hi]
+            ELSE R[hi] - (R[hi] - R[hi - 1]) / (K[hi] - K[hi - 1]) * (K[hi] - x) END)) END AS r_{c} FROM ip_{c})""")
+    return (f"f AS {folds}, tr AS (SELECT * FROM f WHERE fold <> 0), te AS (SELECT * FROM f WHERE fold = 0), "
+            + ", ".join(parts) + ", " + ", ".join(body))
+
+
+_KF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ORACLE["knn_features"] = f"""
+WITH {_rank_sql(_KF, LI_FOLDS_ALL)},
+lv AS (SELECT l_linestatus AS level, count(*) AS n FROM tr GROUP BY 1),
+sh AS (SELECT *, n / sum(n) OVER () AS share, row_number() OVER (ORDER BY n DESC, level) AS rk FROM lv),
+kept AS (SELECT level FROM sh WHERE share >= 0.001 OR (rk = 1 AND (SELECT max(share) FROM sh) < 0.001)),
+levels AS (SELECT list_sort(list(DISTINCT CASE WHEN l_linestatus IN (SELECT level FROM kept) THEN l_linestatus ELSE 'other' END)) AS L FROM tr),
+g AS (SELECT row_key, CASE WHEN l_linestatus IN (SELECT level FROM kept) THEN l_linestatus ELSE 'other' END AS ls FROM te)
+SELECT g.row_key, list_concat([{", ".join(f"round(r_{c}, 6)" for c in _KF)}],
+       list_transform(L, lambda l: CASE WHEN l = ls THEN 1.0 ELSE 0.0 END)) AS features
+FROM g {" ".join(f"JOIN v_{c} USING (row_key)" for c in _KF)}, levels"""
