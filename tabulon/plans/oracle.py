@@ -885,3 +885,34 @@ g AS (SELECT row_key, CASE WHEN l_linestatus IN (SELECT level FROM kept) THEN l_
 SELECT g.row_key, list_concat([{", ".join(f"round(r_{c}, 6)" for c in _KF)}],
        list_transform(L, lambda l: CASE WHEN l = ls THEN 1.0 ELSE 0.0 END)) AS features
 FROM g {" ".join(f"JOIN v_{c} USING (row_key)" for c in _KF)}, levels"""
+
+# Probe of each training fold scored against that fold, against out-of-fold accuracy
+ORACLE["training_probe_gap"] = f"""
+WITH f AS {EMB_FOLDS_SQL},
+fl AS (SELECT DISTINCT fold AS fo FROM f),
+tr AS (SELECT fl.fo, f.vec_id, f.embedding, f.label FROM fl JOIN f ON f.fold <> fl.fo),
+rk AS (SELECT *, row_number() OVER (PARTITION BY fo, label ORDER BY md5('42-' || CAST(vec_id AS VARCHAR)), vec_id) AS rank_in_class FROM tr),
+cc AS (SELECT fo, label, count(*) AS n FROM tr GROUP BY ALL),
+c1 AS (SELECT *, sum(n) OVER (PARTITION BY fo) AS total FROM cc),
+c2 AS (SELECT *, least(total, 100) AS t FROM c1),
+c3 AS (SELECT *, n::DOUBLE * t / total AS cont FROM c2),
+c4 AS (SELECT *, floor(cont) AS base, cont - floor(cont) AS rem FROM c3),
+c5 AS (SELECT *, t - sum(base) OVER (PARTITION BY fo) AS extra,
+              row_number() OVER (PARTITION BY fo ORDER BY rem DESC, label) AS ord FROM c4),
+qu AS (SELECT fo, label, (base + CASE WHEN ord <= extra THEN 1 ELSE 0 END)::BIGINT AS quota FROM c5),
+probe AS (SELECT rk.* FROM rk JOIN qu USING (fo, label) WHERE rank_in_class <= quota),
+pairs AS (SELECT p.fo, p.vec_id AS query, p.label AS y, q.vec_id AS neighbor, q.label AS label,
+                 list_reduce(list_transform(list_zip(p.embedding, q.embedding),
+                   lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE)), lambda a, b: a + b, 0.0::DOUBLE) AS d
+          FROM probe p JOIN tr q ON q.fo = p.fo),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY fo, query ORDER BY round(d, 9), neighbor) AS rn FROM pairs) WHERE rn <= 5),
+wt AS (SELECT fo, query, y, label,
+              CASE WHEN max(CASE WHEN d = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY fo, query) = 1
+                   THEN CASE WHEN d = 0 THEN 1.0 ELSE 0.0 END ELSE 1.0 / d END AS w FROM nb),
+v AS (SELECT fo, query, y, label, sum(w) AS w FROM wt GROUP BY ALL),
+pr AS (SELECT fo AS fold, query, any_value(y) AS y, arg_max(label, (w, -label)) AS pred FROM v GROUP BY fo, query),
+pc AS (SELECT fold, y, pred, count(*) AS n FROM pr GROUP BY ALL),
+tr_s AS (SELECT fold, accuracy AS train_accuracy, balanced_accuracy AS train_balanced_accuracy FROM {scores_sql('pc', ['fold'])}),
+cv AS (SELECT fold, accuracy FROM {scores_sql(KNN5_CONF, ['fold'])})
+SELECT fold, train_accuracy, train_balanced_accuracy, accuracy, round(train_accuracy - accuracy, 6) AS optimism_gap
+FROM tr_s JOIN cv USING (fold)"""
