@@ -66,7 +66,8 @@ def out_of_fold(df: DataFrame, key: str, features: str, label: str, fold: str, c
     for p in parts[1:]:
         out = out.unionByName(p)
     meta = df.select(key, F.col(label).alias("y"))
-    return out.join(meta, key, "inner")
+    from ..plans.sizing import materialize
+    return materialize(out.join(meta, key, "inner"))  # grids stack many of these plans
 
 
 def grid(df: DataFrame, key: str, features: str, label: str, fold: str, classes: list,
