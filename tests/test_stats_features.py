@@ -68,3 +68,16 @@ def test_rare_level_guard_keeps_most_frequent(spark):
 def test_correlation_filter_drops_later_of_equal_pair(spark):
     df = spark.createDataFrame([(float(i), 2.0 * i, float(i % 3)) for i in range(30)], "a double, b double, c double")
     assert features.fit_correlation_filter(df, ["a", "b", "c"], 0.95) == ["a", "c"]
+
+
+def test_exact_quantiles_bucketed_path_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    a = np.round(rng.lognormal(2, 1, 5000), 2)          # many distinct values, ties
+    b = rng.integers(0, 7, 5000).astype(float)           # few distinct values
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.77, 0.999, 1.0]
+    for vpb in (1_000_000, 50):                          # one bucket, then about 100 buckets
+        got, card = features.exact_quantiles(df, ["a", "b"], probs, values_per_bucket=vpb, with_cardinality=True)
+        assert np.allclose(got["a"], np.percentile(a, [p * 100 for p in probs]), rtol=0, atol=1e-9)
+        assert np.allclose(got["b"], np.percentile(b, [p * 100 for p in probs]), rtol=0, atol=1e-9)
+        assert card == {"a": len(set(a)), "b": len(set(b))}
