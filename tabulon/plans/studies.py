@@ -18,6 +18,15 @@ from .search import score_predictions
 from .sizing import materialize
 
 
+def _per_fold(fn, folds: list, threads: int = 4) -> list:
+    """Run the per-fold pipelines concurrently from driver threads: each is a
+    chain of small Spark jobs, so overlapping them keeps the executors busy.
+    Every part is checkpointed inside its thread."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(folds)))) as ex:
+        return list(ex.map(fn, folds))
+
+
 def _folds(df: DataFrame, fold: str) -> list:
     return sorted(r[0] for r in df.select(fold).distinct().collect())
 
@@ -40,8 +49,7 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
             smote: bool = False, **prep) -> DataFrame:
     """Out-of-fold k-NN distributions with per-fold preparation (M11/M13),
     optional SMOTE on the prepared training rows (K6). ``query, fold, y, p, pred``."""
-    parts = []
-    for f in _folds(df, fold):
+    def one_fold(f):
         train = df.filter(F.col(fold) != f)
         # checkpointed: the size checks, SMOTE and the neighbour join all read
         # it, and later plans start from a short leaf instead of re-analysing
@@ -54,19 +62,15 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
             tr = materialize(_with_smote(tr, key, label, "features"))
         neigh = neighbors.knn(te, tr, key, "features", label, k, metric)
         v = neighbors.vote(neigh, [k], weights, classes)
-        parts.append(v.join(te.select(F.col(key).cast("long").alias("query"), F.col(label).alias("y")), "query")
-                     .withColumn("fold", F.lit(f)).select("query", "fold", "y", "p", "pred"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return materialize(out)
+        return materialize(v.join(te.select(F.col(key).cast("long").alias("query"), F.col(label).alias("y")), "query")
+                           .withColumn("fold", F.lit(f)).select("query", "fold", "y", "p", "pred"))
+    return _union(_per_fold(one_fold, _folds(df, fold)))
 
 
 def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str], nominal: list[str],
              classes: list, scale=None, corr=None, onehot=False, smote: bool = False, **tree) -> DataFrame:
     """Out-of-fold tree distributions with per-fold preparation."""
-    parts = []
-    for f in _folds(df, fold):
+    def one_fold(f):
         train = df.filter(F.col(fold) != f)
         prepared = materialize(features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr,
                                                       onehot=onehot).select(key, label, fold, "features"))
@@ -78,12 +82,9 @@ def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
             # cut the k-NN/SMOTE lineage before MLlib's repeated passes over its input
             tr = materialize(_with_smote(arr, key, label, "features")).withColumn("features", array_to_vector("features"))
         pr = trees.tree_probabilities(tr, te, key, "features", label, classes, **tree)
-        parts.append(pr.join(te.select(key, F.col(label).alias("y")), key)
-                     .select(F.col(key).cast("long").alias("query"), F.lit(f).alias("fold"), "y", "p", "pred"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return materialize(out)
+        return materialize(pr.join(te.select(key, F.col(label).alias("y")), key)
+                           .select(F.col(key).cast("long").alias("query"), F.lit(f).alias("fold"), "y", "p", "pred"))
+    return _union(_per_fold(one_fold, _folds(df, fold)))
 
 
 def _timed_score(name_col: str, name: str, fn) -> DataFrame:
