@@ -56,18 +56,25 @@ def tree_probabilities(train: DataFrame, test: DataFrame, key: str, features: st
 def out_of_fold(df: DataFrame, key: str, features: str, label: str, fold: str, classes: list,
                 **params) -> DataFrame:
     """Out-of-fold distributions ``key, fold, y, p, pred`` (one fit per fold)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..plans.sizing import materialize
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
-    parts = []
-    for f in folds:
+    meta = df.select(key, F.col(label).alias("y"))
+
+    def one_fold(f):
         pr = tree_probabilities(df.filter(F.col(fold) != f), df.filter(F.col(fold) == f), key, features,
                                 label, classes, **params)
-        parts.append(pr.withColumn("fold", F.lit(f)))
+        # each fold's fit is a chain of small MLlib jobs: run folds from driver
+        # threads and checkpoint each part (grids stack many of these plans)
+        return materialize(pr.withColumn("fold", F.lit(f)).join(meta, key, "inner"))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(4, len(folds)))) as ex:
+        parts = list(ex.map(one_fold, folds))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    meta = df.select(key, F.col(label).alias("y"))
-    from ..plans.sizing import materialize
-    return materialize(out.join(meta, key, "inner"))  # grids stack many of these plans
+    return out
 
 
 def grid(df: DataFrame, key: str, features: str, label: str, fold: str, classes: list,
