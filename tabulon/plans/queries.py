@@ -135,9 +135,6 @@ def q_monotonic(spark, sf):
     return audit.monotonic_check(load(spark, sf, "events"), "ts", "event_id")
 
 
-def flagship(spark, sf):
-    return audit.duplicates(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL)
-
 
 # ---------------------------------------------------------------- sampling
 from ..operators import sampling  # noqa: E402
@@ -357,7 +354,8 @@ def q_bound_reweighted(spark, sf):
     return w.withColumn("macro_f1_reweighted", F.lit(round(best, 6)))
 
 
-def flagship(spark, sf):  # noqa: F811 - the entry query: bound + unresolvable records
+def flagship(spark, sf):
+    """The entry query: resubstitution bound plus the records no rule can place."""
     from .sizing import join_single_rows
     r = bounds.resubstitution(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL,
                               len(lineitem_classes(spark, sf)))
