@@ -916,3 +916,16 @@ tr_s AS (SELECT fold, accuracy AS train_accuracy, balanced_accuracy AS train_bal
 cv AS (SELECT fold, accuracy FROM {scores_sql(KNN5_CONF, ['fold'])})
 SELECT fold, train_accuracy, train_balanced_accuracy, accuracy, round(train_accuracy - accuracy, 6) AS optimism_gap
 FROM tr_s JOIN cv USING (fold)"""
+
+ORACLE["audit_text_duplicates"] = """
+WITH d AS (SELECT d.text, l.quality FROM documents d JOIN labels l USING (doc_id)),
+vl AS (SELECT text, quality, count(*) AS n FROM d GROUP BY ALL),
+vec AS (SELECT text, sum(n) AS n, count(*) AS labels, max(n) AS top FROM vl GROUP BY ALL),
+s AS (SELECT sum(n) AS rows, count(*) AS vectors, sum(labels) AS pairs,
+             sum(CASE WHEN labels > 1 THEN n ELSE 0 END) AS mixed, sum(top) AS placed FROM vec)
+SELECT (rows - pairs)::BIGINT AS duplicate_rows, (rows - vectors)::BIGINT AS duplicate_descriptive,
+       (pairs - vectors)::BIGINT AS conflicting_pairs, mixed::BIGINT AS conflict_records,
+       (rows - placed)::BIGINT AS unresolvable, vectors::BIGINT AS distinct_vectors,
+       round(100.0 * (rows - pairs) / rows, 2) AS duplicate_percent,
+       round(100.0 * (rows - placed) / rows, 2) AS unresolvable_percent
+FROM s"""

@@ -1031,3 +1031,10 @@ def q_knn_lineitem_holdout(spark, sf):
     x = materialize(x)
     n = neighbors.knn(x.filter("fold = 0"), x.filter("fold <> 0"), "rid", "x", "y", 31, "manhattan")
     return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))
+
+
+@register("audit_text_duplicates")
+def q_audit_text_duplicates(spark, sf):
+    """D11 on whole document texts: exact copies and conflicting quality labels."""
+    d = load(spark, sf, "documents").select("doc_id", "text").join(load(spark, sf, "labels"), "doc_id")
+    return audit.duplicates(d, ["text"], "quality")
