@@ -929,3 +929,11 @@ SELECT (rows - pairs)::BIGINT AS duplicate_rows, (rows - vectors)::BIGINT AS dup
        round(100.0 * (rows - pairs) / rows, 2) AS duplicate_percent,
        round(100.0 * (rows - placed) / rows, 2) AS unresolvable_percent
 FROM s"""
+
+ORACLE["audit_text_majority"] = """
+WITH d AS (SELECT d.text, l.quality FROM documents d JOIN labels l USING (doc_id)),
+vl AS (SELECT text, quality, count(*) AS n FROM d GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY n DESC, quality) AS rn,
+             sum(n) OVER (PARTITION BY text) AS n_vector, count(*) OVER (PARTITION BY text) AS n_labels FROM vl)
+SELECT text, quality AS majority, n AS n_majority, n_vector::BIGINT AS n_vector, n_labels::BIGINT AS n_labels
+FROM r WHERE rn = 1"""

@@ -1038,3 +1038,10 @@ def q_audit_text_duplicates(spark, sf):
     """D11 on whole document texts: exact copies and conflicting quality labels."""
     d = load(spark, sf, "documents").select("doc_id", "text").join(load(spark, sf, "labels"), "doc_id")
     return audit.duplicates(d, ["text"], "quality")
+
+
+@register("audit_text_majority")
+def q_audit_text_majority(spark, sf):
+    """A18 on whole document texts: majority quality label per distinct text."""
+    d = load(spark, sf, "documents").select("doc_id", "text").join(load(spark, sf, "labels"), "doc_id")
+    return audit.majority_labels(d, ["text"], "quality")
