@@ -937,3 +937,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY n DESC, quality) A
              sum(n) OVER (PARTITION BY text) AS n_vector, count(*) OVER (PARTITION BY text) AS n_labels FROM vl)
 SELECT text, quality AS majority, n AS n_majority, n_vector::BIGINT AS n_vector, n_labels::BIGINT AS n_labels
 FROM r WHERE rn = 1"""
+
+ORACLE["audit_label_balance"] = """
+WITH dim AS (SELECT * FROM (VALUES (0, 0), (1, 1)) t(code, class)),
+c AS (SELECT toxic AS class, count(*) AS count FROM labels GROUP BY 1),
+j AS (SELECT dim.code, dim.class, coalesce(c.count, 0)::BIGINT AS count FROM dim LEFT JOIN c USING (class))
+SELECT code, class, count, round(100.0 * count / sum(count) OVER (), 3) AS percent FROM j"""

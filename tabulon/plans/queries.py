@@ -1045,3 +1045,10 @@ def q_audit_text_majority(spark, sf):
     """A18 on whole document texts: majority quality label per distinct text."""
     d = load(spark, sf, "documents").select("doc_id", "text").join(load(spark, sf, "labels"), "doc_id")
     return audit.majority_labels(d, ["text"], "quality")
+
+
+@register("audit_label_balance")
+def q_audit_label_balance(spark, sf):
+    """A3 on the imbalanced target: toxic labels, zero-filled to the {0, 1} domain."""
+    dim = spark.createDataFrame([(0, 0), (1, 1)], "code int, class int")
+    return audit.class_balance(load(spark, sf, "labels"), "toxic", classes=dim)
