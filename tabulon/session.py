@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -15,8 +16,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # fold outputs are rewritten one partition at a time (append + idempotent)
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -39,8 +39,9 @@ def get_spark(app: str = "tabulon", cpus: int | str = "*", shuffle_partitions: i
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names this folder; it is only set here when it is unset, which
-    happens in local tests.
+    A cluster names this folder. Where it is unset, a local session (tests,
+    bench) gets a folder of its own; any other master is an error, because
+    executors cannot read each other's local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,14 +49,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabulon-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir) if _settable(spark) else None
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def _settable(spark: SparkSession) -> bool:
-    try:
-        return spark.conf.isModifiable("spark.checkpoint.dir")
-    except Exception:
-        return False
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python unless they find it by PYTHONPATH.
+
+    Once per context. A cluster that installs the wheel on its nodes sets
+    ``spark.tabulon.installed`` to true instead.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if (sc.applicationId in _SHIPPED or root in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+            or spark.conf.get("spark.tabulon.installed", "false") == "true"):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tabulon-ship-"), "tabulon_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(os.path.join(root, "tabulon")):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+_SHIPPED: set[str] = set()

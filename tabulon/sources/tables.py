@@ -52,13 +52,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 def append_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Write finished (configuration, fold) rows; reruns replace only their partitions."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*by).parquet(path))
 
 
 def write_settings(df: DataFrame, path: str) -> None:
