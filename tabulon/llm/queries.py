@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .orc_tokens import op9_token_orc
 from .packing import op4_best_fit_packing
+from .substrings import op6_substring_dedup
 
 QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_token_orc": op9_token_orc,
 }
 ORACLE: dict[str, str] = {}
