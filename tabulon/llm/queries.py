@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .fingerprints import op5_edit_fingerprints
 from .jaccard import op8_ngram_jaccard_join
 from .orc_tokens import op9_token_orc
 from .packing import op4_best_fit_packing
@@ -9,6 +10,7 @@ from .substrings import op6_substring_dedup
 
 QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_edit_fingerprints": op5_edit_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_token_orc": op9_token_orc,
