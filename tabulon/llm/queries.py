@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import op10_benchmark_decontamination
 from .fingerprints import op5_edit_fingerprints
 from .jaccard import op8_ngram_jaccard_join
 from .orc_tokens import op9_token_orc
@@ -14,5 +15,6 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_token_orc": op9_token_orc,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE: dict[str, str] = {}
