@@ -7,12 +7,14 @@ from .fingerprints import op5_edit_fingerprints
 from .jaccard import op8_ngram_jaccard_join
 from .orc_tokens import op9_token_orc
 from .packing import op4_best_fit_packing
+from .quality import op7_quality_classifier
 from .substrings import op6_substring_dedup
 
 QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_edit_fingerprints": op5_edit_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_token_orc": op9_token_orc,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
