@@ -9,8 +9,10 @@ from .orc_tokens import op9_token_orc
 from .packing import op4_best_fit_packing
 from .quality import op7_quality_classifier
 from .substrings import op6_substring_dedup
+from .toxicity import op1_toxicity_chain
 
 QUERIES = {
+    "op1_toxicity_chain": op1_toxicity_chain,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_edit_fingerprints": op5_edit_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
