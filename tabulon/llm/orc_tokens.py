@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, table, with_running_total
+from .common import cut, shared_folder, table, with_running_total
 from .tokens import crc32, default_vocabulary, token_rows
 
 SCHEMA = "doc_id bigint, ids array<int>"
@@ -57,7 +57,7 @@ def token_output(spark: SparkSession, docs: DataFrame, vocabulary: str | None =
     """Write ``docs`` and return, read back: doc_id, start, n_tokens, ids_crc32."""
     path = path or shared_folder(spark, "tokens-orc")
     write_tokens(docs, path, vocabulary or default_vocabulary())
-    rows = digest_tokens(read_tokens(spark, path))
+    rows = cut(digest_tokens(read_tokens(spark, path)))
     return (with_running_total(rows, [F.asc("doc_id"), F.asc("ids_crc32")], F.col("n_tokens"), "start")
             .select("doc_id", "start", "n_tokens", "ids_crc32"))
 

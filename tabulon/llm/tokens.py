@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -11,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 END_ID = 2
-_CACHE_WORDS = 1 << 19
+_CACHE_PIECES = 1 << 19
+_ONCE_PIECES = 1 << 17
 
 # Letters, digits and white space of Latin-1, for the published
 # splitting pattern of byte-level vocabularies.
@@ -26,25 +28,49 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level vocabularies use for each byte:
+    printable Latin-1 bytes are themselves, the others follow from U+0100."""
+    out, n = {}, 0
+    for b in range(256):
+        if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b:
+            out[b] = chr(b)
+        else:
+            out[b], n = chr(256 + n), n + 1
+    return out
+
+
 class _Pieces(dict):
-    """Piece of text -> its ids as little-endian unsigned 32-bit bytes."""
+    """Piece of text -> its ids as little-endian unsigned 32-bit bytes. A piece
+    stays once it was seen twice; pieces seen once are kept for a while only."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.merge = tokenizer.model.tokenize
+        self.letters = _byte_letters()
+        self.once: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        self[piece] = ids
-        return ids
+        known = self.once.pop(piece, None)
+        if known is not None:
+            if len(self) >= _CACHE_PIECES:
+                self.clear()
+            self[piece] = known
+            return known
+        ids = [t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.letters))]
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self.once) >= _ONCE_PIECES:
+            self.once.clear()
+        self.once[piece] = packed
+        return packed
 
 
 class Encoder:
     """``bytes_of(text)``: ids of the tokenizers library, no special tokens added.
 
-    A vocabulary that splits by the published byte-level pattern encodes each
-    piece alone, so Latin-1 texts are split here and each distinct piece is
-    encoded once by the library. Any other text, and texts that hold the
+    A byte-level vocabulary encodes each piece of the published splitting
+    pattern alone, so Latin-1 texts are split here and the library's model
+    merges each distinct piece once. Any other text, and texts that hold the
     string of an added token, go to the library whole."""
 
     def __init__(self, vocabulary: str):
@@ -55,7 +81,7 @@ class Encoder:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-                         and spec.get("normalizer") is None)
+                         and spec.get("normalizer") is None and spec["model"].get("type", "BPE") == "BPE")
         added = [re.escape(t["content"]) for t in spec.get("added_tokens", [])]
         self.added = re.compile("|".join(added)) if added else None
         self.pieces = _Pieces(self.tokenizer)
@@ -67,8 +93,6 @@ class Encoder:
             except UnicodeEncodeError:
                 pass
             else:
-                if len(self.pieces) > _CACHE_WORDS:
-                    self.pieces.clear()
                 return b"".join(map(self.pieces.__getitem__, _SPLIT.findall(text)))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
