@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import OP2_SQL, op2_chat_format
 from .decontaminate import op10_benchmark_decontamination
 from .fingerprints import op5_edit_fingerprints
 from .jaccard import op8_ngram_jaccard_join
@@ -13,6 +14,7 @@ from .toxicity import op1_toxicity_chain
 
 QUERIES = {
     "op1_toxicity_chain": op1_toxicity_chain,
+    "op2_chat_format": op2_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_edit_fingerprints": op5_edit_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
@@ -21,4 +23,6 @@ QUERIES = {
     "op9_token_orc": op9_token_orc,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_chat_format": OP2_SQL,
+}
