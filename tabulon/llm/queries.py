@@ -5,16 +5,18 @@ from __future__ import annotations
 from .chat import OP2_SQL, op2_chat_format
 from .decontaminate import op10_benchmark_decontamination
 from .fingerprints import op5_edit_fingerprints
-from .jaccard import op8_ngram_jaccard_join
+from .jaccard import OP8_SQL, op8_ngram_jaccard_join
 from .orc_tokens import op9_token_orc
 from .packing import op4_best_fit_packing
 from .quality import op7_quality_classifier
-from .substrings import op6_substring_dedup
+from .substrings import OP6_SQL, op6_substring_dedup
 from .toxicity import op1_toxicity_chain
+from .warc import OP3_SQL, op3_warc_zip
 
 QUERIES = {
     "op1_toxicity_chain": op1_toxicity_chain,
     "op2_chat_format": op2_chat_format,
+    "op3_warc_zip": op3_warc_zip,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_edit_fingerprints": op5_edit_fingerprints,
     "op6_substring_dedup": op6_substring_dedup,
@@ -25,4 +27,7 @@ QUERIES = {
 }
 ORACLE: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
+    "op3_warc_zip": OP3_SQL,
+    "op6_substring_dedup": OP6_SQL,
+    "op8_ngram_jaccard_join": OP8_SQL,
 }

@@ -195,3 +195,19 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD, seed: int = SE
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS run
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+f AS (SELECT md5(run) AS run, min(doc_id) AS first_id FROM g GROUP BY ALL),
+hit AS (SELECT g.doc_id, g.i FROM g JOIN f ON md5(g.run) = f.run WHERE f.first_id < g.doc_id),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM hit),
+gone AS (SELECT doc_id, count(*) AS n FROM cov GROUP BY doc_id),
+k AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed FROM w LEFT JOIN gone USING (doc_id)),
+one AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+kept AS (SELECT one.doc_id, string_agg(word, ' ' ORDER BY one.i) AS t FROM one ANTI JOIN cov ON one.doc_id = cov.doc_id AND one.i = cov.i GROUP BY one.doc_id)
+SELECT k.doc_id, k.n_words::BIGINT AS n_words, k.n_removed::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM k LEFT JOIN kept USING (doc_id)
+"""
