@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
-from ..plans.sizing import join_single_rows
+from ..plans.sizing import join_single_rows, materialize
 
 PROFILE_COLUMNS = ["feature", "kind", "cardinality", "minimum", "maximum", "rng", "mean",
                    "std", "median", "skewness", "pct_outlier", "pct_zero"]
@@ -69,7 +69,7 @@ def imbalance(df: DataFrame, label: str) -> DataFrame:
         F.min(F.struct(F.col("n"), F.col("class"))).getField("class").alias("minority"),
         F.min("n").alias("minority_n"),
         F.round(F.max("n") / F.min("n"), 6).alias("imbalance_ratio"),
-        F.round(F.sum(F.col("n") * F.col("n")) / F.pow(F.sum("n"), 2), 6).alias("chance_agreement"),
+        F.round(F.sum(F.pow("n", F.lit(2.0))) / F.pow(F.sum("n"), 2), 6).alias("chance_agreement"),
     )
 
 
@@ -187,42 +187,37 @@ def outlier_ranking(prof: DataFrame, threshold: float = 10.0) -> DataFrame:
              F.col("s.feature").alias("most_skewed"), F.col("s.skewness").alias("max_skewness"))
 
 
-def correlations(df: DataFrame, numeric: list[str], method: str = "auto") -> DataFrame:
+def _pairwise_r(a, b):
+    """Pearson r over the rows where both values are present; a column that is
+    constant there has no correlation: NULL, never 0/0 = NaN."""
+    a, b = a.cast("double"), b.cast("double")
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    den = F.stddev_samp(x) * F.stddev_samp(y)
+    return F.when(den > 0, F.covar_samp(x, y) / den)
+
+
+def correlations(df: DataFrame, numeric: list[str], pairs_per_scan: int = 1000) -> DataFrame:
     """|Pearson r| for every pair i < j (column order), long form.
 
-    Narrow inputs use one aggregate of ``corr``-equivalent expressions; a
-    constant column gives NULL instead of an ANSI divide-by-zero. Wide inputs
-    (``method='gram'`` or > 60 columns) use MLlib's one-pass Gram matrix.
-    """
+    One definition at every width: pairwise complete rows. Pairs are aggregated
+    in groups of ``pairs_per_scan`` expressions, so very wide tables take several
+    scans instead of one unbounded plan."""
     numeric = list(numeric)
     p = len(numeric)
-    if method == "gram" or (method == "auto" and p > 60):
-        return _correlations_gram(df, numeric)
     pairs = [(i, j) for i in range(p) for j in range(i + 1, p)]
-    xs = [F.col(c).cast("double") for c in numeric]
-    aggs = []
-    for i, j in pairs:
-        den = F.stddev_samp(xs[i]) * F.stddev_samp(xs[j])
-        # a constant column has no correlation: NULL, never 0/0 = NaN
-        aggs.append(F.when(den > 0, F.covar_samp(xs[i], xs[j]) / den).alias(f"r{i}_{j}"))
-    row = df.agg(*aggs)
-    return _long(row, {
-        "feature_a": [F.lit(numeric[i]) for i, _ in pairs],
-        "feature_b": [F.lit(numeric[j]) for _, j in pairs],
-        # least() skips NULLs, so clip only defined correlations
-        "abs_r": [F.round(F.when(F.col(f"r{i}_{j}").isNotNull(),
-                                 F.least(F.abs(F.col(f"r{i}_{j}")), F.lit(1.0))), 6) for i, j in pairs],
-    })
-
-
-def _correlations_gram(df: DataFrame, numeric: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=numeric, outputCol="_v", handleInvalid="skip").transform(df.select(*numeric))
-    m = Correlation.corr(vec, "_v").first()[0].toArray()  # p x p, collected (bounded by p^2)
-    rows = [(numeric[i], numeric[j], None if m[i, j] != m[i, j] else round(min(abs(float(m[i, j])), 1.0), 6))
-            for i in range(len(numeric)) for j in range(i + 1, len(numeric))]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, abs_r double")
+    out = None
+    for at in range(0, max(len(pairs), 1), pairs_per_scan):
+        part = pairs[at:at + pairs_per_scan]
+        row = df.agg(F.lit(1).alias("_one"), *[_pairwise_r(F.col(numeric[i]), F.col(numeric[j])).alias(f"r{i}_{j}") for i, j in part])
+        long = _long(row, {
+            "feature_a": [F.lit(numeric[i]) for i, _ in part],
+            "feature_b": [F.lit(numeric[j]) for _, j in part],
+            # least() skips NULLs, so clip only defined correlations
+            "abs_r": [F.round(F.when(F.col(f"r{i}_{j}").isNotNull(),
+                                     F.least(F.abs(F.col(f"r{i}_{j}")), F.lit(1.0))), 6) for i, j in part],
+        })
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def correlated_pairs(corr: DataFrame, threshold: float = 0.90, top: int | None = None) -> DataFrame:
@@ -241,8 +236,7 @@ def correlation_counts(corr: DataFrame, thresholds=(0.90, 0.95, 0.99)) -> DataFr
 
 def named_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
     """R of one named pair and whether it is exactly 1."""
-    den = F.stddev_samp(F.col(a).cast("double")) * F.stddev_samp(F.col(b).cast("double"))
-    r = F.when(den > 0, F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")) / den)
+    r = _pairwise_r(F.col(a), F.col(b))
     return df.agg(F.round(r, 6).alias("r")).withColumn("exact_one", F.col("r") == 1.0) \
         .select(F.lit(f"{a}~{b}").alias("pair"), "r", "exact_one")
 
@@ -326,70 +320,50 @@ def binary_domain(df: DataFrame, cols: list[str]) -> DataFrame:
     })
 
 
-def _edge_stitched(df: DataFrame, key: str, value: str, buckets: int) -> DataFrame:
-    """``(key, value, prev_value)`` in key order without a single-task window.
-
-    Rows are range-bucketed on ``key``; ``lag`` runs inside each bucket and the
-    first row of a bucket takes the last value of the nearest earlier
-    non-empty bucket from a table of one row per bucket.
-    """
-    lo_hi = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    lo, hi = lo_hi["lo"], lo_hi["hi"]
-    if lo is None:
-        return df.select(key, value, F.lit(None).alias("prev"))
-    width = max(1, -(-(int(hi) - int(lo) + 1) // buckets))
-    d = df.select(key, value, F.floor((F.col(key) - F.lit(lo)) / F.lit(width)).cast("int").alias("_b"))
-    inner = d.withColumn("prev", F.lag(value).over(Window.partitionBy("_b").orderBy(key)))
-    edges = (d.groupBy("_b").agg(F.max(F.struct(F.col(key), F.col(value))).alias("_last"))
-             .withColumn("_carry", F.lag(F.col("_last").getField(value)).over(Window.orderBy("_b")))
-             .select("_b", "_carry"))
-    # edges has at most ``buckets`` rows: a bounded broadcast by construction
-    out = inner.join(F.broadcast(edges), "_b", "left")
-    return out.select(key, value, F.coalesce(F.col("prev"), F.col("_carry")).alias("prev"))
-
-
-def adjacent_agreement(df: DataFrame, key: str, label: str, buckets: int = 256) -> DataFrame:
-    """Share of neighbouring rows (in key order) with the same label,
-    against chance agreement (sum of squared class shares) and twice chance."""
-    # range partitioning at sampled boundaries keeps buckets balanced even
-    # when keys cluster; partition edges are stitched from a small table
-    s = _edge_stitched_struct(df.select(key, label), key, label, buckets)
-    pairs = s.filter(F.col("prev").isNotNull())
+def adjacent_agreement(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Share of neighbouring rows (in key order) with the same label (two
+    NULL labels are the same), against chance agreement (sum of squared class
+    shares) and twice chance."""
+    s = _edge_stitched_struct(df.select(key, label), key, label)
+    pairs = s.filter("has_prev")
     agree = pairs.agg(F.count(F.lit(1)).alias("n_pairs"),
-                      F.count_if(F.col(label) == F.col("prev")).alias("agree"))
+                      F.count_if(F.col(label).eqNullSafe(F.col("prev"))).alias("agree"))
     chance = imbalance(df, label).select("chance_agreement")
+    share = F.try_divide(F.col("agree"), F.col("n_pairs"))
     return join_single_rows(agree, chance).select(
         F.col("n_pairs").cast("bigint").alias("n_pairs"), F.col("agree").cast("bigint").alias("agree"),
-        F.round(F.col("agree") / F.col("n_pairs"), 6).alias("agreement"),
-        F.col("chance_agreement"),
-        (F.col("agree") / F.col("n_pairs") > 2 * F.col("chance_agreement")).alias("above_twice_chance"))
+        F.round(share, 6).alias("agreement"), F.col("chance_agreement"),
+        (share > 2 * F.col("chance_agreement")).alias("above_twice_chance"))
 
 
-def monotonic_check(df: DataFrame, order_col: str, key: str, buckets: int = 256) -> DataFrame:
+def monotonic_check(df: DataFrame, order_col: str, key: str) -> DataFrame:
     """Does ``key`` strictly increase when rows are ordered by ``order_col``?
 
     Re-aimed from file order (not a table property): counts the places where
     the key does not increase, comparing each row with its predecessor in
     (order_col, key) order."""
     d = df.select(F.col(order_col).alias("_o"), F.col(key).alias("_k"))
-    # order by (order_col, key): rank rows with a bucketed edge-stitched lag on a composite order
     ordered = d.select(F.struct("_o", "_k").alias("_ok"), "_k")
-    s = _edge_stitched_struct(ordered, "_ok", "_k", buckets)
+    s = _edge_stitched_struct(ordered, "_ok", "_k")
     return s.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                 F.count_if(F.col("prev").isNotNull() & (F.col("_k") <= F.col("prev"))).cast("bigint").alias("violations")) \
+                 F.count_if(F.col("has_prev") & (F.col("_k") <= F.col("prev"))).cast("bigint").alias("violations")) \
         .withColumn("strictly_increasing", F.col("violations") == 0)
 
 
-def _edge_stitched_struct(df: DataFrame, order: str, value: str, buckets: int) -> DataFrame:
-    """Like ``_edge_stitched`` for a struct order key: buckets come from range
-    partitioning, not arithmetic on the key."""
-    d = df.repartitionByRange(buckets, order).withColumn("_b", F.spark_partition_id())
-    inner = d.withColumn("prev", F.lag(value).over(Window.partitionBy("_b").orderBy(order)))
-    edges = (d.groupBy("_b").agg(F.max(F.struct(F.col(order), F.col(value))).alias("_last"))
-             .withColumn("_carry", F.lag(F.col("_last").getField(value)).over(Window.orderBy("_b")))
-             .select("_b", "_carry"))
-    out = inner.join(F.broadcast(edges), "_b", "left")
-    return out.select(order, value, F.coalesce(F.col("prev"), F.col("_carry")).alias("prev"))
+def _edge_stitched_struct(df: DataFrame, order: str, value: str) -> DataFrame:
+    """Each row with its predecessor's value in ``order`` (and whether it has
+    one: a NULL value is not a missing row). Rows are range partitioned, as many
+    partitions as the session shuffles into; the layout is checkpointed, so both
+    branches see the same cut points, and only each partition's last row crosses
+    an edge."""
+    d = materialize(df.repartitionByRange(order).withColumn("_b", F.spark_partition_id()))
+    held = F.struct(F.col(value).alias("v"))
+    inner = d.withColumn("_prev", F.lag(held).over(Window.partitionBy("_b").orderBy(order)))
+    edges = (d.groupBy("_b").agg(F.max(F.struct(F.col(order), held.alias("_held"))).alias("_last"))
+             .withColumn("_carry", F.lag(F.col("_last._held")).over(Window.orderBy("_b"))).select("_b", "_carry"))
+    # edges has one row per partition: a bounded broadcast by construction
+    out = inner.join(F.broadcast(edges), "_b", "left").withColumn("_p", F.coalesce("_prev", "_carry"))
+    return out.select(order, value, F.col("_p.v").alias("prev"), F.col("_p").isNotNull().alias("has_prev"))
 
 
 def facts(df: DataFrame, label: str, numeric: list[str], nominal: list[str], key: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import materialize
+from ..plans.sizing import join_null_safe, materialize
 from . import metrics
 
 
@@ -59,19 +59,19 @@ def memorisation_predictions(df: DataFrame, features: list[str], label: str, fol
     cf = materialize(df.groupBy(F.col(fold).alias("fold"), *features, F.col(label).alias("y"))
                      .agg(F.count(F.lit(1)).alias("n_f")))
     tot = cf.groupBy(*features, "y").agg(F.sum("n_f").alias("n_all"))
+    # NULL features are values like any other: every vector join is null-safe
     held = cf.select("fold", *features).distinct()
-    # training counts of every label of a held-out vector: total minus the fold's own
-    train = (held.join(tot, features, "inner")
-             .join(cf.select("fold", *features, "y", "n_f"), ["fold", *features, "y"], "left")
+    both = join_null_safe(held, tot, features)
+    train = (join_null_safe(both, cf.select("fold", *features, "y", "n_f"), ["fold", *features, "y"], "left")
              .withColumn("n_tr", F.col("n_all") - F.coalesce(F.col("n_f"), F.lit(0))))
-    maj = _majority(train, ["fold", *features], "y", "n_tr")
+    maj = _majority(train, ["fold", *features], "y", "n_tr").withColumn("hit", F.lit(True))
     cls = cf.groupBy("fold", "y").agg(F.sum("n_f").alias("n_fc"))
     cls_tot = cls.groupBy("y").agg(F.sum("n_fc").alias("n_c"))
-    fb = _majority(cls.join(cls_tot, "y").withColumn("n_tr", F.col("n_c") - F.col("n_fc")),
+    fb = _majority(join_null_safe(cls, cls_tot, ["y"]).withColumn("n_tr", F.col("n_c") - F.col("n_fc")),
                    ["fold"], "y", "n_tr").withColumnRenamed("majority", "fallback")
-    out = (cf.join(maj, ["fold", *features], "left").join(F.broadcast(fb), "fold", "left")
-           .select("fold", "y", F.col("n_f").alias("n"), F.col("majority").isNotNull().alias("hit"),
-                   F.coalesce("majority", "fallback").alias("pred")))
+    out = (join_null_safe(cf, maj, ["fold", *features], "left").join(F.broadcast(fb), "fold", "left")
+           .select("fold", "y", F.col("n_f").alias("n"), F.coalesce("hit", F.lit(False)).alias("hit"),
+                   F.when(F.col("hit"), F.col("majority")).otherwise(F.col("fallback")).alias("pred")))
     return out.withColumn("conceded", F.when(F.col("hit"), F.col("pred")).otherwise(F.col("y")))
 
 
@@ -117,6 +117,6 @@ def reweighted_resubstitution(df: DataFrame, features: list[str], label: str, cl
     cls = F.array(*[F.lit(c) for c in classes])
     vec = vl.groupBy(*features).agg(F.map_from_entries(F.collect_list(F.struct("y", "n"))).alias("_m"))
     vec = vec.select(*features, F.transform(cls, lambda c: F.coalesce(F.col("_m")[c], F.lit(0)).cast("double")).alias("p"))
-    rows = vl.join(vec, features, "inner").select(F.lit(0).alias("fold"), "y", "p", "n")
+    rows = join_null_safe(vl, vec, features).select(F.lit(0).alias("fold"), "y", "p", "n")
     grid = rules.default_grid(0.05, 1.0, 20, 1.1, 40.0, 120)
     return rules.fit_multipliers(rows, classes, grid=grid, rounds=rounds, tol=tol, weight_col="n")

@@ -66,8 +66,9 @@ def scores(conf: DataFrame, by: list[str], domain: str = "observed", n_classes:
         F.avg(F.when(F.col("t") > 0, F.col("tp") / F.col("t"))).alias("bal"),
         F.sum(f1).alias("f1_sum"), F.count(F.lit(1)).alias("k_obs"),
         F.sum(f1 * F.col("t")).alias("f1_w"),
-        F.sum(F.col("p") * F.col("t")).alias("pt"),
-        F.sum(F.col("p") * F.col("p")).alias("pp"), F.sum(F.col("t") * F.col("t")).alias("tt"),
+        # products of counts pass 2^63 on large tables: double
+        F.sum(F.col("p").cast("double") * F.col("t")).alias("pt"),
+        F.sum(F.col("p").cast("double") * F.col("p")).alias("pp"), F.sum(F.col("t").cast("double") * F.col("t")).alias("tt"),
         F.avg(safe_div(F.col("tp"), F.col("p"))).alias("prec"),
         F.avg(safe_div(F.col("tp"), F.col("t"))).alias("rec"),
     )

@@ -5,9 +5,9 @@ row's place never depends on partitioning and DuckDB reproduces it.
 
 Ranking without a skewed window: a class holding a third of all rows would
 be one task under ``row_number() over (partition by class)``. Instead rows are
-bucketed by the first ``digits`` hex digits of their hash (4,096 buckets for
-3 digits), bucket sizes are counted per class (a table of at most
-classes x 4,096 rows), prefix-summed, broadcast behind a size check, and
+bucketed by the first ``digits`` hex digits of their hash (at least 16 buckets
+for every shuffle partition of the session, so buckets shrink as the cluster is
+sized up), bucket sizes are counted per class, prefix-summed, joined back, and
 ``row_number`` runs inside (class, bucket). The result equals the global
 window because buckets are prefixes of the sort key.
 """
@@ -18,29 +18,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_hex
-from ..plans.sizing import bounded_broadcast
+from ..plans.sizing import bounded_broadcast, join_null_safe
 
-
-def _join_null_safe(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner equi-join that treats NULL keys as equal, so rows with a NULL
-    label form their own stratum instead of being dropped."""
-    ren = small.select(*[F.col(c).alias(f"_j_{c}") if c in keys else F.col(c) for c in small.columns])
-    cond = None
-    for k in keys:
-        e = big[k].eqNullSafe(ren[f"_j_{k}"])
-        cond = e if cond is None else cond & e
-    return big.join(ren, cond, "inner").drop(*[f"_j_{k}" for k in keys])
+SYNTHETIC_BLOCK = 100_000
 
 
 def _key(key) -> Column:
     return F.col(key) if isinstance(key, str) else key
 
 
-def _hashed(df: DataFrame, key, label: str, seed: int, digits: int) -> DataFrame:
+def _digits(df: DataFrame, digits: int | None) -> int:
+    """Hex digits for at least 16 buckets a shuffle partition (3 or more)."""
+    if digits is not None:
+        return digits
+    n = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(3, len(f"{n - 1:x}"))
+
+
+def _hashed(df: DataFrame, key, label: str, seed: int, digits: int | None) -> DataFrame:
+    digits = _digits(df, digits)
     return df.withColumn("_h", hash_hex(seed, _key(key))).withColumn("_b", F.substring("_h", 1, digits))
 
 
-def bucket_counts(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3) -> DataFrame:
+def bucket_counts(df: DataFrame, key, label: str, seed: int = 42, digits: int | None = None) -> DataFrame:
     """Rows per (class, hash bucket): at most classes x 16^digits rows.
 
     Persisted, because the offsets, the class counts and the quotas of one
@@ -50,7 +50,7 @@ def bucket_counts(df: DataFrame, key, label: str, seed: int = 42, digits: int =
             .agg(F.count(F.lit(1)).alias("_nb")).persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3,
+def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int | None = None,
               counts: DataFrame | None = None) -> DataFrame:
     """Adds ``rank_in_class`` (1-based) in hash order within each class."""
     k = _key(key)
@@ -60,7 +60,7 @@ def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int = 3,
     offs = counts.select(label, "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
     # joined on (class, bucket): the shuffle it needs is the one the
     # row_number window below needs anyway, so no broadcast and no extra pass
-    d = _join_null_safe(d, offs, [label, "_b"])
+    d = join_null_safe(d, offs, [label, "_b"])
     rn = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", k))
     return d.withColumn("rank_in_class", F.col("_off") + rn).drop("_b", "_off", "_h")
 
@@ -96,7 +96,7 @@ def stratified_split(df: DataFrame, key, label: str, fraction: float, seed: int
     ranked = hash_rank(df, key, label, seed, counts=bc)
     q = quotas(class_counts(df, label, bc), label,
                F.floor(F.col("_N").cast("double") * F.lit(float(fraction))))
-    ranked = _join_null_safe(ranked, bounded_broadcast(q.select(label, "quota")), [label])
+    ranked = join_null_safe(ranked, bounded_broadcast(q.select(label, "quota")), [label])
     return ranked.withColumn("part", F.when(F.col("rank_in_class") <= F.col("quota"), F.lit(names[0]))
                              .otherwise(F.lit(names[1]))).drop("quota")
 
@@ -110,7 +110,7 @@ def stratified_folds(df: DataFrame, key, label: str, k: int, seed: int = 42) ->
     cc = class_counts(df, label, bc)
     offs = cc.select(label, F.coalesce(F.sum("n").over(
         Window.orderBy(F.asc_nulls_last(label)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_coff"))
-    ranked = _join_null_safe(ranked, bounded_broadcast(offs), [label])
+    ranked = join_null_safe(ranked, bounded_broadcast(offs), [label])
     return ranked.withColumn("fold", F.pmod(F.col("_coff") + F.col("rank_in_class") - 1, F.lit(k))
                              .cast("int")).drop("_coff")
 
@@ -120,7 +120,7 @@ def stratified_take(df: DataFrame, key, label: str, n: int, seed: int = 42) -> D
     bc = bucket_counts(df, key, label, seed)
     ranked = hash_rank(df, key, label, seed, counts=bc)
     q = quotas(class_counts(df, label, bc), label, F.least(F.col("_N"), F.lit(n)))
-    ranked = _join_null_safe(ranked, bounded_broadcast(q.select(label, "quota")), [label])
+    ranked = join_null_safe(ranked, bounded_broadcast(q.select(label, "quota")), [label])
     return ranked.filter(F.col("rank_in_class") <= F.col("quota")).drop("quota")
 
 
@@ -163,7 +163,11 @@ def smote(df: DataFrame, key: str, label: str, features: str, cap: float = 0.25,
     k_eff = max(1, min(k, (smallest or 1) - 1))
     ranked = hash_rank(df, key, label, seed).select(key, label, features, "rank_in_class")
     need = targets.filter(F.col("n_synthetic") > 0)
-    syn = need.select(label, "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_synthetic"))).alias("i"))
+    # row numbers in blocks, spread over the cluster before they are expanded
+    block = F.lit(SYNTHETIC_BLOCK).cast("bigint")
+    blocks = (need.select(label, "n", "n_synthetic", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_synthetic") - 1) / block))).alias("_k"))
+              .repartition(F.col(label), F.col("_k")))
+    syn = blocks.select(label, "n", F.explode(F.sequence(F.col("_k") * block + 1, F.least("n_synthetic", (F.col("_k") + 1) * block))).alias("i"))
 
     def h(tag):
         return F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(label).cast("string"),
@@ -175,7 +179,8 @@ def smote(df: DataFrame, key: str, label: str, features: str, cap: float = 0.25,
     neigh = neighbors.knn(minority, minority, key, features, label, k_eff, same=label)
     base = syn.join(ranked, [label, "rank_in_class"], "inner")
     nb = neigh.select(F.col("query").alias(key), "rn", F.col("neighbor"))
-    both = base.join(nb, [key, "rn"], "inner")
+    # a class of one member has no neighbour: its synthetic rows repeat the member
+    both = base.join(nb, [key, "rn"], "left").withColumn("neighbor", F.coalesce("neighbor", F.col(key)))
     feat = ranked.select(F.col(key).alias("neighbor"), F.col(features).alias("_xn"))
     out = both.join(feat, "neighbor", "inner")
     new = F.zip_with(F.col(features), F.col("_xn"), lambda a, b: a.cast("double") + F.col("u") * (b.cast("double") - a.cast("double")))

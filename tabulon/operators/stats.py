@@ -7,8 +7,8 @@ Exact Wilcoxon p-values use the subset-sum distribution of the doubled
 (average-tie) ranks, built with a Spark higher-order ``aggregate``: start
 from [1] and for each rank r add the array shifted by r. The share of the
 2^n sign patterns with W+ <= W gives p = min(1, 2 * share). No pattern table
-is enumerated, so this holds up to n = 60 blocks; beyond it the normal
-approximation with tie correction is used.
+is enumerated. The normal approximation with tie correction is a documented
+choice of the caller, never a switch on size.
 """
 
 from __future__ import annotations
@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EXACT_MAX_N = 60
-
 
 # ----------------------------------------------------------------- p-value helpers
 def _chi2_sf_np(x: float, df: float) -> float:
@@ -128,11 +126,12 @@ def friedman(tab: DataFrame) -> DataFrame:
     from ..plans.sizing import join_single_rows
     x = join_single_rows(g, nb, ties)
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
-    stat = (12.0 / (n * k * (k + 1)) * F.col("ssr") - 3.0 * n * (k + 1)) / \
-        (1.0 - F.col("tie") / (n * k * (k * k - 1)))
-    out = x.select(F.round(stat, 6).alias("statistic"), F.col("k").cast("int").alias("n_groups"),
-                   F.col("n").cast("int").alias("n_folds"))
-    return out.withColumn("p_value", F.round(chi2_sf(F.col("statistic"), (F.col("n_groups") - 1).cast("double")), 9))
+    # with every block tied there is no ranking: NULL
+    stat = F.try_divide(F.try_divide(12.0 * F.col("ssr"), n * k * (k + 1)) - 3.0 * n * (k + 1),
+                        1.0 - F.try_divide(F.col("tie"), n * k * (k * k - 1)))
+    out = x.select(stat.alias("_s"), F.col("k").cast("int").alias("n_groups"), F.col("n").cast("int").alias("n_folds"))
+    p = F.when(F.col("_s").isNotNull(), chi2_sf(F.col("_s"), (F.col("n_groups") - 1).cast("double")))
+    return out.select(F.round("_s", 6).alias("statistic"), "n_groups", "n_folds", F.round(p, 9).alias("p_value"))
 
 
 def pair_differences(tab: DataFrame) -> DataFrame:
@@ -152,11 +151,17 @@ def _subset_sum_counts(r2):
     return F.aggregate(r2, F.array(F.lit(1.0)), add)
 
 
-def wilcoxon_pairs(tab: DataFrame) -> DataFrame:
-    """Signed-rank test per pair: zeros dropped, W = min(W+, W-), exact p
-    for n <= 60 (else normal approximation with tie correction)."""
-    d = pair_differences(tab).filter(F.col("d") != 0)
+def wilcoxon_pairs(tab: DataFrame, method: str = "exact") -> DataFrame:
+    """Signed-rank test per pair: zeros dropped, W = min(W+, W-).
+
+    method='exact' uses the null distribution, 'normal' the approximation with
+    tie correction; neither changes with the number of blocks. A pair without a
+    difference has statistic 0 and p 1."""
+    if method not in ("exact", "normal"):
+        raise ValueError(method)
+    every = pair_differences(tab)
     part = ["group_a", "group_b"]
+    d = every.filter(F.col("d") != 0)
     r = d.withColumn("ad", F.abs("d")).withColumn("r", average_rank(False, part, "ad"))
     ties = r.groupBy(*part, "ad").agg(F.count(F.lit(1)).alias("t")).groupBy(*part) \
         .agg(F.sum(F.pow("t", 3) - F.col("t")).alias("tie"))
@@ -166,16 +171,19 @@ def wilcoxon_pairs(tab: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.collect_list((2 * F.col("r")).cast("int")).alias("r2")).join(ties, part)
     w = F.least("wp", "wm")
-    counts = _subset_sum_counts(F.col("r2"))
-    below = F.aggregate(F.slice(counts, 1, (2 * w).cast("int") + 1), F.lit(0.0), lambda a, x: a + x)
-    exact_p = F.least(F.lit(1.0), 2.0 * below / F.pow(F.lit(2.0), F.col("n")))
     n = F.col("n").cast("double")
-    mu = n * (n + 1) / 4.0
-    sd = F.sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - F.col("tie") / 48.0)
-    z2 = F.pow((w - mu) / sd, 2)
-    p = F.when(F.col("n") <= EXACT_MAX_N, exact_p).otherwise(chi2_sf(z2, F.lit(1.0)))
-    return g.select(*part, F.col("n").cast("int").alias("n"), w.alias("wilcoxon_statistic"),
-                    F.round(p, 9).alias("wilcoxon_p"))
+    if method == "exact":
+        counts = _subset_sum_counts(F.col("r2"))
+        below = F.aggregate(F.slice(counts, 1, (2 * w).cast("int") + 1), F.lit(0.0), lambda a, x: a + x)
+        p = F.least(F.lit(1.0), 2.0 * below / F.pow(F.lit(2.0), F.col("n")))
+    else:
+        mu = n * (n + 1) / 4.0
+        sd = F.sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - F.col("tie") / 48.0)
+        p = chi2_sf(F.pow(F.try_divide(w - mu, sd), 2), F.lit(1.0))
+    tested = g.select(*part, F.col("n").cast("int").alias("n"), w.alias("wilcoxon_statistic"), F.round(p, 9).alias("wilcoxon_p"))
+    return (every.select(*part).distinct().join(tested, part, "left")
+            .select(*part, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("wilcoxon_statistic", F.lit(0.0)).alias("wilcoxon_statistic"),
+                    F.coalesce("wilcoxon_p", F.lit(1.0)).alias("wilcoxon_p")))
 
 
 def paired_t(tab: DataFrame) -> DataFrame:

@@ -34,13 +34,16 @@ def tree_probabilities(train: DataFrame, test: DataFrame, key: str, features: st
                        impurity: str = "gini", alpha: float = 0.0, max_bins: int = 64,
                        min_info_gain: float = 0.0, seed: int = 42) -> DataFrame:
     """Fit on ``train`` (class weights ``power_weights(alpha)``) and
-    return ``key, p (array over classes), pred`` for ``test``."""
+    return ``key, p (array over classes), pred`` for ``test``. ``max_depth`` None
+    is the deepest tree MLlib grows; 0 is a single leaf; more than 30 is refused."""
+    if max_depth is not None and not 0 <= max_depth <= UNBOUNDED_DEPTH:
+        raise ValueError(f"max_depth is from 0 to {UNBOUNDED_DEPTH}, or None")
     cls = F.array(*[F.lit(c) for c in classes])
     idx = (F.array_position(cls, F.col(label)) - 1).cast("double")
     w = power_weights(train, label, alpha).select(label, F.col("w").alias("_w"))
     tr = train.join(bounded_broadcast(w), label, "inner").withColumn("_y", idx)
     dt = DecisionTreeClassifier(featuresCol=features, labelCol="_y", weightCol="_w",
-                                maxDepth=min(max_depth or UNBOUNDED_DEPTH, UNBOUNDED_DEPTH),
+                                maxDepth=UNBOUNDED_DEPTH if max_depth is None else max_depth,
                                 minInstancesPerNode=min_leaf, impurity=impurity, maxBins=max_bins,
                                 minInfoGain=min_info_gain, seed=seed)
     model = dt.fit(tr)
@@ -77,17 +80,16 @@ def out_of_fold(df: DataFrame, key: str, features: str, label: str, fold: str, c
     return out
 
 
-def grid(df: DataFrame, key: str, features: str, label: str, fold: str, classes: list,
-         space: dict) -> DataFrame:
+def grid(predict, space: dict) -> DataFrame:
     """Cross-validated scores for every combination in ``space`` (a dict
-    of parameter -> values), sorted by mean macro F1. Each fold fit is a
-    distributed MLlib job; the grid loop itself is on the driver."""
+    of parameter -> values). ``predict(**params)`` returns out-of-fold
+    predictions (fold, y, pred) and prepares features per fold itself; each fold
+    fit is a distributed MLlib job, the grid loop is on the driver."""
     names = list(space)
     rows = []
     for combo in itertools.product(*[space[n] for n in names]):
         params = dict(zip(names, combo))
-        pred = out_of_fold(df, key, features, label, fold, classes, **params)
-        sc = metrics.scores(metrics.confusion(pred, ["fold"]), ["fold"])
+        sc = metrics.scores(metrics.confusion(predict(**params), ["fold"]), ["fold"])
         s = sc.agg(F.avg("f1_macro").alias("f1_mean"), F.stddev_samp("f1_macro").alias("f1_std"),
                    F.avg("balanced_accuracy").alias("bal_mean"), F.stddev_samp("balanced_accuracy").alias("bal_std"))
         rows.append(s.select(*[F.lit(v).alias(n) for n, v in params.items()], "*"))

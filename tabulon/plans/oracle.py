@@ -506,8 +506,8 @@ FROM part p LEFT JOIN {_codes('p_type')} a ON a.lv = p.p_type LEFT JOIN {_codes(
 LEFT JOIN {_codes('p_name')} c ON c.lv = p.p_name"""
 
 ORACLE["constant_filter"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, coalesce(min({c}) < max({c}), false) AS kept FROM labels WHERE toxic = 1"
-    for c in ["doc_id", "quality", "toxic"])
+    f"SELECT '{c}' AS feature, coalesce(min({c}) < max({c}), false) AS kept FROM (SELECT *, 'labels' AS source_table FROM labels)"
+    for c in ["doc_id", "quality", "toxic", "source_table"])
 
 ORACLE["leave_fold_out_params"] = f"""
 WITH f AS {folds_sql('orders', 'o_orderkey', 'o_orderpriority', 10)},
@@ -565,8 +565,13 @@ def _scale_sql(kind: str) -> str:
   JOIN v_l_discount USING (row_key)"""
 
 
+def _every_fold(sql: str, k: int = 10) -> str:
+    """The held-out fold 0 of ``sql`` in turn replaced by every fold."""
+    return " UNION ALL ".join(f"SELECT * FROM ({sql.replace('fold <> 0', f'fold <> {i}').replace('fold = 0', f'fold = {i}')})" for i in range(k))
+
+
 for _k in ("minmax", "zscore", "robust", "log", "rank"):
-    ORACLE[f"scale_{_k}"] = _scale_sql(_k)
+    ORACLE[f"scale_{_k}"] = _every_fold(_scale_sql(_k))
 
 
 # ---------------------------------------------------------------- trees, rules, SMOTE
@@ -661,14 +666,12 @@ SELECT *, share >= 0.12 AS labelled FROM s"""
 
 ORACLE["claim_check"] = """
 WITH c AS (SELECT o_orderpriority AS class, count(*) AS n FROM orders GROUP BY 1),
-f AS (SELECT 'n_instances' AS name, CAST((SELECT count(*) FROM orders) AS VARCHAR) AS value
-  UNION ALL SELECT 'n_classes', CAST((SELECT count(*) FROM c) AS VARCHAR)
+f AS (SELECT 'n_classes' AS name, CAST((SELECT count(*) FROM c) AS VARCHAR) AS value
   UNION ALL SELECT 'id_unique', CAST((SELECT count(DISTINCT o_orderkey) = count(*) FROM orders) AS VARCHAR)
   UNION ALL SELECT 'imbalance_ratio', CAST((SELECT round(max(n) / min(n), 6) FROM c) AS VARCHAR)
-  UNION ALL SELECT 'majority', (SELECT arg_min(class, (-n, class)) FROM c)
-  UNION ALL SELECT 'minority', (SELECT arg_min(class, (n, class)) FROM c)),
-cl AS (SELECT * FROM (VALUES ('n_instances', '15000', 0.0), ('n_classes', '5', 0.0), ('id_unique', 'true', 0.0),
-        ('imbalance_ratio', '1.01', 0.01), ('majority', '4-NOT SPECIFIED', 0.0), ('minority', '1-URGENT', 0.0)) t(name, claimed, tol))
+  UNION ALL SELECT 'n_numeric', '1' UNION ALL SELECT 'n_nominal', '1'),
+cl AS (SELECT * FROM (VALUES ('n_classes', '5', 0.0), ('id_unique', 'true', 0.0), ('imbalance_ratio', '1.1', 0.1),
+        ('n_numeric', '1', 0.0), ('n_nominal', '1', 0.0)) t(name, claimed, tol))
 SELECT cl.name, claimed, value AS computed,
        CASE WHEN value IS NULL THEN false
             WHEN TRY_CAST(claimed AS DOUBLE) IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NOT NULL
@@ -875,7 +878,7 @@ def _rank_sql(cols: list[str], folds: str) -> str:
 
 
 _KF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-ORACLE["knn_features"] = f"""
+_KNN_FEATURES = f"""
 WITH {_rank_sql(_KF, LI_FOLDS_ALL)},
 lv AS (SELECT l_linestatus AS level, count(*) AS n FROM tr GROUP BY 1),
 sh AS (SELECT *, n / sum(n) OVER () AS share, row_number() OVER (ORDER BY n DESC, level) AS rk FROM lv),
@@ -885,6 +888,7 @@ g AS (SELECT row_key, CASE WHEN l_linestatus IN (SELECT level FROM kept) THEN l_
 SELECT g.row_key, list_concat([{", ".join(f"round(r_{c}, 6)" for c in _KF)}],
        list_transform(L, lambda l: CASE WHEN l = ls THEN 1.0 ELSE 0.0 END)) AS features
 FROM g {" ".join(f"JOIN v_{c} USING (row_key)" for c in _KF)}, levels"""
+ORACLE["knn_features"] = _every_fold(_KNN_FEATURES)
 
 # Probe of each training fold scored against that fold, against out-of-fold accuracy
 ORACLE["training_probe_gap"] = f"""

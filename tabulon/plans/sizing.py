@@ -3,22 +3,51 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after proving it has at most ``max_rows`` rows.
+def bounded_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``small`` only after proving it has at most ``max_bytes``.
 
     The table is persisted (it is small by construction, a few rows per class,
-    bucket or feature), counted, and hinted for broadcast; beyond the bound it
-    is returned un-hinted and Spark shuffles both sides.
+    bucket or feature), its row widths are summed (strings by their octets, 16
+    bytes for any other value and for each row), and it is hinted for broadcast;
+    beyond the bound it is returned un-hinted and Spark shuffles both sides.
     """
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    width = F.lit(16)
+    for f in small.schema.fields:
+        text = f.dataType.simpleString() in ("string", "binary")
+        width = width + (F.coalesce(F.octet_length(f.name), F.lit(0)) if text else F.lit(16))
+    n = small.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(small) if n <= max_bytes else small
+
+
+def global_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Add ``name``: the 0-based place of each row in ``order``, without one
+    task for all rows: rows are range partitioned and sorted, the layout is
+    checkpointed, and only row counts by partition are summed up in order."""
+    laid = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn("_pid", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
+    counts = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = counts.select("_pid", "_first", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_before"))
+    # one row per partition; ids are consecutive within a partition
+    return (laid.join(F.broadcast(before), "_pid")
+            .withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).drop("_pid", "_at", "_first", "_before"))
+
+
+def join_null_safe(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join that treats NULL keys as equal, so a NULL label or feature is
+    a value of its own and its rows are not dropped."""
+    ren = small.select(*[F.col(c).alias(f"_j_{c}") if c in keys else F.col(c) for c in small.columns])
+    cond = None
+    for k in keys:
+        e = big[k].eqNullSafe(ren[f"_j_{k}"])
+        cond = e if cond is None else cond & e
+    return big.join(ren, cond, how).drop(*[f"_j_{k}" for k in keys])
 
 
 def join_single_rows(*frames: DataFrame) -> DataFrame:

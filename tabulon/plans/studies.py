@@ -159,7 +159,7 @@ def redundancy_study(df, key, label, fold, numeric, nominal, classes, k: int = 5
     return _union(parts)
 
 
-def k_under_rule(pred_many_k: DataFrame, classes: list, rounds: int = 2) -> DataFrame:
+def k_under_rule(pred_many_k: DataFrame, classes: list, rounds: int = 6) -> DataFrame:
     """Macro F1 per k with the plain rule and with fitted multipliers."""
     rows = []
     for k in sorted(r[0] for r in pred_many_k.select("k").distinct().collect()):
@@ -193,7 +193,7 @@ def plain_vs_tuned(pred: DataFrame, weights: list[float], classes: list) -> Data
 
 
 def four_configurations(df, key, label, fold, numeric, nominal, classes, tune_fold_df=None,
-                        knn_k: int = 15, tree_params: dict | None = None, rounds: int = 2) -> DataFrame:
+                        knn_k: int = 15, tree_params: dict | None = None, rounds: int = 6) -> DataFrame:
     """K-NN, k-NN + SMOTE, tree, tree + SMOTE, each with its own decision
     multipliers fitted on out-of-fold distributions of the tuning rows
     (``tune_fold_df``) and applied to the evaluation folds. Returns the fold

@@ -8,8 +8,10 @@ rerun overwrites only what it recomputes.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,14 +78,25 @@ def snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def reuse_or_compute(spark: SparkSession, path: str, compute) -> DataFrame:
-    """Reuse a stored parameter table when present, else compute and store it."""
+def _missing(e: AnalysisException) -> bool:
+    return (e.getCondition() or "").startswith("PATH_NOT_FOUND")
+
+
+def reuse_or_compute(spark: SparkSession, path: str, compute, settings: str = "") -> DataFrame:
+    """Reuse a stored parameter table when one is stored for the same
+    ``settings``, else compute and store it.
+
+    Tables lie under a fingerprint of the settings, so other settings never
+    reuse them. Only an absent path counts as absent: any other read error is
+    raised and nothing is overwritten."""
+    at = f"{path}/settings={hashlib.sha256(settings.encode()).hexdigest()[:16]}"
     try:
-        return spark.read.parquet(path)
-    except Exception:
-        df = compute()
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.parquet(at)
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+    compute().write.mode("error").parquet(at)
+    return spark.read.parquet(at)
 
 
 def extract_log_table(spark: SparkSession, path: str) -> DataFrame:
@@ -114,7 +127,9 @@ def count_tables(spark: SparkSession, paths: dict[str, str], group_of: dict[str,
     for name, p in paths.items():
         try:
             df = spark.read.parquet(p).select(F.count(F.lit(1)).alias("n"))
-        except Exception:
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
             df = spark.range(1).select(F.lit(0).cast("bigint").alias("n"))
         parts.append(df.select(F.lit(group_of.get(name, name)).alias("group"), "n"))
     out = parts[0]

@@ -11,7 +11,8 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tabulon.session import get_spark
+    from tabulon.session import get_spark, ship_package
     s = get_spark("tests", "*", shuffle_partitions=8)
+    ship_package(s)
     yield s
     s.stop()

@@ -50,12 +50,12 @@ def test_correlations_constant_column_is_null(spark):
 def test_adjacent_agreement_stitches_bucket_edges(spark):
     ys = ["a", "a", "b", "b", "b", "a", "c", "c"]
     df = spark.createDataFrame([(i * 10, y) for i, y in enumerate(ys)], "id long, y string")
-    r = audit.adjacent_agreement(df, "id", "y", buckets=3).first()
+    r = audit.adjacent_agreement(df, "id", "y").first()
     agree = sum(1 for i in range(1, len(ys)) if ys[i] == ys[i - 1])
     assert r["n_pairs"] == len(ys) - 1 and r["agree"] == agree
 
 
 def test_monotonic_check(spark):
     df = spark.createDataFrame([(1, 10), (2, 20), (3, 15), (4, 40)], "t int, id int")
-    r = audit.monotonic_check(df, "t", "id", buckets=2).first()
+    r = audit.monotonic_check(df, "t", "id").first()
     assert r["violations"] == 1 and not r["strictly_increasing"]
