@@ -28,10 +28,10 @@ def bucketed(docs: DataFrame) -> DataFrame:
     n = max(-(-n_bytes // BUCKET_BYTES), shuffle_parts(spark))
     cuts = docs.agg(F.percentile_approx(ids.cast("double"), [i / n for i in range(1, n)] or [0.5],
                                         F.lit(max(10_000, 20 * n)))).first()[0] or []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     cast = docs.withColumn("_id", ids.cast("double"))
     return (Bucketizer(splits=splits, inputCol="_id", outputCol="_b", handleInvalid="keep").transform(cast)
-            .withColumn("_bucket", F.col("_b").cast("int")).drop("_id", "_b"))
+            .withColumn("_bucket", F.coalesce(F.col("_b").cast("int"), F.lit(len(splits) - 1))).drop("_id", "_b"))
 
 
 def ids_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

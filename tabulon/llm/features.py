@@ -14,6 +14,7 @@ import pyarrow as pa
 from .words import Words, _BYTE, _POW, mix, split
 
 DIMS = 1 << 18
+BLOCK = 100                   # words
 WORDS, SHAPES = "words", "shapes"
 
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -54,6 +55,12 @@ def statistics(w: Words) -> dict[str, np.ndarray]:
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
     at = np.flatnonzero(new)
+    # distinct words are counted in blocks, so that a long text is not a repetitive one
+    block = (np.arange(len(text)) - w.first[text]) // BLOCK + text * (1 << 32)
+    order = np.lexsort((w.hash, block))
+    hb, tb = w.hash[order], block[order]
+    fresh = np.ones(len(hb), bool)
+    fresh[1:] = (hb[1:] != hb[:-1]) | (tb[1:] != tb[:-1])
     most = np.zeros(len(n), np.int64)
     np.maximum.at(most, t[at], np.diff(np.append(at, len(h))))
     size = w.end - w.start
@@ -66,7 +73,7 @@ def statistics(w: Words) -> dict[str, np.ndarray]:
             "bars": _by_text((w.end - w.start == 1) & (last == ord("|")), w.first) / share,
             "odd": _by_text(strange, w.first) / share,
             "repeated": _by_text(before & inner, w.first) / share,
-            "distinct": np.bincount(t[new], minlength=len(n)) / share,
+            "distinct": np.bincount(tb[fresh] >> 32, minlength=len(n)) / share,
             "top": most / share,
             "ended": _by_text(_END[last], w.first) / share}
 
@@ -166,20 +173,26 @@ class Linear:
     def probability(self, row: np.ndarray, col: np.ndarray, extra: np.ndarray) -> np.ndarray:
         return sigmoid(self.margin(row, col, extra))
 
-    def fit(self, row: np.ndarray, col: np.ndarray, extra: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Linear:
-        """y may be a probability. A sample of one class gives its prior."""
+    def fit(self, row: np.ndarray, col: np.ndarray, extra: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
+            scale: np.ndarray | None = None) -> Linear:
+        """y may be a probability. A sample of one class gives its prior.
+        ``scale`` sets how far each binary feature's weight may go: its
+        penalty is divided by the square of its scale."""
         n = len(y)
         weight = np.ones(n) if weight is None else weight
         total = max(weight.sum(), 1e-9)
         prior = (float((weight * y).sum()) + 0.5) / (total + 1.0)
         w = np.zeros_like(self.w)
         w[-1] = np.log(prior / (1 - prior))
+        by = np.ones_like(w)
+        if scale is not None:
+            by[:self.width] = scale
         if n == 0 or not 0 < (weight * y).sum() < total:
             self.w = w
             return self
 
         def loss(v):
-            z = self.margin(row, col, extra, v)
+            z = self.margin(row, col, extra, v * by)
             p = sigmoid(z)
             r = weight * (p - y) / total
             g = np.concatenate([np.bincount(col, weights=r[row], minlength=self.width)[:self.width], extra.T @ r, [r.sum()]])
@@ -187,7 +200,7 @@ class Linear:
             reg[-1] = 0
             z = np.clip(z, -30, 30)
             value = float((weight * (np.logaddexp(0, z) - y * z)).sum() / total) + 0.5 * float(reg @ v)
-            return value, g + reg
+            return value, g * by + reg
 
         old_s, old_y = [], []
         f, g = loss(w)
@@ -216,5 +229,5 @@ class Linear:
             w, f, g = v, fv, gv
             if done:
                 break
-        self.w = w
+        self.w = w * by
         return self

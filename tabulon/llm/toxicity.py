@@ -34,6 +34,7 @@ SAMPLE = 20_000
 WIDTH = 4096
 MIN_Z = 4.0
 FOLDS = 5
+L2 = 1e-3
 KINDS = (WORDS, SHAPES)
 
 
@@ -144,20 +145,27 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     col = np.concatenate([np.frombuffer(r["features"], "<i4") for r in got] or [np.zeros(0, "<i4")]).astype(np.int64)
     extra, models = np.zeros((len(got), 0)), []
     for k in range(n):
+        scale = _log_odds(counts[2 * k:2 * k + 2, picked], sides[k])
         y = np.array([np.nan if r[f"y{k}"] is None else r[f"y{k}"] for r in got])
         out = np.zeros(len(got))
         for f in range(FOLDS) if k + 1 < n else ():
-            m = _fit(owner, col, extra, y, (fold != f) & ~np.isnan(y), len(picked))
+            m = _fit(owner, col, extra, y, (fold != f) & ~np.isnan(y), scale)
             out[fold == f] = m.margin(owner, col, extra)[fold == f]
-        models.append(_fit(owner, col, extra, y, ~np.isnan(y), len(picked)))
+        models.append(_fit(owner, col, extra, y, ~np.isnan(y), scale))
         extra = np.column_stack([extra, np.clip(out, -10, 10)])
     return Chain(names, column, models)
 
 
-def _fit(owner, col, extra, y, use, width) -> Linear:
+def _log_odds(counts: np.ndarray, sides) -> np.ndarray:
+    """How much each feature's presence tells the sides apart, at least 0.01."""
+    share = (counts + 0.5) / (np.array(sides, float)[:, None] + 1.0)
+    return np.maximum(np.abs(np.log(share[1]) - np.log(share[0])), 0.01)
+
+
+def _fit(owner, col, extra, y, use, scale) -> Linear:
     number = np.cumsum(use) - 1
     keep = use[owner]
-    return Linear(width, extra.shape[1], l2=1e-4).fit(number[owner[keep]], col[keep], extra[use], y[use])
+    return Linear(len(scale), extra.shape[1], l2=L2).fit(number[owner[keep]], col[keep], extra[use], y[use], scale=scale)
 
 
 def _scored(chain):

@@ -114,7 +114,7 @@ def directory(f, size: int) -> dict[str, tuple[int, int, int]]:
     f.seek(tail_at)
     tail = f.read(size - tail_at)
     at = tail.rfind(b"PK\x05\x06")
-    while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
         at = tail.rfind(b"PK\x05\x06", 0, at)
     if at < 0:
         raise ValueError("no end of central directory")
