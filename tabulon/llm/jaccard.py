@@ -1,14 +1,17 @@
 """Exact n-gram Jaccard join by rare-first prefix filtering.
 
 A document's set holds the hashes of its distinct ``n``-word shingles. Equal
-sets collapse to their smallest doc_id first. Tokens are ordered rare first by
-a counter table over all shingles of all documents (any order shared by all
-documents is exact; the counters only make the prefixes selective). Two sets
+sets collapse to their smallest doc_id first. Tokens are ordered rare first:
+a counter table of fixed size over all words of all documents gives each shingle
+its expected frequency (any order shared by all documents is exact; the counters
+only make the prefixes selective). Two sets
 with Jaccard >= t share a token of their prefixes, so the prefixes are joined
 on tokens. In each token's list the length filter and the positional filter
-drop pairs that cannot overlap enough, a suffix filter on hash-partitioned
-suffix counts drops more, and each pair that is left is verified once on the
-whole sets.
+drop pairs that cannot overlap enough, a suffix filter drops more, and each pair
+that is left is verified once on the whole sets. The suffix filter compares
+parity bitmaps, one bit for the number of tokens in each of at least as many
+hash cells as the set has tokens: two sets differ in at least as many tokens as
+their bitmaps differ in bits.
 
 Links are found in two passes so that a large group of near copies does not
 produce all its pairs: first each list is joined to its hub (the set that holds
@@ -25,6 +28,8 @@ no rows; texts are never cut; other columns are ignored."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,9 +40,11 @@ from .buckets import ids_of, in_sorted, one
 from .common import components, cut, shuffle_parts, table, with_running_total
 from .words import Words, chunks, mix, split
 
-COUNTERS = 1 << 18
-SUFFIX_CELLS = 16
-_SETS = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, cells binary, part int, postings binary"
+COUNTERS = 1 << 20
+BROADCAST_IDS = 1 << 20        # ids that may be broadcast (16 MB); beyond, a shuffle join
+MIN_BITS = 64
+_SETS = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bitmap binary"
+_PACKED = "part int, postings binary"
 _POSTING = np.dtype([("token", "<u8"), ("doc_id", "<i8"), ("size", "<i4"), ("pos", "<i4")])
 
 
@@ -61,42 +68,72 @@ def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return h[new], text[new]
 
 
-def _rare_first(h: np.ndarray, first: np.ndarray, rare: np.ndarray) -> np.ndarray:
-    """Each text's sorted hashes in the order (count, hash)."""
-    place = np.arange(len(h), dtype=np.uint64) - np.repeat(first[:-1], np.diff(first)).astype(np.uint64)
-    key = (rare[(h & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(32)) | place
-    for s, e in zip(first[:-1].tolist(), first[1:].tolist()):
-        key[s:e].sort()
-    back = (key & np.uint64(0xFFFFFFFF)).astype(np.int64) + np.repeat(first[:-1], np.diff(first))
-    return h[back]
-
-
-def _counters(docs: DataFrame, n: int) -> np.ndarray:
-    """Shingle counts of all documents by the low bits of their hash: a table
-    of fixed size, summed cell by cell in a shuffle."""
-    cells = 4096
+def _counters(docs: DataFrame) -> np.ndarray:
+    """Word counts of all documents by the low bits of their hash: a table of
+    fixed size, summed block by block in a shuffle."""
+    cells = 1 << 14
 
     def count(batches):
-        total = np.zeros(COUNTERS, np.int64)
+        total = np.zeros(COUNTERS, np.uint32)
         for b in batches:
             for s, e in chunks(b.column(0)):
-                h, whole = split(b.column(0).slice(s, e - s), lower=True).grams(n)
-                h = h[whole]
-                total += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+                h = split(b.column(0).slice(s, e - s), lower=True).hash
+                total += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
         blocks = total.reshape(-1, cells)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks)), pa.int32()),
-                                          pa.array([x.tobytes() for x in blocks], pa.binary())], ["block", "counts"])
+                                          pa.array([zlib.compress(x.astype("<u8").tobytes(), 1) for x in blocks], pa.binary())],
+                                         ["block", "counts"])
 
     def add(key, rows):
-        total = sum(np.frombuffer(x, np.int64) for x in rows.column("counts").to_pylist())
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = sum(np.frombuffer(zlib.decompress(x), "<u8") for x in rows.column("counts").to_pylist())
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()),
+                         "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     schema = "block int, counts binary"
     rows = docs.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect()
-    out = np.zeros((COUNTERS // cells, cells), np.int64)
+    out = np.zeros((COUNTERS // cells, cells), np.uint64)
     for r in rows:
-        out[r["block"]] = np.frombuffer(r["counts"], np.int64)
-    return np.minimum(out.reshape(-1), np.iinfo(np.uint32).max).astype(np.uint32)
+        out[r["block"]] = np.frombuffer(zlib.decompress(r["counts"]), "<u8")
+    return np.log2(out.reshape(-1) + 1.0).astype(np.float32)
+
+
+def _tokens(w: Words, n: int, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of each text's shingles, sorted and distinct: 24 bits of expected
+    frequency (rare first), then 40 bits of the shingle's hash."""
+    h, whole = w.grams(n)
+    counts = w.counts()
+    word = rarity[(w.hash & np.uint64(COUNTERS - 1)).astype(np.int64)]
+    rank = np.zeros(len(h), np.float32)
+    for j in range(min(n, len(h))):
+        rank[:len(h) - j] += word[j:]
+    for k in range(1, n):
+        of = np.flatnonzero(counts == k)
+        if len(of):
+            at = w.first[of]
+            h[at] = w.grams(k)[0][at] + np.uint64(k)
+            rank[at] = word[at]
+            whole[at] = True
+    token = (np.minimum(rank * 4096, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (h >> np.uint64(24))
+    text, token = w.text_of()[whole], token[whole]
+    first = np.searchsorted(text, np.arange(len(counts) + 1))
+    for s, e in zip(first[:-1].tolist(), first[1:].tolist()):
+        token[s:e].sort()
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (text[1:] != text[:-1])
+    return token[new], text[new]
+
+
+def _fold(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit digest of each set (0 for an empty one)."""
+    full = np.flatnonzero(np.diff(first))
+    out = []
+    with np.errstate(over="ignore"):
+        for x in (mix(h ^ np.uint64(0x9E3779B97F4A7C15)), mix(h + np.uint64(0xD6E8FEB86659FD93))):
+            d = np.zeros(len(first) - 1, np.uint64)
+            if len(full):
+                d[full] = np.add.reduceat(x, first[full])
+            out.append(d)
+    return out[0], out[1]
 
 
 def prefix_length(size, percent: int):
@@ -122,43 +159,51 @@ def _fold(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _sets(counters, n: int, percent: int, parts: int):
-    """One row per document (set size, digest, suffix cells), then the
-    prefix postings of the batch's distinct sets, packed by shuffle part."""
+def _bits(size: np.ndarray) -> np.ndarray:
+    """Bits of a set's bitmap: the power of two from its size on."""
+    return np.maximum(MIN_BITS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+
+
+def _bitmaps(h: np.ndarray, text: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Parity of the number of hashes by their low bits, for each text."""
+    bits = _bits(size)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    parity = np.bincount(first[text] + (h & (bits[text] - 1).astype(np.uint64)).astype(np.int64), minlength=first[-1]) & 1
+    raw = np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+    return [raw[s:e] for s, e in zip((first[:-1] // 8).tolist(), (first[1:] // 8).tolist())]
+
+
+def _sets(n: int):
+    """One row per document: set size, digest and bitmap."""
     def run(batches):
-        rare = counters.value
         for b in batches:
-            text_column, ids_column = one(pa.chunked_array([b.column(1)])), b.column(0)
-            for s, e in chunks(text_column):
-                w = split(text_column.slice(s, e - s), lower=True)
-                h, text = shingles(w, n)
+            column = one(pa.chunked_array([b.column(1)]))
+            for s, e in chunks(column):
+                h, text = shingles(split(column.slice(s, e - s), lower=True), n)
                 m = e - s
                 size = np.bincount(text, minlength=m)
-                first = np.concatenate([[0], np.cumsum(size)])
-                hi, lo = _fold(h, first)
-                h = _rare_first(h, first, rare)
-                pos = np.arange(len(h)) - first[text]
-                prefix = pos < prefix_length(size, percent)[text]
-                # suffix tokens by the high bits of their hash, at most 65535 a cell
-                cell = np.bincount(text[~prefix] * SUFFIX_CELLS + (h[~prefix] >> np.uint64(60)).astype(np.int64),
-                                   minlength=m * SUFFIX_CELLS)
-                cell = np.minimum(cell, 65535).astype("<u2").reshape(m, SUFFIX_CELLS)
-                column = ids_column.slice(s, m)
-                null = [None] * m
+                hi, lo = _fold(h, np.concatenate([[0], np.cumsum(size)]))
                 yield pa.RecordBatch.from_arrays(
-                    [column, pa.array(size, pa.int64()), pa.array(hi.astype(np.int64)), pa.array(lo.astype(np.int64)),
-                     pa.array([x.tobytes() for x in cell], pa.binary()), pa.array(null, pa.int32()), pa.array(null, pa.binary())],
-                    ["doc_id", "n_shingles", "set_hi", "set_lo", "cells", "part", "postings"])
-                ids = ids_of(column)
-                lead = np.zeros(m, bool)               # smallest id of each distinct set in the chunk
-                rank = np.lexsort((ids, lo, hi))
-                rank = rank[(size[rank] > 0) & ~np.asarray(column.is_null())[rank]]
-                new = np.ones(len(rank), bool)
-                new[1:] = (hi[rank[1:]] != hi[rank[:-1]]) | (lo[rank[1:]] != lo[rank[:-1]])
-                lead[rank[new]] = True
-                take = prefix & lead[text]
-                post = np.empty(int(take.sum()), _POSTING)
-                post["token"], post["doc_id"], post["size"], post["pos"] = h[take], ids[text[take]], size[text[take]], pos[take]
+                    [b.column(0).slice(s, m), pa.array(size, pa.int64()), pa.array(hi.astype(np.int64)), pa.array(lo.astype(np.int64)),
+                     pa.array(_bitmaps(h, text, size), pa.binary())], ["doc_id", "n_shingles", "set_hi", "set_lo", "bitmap"])
+    return run
+
+
+def _postings(rarity, n: int, percent: int, parts: int):
+    """Prefix postings of the texts with a doc_id, packed by shuffle part."""
+    def run(batches):
+        for b in batches:
+            b = b.filter(b.column(0).is_valid())
+            column = one(pa.chunked_array([b.column(1)]))
+            for s, e in chunks(column):
+                token, text = _tokens(split(column.slice(s, e - s), lower=True), n, rarity.value)
+                size = np.bincount(text, minlength=e - s)
+                pos = np.arange(len(token)) - (np.cumsum(size) - size)[text]
+                take = pos < prefix_length(size, percent)[text]
+                text = text[take]
+                post = np.empty(len(text), _POSTING)
+                post["token"], post["size"], post["pos"] = token[take], size[text], pos[take]
+                post["doc_id"] = ids_of(b.column(0).slice(s, e - s))[text]
                 yield _packed_postings(post, parts)
     return run
 
@@ -169,89 +214,122 @@ def _packed_postings(post: np.ndarray, parts: int) -> pa.RecordBatch:
     part, post = part[order], post[order]
     at = np.flatnonzero(np.diff(part, prepend=-1))
     ends = np.append(at[1:], len(post))
-    null = pa.array([None] * len(at), pa.int64())
-    return pa.RecordBatch.from_arrays([null, null, null, null, pa.array([None] * len(at), pa.binary()), pa.array(part[at], pa.int32()),
-                                       pa.array([post[s:e].tobytes() for s, e in zip(at, ends)], pa.binary())],
-                                      ["doc_id", "n_shingles", "set_hi", "set_lo", "cells", "part", "postings"])
-
-
-def _shared_postings(key, rows):
-    """Postings of tokens that two or more documents hold."""
-    post = np.concatenate([np.frombuffer(x, _POSTING) for x in rows.column("postings").to_pylist()])
-    post = post[np.argsort(post["token"], kind="stable")]
-    same = np.zeros(len(post) + 1, bool)
-    same[1:-1] = post["token"][1:] == post["token"][:-1]
-    post = post[same[1:] | same[:-1]]
-    return pa.table({"token": pa.array(post["token"].astype(np.int64)), "doc_id": pa.array(post["doc_id"]),
-                     "size": pa.array(post["size"]), "pos": pa.array(post["pos"])})
+    return pa.RecordBatch.from_arrays([pa.array(part[at], pa.int32()), pa.array([post[s:e].tobytes() for s, e in zip(at, ends)], pa.binary())],
+                                      ["part", "postings"])
+
+
+def _candidates(percent: int):
+    """Postings that some other posting of their token can match by length and
+    position."""
+    def run(key, rows):
+        post = np.concatenate([np.frombuffer(x, _POSTING) for x in rows.column("postings").to_pylist()])
+        post = post[np.lexsort((post["doc_id"], post["size"], post["token"]))]
+        new = np.ones(len(post), bool)                 # a repeated document posts once
+        new[1:] = (post["token"][1:] != post["token"][:-1]) | (post["doc_id"][1:] != post["doc_id"][:-1])
+        post = post[new]
+        token, size, pos = post["token"], post["size"].astype(np.int64), post["pos"].astype(np.int64)
+        mark, left, d = np.zeros(len(post), bool), np.arange(len(post)), 0
+        while True:
+            d += 1
+            left = left[left + d < len(post)]
+            left = left[(token[left + d] == token[left]) & (100 * size[left] >= percent * size[left + d])]
+            if not len(left):
+                break
+            i, j = left, left + d
+            ok = np.minimum(size[i] - pos[i], size[j] - pos[j]) >= min_overlap(size[i], size[j], percent)
+            mark[i[ok]] = mark[j[ok]] = True
+        post = post[mark]
+        return pa.table({"token": pa.array(post["token"].astype(np.int64)), "doc_id": pa.array(post["doc_id"]),
+                         "size": pa.array(post["size"]), "pos": pa.array(post["pos"])})
+    return run
 
 
-def _can_match(a: pd.DataFrame, b: pd.DataFrame, percent: int) -> np.ndarray:
-    """Length and positional filters for two aligned frames of postings."""
-    sa, sb, pa_, pb = (x.to_numpy().astype(np.int64) for x in (a["size"], b["size"], a["pos"], b["pos"]))
-    need = min_overlap(sa, sb, percent)
-    long = 100 * np.minimum(sa, sb) >= percent * np.maximum(sa, sb)
-    return long & (np.minimum(sa - pa_, sb - pb) >= need)
+class _Lists:
+    """Postings of some tokens as arrays, with the filters of a pair of rows."""
+
+    def __init__(self, group: pd.DataFrame, order: list[str], percent: int):
+        g = group.sort_values(order, kind="stable")
+        self.token, self.size, self.pos, self.ids = (g[c].to_numpy().astype(np.int64) for c in ("token", "size", "pos", "doc_id"))
+        self.comp = g["component"].to_numpy().astype(np.int64) if "component" in g else self.ids
+        self.bits = _bits(self.size)
+        self.bitmap = g["bitmap"].to_numpy()
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.percent = percent
+
+    def _matrix(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bitmaps of the rows with ``bits`` bits or more, folded to
+        ``bits``, and each row's place in the matrix."""
+        if bits not in self.folded:
+            rows = np.flatnonzero(self.bits >= bits)
+            out = np.zeros((len(rows), bits // 64), np.uint64)
+            for k, i in enumerate(rows):
+                out[k] = np.bitwise_xor.reduce(np.frombuffer(self.bitmap[i], "<u8").reshape(-1, bits // 64), axis=0)
+            place = np.full(len(self.ids), -1, np.int64)
+            place[rows] = np.arange(len(rows))
+            self.folded[bits] = out, place
+        return self.folded[bits]
+
+    def passing(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of rows that may reach the threshold: length filter,
+        positional filter, suffix filter."""
+        si, sj = self.size[i], self.size[j]
+        need = min_overlap(si, sj, self.percent)
+        ok = 100 * np.minimum(si, sj) >= self.percent * np.maximum(si, sj)
+        ok &= np.minimum(si - self.pos[i], sj - self.pos[j]) >= need
+        ok &= self.ids[i] != self.ids[j]
+        i, j, need = i[ok], j[ok], need[ok]
+        width = np.minimum(self.bits[i], self.bits[j])
+        keep = np.zeros(len(i), bool)
+        for bits in np.unique(width):
+            of = np.flatnonzero(width == bits)
+            table_, place = self._matrix(int(bits))
+            step = max(1, (1 << 22) // int(bits // 8))
+            for s in range(0, len(of), step):
+                k = of[s:s + step]
+                apart = np.bitwise_count(table_[place[i[k]]] ^ table_[place[j[k]]]).sum(axis=1, dtype=np.int64)
+                keep[k] = self.size[i[k]] + self.size[j[k]] - apart >= 2 * need[k]
+        return i[keep], j[keep]
 
 
 def _pair_frame(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    lo, hi = np.minimum(a, b), np.maximum(a, b)
-    return pd.DataFrame({"a": lo, "b": hi}).drop_duplicates()
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
 def _hub_pairs(percent: int):
+    """Pairs of each list's first set (least position) with the others."""
     def run(group):
-        g = group.sort_values(["token", "pos", "size", "doc_id"], kind="stable").reset_index(drop=True)
-        head = g.groupby("token", sort=False).head(1).set_index("token")
-        hub = head.loc[g["token"]].reset_index(drop=True)
-        ok = _can_match(g, hub, percent) & (g["doc_id"].to_numpy() != hub["doc_id"].to_numpy())
-        return _pair_frame(g["doc_id"].to_numpy()[ok], hub["doc_id"].to_numpy()[ok])
+        x = _Lists(group, ["token", "pos", "size", "doc_id"], percent)
+        new = np.flatnonzero(np.diff(x.token, prepend=x.token[0] - 1))
+        hub = np.repeat(new, np.diff(np.append(new, len(x.token))))
+        i, j = x.passing(hub, np.arange(len(hub)))
+        return _pair_frame(x.ids[i], x.ids[j])
     return run
 
 
 def _cross_pairs(percent: int):
     """Pairs of each token's list that lie in different components and pass
-    the length and positional filters. Lists are sorted by size and compared
-    at growing distance, so only pairs within the length filter are looked at
-    and pairs of one component are never kept."""
+    the filters. Lists are sorted by size and compared at growing distance, so
+    only pairs within the length filter are looked at and pairs of one
+    component are never kept."""
     def run(group):
-        g = group.sort_values(["token", "size", "doc_id"], kind="stable")
-        token, size, pos, ids, comp = (g[c].to_numpy().astype(np.int64) for c in ("token", "size", "pos", "doc_id", "component"))
-        left, out, d = np.arange(len(g)), [], 0
+        x = _Lists(group, ["token", "size", "doc_id"], percent)
+        left, out, d = np.arange(len(x.token)), [_pair_frame(x.ids[:0], x.ids[:0])], 0
         while True:
             d += 1
-            left = left[left + d < len(g)]
-            left = left[(token[left + d] == token[left]) & (100 * size[left] >= percent * size[left + d])]
+            left = left[left + d < len(x.token)]
+            left = left[(x.token[left + d] == x.token[left]) & (100 * x.size[left] >= percent * x.size[left + d])]
             if not len(left):
-                break
-            i, j = left, left + d
-            ok = (comp[i] != comp[j]) & (np.minimum(size[i] - pos[i], size[j] - pos[j]) >= min_overlap(size[i], size[j], percent))
-            if ok.any():
-                out.append(_pair_frame(ids[i[ok]], ids[j[ok]]))
-                if sum(map(len, out)) > 1 << 20:
-                    out = [pd.concat(out).drop_duplicates()]
-        return pd.concat(out).drop_duplicates() if out else _pair_frame(ids[:0], ids[:0])
+                return pd.concat(out).drop_duplicates()
+            apart = left[x.comp[left] != x.comp[left + d]]
+            i, j = x.passing(apart, apart + d)
+            if len(i):
+                out.append(_pair_frame(x.ids[i], x.ids[j]))
     return run
 
 
-def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Drop pairs whose suffix cells prove too large a difference. The prefixes
-    can share at most the shorter prefix, the suffixes at most the cell-wise
-    minimum plus the other prefix; saturated cells count as unlimited."""
-    sig = sets.select("doc_id", "n_shingles", "cells")
-    both = (pairs.join(sig.toDF("a", "size_a", "cells_a"), "a").join(sig.toDF("b", "size_b", "cells_b"), "b"))
-
-    def run(batches):
-        for b in batches:
-            if not len(b):
-                continue
-            ca, cb = (np.frombuffer(b"".join(b[c]), "<u2").reshape(-1, SUFFIX_CELLS).astype(np.int64) for c in ("cells_a", "cells_b"))
-            sa, sb = b["size_a"].to_numpy(), b["size_b"].to_numpy()
-            full = (ca == 65535) | (cb == 65535)
-            suffix = np.where(full, 1 << 40, np.minimum(ca, cb)).sum(axis=1)
-            most = suffix + prefix_length(sa, percent) + prefix_length(sb, percent)
-            yield b.loc[most >= min_overlap(sa, sb, percent), ["a", "b"]]
-    return both.select("a", "b", "size_a", "size_b", "cells_a", "cells_b").mapInPandas(run, "a bigint, b bigint")
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids hinted for broadcast if there are at most BROADCAST_IDS of them."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
 def _whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -264,7 +342,7 @@ def _whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=e - s))])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(
                     [h[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary())], ["doc_id", "shingles"])
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    chosen = docs.select("doc_id", "text").join(_small(cut(ids)), "doc_id", "left_semi")
     return chosen.mapInArrow(run, "doc_id bigint, shingles binary").dropDuplicates(["doc_id"])
 
 
@@ -290,19 +368,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sets, links = _links(docs, n, percent, by_row=False)
     if links is None:                                  # one id, different texts: join rows, not ids
-        keyed = cut(with_running_total(docs, [F.asc("doc_id"), F.asc("text")], F.lit(1).cast("bigint"), "_key"))
+        row = F.when(F.col("doc_id").isNotNull(), F.col("_key")).alias("_key")
+        keyed = cut(with_running_total(docs, [F.asc_nulls_last("doc_id"), F.asc("text")], F.lit(1).cast("bigint"), "_key")
+                    .select("doc_id", "text", row))
         sets, links = _links(keyed.select(F.col("_key").alias("doc_id"), "text"), n, percent, by_row=True)
-        ids = keyed.select(F.col("_key").alias("doc_id"), F.col("doc_id").alias("_id"))
-        one_id = ids.filter("_id is not null").groupBy("_id").agg(F.min("doc_id").alias("a"))
+        ids = keyed.filter("_key is not null").select(F.col("_key").alias("doc_id"), F.col("doc_id").alias("_id"))
+        one_id = ids.groupBy("_id").agg(F.min("doc_id").alias("a"))
         same = ids.join(one_id, "_id").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
-        nulls = ids.filter("_id is null").select("doc_id")
-        links = (links.join(nulls.toDF("a"), "a", "left_anti").join(nulls.toDF("b"), "b", "left_anti")
-                 .select("a", "b").unionByName(same))
-        groups = components(links).withColumnRenamed("id", "doc_id")
-        rows = (sets.join(ids, "doc_id").join(groups, "doc_id", "left")
+        groups = components(links.unionByName(same)).withColumnRenamed("id", "doc_id")
+        rows = (sets.join(ids, "doc_id", "left").join(groups, "doc_id", "left")
                 .withColumn("component", F.coalesce("component", "doc_id")))
         low = rows.groupBy("component").agg(F.min("_id").alias("component_id"))
-        return (rows.join(low, "component")
+        return (rows.join(low, "component", "left")
                 .select(F.col("_id").alias("doc_id"), "n_shingles", "component_id"))
     groups = components(links)
     return (sets.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
@@ -314,9 +391,7 @@ def _links(docs: DataFrame, n: int, percent: int, by_row: bool) -> tuple[DataFra
     (None if a doc_id has several different sets and ``by_row`` is False)."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
-    counters = spark.sparkContext.broadcast(_counters(docs, n))     # fixed size: 1 MB
-    mixed = cut(docs.mapInArrow(_sets(counters, n, percent, parts), _SETS))
-    sets = mixed.filter("postings is null").drop("part", "postings")
+    sets = cut(docs.mapInArrow(_sets(n), _SETS))
     known = sets.filter("n_shingles > 0 and doc_id is not null")
     if not by_row and not (sets.filter("doc_id is not null").groupBy("doc_id")
                            .agg(F.min("set_lo").alias("x"), F.max("set_lo").alias("y")).filter("x <> y").isEmpty()):
@@ -324,27 +399,28 @@ def _links(docs: DataFrame, n: int, percent: int, by_row: bool) -> tuple[DataFra
     key = ["set_hi", "set_lo", "n_shingles"]
     lead = known.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("_far"))
     copies = lead.filter("rep <> _far").select(*key, "rep")
-    equal = known.join(copies, key).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    posted = (mixed.filter("postings is not null").select("part", "postings").groupBy("part")
-              .applyInArrow(_shared_postings, "token bigint, doc_id bigint, size int, pos int"))
-    # only the smallest document of equal sets stays, then lists of one end
-    live = posted.join(equal.select(F.col("a").alias("doc_id")), "doc_id", "left_anti").distinct()
-    many = live.groupBy("token").agg(F.count("*").alias("_n")).filter("_n > 1").select("token")
-    live = cut(live.join(many, "token", "left_semi"))
-    ids = live.select("doc_id").distinct()
-    leads = cut(sets.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    whole = cut(_whole_sets(docs, ids, n))
+    equal = cut(known.join(copies, key).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
+    rarity = spark.sparkContext.broadcast(_counters(docs))          # fixed size: 4 MB
+    # only the smallest document of equal sets is posted
+    leads = docs.join(_small(equal.select(F.col("a").alias("doc_id"))), "doc_id", "left_anti").select("doc_id", "text")
+    live = cut(leads.mapInArrow(_postings(rarity, n, percent, parts), _PACKED).groupBy("part")
+               .applyInArrow(_candidates(percent), "token bigint, doc_id bigint, size int, pos int"))
+    bitmaps = known.select("doc_id", "bitmap").dropDuplicates(["doc_id"])
     part = F.pmod(F.col("token"), F.lit(parts)).cast("int")
     pairs = "a bigint, b bigint"
-    hub = cut(_suffix_filter(live.withColumn("part", part).groupBy("part").applyInPandas(_hub_pairs(percent), pairs).distinct(),
-                             leads, percent))
-    near = cut(_verified(hub, whole, percent))
+
+    def verified(found: DataFrame) -> DataFrame:
+        ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        return cut(_verified(found, _whole_sets(docs, ids, n), percent))
+
+    hub = cut(live.join(bitmaps, "doc_id").withColumn("part", part).groupBy("part").applyInPandas(_hub_pairs(percent), pairs).distinct())
+    near = verified(hub)
     found = components(near).withColumnRenamed("id", "doc_id")
     here = live.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     split_lists = here.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-    cross = (here.join(split_lists, "token", "left_semi").withColumn("part", part).groupBy("part")
+    cross = (here.join(split_lists, "token", "left_semi").join(bitmaps, "doc_id").withColumn("part", part).groupBy("part")
              .applyInPandas(_cross_pairs(percent), pairs).distinct().join(hub, ["a", "b"], "left_anti"))
-    late = _verified(_suffix_filter(cross, leads, percent), whole, percent)
+    late = verified(cut(cross))
     return sets, near.unionByName(late).unionByName(equal)
 
 
