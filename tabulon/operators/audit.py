@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
-from ..plans.sizing import join_single_rows, materialize
+from ..plans.sizing import join_null_safe, join_single_rows, materialize
 
 PROFILE_COLUMNS = ["feature", "kind", "cardinality", "minimum", "maximum", "rng", "mean",
                    "std", "median", "skewness", "pct_outlier", "pct_zero"]
@@ -301,9 +301,12 @@ def mixed_label_rows(df: DataFrame, features: list[str], label: str) -> DataFram
 
 
 def duplicate_flags(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Mark every row but the first (by key) of each duplicate group."""
-    rn = F.row_number().over(Window.partitionBy(*cols).orderBy(key))
-    return df.withColumn("is_duplicate", rn > 1)
+    """Mark every row but the first (by its unique ``key``) of each group of
+    equal rows. The first key is a partial aggregate, so a group that holds a
+    third of all rows is one row per input partition before it moves; NULLs are
+    equal."""
+    first = df.groupBy(*cols).agg(F.min(key).alias("_first"))
+    return join_null_safe(df, first, list(cols)).withColumn("is_duplicate", F.col(key) > F.col("_first")).drop("_first")
 
 
 def binary_domain(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -41,3 +41,13 @@ def bound_order(values: DataFrame, order: list[str]) -> DataFrame:
     for a, b in zip(order, order[1:]):
         cond = cond & (F.col(a) <= F.col(b))
     return values.select(*order, cond.alias("ordered"))
+
+
+def derived_numbers(stored: DataFrame, recomputed: DataFrame, by: list[str], values: list[str], tol: float = 1e-9) -> DataFrame:
+    """V4: stored derived numbers against recomputed ones: one row per group and
+    value, ``ok`` where both are present and equal within ``tol`` (or both absent)."""
+    long = lambda df, name: df.select(*by, F.explode(F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).cast("double").alias(name))
+                                                               for v in values])).alias("_e")).select(*by, "_e.*")
+    j = long(stored, "stored").join(long(recomputed, "computed"), [*by, "name"], "full")
+    near = F.abs(F.col("stored") - F.col("computed")) <= tol
+    return j.select(*by, "name", F.coalesce(near, F.col("stored").isNull() & F.col("computed").isNull()).alias("ok"))

@@ -947,3 +947,51 @@ WITH dim AS (SELECT * FROM (VALUES (0, 0), (1, 1)) t(code, class)),
 c AS (SELECT toxic AS class, count(*) AS count FROM labels GROUP BY 1),
 j AS (SELECT dim.code, dim.class, coalesce(c.count, 0)::BIGINT AS count FROM dim LEFT JOIN c USING (class))
 SELECT code, class, count, round(100.0 * count / sum(count) OVER (), 3) AS percent FROM j"""
+
+
+# ---------------------------------------------------------------- preparation helpers, sinks, joined reports
+ORACLE["duplicate_flags"] = f"""
+SELECT row_key, row_number() OVER (PARTITION BY {BF}, l_returnflag ORDER BY row_key) > 1 AS is_duplicate FROM {LI_KEYED}"""
+
+ORACLE["prepared_columns"] = """
+WITH o AS (SELECT *, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'unknown' ELSE o_orderpriority END AS priority,
+  string_split(o_orderpriority, '-') AS parts FROM orders)
+SELECT o_orderkey, 'o_orderkey,o_totalprice' AS numeric_columns, priority, round(o_totalprice, 2) AS price,
+  CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' WHEN 'P' THEN 'pending' END AS status,
+  o_orderstatus || chr(31) || priority AS vector_key, format('{:,}', o_orderkey) AS key_cell,
+  coalesce(['zero', 'one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine', 'ten'][o_orderkey % 14 + 1],
+           CAST(o_orderkey % 14 AS VARCHAR)) AS word,
+  parts[1] AS priority_code, upper(left(replace(parts[2], ' ', '_'), 1)) || lower(substr(replace(parts[2], ' ', '_'), 2)) AS priority_name,
+  regexp_replace(o_orderpriority, '^(\\d)-(\\w+).*$', '\\2/\\1') AS substituted FROM o"""
+
+ORACLE["first_folds"] = f"SELECT fold, f1_macro, balanced_accuracy FROM {scores_sql(KNN5_CONF, ['fold'])} WHERE fold < 2"
+
+ORACLE["sink_round_trip"] = """
+SELECT 'parts' AS "group", count(*)::BIGINT AS n FROM orders UNION ALL SELECT 'snapshot', count(*) FROM orders
+UNION ALL SELECT 'absent', 0 UNION ALL SELECT 'price_cents', sum(round(o_totalprice * 100)::BIGINT)::BIGINT FROM orders"""
+
+ORACLE["report_joined"] = f"""
+WITH s AS (SELECT configuration, round(avg(f1_macro), 6) AS f1_macro, count(*)::BIGINT AS n_folds FROM {CFG_FOLDS} GROUP BY 1),
+p AS (SELECT * FROM ({ORACLE["pooled_precision_recall"]}) WHERE configuration LIKE '%distance'),
+e AS (SELECT configuration, sum(n)::BIGINT AS rows FROM {CONFIG_CONF} WHERE configuration LIKE 'knn_k15%' GROUP BY 1)
+SELECT * FROM s LEFT JOIN p USING (configuration) LEFT JOIN e USING (configuration)"""
+
+
+def _words(c: str) -> str:
+    """Words of a lower-case name with their first letters in upper case."""
+    return (f"array_to_string(list_transform(string_split({c}, ' '), lambda x: upper(left(x, 1)) || substr(x, 2)), ' ')")
+
+
+ORACLE["report_pairwise"] = f"""
+SELECT {_words("lower(t.group_a)")} || ' vs ' || {_words("lower(t.group_b)")} AS comparison, mean_difference AS difference,
+       wilcoxon_p AS p, holm_p, significant FROM ({ORACLE["paired_t"]}) t JOIN ({ORACLE["holm"]}) h USING (group_a, group_b)"""
+
+ORACLE["report_corrections"] = f"""
+WITH d AS ({ORACLE["audit_duplicates_conflicts"]}), c AS ({ORACLE["audit_correlation_counts"]})
+SELECT 'unresolvable' AS name, unresolvable::DOUBLE AS value FROM d UNION ALL SELECT 'unresolvable_percent', unresolvable_percent FROM d
+UNION ALL SELECT 'duplicate_percent', duplicate_percent FROM d UNION ALL SELECT 'n_090', n_090 FROM c
+UNION ALL SELECT 'n_095', n_095 FROM c UNION ALL SELECT 'n_099', n_099 FROM c
+UNION ALL SELECT 'invariance_residual', round(1.0 - max_abs_r, 6) FROM c"""
+
+ORACLE["check_derived_numbers"] = """
+SELECT 'k15 vs k1' AS comparison, unnest(['difference', 'percent_change', 'ratio']) AS name, true AS ok"""

@@ -1060,3 +1060,120 @@ def q_audit_label_balance(spark, sf):
     """A3 on the imbalanced target: toxic labels, zero-filled to the {0, 1} domain."""
     dim = spark.createDataFrame([(0, 0), (1, 1)], "code int, class int")
     return audit.class_balance(load(spark, sf, "labels"), "toxic", classes=dim)
+
+
+# ---------------------------------------------------------------- preparation helpers, sinks, joined reports
+from .. import sources  # noqa: E402
+from ..functions import exprs  # noqa: E402
+
+
+@register("duplicate_flags")
+def q_duplicate_flags(spark, sf):
+    """Repeated lineitem vectors, first occurrence kept."""
+    f = audit.duplicate_flags(lineitem_keyed(spark, sf), [*BOUND_FEATURES, BOUND_LABEL], "row_key")
+    return f.select("row_key", "is_duplicate")
+
+
+@register("prepared_columns")
+def q_prepared_columns(spark, sf):
+    """P2-P5, P10, P14, F9, F10 on orders: missing token, strict cast, class
+    names, one vector key, formatted cells, split and substituted strings."""
+    o = load(spark, sf, "orders")
+    numeric = exprs.numeric_columns(o.columns, ["o_orderstatus", "o_orderpriority", "o_orderdate"], ["o_custkey"])
+    text = o.withColumn("price_text", F.col("o_totalprice").cast("string")).withColumn("priority", exprs.missing_to_level("o_orderpriority", "4-NOT SPECIFIED"))
+    code = F.split("o_orderpriority", "-")
+    return text.select(
+        "o_orderkey", F.lit(",".join(numeric)).alias("numeric_columns"), "priority",
+        F.round(exprs.strict_double("price_text"), 2).alias("price"),
+        exprs.class_names("o_orderstatus", {"F": "finished", "O": "open", "P": "pending"}).alias("status"),
+        exprs.vector_key(["o_orderstatus", "priority"]).alias("vector_key"),
+        exprs.fmt_thousands(F.col("o_orderkey")).alias("key_cell"), exprs.small_int_word(F.col("o_orderkey") % 14).alias("word"),
+        code[0].alias("priority_code"), F.initcap(F.lower(F.replace(code[1], F.lit(" "), F.lit("_")))).alias("priority_name"),
+        F.regexp_replace("o_orderpriority", r"^(\d)-(\w+).*$", "$2/$1").alias("substituted"))
+
+
+@register("first_folds")
+def q_first_folds(spark, sf):
+    """Scores of the first two folds only, which is what the step asks for."""
+    return metrics.scores(_knn5_conf(spark, sf), ["fold"]).filter("fold < 2").select("fold", "f1_macro", "balanced_accuracy")
+
+
+@register("sink_round_trip")
+def q_sink_round_trip(spark, sf):
+    """Orders written as CSV text, by-partition parquet and
+    settings, read back, and counted with an absent table."""
+    at = f"{ensure_checkpoint_dir(spark)}/sinks-{uuid.uuid4().hex}"
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    write_table(o, f"{at}/csv", fmt="csv")
+    raw = sources.read_raw_csv(spark, f"{at}/csv", o.columns)
+    sources.append_partitions(raw, f"{at}/parts", ["o_orderstatus"])
+    sources.append_partitions(raw.filter("o_orderstatus = 'F'"), f"{at}/parts", ["o_orderstatus"])
+    kept = sources.reuse_or_compute(spark, f"{at}/kept", lambda: spark.read.parquet(f"{at}/parts"), "all orders")
+    sources.snapshot(kept, f"{at}/snapshot")
+    sources.snapshot(kept.filter("o_orderstatus = 'P'"), f"{at}/snapshot")
+    counts = sources.count_tables(spark, {"parts": f"{at}/parts", "snapshot": f"{at}/snapshot", "absent": f"{at}/absent"}, {})
+    total = kept.agg(F.lit("price_cents").alias("group"), F.sum(F.round(F.col("o_totalprice").cast("double") * 100).cast("bigint")).alias("n"))
+    return counts.withColumn("n", F.col("n").cast("bigint")).unionByName(total)
+
+
+@register("report_joined")
+def q_report_joined(spark, sf):
+    """Fold means with pooled scores and class counts of some configurations."""
+    folds, conf = _knn_config_folds(spark, sf)
+    pooled = metrics.pooled_precision_recall(conf.filter("configuration like '%distance'"), ["configuration"])
+    extra = conf.filter("configuration like 'knn_k15%'").groupBy("configuration").agg(F.sum("n").cast("bigint").alias("rows"))
+    return report.joined_results(folds, pooled, extra)
+
+
+@register("report_pairwise")
+def q_report_pairwise(spark, sf):
+    """Comparison, difference, p, adjusted p, significance."""
+    t = orders_fold_table(spark, sf).withColumn("grp", F.replace(F.lower("grp"), F.lit(" "), F.lit("_")))
+    pairs = stats.holm(stats.wilcoxon_pairs(t).select("group_a", "group_b", "wilcoxon_p"), "wilcoxon_p")
+    return report.pairwise_projection(stats.paired_t(t).select("group_a", "group_b", "mean_difference").join(pairs, ["group_a", "group_b"]))
+
+
+@register("report_corrections")
+def q_report_corrections(spark, sf):
+    """Correction facts of the audited tables."""
+    return report.corrections(q_audit_duplicates(spark, sf), q_audit_correlation_counts(spark, sf))
+
+
+@register("check_derived_numbers")
+def q_check_derived(spark, sf):
+    """V4: the stored differences between configurations, recomputed from the folds."""
+    path = f"{ensure_checkpoint_dir(spark)}/derived-{uuid.uuid4().hex}"
+    write_table(q_report_differences(spark, sf).withColumn("comparison", F.lit("k15 vs k1")), path)
+    again = q_report_differences(spark, sf).withColumn("comparison", F.lit("k15 vs k1"))
+    return checks.derived_numbers(spark.read.parquet(path), again, ["comparison"], ["difference", "percent_change", "ratio"])
+
+
+@register("report_tree_search")
+def q_report_tree_search(spark, sf):
+    """The tree search by weighting and by depth."""
+    return report.tree_search_slice(_doc_tree_grid(spark, sf))
+
+
+@register("tree_refined_grid")
+def q_tree_refined(spark, sf):
+    """Depth and exponent searched again around the winner of a coarse grid."""
+    f = _doc_tree_folds(spark, sf)
+    coarse = trees.grid(lambda **t: _doc_tree(f, **t), {"max_depth": [3, 9], "alpha": [0.25, 0.75]})
+    b = search.best(coarse, "f1_mean", ["max_depth", "alpha"])
+    fine = trees.refine(b | {}, {"max_depth": search.refine_depth, "alpha": search.refine_alpha})
+    rows = trees.grid(lambda **t: _doc_tree(f, **t), fine)
+    return rows.withColumn("max_depth", F.col("max_depth").cast("int"))
+
+
+@register("choose_k_and_rule")
+def q_choose_k(spark, sf):
+    """K and decision multipliers chosen together on out-of-fold distributions."""
+    classes = embedding_classes(spark, sf)
+    k, w, s = search.choose_k_and_rule(oof_predictions(spark, sf, [1, 5, 15], "distance"), classes, rules.fit_multipliers)
+    return spark.createDataFrame([(int(k), int(c), float(x), round(s, 6)) for c, x in zip(classes, w)], "k int, cls int, w double, mean_macro_f1 double")
+
+
+@register("report_scaling_gain")
+def q_report_scaling_gain(spark, sf):
+    """Gain of each scaler over min-max."""
+    return report.gain_over(q_scaling_study(spark, sf), "transformation", "minmax", "bal_mean")

@@ -162,3 +162,53 @@ def score_by_depth(grid: DataFrame, unbounded_as: int = 40) -> DataFrame:
     """Score by depth, unbounded depth drawn at ``unbounded_as``, one series per weighting."""
     return grid.select(F.coalesce(F.col("max_depth"), F.lit(unbounded_as)).alias("depth"),
                        F.concat(F.lit("alpha="), F.col("alpha").cast("string")).alias("series"), "f1_mean", "f1_std")
+
+
+def joined_results(folds: DataFrame, pooled: DataFrame, supplement: DataFrame) -> DataFrame:
+    """Fold aggregates with pooled and supplementary results; NULL where a
+    configuration has none."""
+    s = folds.groupBy("configuration").agg(F.round(F.avg("f1_macro"), 6).alias("f1_macro"), F.count(F.lit(1)).cast("bigint").alias("n_folds"))
+    return s.join(pooled, "configuration", "left").join(supplement, "configuration", "left")
+
+
+def pairwise_projection(pairwise: DataFrame) -> DataFrame:
+    """``comparison, difference, p, holm_p, significant`` with readable names."""
+    name = lambda c: F.initcap(F.replace(F.col(c), F.lit("_"), F.lit(" ")))
+    return pairwise.select(F.array_join(F.array(name("group_a"), name("group_b")), " vs ").alias("comparison"),
+                           F.col("mean_difference").alias("difference"), F.col("wilcoxon_p").alias("p"), "holm_p", "significant")
+
+
+def split_comparison(c) -> list:
+    """the two sides of a ``'a vs b'`` name."""
+    parts = F.split(c, " vs ")
+    return [parts[0], parts[1]]
+
+
+def corrections(duplicates: DataFrame, correlations: DataFrame) -> DataFrame:
+    """Correction facts ``(name, value)``: unresolvable records, their
+    share, duplicate share, pairs at each correlation threshold and how far the
+    largest |r| is from 1 (the invariance residual)."""
+    from .sizing import join_single_rows
+    row = join_single_rows(duplicates, correlations)
+    names = ["unresolvable", "unresolvable_percent", "duplicate_percent", "n_090", "n_095", "n_099"]
+    facts = [F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]
+    facts.append(F.struct(F.lit("invariance_residual").alias("name"), F.round(1.0 - F.col("max_abs_r"), 6).alias("value")))
+    return row.select(F.inline(F.array(*facts)))
+
+
+def gain_over(table: DataFrame, key: str, base: str, value: str) -> DataFrame:
+    """Every row's gain over the named row, absolute and in percent."""
+    b = table.filter(F.col(key) == base).select(F.col(value).alias("_b"))     # one row
+    return (table.join(F.broadcast(b)).select(key, value, F.round(F.col(value) - F.col("_b"), 6).alias("gain"),
+            F.round(100.0 * F.try_divide(F.col(value) - F.col("_b"), F.col("_b")), 6).alias("gain_percent")))
+
+
+def tree_search_slice(grid: DataFrame) -> DataFrame:
+    """Best score of weighted and unweighted trees, and of each depth, with
+    unbounded depth last: ``slice, setting, f1_mean, bal_mean``."""
+    weighted = F.when(F.col("alpha") > 0, F.lit("weighted")).otherwise(F.lit("unweighted"))
+    best = [F.max("f1_mean").alias("f1_mean"), F.max("bal_mean").alias("bal_mean")]
+    a = grid.groupBy(weighted.alias("setting")).agg(*best).select(F.lit("weighting").alias("slice"), "setting", F.lit(None).cast("int").alias("_d"), "f1_mean", "bal_mean")
+    b = grid.groupBy("max_depth").agg(*best).select(F.lit("depth").alias("slice"), F.coalesce(F.col("max_depth").cast("string"), F.lit("unbounded")).alias("setting"),
+                                                    F.col("max_depth").alias("_d"), "f1_mean", "bal_mean")
+    return a.unionByName(b).orderBy("slice", F.asc_nulls_last("_d"), "setting").drop("_d")
