@@ -552,10 +552,13 @@ def _doc_tree_folds(spark, sf):
     return sampling.stratified_folds(labelled_documents(spark, sf), "doc_id", "toxic", 5, SEED).persist()
 
 
-def _doc_tree(f, **tree):
-    """Out-of-fold tree; codes of the nominals are fitted on the training folds."""
+def _doc_tree(f):
+    """A function from tree settings to out-of-fold predictions; each fold is
+    prepared once, with codes of the nominals fitted on its training rows."""
     from . import studies
-    return studies.oof_tree(f, "doc_id", "toxic", "fold", DOC_MEASURES, ["lang", "source"], [0, 1], **tree)
+    names = ("doc_id", "toxic", "fold")
+    ready = studies.prepared_tree_folds(f, "fold", "doc_id", "toxic", DOC_MEASURES, ["lang", "source"])
+    return lambda **tree: studies.oof_tree(f, *names, DOC_MEASURES, ["lang", "source"], [0, 1], prepared=ready, **tree)
 
 
 @register("power_class_weights")
@@ -575,14 +578,13 @@ def q_smote(spark, sf):
 
 @register("tree_distribution")
 def q_tree_distribution(spark, sf):
-    p = _doc_tree(_doc_tree_folds(spark, sf), max_depth=4, alpha=0.75)
+    p = _doc_tree(_doc_tree_folds(spark, sf))(max_depth=4, alpha=0.75)
     return p.select(F.col("query").alias("doc_id"), "fold", "y", F.round(F.col("p")[0], 6).alias("p0"),
                     F.round(F.col("p")[1], 6).alias("p1"), "pred")
 
 
 def _doc_tree_grid(spark, sf):
-    f = _doc_tree_folds(spark, sf)
-    return trees.grid(lambda **tree: _doc_tree(f, **tree), {"max_depth": [3, 6, 9], "alpha": [0.0, 0.25, 0.5, 0.75, 1.0]})
+    return trees.grid(_doc_tree(_doc_tree_folds(spark, sf)), {"max_depth": [3, 9], "alpha": [0.0, 0.25, 0.5, 0.75, 1.0]})
 
 
 @register("tree_grid")
@@ -1157,11 +1159,11 @@ def q_report_tree_search(spark, sf):
 @register("tree_refined_grid")
 def q_tree_refined(spark, sf):
     """Depth and exponent searched again around the winner of a coarse grid."""
-    f = _doc_tree_folds(spark, sf)
-    coarse = trees.grid(lambda **t: _doc_tree(f, **t), {"max_depth": [3, 9], "alpha": [0.25, 0.75]})
+    tree = _doc_tree(_doc_tree_folds(spark, sf))
+    coarse = trees.grid(tree, {"max_depth": [3, 9], "alpha": [0.25, 0.75]})
     b = search.best(coarse, "f1_mean", ["max_depth", "alpha"])
     fine = trees.refine(b | {}, {"max_depth": search.refine_depth, "alpha": search.refine_alpha})
-    rows = trees.grid(lambda **t: _doc_tree(f, **t), fine)
+    rows = trees.grid(tree, fine)
     return rows.withColumn("max_depth", F.col("max_depth").cast("int"))
 
 

@@ -67,15 +67,26 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     return _union(_per_fold(one_fold, _folds(df, fold)))
 
 
-def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str], nominal: list[str],
-             classes: list, scale=None, corr=None, onehot=False, smote: bool = False, **tree) -> DataFrame:
-    """Out-of-fold tree distributions with per-fold preparation."""
+def prepared_tree_folds(df: DataFrame, fold: str, key: str, label: str, numeric: list[str], nominal: list[str],
+                        scale=None, corr=None, onehot=False) -> list[tuple]:
+    """(fold, prepared rows) for every fold, fitted on its training rows.
+
+    Checkpointed, so a search over tree settings prepares each fold once."""
     def one_fold(f):
         train = df.filter(F.col(fold) != f)
-        prepared = materialize(features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr,
-                                                      onehot=onehot).select(key, label, fold, "features"))
-        tr = prepared.filter(F.col(fold) != f)
-        te = prepared.filter(F.col(fold) == f)
+        return f, materialize(features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr, onehot=onehot)
+                              .select(key, label, fold, "features"))
+    return _per_fold(one_fold, _folds(df, fold))
+
+
+def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str], nominal: list[str],
+             classes: list, scale=None, corr=None, onehot=False, smote: bool = False, prepared: list[tuple] | None = None,
+             **tree) -> DataFrame:
+    """Out-of-fold tree distributions with per-fold preparation (M12/M13), or
+    on ``prepared`` folds."""
+    def one_fold(part):
+        f, rows = part
+        tr, te = rows.filter(F.col(fold) != f), rows.filter(F.col(fold) == f)
         if smote:
             from pyspark.ml.functions import array_to_vector, vector_to_array
             arr = tr.select(key, label, vector_to_array("features").alias("features"))
@@ -84,7 +95,8 @@ def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
         pr = trees.tree_probabilities(tr, te, key, "features", label, classes, **tree)
         return materialize(pr.join(te.select(key, F.col(label).alias("y")), key)
                            .select(F.col(key).cast("long").alias("query"), F.lit(f).alias("fold"), "y", "p", "pred"))
-    return _union(_per_fold(one_fold, _folds(df, fold)))
+    prepared = prepared or prepared_tree_folds(df, fold, key, label, numeric, nominal, scale, corr, onehot)
+    return _union(_per_fold(one_fold, prepared))
 
 
 def _timed_score(name_col: str, name: str, fn) -> DataFrame:
