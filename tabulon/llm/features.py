@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .words import Words, _BYTE, _POW, mix, split
+from .words import Words, _BYTE, _LOWER, _POW, mix, split
 
 DIMS = 1 << 18
 BLOCK = 100                   # words
@@ -50,19 +50,18 @@ def statistics(w: Words) -> dict[str, np.ndarray]:
     upper = np.concatenate([[0], np.cumsum((w.data >= 65) & (w.data <= 90), dtype=np.int64)])
     letter = np.concatenate([[0], np.cumsum((_CLASS[w.data] == 97) | (_CLASS[w.data] == 65), dtype=np.int64)])
     text = w.text_of()
-    order = np.lexsort((w.hash, text))
-    h, t = w.hash[order], text[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
-    at = np.flatnonzero(new)
-    # distinct words are counted in blocks, so that a long text is not a repetitive one
-    block = (np.arange(len(text)) - w.first[text]) // BLOCK + text * (1 << 32)
-    order = np.lexsort((w.hash, block))
-    hb, tb = w.hash[order], block[order]
-    fresh = np.ones(len(hb), bool)
-    fresh[1:] = (hb[1:] != hb[:-1]) | (tb[1:] != tb[:-1])
-    most = np.zeros(len(n), np.int64)
-    np.maximum.at(most, t[at], np.diff(np.append(at, len(h))))
+    # distinct and most frequent words are counted in blocks of the text, so
+    # that a long text is not a repetitive one; one sort of (block, hash) keys
+    blocks = -(-n // BLOCK)
+    first_block = np.concatenate([[0], np.cumsum(blocks)])
+    block = first_block[text] + (np.arange(len(text)) - w.first[text]) // BLOCK
+    room = np.uint64(max(1, int(first_block[-1]).bit_length()))
+    key = np.sort((block.astype(np.uint64) << (np.uint64(64) - room)) | (w.hash >> room))
+    fresh = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+    of = (key[fresh] >> (np.uint64(64) - room)).astype(np.int64)
+    owner = np.repeat(np.arange(len(n)), blocks)
+    most = np.zeros(int(first_block[-1]), np.int64)
+    np.maximum.at(most, of, np.diff(np.append(fresh, len(key))))
     size = w.end - w.start
     twice = (size > 1) & (w.data[w.end - 2] == last) & ~_LETTER[last] & (last != ord("."))
     caps = (size > 2) & (upper[w.end] - upper[w.start] > 2) & (letter[w.end] - letter[w.start] == upper[w.end] - upper[w.start])
@@ -73,8 +72,8 @@ def statistics(w: Words) -> dict[str, np.ndarray]:
             "bars": _by_text((w.end - w.start == 1) & (last == ord("|")), w.first) / share,
             "odd": _by_text(strange, w.first) / share,
             "repeated": _by_text(before & inner, w.first) / share,
-            "distinct": np.bincount(tb[fresh] >> 32, minlength=len(n)) / share,
-            "top": most / share,
+            "distinct": np.bincount(owner[of], minlength=len(n)) / share,
+            "top": np.bincount(owner, weights=most, minlength=len(n)) / share,
             "ended": _by_text(_END[last], w.first) / share}
 
 
@@ -95,42 +94,51 @@ def _shapes(w: Words) -> np.ndarray:
 
 
 def _stems(w: Words) -> list[np.ndarray]:
-    """Hashes of each word without surrounding punctuation: whole, 4 and 5 bytes."""
+    """Hashes of each word in lower case without surrounding punctuation:
+    whole, 4 and 5 bytes."""
     if not len(w.start):
         return [np.zeros(0, np.uint64)] * 3
-    letter = _LETTER[w.data]
-    n = len(letter)
-    place = np.arange(n)
+    begin = int(w.start[0])
+    data = _LOWER[w.data[begin:]]
+    letter = _LETTER[data]
+    start, end = w.start - begin, w.end - begin
+    n = len(data)
+    place = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
     after = np.minimum.accumulate(np.where(letter, place, n)[::-1])[::-1]
     until = np.maximum.accumulate(np.where(letter, place, -1)) + 1
-    lo = np.minimum(after[w.start], w.end)
-    hi = np.maximum(until[w.end - 1], lo)
-    length = np.diff(np.append(w.start, n))
-    at = place[w.start[0]:]
-    inside = (at >= np.repeat(lo, length)) & (at < np.repeat(hi, length))
-    off = at - np.repeat(lo, length)
+    lo = np.minimum(after[start], end)
+    hi = np.maximum(until[end - 1], lo)
+    length = np.diff(np.append(start, n))
+    off = place - np.repeat(lo.astype(place.dtype), length)
+    inside = (off >= 0) & (off < np.repeat((hi - lo).astype(place.dtype), length))
     out = []
     with np.errstate(over="ignore"):
-        value = np.where(inside, _BYTE[w.data[w.start[0]:]] * _POW[off & 65535], np.uint64(0))
-        for k in (1 << 40, 4, 5):
-            x = value if k > 1 << 30 else np.where(off < k, value, np.uint64(0))
-            out.append(mix(np.add.reduceat(x, w.start - w.start[0]) + np.uint64(k)))
+        value = _BYTE[data] * _POW[off & 65535]
+        value[~inside] = 0
+        for k in (None, 5, 4):
+            if k:
+                value[off >= k] = 0
+            out.append(mix(np.add.reduceat(value, start) + np.uint64(k or 1)))
     return out
 
 
-def hashed(w: Words, low: Words, kinds: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    """(feature, text number) sorted and distinct, and the statistics. ``low``
-    is the lower-cased split of the same texts."""
+def hashed(w: Words, kinds: tuple[str, ...], column: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """(feature, text number) sorted and distinct, and the statistics. With
+    ``column`` only the features that have a column (>= 0) are kept."""
     text, stats = w.text_of(), statistics(w)
     keys, owner = [], []
 
     def add(h: np.ndarray, of: np.ndarray, salt: int) -> None:
         with np.errstate(over="ignore"):
-            keys.append(mix(h + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(DIMS - 1))
+            key = ((h + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(DIMS - 1)).astype(np.int64)
+        if column is not None:
+            known = np.flatnonzero(column[key] >= 0)
+            key, of = key[known], of[known]
+        keys.append(key)
         owner.append(of)
 
     if WORDS in kinds:
-        for salt, h in enumerate(_stems(low)):
+        for salt, h in enumerate(_stems(w)):
             add(h, text, 10 + salt)
     if SHAPES in kinds:
         shape = _shapes(w)
@@ -138,19 +146,17 @@ def hashed(w: Words, low: Words, kinds: tuple[str, ...]) -> tuple[np.ndarray, np
         if len(shape) > 1:
             pair = np.flatnonzero(text[1:] == text[:-1])
             with np.errstate(over="ignore"):
-                add(shape[pair] * np.uint64(3) + shape[pair + 1], text[pair], 2)
+                add(mix(shape[pair] * np.uint64(3) + shape[pair + 1]), text[pair], 2)
         for j, name in enumerate(STATS[1:]):
             for k, step in enumerate(_STEPS):
                 of = np.flatnonzero((stats[name] >= step) & (stats["n_words"] > 0))
-                add(np.full(len(of), 100 * j + k, np.uint64), of, 3)
-    key = np.concatenate(owner).astype(np.int64) * DIMS + np.concatenate(keys).astype(np.int64)
-    key = np.unique(key)
+                add(mix(np.full(len(of), 100 * j + k, np.uint64)), of, 3)
+    key = np.unique(np.concatenate(owner).astype(np.int64) * DIMS + np.concatenate(keys))
     return key % DIMS, key // DIMS, stats
 
 
-def of_texts(texts: pa.Array, kinds: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    w = split(texts)
-    return hashed(w, split(texts, lower=True) if WORDS in kinds else w, kinds)
+def of_texts(texts: pa.Array, kinds: tuple[str, ...], column: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    return hashed(split(texts), kinds, column)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -161,7 +167,7 @@ class Linear:
     """Logistic regression on binary features (column numbers by row) and a few
     dense columns, L2-regularised, fitted by L-BFGS on a bounded sample."""
 
-    def __init__(self, width: int, dense: int, l2: float = 1e-4, steps: int = 60):
+    def __init__(self, width: int, dense: int, l2: float = 1e-4, steps: int = 40):
         self.width, self.dense, self.l2, self.steps = width, dense, l2, steps
         self.w = np.zeros(width + dense + 1)
 
@@ -191,8 +197,16 @@ class Linear:
             self.w = w
             return self
 
+        order = np.argsort(row, kind="stable")
+        row, col = row[order], col[order]
+        head = np.flatnonzero(np.diff(row, prepend=-1))
+        filled = row[head]
+
         def loss(v):
-            z = self.margin(row, col, extra, v * by)
+            u = v * by
+            z = extra @ u[self.width:-1] + u[-1]
+            if len(row):
+                z[filled] += np.add.reduceat(u[col], head)
             p = sigmoid(z)
             r = weight * (p - y) / total
             g = np.concatenate([np.bincount(col, weights=r[row], minlength=self.width)[:self.width], extra.T @ r, [r.sum()]])

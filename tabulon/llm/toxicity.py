@@ -174,7 +174,7 @@ def _scored(chain):
         for b in batches:
             column = one(pa.chunked_array([b.column(1)]))
             for s, e in chunks(column):
-                feature, owner, _ = of_texts(column.slice(s, e - s), KINDS)
+                feature, owner, _ = of_texts(column.slice(s, e - s), KINDS, c.column)
                 p = c.probabilities(feature, owner, e - s)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), *[pa.array(x) for x in p]],
                                                  ["doc_id", *[f"p_{x}" for x in c.names]])
