@@ -9,7 +9,7 @@ its weak label; a hashed linear scorer on shapes of words, not on the votes, is
 trained on the posteriors and scores every document.
 
 The scorer is fitted on at most ``SAMPLE`` documents, those with the smallest
-hash of the text; votes, pattern counts and scores cover all documents.
+hash of (doc_id, text), and rows equal to them; votes, pattern counts and scores cover all documents.
 
 A null text is an empty text: all labellers abstain, so its weak label is the
 prior of good documents; texts without words are scored like any other. Null and
@@ -115,12 +115,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, min_rows: int = 5) -> Model:
     by = {r["pattern"]: r["n"] for r in counted}
     post, _, share = estimate(patterns, np.array([by[p] for p in patterns.tolist()], float))
     posterior = dict(zip(patterns.tolist(), post.tolist()))
-    h = F.xxhash64("text")
     total = max(sum(by.values()), 1)
-    # twice the share that is asked for, then the exact number: bounded by the sample
+    # the sample's largest hash, among twice the share that is asked for: hashes
+    # only, so that no text passes through one task
     most = min(int(2.0 * sample / total * 2.0 ** 63), 2 ** 63 - 1)
-    chosen = (texts.withColumn("_h", h).filter(F.shiftrightunsigned("_h", 1) <= most).orderBy("_h", F.octet_length("text")).limit(sample)
-              .select("text"))
+    hashed = docs.select("text", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("_h")).filter(F.col("_h") <= most)
+    last = hashed.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    chosen = hashed.filter(F.col("_h") <= F.lit(last if last is not None else -1)).select("text")
     rows = chosen.mapInArrow(_featured, "pattern bigint, features binary").collect()
     owner = np.repeat(np.arange(len(rows)), [len(r["features"]) // 4 for r in rows])
     feature = np.concatenate([np.frombuffer(r["features"], "<i4") for r in rows] or [np.zeros(0, "<i4")]).astype(np.int64)
@@ -138,7 +139,7 @@ def _scored(model, names: list[str]):
         for b in batches:
             column = one(pa.chunked_array([b.column(b.schema.get_field_index("text"))]))
             for s, e in chunks(column):
-                feature, owner, stats = of_texts(column.slice(s, e - s), (SHAPES,))
+                feature, owner, stats = of_texts(column.slice(s, e - s), (SHAPES,), m.column)
                 score = m.score(feature, owner, e - s)
                 part = b.slice(s, e - s)
                 yield pa.RecordBatch.from_arrays(
