@@ -327,9 +327,9 @@ def _cross_pairs(percent: int):
     return run
 
 
-def _small(ids: DataFrame) -> DataFrame:
-    """Ids hinted for broadcast if there are at most BROADCAST_IDS of them."""
-    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+def _small(rows: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """Rows of a few numbers hinted for broadcast if there are at most ``most``."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
 def _whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -398,7 +398,8 @@ def _links(docs: DataFrame, n: int, percent: int, by_row: bool) -> tuple[DataFra
         return sets, None
     key = ["set_hi", "set_lo", "n_shingles"]
     lead = known.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("_far"))
-    copies = lead.filter("rep <> _far").select(*key, "rep")
+    # one row per group of copies; beyond the bound a skewed join splits hot groups
+    copies = _small(cut(lead.filter("rep <> _far").select(*key, "rep")), BROADCAST_IDS // 4)
     equal = cut(known.join(copies, key).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
     rarity = spark.sparkContext.broadcast(_counters(docs))          # fixed size: 4 MB
     # only the smallest document of equal sets is posted
