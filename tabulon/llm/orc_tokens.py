@@ -30,7 +30,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, stripe_mb: int = 1
     (token_rows(laid, vocabulary).write.option("orc.bloom.filter.columns", "doc_id")
      .option("orc.bloom.filter.fpp", "0.01").option("orc.create.index", "true")
      .option("orc.row.index.stride", str(row_index_stride)).option("orc.stripe.size", str(stripe_mb << 20))
-     .option("compression", "zstd").mode("error").orc(path))
+     .option("compression", "snappy").mode("error").orc(path))
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
