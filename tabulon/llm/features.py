@@ -197,8 +197,9 @@ class Linear:
             self.w = w
             return self
 
-        order = np.argsort(row, kind="stable")
-        row, col = row[order], col[order]
+        if len(row) and (np.diff(row) < 0).any():
+            order = np.argsort(row, kind="stable")
+            row, col = row[order], col[order]
         head = np.flatnonzero(np.diff(row, prepend=-1))
         filled = row[head]
 

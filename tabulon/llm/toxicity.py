@@ -31,7 +31,7 @@ from .features import DIMS, SHAPES, WORDS, Linear, of_texts
 from .words import chunks
 
 SAMPLE = 20_000
-WIDTH = 4096
+WIDTH = 2048
 MIN_Z = 4.0
 FOLDS = 5
 L2 = 1e-3
@@ -141,13 +141,15 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     got.sort(key=lambda r: (r["features"], r["fold"], *[(r[f"y{k}"] is None, r[f"y{k}"] or 0) for k in range(n)]))
     fold = np.array([r["fold"] for r in got], np.int64)
     size = [len(r["features"]) // 4 for r in got]
-    owner = np.repeat(np.arange(len(got)), size)
-    col = np.concatenate([np.frombuffer(r["features"], "<i4") for r in got] or [np.zeros(0, "<i4")]).astype(np.int64)
+    owner = np.repeat(np.arange(len(got), dtype=np.int32), size)
+    col = np.frombuffer(b"".join(r["features"] for r in got), "<i4")
+    labels_of = [np.array([np.nan if r[f"y{k}"] is None else r[f"y{k}"] for r in got]) for k in range(n)]
     extra, models = np.zeros((len(got), 0)), []
+    del got
     for k in range(n):
         scale = _log_odds(counts[2 * k:2 * k + 2, picked], sides[k])
-        y = np.array([np.nan if r[f"y{k}"] is None else r[f"y{k}"] for r in got])
-        out = np.zeros(len(got))
+        y = labels_of[k]
+        out = np.zeros(len(y))
         for f in range(FOLDS) if k + 1 < n else ():
             m = _fit(owner, col, extra, y, (fold != f) & ~np.isnan(y), scale)
             out[fold == f] = m.margin(owner, col, extra)[fold == f]
@@ -163,7 +165,7 @@ def _log_odds(counts: np.ndarray, sides) -> np.ndarray:
 
 
 def _fit(owner, col, extra, y, use, scale) -> Linear:
-    number = np.cumsum(use) - 1
+    number = np.cumsum(use, dtype=np.int32) - 1
     keep = use[owner]
     return Linear(len(scale), extra.shape[1], l2=L2).fit(number[owner[keep]], col[keep], extra[use], y[use], scale=scale)
 
