@@ -131,7 +131,10 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
         .withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tb - 1).cast("long"))))
     t = t.withColumn("_tb", F.pmod(F.xxhash64("t"), F.lit(tb))) \
         .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))))
-    local = (q.groupBy("_qb", "_tb").cogroup(t.groupBy("_qb", "_tb"))
+    blocks = ["_qb", "_tb"]
+    if same:                                           # rows of different values never meet
+        q, t, blocks = q.withColumn("_s", F.col("qfold")), t.withColumn("_s", F.col("tfold")), ["_s", *blocks]
+    local = (q.groupBy(*blocks).cogroup(t.groupBy(*blocks))
              .applyInPandas(_local_topk(k, metric, same=same is not None, masked=part is not None),
                             NEIGHBOUR_SCHEMA))
     rn = F.row_number().over(Window.partitionBy("query").orderBy("d_r", "neighbor"))

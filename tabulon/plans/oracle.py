@@ -693,7 +693,7 @@ SELECT macro_f1_memorisation_cv, macro_f1_conceded_cv, r.f1_macro AS macro_f1_re
 
 # ---------------------------------------------------------------- k-NN grid
 _KG = " UNION ALL ".join(
-    f"SELECT k, '{w}' AS weights, '{m}' AS metric, fold, y, pred FROM {predictions_sql([1, 3, 5, 9, 15], w, m)}"
+    f"SELECT k, '{w}' AS weights, '{m}' AS metric, fold, y, pred FROM {predictions_sql([1, 3, 5, 7, 9, 11, 15, 21, 31, 41], w, m)}"
     for m in ("manhattan", "euclidean") for w in ("uniform", "distance"))
 KG_CONF = f"(SELECT k, weights, metric, fold, y, pred, count(*) AS n FROM ({_KG}) GROUP BY ALL)"
 KNN_GRID = f"""(SELECT k::INTEGER AS k, weights, metric,

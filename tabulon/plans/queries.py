@@ -650,7 +650,7 @@ def doc_study_frame(spark, sf, k: int = 5):
 def q_knn_grid(spark, sf):
     f = embedding_folds(spark, sf).persist()
     return search.knn_grid(f, "vec_id", "embedding", "label", "fold", embedding_classes(spark, sf),
-                           [1, 3, 5, 9, 15], ["uniform", "distance"], ["manhattan", "euclidean"])
+                           [1, 3, 5, 7, 9, 11, 15, 21, 31, 41], ["uniform", "distance"], ["manhattan", "euclidean"])
 
 
 @register("knn_refined_grid")
