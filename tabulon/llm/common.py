@@ -3,6 +3,7 @@ ranks and connected components."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -30,6 +31,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and checkpoints that nothing refers
+    to any more. It does so when the driver's JVM collects its garbage, which
+    rounds of small jobs may not bring about for a long time."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -97,6 +106,8 @@ def components(links: DataFrame) -> DataFrame:
         small = (large.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low2.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         edges = cut(small)
+        del both, low, large, low2, small
+        release(spark)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -13,11 +13,12 @@ parity bitmaps, one bit for the number of tokens in each of at least as many
 hash cells as the set has tokens: two sets differ in at least as many tokens as
 their bitmaps differ in bits.
 
-Links are found in two passes so that a large group of near copies does not
-produce all its pairs: first each list is joined to its hub (the set that holds
-the token earliest, which is the least edited copy), then every pair of sets
-that are still in different components is verified. A pair inside one
-component cannot change the components, so no link that matters is lost.
+Links are found in rounds so that a large group of near copies does not produce
+all its pairs: first each list is joined to its hub (the set that holds the token
+earliest, which is the least edited copy), then, ``nearest`` times, each set of a list to its
+nearest set (by bitmap) of another component, and last every pair of sets that
+are still in different components is verified. A pair inside one component
+cannot change the components, so no link that matters is lost.
 
 Words are lower-cased (A-Z) runs of non-white-space. A text with fewer than
 ``n`` words has its whole word sequence as its one shingle; a null, empty or
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buckets import ids_of, in_sorted, one
-from .common import components, cut, shuffle_parts, table, with_running_total
+from .common import components, cut, release, shuffle_parts, table, with_running_total
 from .words import Words, chunks, mix, split
 
 COUNTERS = 1 << 20
@@ -269,9 +270,9 @@ class _Lists:
             self.folded[bits] = out, place
         return self.folded[bits]
 
-    def passing(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The pairs of rows that may reach the threshold: length filter,
-        positional filter, suffix filter."""
+    def passing(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of rows that may reach the threshold (length filter,
+        positional filter, suffix filter), and the bits in which they differ."""
         si, sj = self.size[i], self.size[j]
         need = min_overlap(si, sj, self.percent)
         ok = 100 * np.minimum(si, sj) >= self.percent * np.maximum(si, sj)
@@ -279,16 +280,16 @@ class _Lists:
         ok &= self.ids[i] != self.ids[j]
         i, j, need = i[ok], j[ok], need[ok]
         width = np.minimum(self.bits[i], self.bits[j])
-        keep = np.zeros(len(i), bool)
+        differ = np.zeros(len(i), np.int64)
         for bits in np.unique(width):
             of = np.flatnonzero(width == bits)
             table_, place = self._matrix(int(bits))
             step = max(1, (1 << 22) // int(bits // 8))
             for s in range(0, len(of), step):
                 k = of[s:s + step]
-                apart = np.bitwise_count(table_[place[i[k]]] ^ table_[place[j[k]]]).sum(axis=1, dtype=np.int64)
-                keep[k] = self.size[i[k]] + self.size[j[k]] - apart >= 2 * need[k]
-        return i[keep], j[keep]
+                differ[k] = np.bitwise_count(table_[place[i[k]]] ^ table_[place[j[k]]]).sum(axis=1, dtype=np.int64)
+        keep = self.size[i] + self.size[j] - differ >= 2 * need
+        return i[keep], j[keep], differ[keep]
 
 
 def _pair_frame(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -301,29 +302,41 @@ def _hub_pairs(percent: int):
         x = _Lists(group, ["token", "pos", "size", "doc_id"], percent)
         new = np.flatnonzero(np.diff(x.token, prepend=x.token[0] - 1))
         hub = np.repeat(new, np.diff(np.append(new, len(x.token))))
-        i, j = x.passing(hub, np.arange(len(hub)))
+        i, j, _ = x.passing(hub, np.arange(len(hub)))
         return _pair_frame(x.ids[i], x.ids[j])
     return run
 
 
-def _cross_pairs(percent: int):
+def _cross_pairs(percent: int, nearest: bool):
     """Pairs of each token's list that lie in different components and pass
-    the filters. Lists are sorted by size and compared at growing distance, so
-    only pairs within the length filter are looked at and pairs of one
-    component are never kept."""
+    the filters: all of them, or only each set's nearest. Lists are sorted by
+    size and compared at growing distance, so only pairs within the length
+    filter are looked at and pairs of one component are never kept."""
     def run(group):
         x = _Lists(group, ["token", "size", "doc_id"], percent)
         left, out, d = np.arange(len(x.token)), [_pair_frame(x.ids[:0], x.ids[:0])], 0
+        mate, least = np.full(len(left), -1), np.full(len(left), np.iinfo(np.int64).max)
         while True:
             d += 1
             left = left[left + d < len(x.token)]
             left = left[(x.token[left + d] == x.token[left]) & (100 * x.size[left] >= percent * x.size[left + d])]
             if not len(left):
-                return pd.concat(out).drop_duplicates()
+                break
             apart = left[x.comp[left] != x.comp[left + d]]
-            i, j = x.passing(apart, apart + d)
-            if len(i):
-                out.append(_pair_frame(x.ids[i], x.ids[j]))
+            i, j, differ = x.passing(apart, apart + d)
+            if not nearest:
+                if len(i):
+                    out.append(_pair_frame(x.ids[i], x.ids[j]))
+                continue
+            for a, b in ((i, j), (j, i)):
+                closer = differ < least[a]
+                mate[a[closer]], least[a[closer]] = b[closer], differ[closer]
+        if nearest:
+            rows = np.flatnonzero(mate >= 0)
+            rows = rows[np.lexsort((x.ids[mate[rows]], least[rows], x.ids[rows]))]
+            rows = rows[np.diff(x.ids[rows], prepend=x.ids[rows[:1]] - 1) != 0]    # one for each document here
+            out.append(_pair_frame(x.ids[rows], x.ids[mate[rows]]))
+        return pd.concat(out).drop_duplicates()
     return run
 
 
@@ -361,17 +374,18 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of documents."""
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, nearest: int = 2) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of documents. The number
+    of ``nearest`` rounds changes the work, never the result."""
     if n < 1 or not 0 < percent <= 100:
         raise ValueError("n is at least 1 and percent from 1 to 100")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets, links = _links(docs, n, percent, by_row=False)
+    sets, links = _links(docs, n, percent, nearest, by_row=False)
     if links is None:                                  # one id, different texts: join rows, not ids
         row = F.when(F.col("doc_id").isNotNull(), F.col("_key")).alias("_key")
         keyed = cut(with_running_total(docs, [F.asc_nulls_last("doc_id"), F.asc("text")], F.lit(1).cast("bigint"), "_key")
                     .select("doc_id", "text", row))
-        sets, links = _links(keyed.select(F.col("_key").alias("doc_id"), "text"), n, percent, by_row=True)
+        sets, links = _links(keyed.select(F.col("_key").alias("doc_id"), "text"), n, percent, nearest, by_row=True)
         ids = keyed.filter("_key is not null").select(F.col("_key").alias("doc_id"), F.col("doc_id").alias("_id"))
         one_id = ids.groupBy("_id").agg(F.min("doc_id").alias("a"))
         same = ids.join(one_id, "_id").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
@@ -386,7 +400,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def _links(docs: DataFrame, n: int, percent: int, by_row: bool) -> tuple[DataFrame, DataFrame | None]:
+def _links(docs: DataFrame, n: int, percent: int, nearest: int, by_row: bool) -> tuple[DataFrame, DataFrame | None]:
     """The sets table, and links whose components are those of the whole join
     (None if a doc_id has several different sets and ``by_row`` is False)."""
     spark = docs.sparkSession
@@ -415,18 +429,22 @@ def _links(docs: DataFrame, n: int, percent: int, by_row: bool) -> tuple[DataFra
         return cut(_verified(found, _whole_sets(docs, ids, n), percent))
 
     hub = cut(live.join(bitmaps, "doc_id").withColumn("part", part).groupBy("part").applyInPandas(_hub_pairs(percent), pairs).distinct())
-    near = verified(hub)
-    found = components(near).withColumnRenamed("id", "doc_id")
-    here = live.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    split_lists = here.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-    cross = (here.join(split_lists, "token", "left_semi").join(bitmaps, "doc_id").withColumn("part", part).groupBy("part")
-             .applyInPandas(_cross_pairs(percent), pairs).distinct().join(hub, ["a", "b"], "left_anti"))
-    late = verified(cut(cross))
-    return sets, near.unionByName(late).unionByName(equal)
+    near, tested = verified(hub), hub
+    for only_nearest in [True] * nearest + [False]:
+        found = components(near).withColumnRenamed("id", "doc_id")
+        here = live.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        apart = here.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
+        cross = (here.join(apart, "token", "left_semi").join(bitmaps, "doc_id").withColumn("part", part).groupBy("part")
+                 .applyInPandas(_cross_pairs(percent, only_nearest), pairs).distinct())
+        cross = cut(cross.join(tested, ["a", "b"], "left_anti"))
+        del found, here, apart
+        release(spark)
+        near, tested = near.unionByName(verified(cross)), tested.unionByName(cross)
+    return sets, near.unionByName(equal)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90, nearest=0)
 
 
 OP8_SQL = r"""

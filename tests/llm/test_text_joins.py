@@ -55,7 +55,8 @@ def test_jaccard_many_near_copies(spark):
         for _ in range(rng.randint(0, 6)):
             w[rng.randrange(len(w))] = f"y{rng.randrange(10 ** 6)}"
         rows.append((i, " ".join(w)))
-    assert got_components(jaccard_components(frame(spark, rows), 3, 90)) == brute_components(rows, 3, 90)
+    for nearest in (0, 2):
+        assert got_components(jaccard_components(frame(spark, rows), 3, 90, nearest)) == brute_components(rows, 3, 90)
 
 
 def test_jaccard_repeated_ids_and_empty_table(spark):
