@@ -66,6 +66,15 @@ def test_stages_equal_brute_force(spark, tmp_path):
         assert [o for o, _ in parts] == list(np.cumsum([0] + [n for _, n in parts])[:-1]) and sum(n for _, n in parts) <= CAPACITY
 
 
+def test_decontaminated_rows_without_an_id(spark, tmp_path):
+    rows, tests = corpus()
+    spark.createDataFrame(tests, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = (None, rows[0][1], "en", "s", 9)
+    docs = spark.createDataFrame([clean, (None, tests[0][1], "en", "s", 9), (None, None, "en", "s", 0), rows[1]], SCHEMA)
+    left = P.decontaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(str, left)) == sorted(str(r) for r in spark.createDataFrame([clean, (None, None, "en", "s", 0), rows[1]], SCHEMA).collect())
+
+
 def test_run_equals_its_stages_and_takes_an_empty_table(spark, tmp_path):
     rows, tests = corpus()
     spark.createDataFrame(tests, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -126,6 +126,29 @@ def test_decontamination(spark):
     assert contaminated(frame(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_dense_edits_and_short_items(spark):
+    rng = random.Random(9)
+    text = lambda n: [rng.choice(VOCAB[:40]) + rng.choice("abcdefgh") for _ in range(n)]
+    tests = [text(30) for _ in range(6)] + [text(n) for n in (1, 2, 3, 4, 5, 7, 12)]
+    docs = [text(150) for _ in range(10)]
+    for item in tests:
+        for every in (2, 3, 4):
+            more = [x for i, w in enumerate(item) for x in ([w, f"extra{i}"] if (i + 1) % every == 0 else [w])]
+            other = [f"other{i}" if (i + 1) % every == 0 else w for i, w in enumerate(item)]
+            less = [w for i, w in enumerate(item) if (i + 1) % every]
+            docs += [text(40) + x + text(40) for x in (more, other, less)]
+        docs += [text(20) + item + text(20), item]                # verbatim copies beside the edited ones
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(tests)], "item_id bigint, text string")
+    got = contaminated(frame(spark, [(i, " ".join(t)) for i, t in enumerate(docs)]), bench).collect()
+    want = {}
+    for d, t in enumerate(docs):
+        for i, item in enumerate(tests):
+            score = alignment(item, t)
+            if score >= len(item):
+                want[d, i] = score / (2 * len(item))
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want and len(want) > 100
+
+
 def test_components_long_chain(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(
         spark.createDataFrame([(1000, 1001), (1001, 1001), (None, 4)], "a bigint, b bigint"))
