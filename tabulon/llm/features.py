@@ -15,6 +15,8 @@ from .words import Words, _BYTE, _LOWER, _POW, mix, split
 
 DIMS = 1 << 18
 BLOCK = 100                   # words
+TOLERANCE = 1e-9
+PART = 1 << 19                # features of the sample looked at together
 WORDS, SHAPES = "words", "shapes"
 
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -165,15 +167,19 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 class Linear:
     """Logistic regression on binary features (column numbers by row) and a few
-    dense columns, L2-regularised, fitted by L-BFGS on a bounded sample."""
+    dense columns, L2-regularised, fitted by L-BFGS on a bounded sample until
+    a step lowers the loss by less than ``TOLERANCE``. Features are gone through
+    in parts of ``PART``, so that only the sample itself takes memory."""
 
-    def __init__(self, width: int, dense: int, l2: float = 1e-4, steps: int = 40):
-        self.width, self.dense, self.l2, self.steps = width, dense, l2, steps
+    def __init__(self, width: int, dense: int, l2: float = 1e-4):
+        self.width, self.dense, self.l2 = width, dense, l2
         self.w = np.zeros(width + dense + 1)
 
     def margin(self, row: np.ndarray, col: np.ndarray, extra: np.ndarray, w: np.ndarray | None = None) -> np.ndarray:
         w = self.w if w is None else w
-        z = np.bincount(row, weights=w[col], minlength=len(extra)) if len(row) else np.zeros(len(extra))
+        z = np.zeros(len(extra))
+        for s in range(0, len(row), PART):
+            z += np.bincount(row[s:s + PART], weights=w[col[s:s + PART]], minlength=len(extra))
         return z + extra @ w[self.width:-1] + w[-1]
 
     def probability(self, row: np.ndarray, col: np.ndarray, extra: np.ndarray) -> np.ndarray:
@@ -200,17 +206,25 @@ class Linear:
         if len(row) and (np.diff(row) < 0).any():
             order = np.argsort(row, kind="stable")
             row, col = row[order], col[order]
-        head = np.flatnonzero(np.diff(row, prepend=-1))
-        filled = row[head]
+        # (features, places of their first ones by row, rows, numbers of features) of each part, in whole rows
+        head = np.append(0, np.flatnonzero(row[1:] != row[:-1]) + 1) if len(row) else np.zeros(0, np.int64)
+        filled, many, parts, s = row[head], np.diff(np.append(head, len(row))), [], 0
+        while s < len(head):
+            e = max(s + 1, int(np.searchsorted(head, head[s] + PART)))
+            parts.append((col[head[s]:head[e] if e < len(head) else len(col)], head[s:e] - head[s], filled[s:e], many[s:e]))
+            s = e
 
         def loss(v):
             u = v * by
             z = extra @ u[self.width:-1] + u[-1]
-            if len(row):
-                z[filled] += np.add.reduceat(u[col], head)
+            for c, first, of, _ in parts:
+                z[of] += np.add.reduceat(u[c], first)
             p = sigmoid(z)
             r = weight * (p - y) / total
-            g = np.concatenate([np.bincount(col, weights=r[row], minlength=self.width)[:self.width], extra.T @ r, [r.sum()]])
+            g = np.zeros(self.width)
+            for c, _, of, size in parts:
+                g += np.bincount(c, weights=np.repeat(r[of], size), minlength=self.width)
+            g = np.concatenate([g, extra.T @ r, [r.sum()]])
             reg = self.l2 * v
             reg[-1] = 0
             z = np.clip(z, -30, 30)
@@ -219,7 +233,7 @@ class Linear:
 
         old_s, old_y = [], []
         f, g = loss(w)
-        for _ in range(self.steps):
+        while True:
             q, alpha = g.copy(), []
             for s, t in zip(reversed(old_s), reversed(old_y)):
                 a = (s @ q) / (s @ t)
@@ -237,10 +251,12 @@ class Linear:
                 if fv <= f - 1e-4 * size * slope or size < 1e-8:
                     break
                 size /= 2
+            if not fv <= f:
+                break
             s, t = v - w, gv - g
             if s @ t > 1e-14:
                 old_s, old_y = [*old_s[-9:], s], [*old_y[-9:], t]
-            done = f - fv < 1e-9
+            done = f - fv < TOLERANCE
             w, f, g = v, fv, gv
             if done:
                 break

@@ -7,9 +7,8 @@ out-of-fold predictions while training (folds by hash of the text, so copies
 share a fold), and from the chain itself when scoring.
 
 The models are fitted on at most ``SAMPLE`` labelled documents, those with the
-smallest hash of doc_id; of their features, those whose document counts differ
-most between the two sides of a category (|z| at least ``MIN_Z``, at most
-``WIDTH`` a category) are used. All documents are scored, over their whole
+smallest hash of doc_id; of their features, all whose document counts differ
+between the two sides of a category (|z| at least ``MIN_Z``) are used. All documents are scored, over their whole
 texts, in one pass without a shuffle.
 
 Labels: a null label leaves its row out of that category's training; repeated
@@ -31,7 +30,6 @@ from .features import DIMS, SHAPES, WORDS, Linear, of_texts
 from .words import chunks
 
 SAMPLE = 20_000
-WIDTH = 2048
 MIN_Z = 4.0
 FOLDS = 5
 L2 = 1e-3
@@ -78,16 +76,14 @@ def _add(key, rows):
 
 
 def _select(counts: np.ndarray, sides: np.ndarray) -> np.ndarray:
-    """Features whose share of documents differs most between the sides."""
+    """Features whose share of documents differs between the sides."""
     n0, n1 = sides
     if not n0 or not n1:
         return np.zeros(0, np.int64)
     p = (counts[0] + counts[1]) / (n0 + n1)
     with np.errstate(divide="ignore", invalid="ignore"):
         z = np.abs(counts[1] / n1 - counts[0] / n0) / np.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
-    z = np.nan_to_num(z)
-    best = np.argsort(-z, kind="stable")[:WIDTH]
-    return best[z[best] >= MIN_Z]
+    return np.flatnonzero(np.nan_to_num(z) >= MIN_Z)
 
 
 class Chain:
@@ -165,9 +161,8 @@ def _log_odds(counts: np.ndarray, sides) -> np.ndarray:
 
 
 def _fit(owner, col, extra, y, use, scale) -> Linear:
-    number = np.cumsum(use, dtype=np.int32) - 1
-    keep = use[owner]
-    return Linear(len(scale), extra.shape[1], l2=L2).fit(number[owner[keep]], col[keep], extra[use], y[use], scale=scale)
+    # rows that are not used weigh nothing: no copy of the sample for each fold
+    return Linear(len(scale), extra.shape[1], l2=L2).fit(owner, col, extra, np.where(use, y, 0.0), use.astype(float), scale=scale)
 
 
 def _scored(chain):

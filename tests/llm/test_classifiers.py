@@ -79,3 +79,20 @@ def test_linear_model_fits_and_copies_of_rows_weigh_twice():
     twice = features.Linear(6, 0).fit(np.concatenate([row, row + 400]), np.concatenate([col, col]), np.zeros((800, 0)), np.concatenate([y, y]))
     weighed = features.Linear(6, 0).fit(row, col, np.zeros((400, 0)), y, np.full(400, 2.0))
     assert np.allclose(twice.w, weighed.w, atol=0.05)
+
+
+def test_linear_model_is_fitted_to_convergence():
+    rng = np.random.default_rng(1)
+    x = rng.random((600, 200)) < rng.uniform(0.02, 0.9, 200)
+    y = (rng.random(600) < 1 / (1 + np.exp(-(x - x.mean(0)) @ rng.normal(0, 1, 200)))).astype(float)
+    row, col = np.nonzero(x)
+    m = features.Linear(200, 0, l2=1e-5).fit(row, col, np.zeros((600, 0)), y)
+    w = m.w * np.append(np.ones(200), 0)
+    slope = np.append(x.T, np.ones((1, 600)), axis=0) @ (m.probability(row, col, np.zeros((600, 0))) - y) / 600 + 1e-5 * w
+    assert np.abs(slope).max() < 1e-4
+
+
+def test_every_feature_that_tells_the_sides_apart_is_selected():
+    counts = np.zeros((2, features.DIMS), np.int64)
+    counts[:, 1000:7000] = [[10], [100]]
+    assert toxicity._select(counts, np.array([1000, 1000])).tolist() == list(range(1000, 7000))
