@@ -982,16 +982,20 @@ def q_bound_progress(spark, sf):
                     .alias("share_closed_by_conceding"))
 
 
+TRAIN_PROBE = 10_000
+
+
 @register("training_probe_gap")
 def q_training_probe_gap(spark, sf):
-    """Optimism gap of k-NN: accuracy on a fixed-size stratified probe of
-    each training fold (scored against that fold) minus out-of-fold accuracy."""
+    """Optimism gap of k-NN: accuracy on a stratified probe of 10,000 rows of
+    each training fold (the whole fold if smaller; scored against that fold)
+    minus out-of-fold accuracy."""
     f = embedding_folds(spark, sf).persist()
     classes = embedding_classes(spark, sf)
     parts = []
     for fo in sorted(r[0] for r in f.select("fold").distinct().collect()):
         train = f.filter(F.col("fold") != fo)
-        probe = sampling.stratified_take(train, "vec_id", "label", 100, SEED).select("vec_id", "embedding", "label")
+        probe = sampling.stratified_take(train, "vec_id", "label", TRAIN_PROBE, SEED).select("vec_id", "embedding", "label")
         n = neighbors.knn(probe, train, "vec_id", "embedding", "label", 5)
         v = neighbors.vote(n, [5], "distance", classes).join(
             probe.select(F.col("vec_id").alias("query"), F.col("label").alias("y")), "query")
