@@ -80,23 +80,25 @@ def out_of_fold(df: DataFrame, key: str, features: str, label: str, fold: str, c
     return out
 
 
-def grid(predict, space: dict) -> DataFrame:
-    """Cross-validated scores for every combination in ``space`` (a dict
-    of parameter -> values). ``predict(**params)`` returns out-of-fold
-    predictions (fold, y, pred) and prepares features per fold itself; each fold
-    fit is a distributed MLlib job, the grid loop is on the driver."""
-    names = list(space)
+def grid(predict, *spaces: dict) -> DataFrame:
+    """Cross-validated scores for every combination in each of ``spaces``
+    (dicts of the same parameters -> values; None for the unbounded depth), each
+    combination once. ``predict(**params)`` returns out-of-fold predictions (fold,
+    y, pred) and prepares features per fold itself; each fold fit is a distributed
+    MLlib job, the grid loop is on the driver and collects one row a setting."""
+    names = list(spaces[0])
     rows = []
-    for combo in itertools.product(*[space[n] for n in names]):
-        params = dict(zip(names, combo))
-        sc = metrics.scores(metrics.confusion(predict(**params), ["fold"]), ["fold"])
+    for combo in dict.fromkeys(c for s in spaces for c in itertools.product(*[s[n] for n in names])):
+        pred = predict(**dict(zip(names, combo)))
+        sc = metrics.scores(metrics.confusion(pred, ["fold"]), ["fold"])
         s = sc.agg(F.avg("f1_macro").alias("f1_mean"), F.stddev_samp("f1_macro").alias("f1_std"),
                    F.avg("balanced_accuracy").alias("bal_mean"), F.stddev_samp("balanced_accuracy").alias("bal_std"))
-        rows.append(s.select(*[F.lit(v).alias(n) for n, v in params.items()], "*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.select(*names, *[F.round(c, 6).alias(c) for c in ("f1_mean", "f1_std", "bal_mean", "bal_std")])
+        rows.append((*combo, *s.first()))
+    kinds = {int: "int", float: "double", str: "string", type(None): "int"}
+    of = {n: next((type(v) for s in spaces for v in s[n] if v is not None), type(None)) for n in names}
+    scores = ("f1_mean", "f1_std", "bal_mean", "bal_std")
+    out = pred.sparkSession.createDataFrame(rows, ", ".join([f"{n} {kinds[of[n]]}" for n in names] + [f"{c} double" for c in scores]))
+    return out.select(*names, *[F.round(c, 6).alias(c) for c in scores])
 
 
 def best_per(grid_df: DataFrame, axis: str) -> DataFrame:
