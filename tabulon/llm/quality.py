@@ -4,7 +4,8 @@ Overlapping heuristic labellers vote good, bad or abstain on every document.
 Votes of all documents are counted by pattern (at most 3 ^ labellers rows), and
 expectation-maximisation on these counts estimates each labeller's rates of
 good and bad votes among good and among bad documents (abstaining counts as
-missing), with no human labels. The posterior of a document's vote pattern is
+missing), with no human labels; a prior of ``PRIOR`` votes says that bad votes on
+good documents are rare. The posterior of a document's vote pattern is
 its weak label; a hashed linear scorer on shapes of words, not on the votes, is
 trained on the posteriors and scores every document.
 
@@ -29,7 +30,8 @@ from .features import DIMS, SHAPES, Linear, of_texts, statistics
 from .words import chunks, split
 
 SAMPLE = 20_000
-FALSE_ALARM = 0.002           # labellers are built to be precise: most bad votes on good documents
+FALSE_ALARM = 0.002           # labellers are built to be precise: prior rate of bad votes on good documents,
+PRIOR = 1000.0                # worth so many votes; more documents than that speak for themselves
 GOOD, BAD, NONE = 2, 1, 0
 
 # (statistic, bad from, good up to, fewest words): the vote is bad at or above the
@@ -69,9 +71,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, steps: int = 200) -> tupl
         moved = float(np.abs(new - post).max()) if len(post) else 0.0
         post = new
         for k, weight in enumerate((counts * (1 - post), counts * post)):
-            rate[k] = (weight @ bad + (0.3, 0.01)[k]) / (weight @ (bad + good) + 1.0)
+            rate[k] = (weight @ bad + (0.3, FALSE_ALARM * PRIOR)[k]) / (weight @ (bad + good) + (1.0, PRIOR)[k])
         rate = np.clip(rate, 1e-6, 1 - 1e-6)
-        rate[1] = np.minimum(rate[1], FALSE_ALARM)
         share = float(np.clip((counts @ post + 0.9) / (counts.sum() + 1.0), 1e-6, 1 - 1e-6))
         if moved < 1e-9:
             break

@@ -96,3 +96,14 @@ def test_every_feature_that_tells_the_sides_apart_is_selected():
     counts = np.zeros((2, features.DIMS), np.int64)
     counts[:, 1000:7000] = [[10], [100]]
     assert toxicity._select(counts, np.array([1000, 1000])).tolist() == list(range(1000, 7000))
+
+
+def test_em_finds_a_labeller_that_errs_on_good_documents():
+    rng = np.random.default_rng(3)
+    m, n = len(quality.LABELLERS), 40_000
+    good = rng.random(n) < 0.85
+    false = np.where(np.arange(m) == 2, 0.05, 0.001)
+    vote = np.where(rng.random((n, m)) < np.where(good[:, None], false, 0.7), quality.BAD, quality.GOOD)
+    values, counts = np.unique((vote * 3 ** np.arange(m - 1, -1, -1)).sum(axis=1), return_counts=True)
+    _, rate, _ = quality.estimate(values, counts.astype(float))
+    assert abs(rate[1][2] - 0.05) < 0.01 and np.delete(rate[1], 2).max() <= quality.FALSE_ALARM
