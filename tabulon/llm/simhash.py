@@ -45,7 +45,7 @@ PART_VARIANTS = 1 << 22       # variants that a part holds on average, while the
 BLOCK_VARIANTS = 1 << 22      # variants sorted together in a task
 MIN_PARITIES, MAX_PARITIES = 8, 20
 PIECE_BYTES = 1 << 20         # of a text, hashed together
-BROADCAST_ROWS = 1 << 20
+BROADCAST_ROWS = 1 << 16      # of (fingerprint, group); beyond that a shuffle join
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
