@@ -1,142 +1,358 @@
 """Exact k-nearest-neighbour join and votes.
 
-Plan: queries are hashed into ``QB`` blocks and training rows into ``TB``
-blocks; each query row is replicated to the TB training blocks and each
-training row to the QB query blocks, so every (query block, training block)
-pair meets in one cogroup. Inside it, vectorised NumPy computes the distance
-block and keeps the k best per query under the total order
-(round(d, 9), neighbour key). The union of local winners (k x TB rows per
-query) is cut to the global k with ``row_number`` (Spark plans a partial and
-final WindowGroupLimit). Shuffle volume is nq*TB + nt*QB rows, never nq*nt,
-and no group exceeds one query block plus one training block, whose sizes
-are parameters (8,192 / 100,000 rows; the distance block itself is computed
-in cache-sized chunks of about 65,000 cells). Fold exclusion (train.fold <> query.fold) lets all folds run
-in one job.
-"""
+Most pairs are never compared. Inside a task, training rows are cut into blocks
+of near rows (median splits of the widest dimension); a query is compared with
+a block only where the block's box is no farther than the k-th distance the
+query has found so far. Between tasks the same bound is used on a coarser
+layout: training rows go to cells (regions of a median-split tree over a
+bounded sample, which steers the layout only), every query gets an upper bound
+of its k-th distance from that sample, and is sent only to the cells whose
+region is not farther. The result is exact: a bound only ever rules out rows
+that cannot be among the k.
+
+* Few queries (up to ``BROADCAST_BYTES`` of vectors, counted): they are
+  broadcast and the training rows are searched where they lie, without a shuffle.
+* Otherwise every (cell, query block, training block) meets in one cogroup; no
+  group exceeds one query block plus one training block (8,192 / 100,000 rows by
+  default), however many rows share a cell.
+
+The union of local winners is cut to the global k with ``row_number`` (Spark
+plans a partial and final WindowGroupLimit) under the total order (distance
+rounded to 9 places, neighbour key). Fold exclusion (train.fold <> query.fold)
+lets all folds run in one job."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import argmax_index
+from ..plans.sizing import bounded_broadcast
 
 NEIGHBOUR_SCHEMA = T.StructType([
     T.StructField("query", T.LongType()), T.StructField("neighbor", T.LongType()),
     T.StructField("label", T.IntegerType()), T.StructField("d", T.DoubleType()),
     T.StructField("d_r", T.DoubleType()),
 ])
+BROADCAST_BYTES = 16 << 20    # of query vectors; more queries are shuffled to cells
+SAMPLE_ROWS = 8_192           # training rows that steer the cells and bound the k-th distances
+LEAF_ROWS = 256               # training rows compared together
+CHUNK_CELLS = 1 << 16         # distances computed together
+
+
+def distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
+    """Distances (nq, nt), summed over the dimensions in order, as SQL does."""
+    out = np.zeros((len(queries), len(rows)))
+    step = np.empty_like(out)
+    for j in range(rows.shape[1]):
+        np.subtract(queries[:, j, None], rows[None, :, j], out=step)
+        np.abs(step, out=step) if metric == "manhattan" else np.multiply(step, step, out=step)
+        out += step
+    return np.sqrt(out, out=out) if metric == "euclidean" else out
+
+
+def box_distances(queries: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str) -> np.ndarray:
+    """Least distance (nq, boxes) from each query to any point of each box."""
+    out = np.zeros((len(queries), len(low)))
+    for j in range(queries.shape[1]):
+        q = queries[:, j, None]
+        step = np.maximum(np.maximum(low[None, :, j] - q, q - high[None, :, j]), 0.0)
+        out += step if metric == "manhattan" else step * step
+    return np.sqrt(out, out=out) if metric == "euclidean" else out
+
+
+def _reach(bound: np.ndarray) -> np.ndarray:
+    """Distances that may still count: rounding to 9 places can tie, and sums are inexact."""
+    return bound + 2e-9 + 1e-12 * np.abs(np.where(np.isfinite(bound), bound, 0.0))
+
+
+def near_blocks(rows: np.ndarray, leaf: int = LEAF_ROWS) -> list[np.ndarray]:
+    """Row numbers in blocks of at most ``leaf`` rows, halved at the median of
+    the dimension in which a block is widest."""
+    todo, out = [np.arange(len(rows))], []
+    while todo:
+        at = todo.pop()
+        if len(at) <= leaf:
+            out.append(at)
+            continue
+        part = rows[at]
+        widest = int(np.argmax(part.max(0) - part.min(0)))
+        order = np.argpartition(part[:, widest], len(at) // 2)
+        todo += [at[order[:len(at) // 2]], at[order[len(at) // 2:]]]
+    return out
+
+
+class Searched:
+    """Training rows cut into blocks, to be searched by batches of queries.
+
+    compared: pairs whose distance was computed."""
 
+    def __init__(self, rows: np.ndarray, keys: np.ndarray, labels: np.ndarray, folds: np.ndarray, metric: str, leaf: int = LEAF_ROWS):
+        blocks = near_blocks(rows, leaf) if len(rows) else []
+        order = np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+        self.rows, self.keys, self.labels, self.folds = rows[order], keys[order], labels[order], folds[order]
+        self.ends = np.cumsum([len(b) for b in blocks], dtype=np.int64)
+        starts = self.ends - np.array([len(b) for b in blocks], np.int64)
+        self.spans = list(zip(starts.tolist(), self.ends.tolist()))
+        # rows with NaN are in no box; they have no finite distance either
+        self.low = np.nan_to_num(np.array([np.fmin.reduce(self.rows[s:e]) for s, e in self.spans]).reshape(len(blocks), -1), nan=np.inf, posinf=np.inf, neginf=-np.inf)
+        self.high = np.nan_to_num(np.array([np.fmax.reduce(self.rows[s:e]) for s, e in self.spans]).reshape(len(blocks), -1), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        self.metric, self.compared = metric, 0
 
-def _local_topk(k: int, metric: str, same: bool = False, masked: bool = True, chunk_cells: int = 65_536):
-    def empty() -> pd.DataFrame:
-        return pd.DataFrame({f.name: pd.Series(dtype="int64" if f.name in ("query", "neighbor") else
-                                               "int32" if f.name == "label" else "float64")
-                             for f in NEIGHBOUR_SCHEMA.fields})
+    def nearest(self, queries: np.ndarray, keys: np.ndarray, folds: np.ndarray, k: int, exclude: str = "",
+                bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query number, row number, distance) of the k nearest rows of each
+        query, unordered between queries.
 
+        exclude: "fold" rules out rows of the query's fold (folds from 0 on),
+        "other" rows of other folds and the row itself. bound: upper bounds of
+        the k-th distances, if known."""
+        n = len(queries)
+        if not n or not self.spans:
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(0)
+        bound = np.full(n, np.inf) if bound is None else bound.astype(float).copy()
+        apart = box_distances(queries, self.low, self.high, self.metric)
+        first = apart.argmin(1)
+        found_q, found_t, found_d = [], [], []
+
+        def compare(block: int, who: np.ndarray) -> None:
+            s, e = self.spans[block]
+            step = max(1, CHUNK_CELLS // (e - s))
+            for c in range(0, len(who), step):
+                q = who[c:c + step]
+                d = distances(queries[q], self.rows[s:e], self.metric)
+                self.compared += d.size
+                if exclude:
+                    same = folds[q, None] == self.folds[None, s:e]
+                    d[(~same | (keys[q, None] == self.keys[None, s:e])) if exclude == "other" else (same & (folds[q, None] >= 0))] = np.inf
+                if e - s >= k:                          # k rows here bound the k-th distance
+                    bound[q] = np.minimum(bound[q], np.partition(d, k - 1, axis=1)[:, k - 1])
+                i, t = np.nonzero((d <= _reach(bound[q])[:, None]) & np.isfinite(d))
+                found_q.append(q[i])
+                found_t.append(s + t)
+                found_d.append(d[i, t])
+
+        by_block = np.argsort(first, kind="stable")     # each query's nearest block first: it bounds the rest
+        edges = np.searchsorted(first[by_block], np.arange(len(self.spans) + 1))
+        for block in range(len(self.spans)):
+            if edges[block] < edges[block + 1]:
+                compare(block, by_block[edges[block]:edges[block + 1]])
+        for block in range(len(self.spans)):
+            who = np.flatnonzero((apart[:, block] <= _reach(bound)) & (first != block))
+            if len(who):
+                compare(block, who)
+        q, t, d = np.concatenate(found_q), np.concatenate(found_t), np.concatenate(found_d)
+        keep = d <= _reach(bound)[q]
+        q, t, d = q[keep], t[keep], d[keep]
+        order = np.lexsort((self.keys[t], np.round(d, 9), q))
+        q, t, d = q[order], t[order], d[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        best = place < k
+        return q[best], t[best], d[best]
+
+
+def _columns(queries: np.ndarray, searched: Searched, found: tuple) -> dict[str, np.ndarray]:
+    q, t, d = found
+    return {"query": queries[q], "neighbor": searched.keys[t], "label": searched.labels[t].astype(np.int32), "d": d, "d_r": np.round(d, 9)}
+
+
+def _matrix(column) -> np.ndarray:
+    return np.stack(column).astype(np.float64) if len(column) else np.zeros((0, 1))
+
+
+def _meet(k: int, metric: str, exclude: str, compared=None):
     def run(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(tpdf) == 0:
-            return empty()
-        Q = np.stack(qpdf["qf"].to_numpy()).astype(np.float64)
-        Tm = np.ascontiguousarray(np.stack(tpdf["tf"].to_numpy()).astype(np.float64).T)  # dims x nt
-        qk = qpdf["q"].to_numpy(np.int64)
-        tk = tpdf["t"].to_numpy(np.int64)
-        ty = tpdf["y"].to_numpy(np.int32)
-        qfold = qpdf["qfold"].to_numpy(np.int64)
-        tfold = tpdf["tfold"].to_numpy(np.int64)
-        dims, nt = Tm.shape
-        step = max(1, chunk_cells // max(nt, 1))
-        kk = min(k, nt)
-        out_q, out_t, out_y, out_d = [], [], [], []
-        D = np.empty((min(step, len(Q)), nt))
-        tmp = np.empty_like(D)
-        for s in range(0, len(Q), step):
-            Qc = Q[s:s + step]
-            m = len(Qc)
-            Dc, Tc = D[:m], tmp[:m]
-            Dc.fill(0.0)
-            for j in range(dims):  # sequential over dimensions: same summation order as SQL
-                np.subtract(Qc[:, j, None], Tm[j][None, :], out=Tc)
-                if metric == "manhattan":
-                    np.abs(Tc, out=Tc)
-                else:
-                    np.multiply(Tc, Tc, out=Tc)
-                Dc += Tc
-            if metric == "euclidean":
-                np.sqrt(Dc, out=Dc)
-            if masked:
-                eq = qfold[s:s + step, None] == tfold[None, :]
-                if same:  # only rows of the same partition value, never the row itself
-                    Dc[~eq | (qk[s:s + step, None] == tk[None, :])] = np.inf
-                else:     # only rows of other folds
-                    Dc[eq & (qfold[s:s + step, None] >= 0)] = np.inf
-            # k-th smallest raw distance; candidates are every d whose 9-place
-            # rounding can tie with it, rounded only for those
-            thr = np.partition(Dc, kk - 1, axis=1)[:, kk - 1]
-            for i in range(m):
-                row = Dc[i]
-                if np.isfinite(thr[i]):
-                    cand = np.flatnonzero(row <= thr[i] + 1e-9)
-                    dr = np.round(row[cand], 9)
-                    keep = dr <= np.round(thr[i], 9)
-                    cand, dr = cand[keep], dr[keep]
-                else:
-                    cand = np.flatnonzero(np.isfinite(row))
-                    dr = np.round(row[cand], 9)
-                order = np.lexsort((tk[cand], dr))[:kk]
-                pick = cand[order]
-                out_q.append(np.full(len(pick), qk[s + i], dtype=np.int64))
-                out_t.append(tk[pick])
-                out_y.append(ty[pick])
-                out_d.append(row[pick].copy())
-        if not out_q:
-            return empty()
-        d = np.concatenate(out_d)
-        return pd.DataFrame({"query": np.concatenate(out_q), "neighbor": np.concatenate(out_t),
-                             "label": np.concatenate(out_y), "d": d, "d_r": np.round(d, 9)})
+        searched = Searched(_matrix(tpdf["tf"].to_numpy()), tpdf["t"].to_numpy(np.int64), tpdf["y"].to_numpy(np.int32), tpdf["tfold"].to_numpy(np.int64), metric)
+        keys = qpdf["q"].to_numpy(np.int64)
+        if not len(qpdf) or not len(tpdf):
+            return pd.DataFrame(_columns(keys, searched, (np.zeros(0, int), np.zeros(0, int), np.zeros(0))))
+        found = searched.nearest(_matrix(qpdf["qf"].to_numpy()), keys, qpdf["qfold"].to_numpy(np.int64), k, exclude, qpdf["bound"].to_numpy(float))
+        if compared is not None:
+            compared.add(searched.compared)
+        return pd.DataFrame(_columns(keys, searched, found))
     return run
 
 
+def _vectors(column: pa.Array, n: int) -> np.ndarray:
+    flat = np.asarray(column.flatten(), dtype=np.float64)
+    return flat.reshape(n, -1)
+
+
+def _arrow_rows(b: pa.RecordBatch, names: tuple[str, ...]) -> tuple:
+    """(vectors, then integer columns) of a batch."""
+    return (_vectors(b.column(b.schema.get_field_index(names[0])), b.num_rows),
+            *[np.asarray(b.column(b.schema.get_field_index(c)), dtype=np.int64) for c in names[1:]])
+
+
+def _collected(rows: DataFrame, names: tuple[str, ...]) -> tuple | None:
+    """The same of a small table, in the driver; None if it is empty."""
+    t = rows.select(*names).toArrow().combine_chunks()
+    return _arrow_rows(t.to_batches()[0], names) if t.num_rows else None
+
+
+def _search_in_place(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, compared=None) -> DataFrame:
+    """Winners of each training task for all queries, which are broadcast."""
+    collected = _collected(q, ("qf", "q", "qfold"))
+    spark = q.sparkSession
+    if collected is None:
+        return spark.createDataFrame([], NEIGHBOUR_SCHEMA)
+    shared = spark.sparkContext.broadcast(collected)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, keys, folds = shared.value
+        best: dict[str, np.ndarray] | None = None
+        bound = np.full(len(keys), np.inf)
+
+        def merged(parts: list[pa.RecordBatch]) -> None:
+            nonlocal best, bound
+            cols = [np.concatenate(c) for c in zip(*[_arrow_rows(b, ("tf", "t", "y", "tfold")) for b in parts])]
+            searched = Searched(*cols, metric)
+            found = searched.nearest(queries, keys, folds, k, exclude, bound)
+            if compared is not None:
+                compared.add(searched.compared)
+            new = {"at": found[0]} | _columns(keys, searched, found)
+            both = new if best is None else {c: np.concatenate([best[c], new[c]]) for c in new}
+            order = np.lexsort((both["neighbor"], both["d_r"], both["at"]))
+            both = {c: v[order] for c, v in both.items()}
+            place = np.arange(len(order)) - np.searchsorted(both["at"], both["at"])
+            best = {c: v[place < k] for c, v in both.items()}
+            last = place == k - 1
+            bound[both["at"][last]] = both["d"][last]
+
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+            if sum(x.num_rows for x in held) >= 50_000:
+                merged(held)
+                held = []
+        if held:
+            merged(held)
+        if best is not None:
+            del best["at"]
+            for s in range(0, len(best["query"]), 100_000):
+                yield pa.RecordBatch.from_pydict({c: pa.array(v[s:s + 100_000]) for c, v in best.items()})
+
+    return t.mapInArrow(search, NEIGHBOUR_SCHEMA)
+
+
+class Cells:
+    """Regions of space: median splits of a sample, ``n`` leaves (a power of two)."""
+
+    def __init__(self, sample: np.ndarray, n: int):
+        dims = sample.shape[1]
+        self.dim, self.cut = np.zeros(n, np.int64), np.zeros(n)          # inner nodes 1 .. n-1, children 2i, 2i+1
+        self.low, self.high = np.full((2 * n, dims), -np.inf), np.full((2 * n, dims), np.inf)
+        parts = {1: sample}
+        for i in range(1, n):
+            part = parts.pop(i)
+            if len(part):
+                self.dim[i] = int(np.argmax(part.max(0) - part.min(0)))
+                self.cut[i] = np.median(part[:, self.dim[i]])
+            j = self.dim[i]
+            left = part[:, j] <= self.cut[i]
+            for child, rows in ((2 * i, part[left]), (2 * i + 1, part[~left])):
+                parts[child] = rows
+                self.low[child], self.high[child] = self.low[i], self.high[i]
+            self.high[2 * i, j] = min(self.high[2 * i, j], self.cut[i])
+            self.low[2 * i + 1, j] = max(self.low[2 * i + 1, j], self.cut[i])
+        self.n, self.low, self.high = n, self.low[n:], self.high[n:]
+
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        at = np.ones(len(rows), np.int64)
+        for _ in range(self.n.bit_length() - 1):
+            at = 2 * at + (rows[np.arange(len(rows)), self.dim[at]] > self.cut[at])
+        return at - self.n
+
+
+def _routed(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, n_cells: int, n_rows: int) -> tuple[DataFrame, DataFrame]:
+    """q and t with ``_cell``: training rows in their own cell, queries in each
+    cell that may hold one of their k nearest, with the bound of their k-th distance."""
+    share = F.lit(SAMPLE_ROWS / max(n_rows, 1))
+    chosen = t.filter(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < share * (1 << 30)).limit(4 * SAMPLE_ROWS)
+    sample = _collected(chosen, ("tf", "t", "y", "tfold")) or _collected(t.limit(1), ("tf", "t", "y", "tfold"))
+    cells = Cells(sample[0], n_cells)
+
+    def place(batches):
+        for b in batches:
+            at = cells.of(_vectors(b.column(b.schema.get_field_index("tf")), b.num_rows)) if b.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], [*b.schema.names, "_cell"])
+
+    def route(batches):
+        some = Searched(*sample, metric)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            queries, keys, folds = _arrow_rows(b, ("qf", "q", "qfold"))
+            at, _, d = some.nearest(queries, keys, folds, k, exclude)
+            n = np.bincount(at, minlength=len(keys))
+            bound = np.full(len(keys), np.inf)
+            last = np.cumsum(n) - 1
+            bound[n >= k] = d[last[n >= k]]             # winners are in order, so the last one is the k-th
+            who, cell = np.nonzero(box_distances(queries, cells.low, cells.high, metric) <= _reach(bound)[:, None])
+            some_rows = b.take(pa.array(who))
+            yield pa.RecordBatch.from_arrays([*some_rows.columns, pa.array(bound[who]), pa.array(cell.astype(np.int64))],
+                                             [*some_rows.schema.names, "bound", "_cell"])
+
+    return (q.mapInArrow(route, T.StructType([*q.schema.fields, T.StructField("bound", T.DoubleType()), T.StructField("_cell", T.LongType())])),
+            t.mapInArrow(place, T.StructType([*t.schema.fields, T.StructField("_cell", T.LongType())])))
+
+
+def _blocks(rows: DataFrame, by: list[str], size: int, name: str) -> DataFrame:
+    """(by, name): how many blocks of ``size`` rows each group needs."""
+    return rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / size).cast("long").alias(name))
+
+
 def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: str, k: int,
         metric: str = "manhattan", fold: str | None = None, same: str | None = None,
-        query_block: int = 8192, train_block: int = 100_000) -> DataFrame:
+        query_block: int = 8192, train_block: int = 100_000, broadcast_bytes: int = BROADCAST_BYTES, compared=None) -> DataFrame:
     """The k nearest training rows of every query row.
 
     Output ``query, neighbor, label, d, d_r, rn``: ``d`` the exact distance,
-    ``d_r`` rounded to 9 decimals, ``rn`` 1..k in (d_r, neighbor) order.
-    With ``fold``, a query only meets training rows of other folds; with
-    ``same`` (an integer-coded column), only other rows with the same value
-    (same-class neighbours for SMOTE).
-    """
+    ``d_r`` rounded to 9 decimals, ``rn`` 1..k in (d_r, neighbor) order. Keys are
+    integers. With ``fold``, a query only meets training rows of other folds;
+    with ``same`` (an integer-coded column), only other rows with the same value
+    (same-class neighbours for SMOTE). ``compared``: an accumulator that is given
+    the number of pairs whose distance was computed."""
     part = same or fold
-    q = queries.select(F.col(key).cast("long").alias("q"), F.col(features).alias("qf"),
+    exclude = "other" if same else ("fold" if fold else "")
+    vector = lambda: F.transform(features, lambda x: x.cast("double"))
+    q = queries.select(F.col(key).cast("long").alias("q"), vector().alias("qf"),
                        (F.col(part) if part else F.lit(-1)).cast("long").alias("qfold"))
-    t = train.select(F.col(key).cast("long").alias("t"), F.col(features).alias("tf"),
-                     F.col(label).cast("int").alias("y"),
+    t = train.select(F.col(key).cast("long").alias("t"), vector().alias("tf"), F.col(label).cast("int").alias("y"),
                      (F.col(part) if part else F.lit(-2)).cast("long").alias("tfold"))
-    nq, nt = q.count(), t.count()
-    qb = max(1, math.ceil(nq / query_block))
-    tb = max(1, math.ceil(nt / train_block))
-    # training rows are replicated qb times and queries tb times; add query
-    # blocks only when there would be too few groups to keep every core busy
-    min_groups = 2 * queries.sparkSession.sparkContext.defaultParallelism
-    if qb * tb < min_groups:
-        qb = max(qb, min(max(nq, 1), math.ceil(min_groups / tb)))
-    q = q.withColumn("_qb", F.pmod(F.xxhash64("q"), F.lit(qb))) \
-        .withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tb - 1).cast("long"))))
-    t = t.withColumn("_tb", F.pmod(F.xxhash64("t"), F.lit(tb))) \
-        .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))))
-    blocks = ["_qb", "_tb"]
-    if same:                                           # rows of different values never meet
-        q, t, blocks = q.withColumn("_s", F.col("qfold")), t.withColumn("_s", F.col("tfold")), ["_s", *blocks]
-    local = (q.groupBy(*blocks).cogroup(t.groupBy(*blocks))
-             .applyInPandas(_local_topk(k, metric, same=same is not None, masked=part is not None),
-                            NEIGHBOUR_SCHEMA))
+    size = q.agg(F.count(F.lit(1)), F.sum(8 * F.size("qf"))).first()
+    nq, nt = size[0], t.count()
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    if same is None and (size[1] or 0) <= broadcast_bytes and nt > max(4 * nq, train_block):
+        local = _search_in_place(q, t, k, metric, exclude, compared)
+    else:
+        by = ["_s"] if same else ["_cell"]
+        tb = max(1, math.ceil(nt / train_block))
+        if same:                                        # rows of different values never meet
+            q, t = q.withColumn("_s", F.col("qfold")).withColumn("bound", F.lit(float("inf"))), t.withColumn("_s", F.col("tfold"))
+        elif tb > 1 and nq:
+            q, t = _routed(q, t, k, metric, exclude, 1 << (tb - 1).bit_length(), nt)
+        else:
+            q, t = q.withColumn("_cell", F.lit(0)).withColumn("bound", F.lit(float("inf"))), t.withColumn("_cell", F.lit(0))
+        # enough query blocks to keep every core busy, more where a group has many queries;
+        # training blocks where a cell or value has many rows
+        spare = min(max(1, math.ceil(2 * cores / tb)), max(1, nq))
+        q_blocks = _blocks(q, by, query_block, "_qn").withColumn("_qn", F.greatest("_qn", F.lit(spare)))
+        groups = bounded_broadcast(q_blocks.join(_blocks(t, by, train_block, "_tn"), by))
+        numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        q = q.join(groups, by).withColumn("_qb", F.pmod(F.xxhash64("q"), F.col("_qn"))).withColumn("_tb", numbers("_tn")).drop("_qn", "_tn")
+        t = t.join(groups, by).withColumn("_tb", F.pmod(F.xxhash64("t"), F.col("_tn"))).withColumn("_qb", numbers("_qn")).drop("_qn", "_tn")
+        blocks = [*by, "_qb", "_tb"]
+        local = q.groupBy(*blocks).cogroup(t.groupBy(*blocks)).applyInPandas(_meet(k, metric, exclude, compared), NEIGHBOUR_SCHEMA)
     rn = F.row_number().over(Window.partitionBy("query").orderBy("d_r", "neighbor"))
     return local.withColumn("rn", rn).filter(F.col("rn") <= k)
 
@@ -163,14 +379,3 @@ def vote(neigh: DataFrame, ks: list[int], weights: str, classes: list[int]) -> D
     p = F.transform(cls, lambda c: F.coalesce(F.col("_m")[c], F.lit(0.0)) / F.col("_tot"))
     return g.select("query", "k", p.alias("p")).withColumn(
         "pred", F.element_at(cls, argmax_index(F.col("p")) + 1))
-
-
-def cross_validated_knn(df: DataFrame, key: str, features: str, label: str, fold: str,
-                        ks: list[int], weights: str, metric: str, classes: list[int]) -> DataFrame:
-    """Out-of-fold k-NN: every row is a query against the other folds.
-
-    Output ``query, fold, y, k, p, pred``."""
-    neigh = knn(df, df, key, features, label, max(ks), metric, fold=fold)
-    v = vote(neigh, ks, weights, classes)
-    meta = df.select(F.col(key).cast("long").alias("query"), F.col(fold).alias("fold"), F.col(label).alias("y"))
-    return v.join(meta, "query", "inner")

@@ -9,7 +9,9 @@ bucketed by the first ``digits`` hex digits of their hash (at least 16 buckets
 for every shuffle partition of the session, so buckets shrink as the cluster is
 sized up), bucket sizes are counted per class, prefix-summed, joined back, and
 ``row_number`` runs inside (class, bucket). The result equals the global
-window because buckets are prefixes of the sort key.
+window because buckets are prefixes of the sort key. The class is coded to a
+key that is never null, so that the join and the window hash rows by the same
+two columns and the rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_hex
-from ..plans.sizing import bounded_broadcast, join_null_safe
+from ..plans.sizing import bounded_broadcast, join_null_safe, materialize
 
 SYNTHETIC_BLOCK = 100_000
 
@@ -35,19 +37,24 @@ def _digits(df: DataFrame, digits: int | None) -> int:
     return max(3, len(f"{n - 1:x}"))
 
 
+def _class_key(label: str) -> Column:
+    """The class as a string that is never null; "0" is the null class."""
+    return F.coalesce(F.concat(F.lit("1"), F.col(label).cast("string")), F.lit("0"))
+
+
 def _hashed(df: DataFrame, key, label: str, seed: int, digits: int | None) -> DataFrame:
     digits = _digits(df, digits)
-    return df.withColumn("_h", hash_hex(seed, _key(key))).withColumn("_b", F.substring("_h", 1, digits))
+    return (df.withColumn("_h", hash_hex(seed, _key(key))).withColumn("_b", F.substring("_h", 1, digits))
+            .withColumn("_c", _class_key(label)))
 
 
 def bucket_counts(df: DataFrame, key, label: str, seed: int = 42, digits: int | None = None) -> DataFrame:
     """Rows per (class, hash bucket): at most classes x 16^digits rows.
 
-    Persisted, because the offsets, the class counts and the quotas of one
+    Checkpointed, because the offsets, the class counts and the quotas of one
     split are all derived from it; the input is scanned once for it."""
-    from pyspark import StorageLevel
-    return (_hashed(df, key, label, seed, digits).groupBy(label, "_b")
-            .agg(F.count(F.lit(1)).alias("_nb")).persist(StorageLevel.MEMORY_AND_DISK))
+    return materialize(_hashed(df, key, label, seed, digits).groupBy("_c", "_b")
+                       .agg(F.first(label).alias(label), F.count(F.lit(1)).alias("_nb")))
 
 
 def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int | None = None,
@@ -56,19 +63,19 @@ def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int | None
     k = _key(key)
     d = _hashed(df, key, label, seed, digits)
     counts = counts if counts is not None else bucket_counts(df, key, label, seed, digits)
-    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(label, "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
-    # joined on (class, bucket): the shuffle it needs is the one the
-    # row_number window below needs anyway, so no broadcast and no extra pass
-    d = join_null_safe(d, offs, [label, "_b"])
-    rn = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", k))
-    return d.withColumn("rank_in_class", F.col("_off") + rn).drop("_b", "_off", "_h")
+    before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_c", "_b", F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_off"))
+    # one exchange of the rows by (class, bucket) serves the join and the window;
+    # hashing the few offsets leaves the only sort to the window
+    d = d.join(offs.hint("shuffle_hash"), ["_c", "_b"])
+    rn = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", k))
+    return d.withColumn("rank_in_class", F.col("_off") + rn).drop("_c", "_b", "_off", "_h")
 
 
 def class_counts(df: DataFrame, label: str, counts: DataFrame | None = None) -> DataFrame:
     """Rows per class (one row per class; map-side combined, or summed from bucket counts)."""
     if counts is not None:
-        return counts.groupBy(label).agg(F.sum("_nb").alias("n"))
+        return counts.groupBy(label).agg(F.sum("_nb").alias("n"))      # a null class groups with itself
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -115,6 +122,23 @@ def stratified_folds(df: DataFrame, key, label: str, k: int, seed: int = 42) ->
                              .cast("int")).drop("_coff")
 
 
+def evaluation_folds(df: DataFrame, key, label: str, fraction: float, k: int, seed: int = 42) -> DataFrame:
+    """K1 then K2 with the same seed in one ranking: the rows of ``stratified_split``'s
+    second part with the ``fold`` and ``rank_in_class`` that ``stratified_folds`` gives them.
+
+    Within a class the second part holds the rows ranked above the quota, in the
+    same order, so the rank among them is the rank less the quota."""
+    bc = bucket_counts(df, key, label, seed)
+    ranked = hash_rank(df, key, label, seed, counts=bc)
+    q = quotas(class_counts(df, label, bc), label, F.floor(F.col("_N").cast("double") * F.lit(float(fraction))))
+    left = F.col("n") - F.col("quota")
+    before = Window.orderBy(F.asc_nulls_last(label)).rowsBetween(Window.unboundedPreceding, -1)
+    offs = q.select(label, "quota", F.coalesce(F.sum(left).over(before), F.lit(0)).alias("_coff"))
+    ranked = join_null_safe(ranked, bounded_broadcast(offs), [label]).filter(F.col("rank_in_class") > F.col("quota"))
+    ranked = ranked.withColumn("rank_in_class", F.col("rank_in_class") - F.col("quota"))
+    return ranked.withColumn("fold", F.pmod(F.col("_coff") + F.col("rank_in_class") - 1, F.lit(k)).cast("int")).drop("quota", "_coff")
+
+
 def stratified_take(df: DataFrame, key, label: str, n: int, seed: int = 42) -> DataFrame:
     """K4: a fixed-size stratified probe of ``n`` rows (the whole table if smaller)."""
     bc = bucket_counts(df, key, label, seed)

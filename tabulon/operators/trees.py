@@ -1,4 +1,4 @@
-"""Cost-sensitive classification trees on MLlib.
+"""Cost-sensitive classification trees on MLlib.
 
 MLlib grows the tree as a distributed histogram job; thresholds are binned
 (``max_bins``), so results are comparable to an exact-split tree, not
@@ -7,15 +7,12 @@ equal. ``max_depth`` above 30 is refused by MLlib, so "unbounded" is 30.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.sizing import bounded_broadcast
-from . import metrics
 
 UNBOUNDED_DEPTH = 30
 
@@ -29,6 +26,14 @@ def power_weights(train: DataFrame, label: str, alpha: float) -> DataFrame:
     return c.select(label, "n", F.round(F.pow(tot / (k * F.col("n")), F.lit(float(alpha))), 9).alias("w"))
 
 
+def class_weights(counts: dict, classes: list, alpha: float) -> list[float]:
+    """The weights of ``power_weights`` from class counts, in the order of
+    ``classes``; 1 for a class without rows."""
+    present = [n for n in counts.values() if n]
+    mean = sum(present) / max(len(present), 1)
+    return [round((mean / counts[c]) ** alpha, 9) if counts.get(c) else 1.0 for c in classes]
+
+
 def tree_probabilities(train: DataFrame, test: DataFrame, key: str, features: str, label: str,
                        classes: list, max_depth: int | None = 10, min_leaf: int = 1,
                        impurity: str = "gini", alpha: float = 0.0, max_bins: int = 64,
@@ -56,51 +61,6 @@ def tree_probabilities(train: DataFrame, test: DataFrame, key: str, features: st
         "pred", F.element_at(cls, (F.array_position(F.col("p"), F.array_max("p"))).cast("int")))
 
 
-def out_of_fold(df: DataFrame, key: str, features: str, label: str, fold: str, classes: list,
-                **params) -> DataFrame:
-    """Out-of-fold distributions ``key, fold, y, p, pred`` (one fit per fold)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from ..plans.sizing import materialize
-    folds = sorted(r[0] for r in df.select(fold).distinct().collect())
-    meta = df.select(key, F.col(label).alias("y"))
-
-    def one_fold(f):
-        pr = tree_probabilities(df.filter(F.col(fold) != f), df.filter(F.col(fold) == f), key, features,
-                                label, classes, **params)
-        # each fold's fit is a chain of small MLlib jobs: run folds from driver
-        # threads and checkpoint each part (grids stack many of these plans)
-        return materialize(pr.withColumn("fold", F.lit(f)).join(meta, key, "inner"))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(4, len(folds)))) as ex:
-        parts = list(ex.map(one_fold, folds))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def grid(predict, *spaces: dict) -> DataFrame:
-    """Cross-validated scores for every combination in each of ``spaces``
-    (dicts of the same parameters -> values; None for the unbounded depth), each
-    combination once. ``predict(**params)`` returns out-of-fold predictions (fold,
-    y, pred) and prepares features per fold itself; each fold fit is a distributed
-    MLlib job, the grid loop is on the driver and collects one row a setting."""
-    names = list(spaces[0])
-    rows = []
-    for combo in dict.fromkeys(c for s in spaces for c in itertools.product(*[s[n] for n in names])):
-        pred = predict(**dict(zip(names, combo)))
-        sc = metrics.scores(metrics.confusion(pred, ["fold"]), ["fold"])
-        s = sc.agg(F.avg("f1_macro").alias("f1_mean"), F.stddev_samp("f1_macro").alias("f1_std"),
-                   F.avg("balanced_accuracy").alias("bal_mean"), F.stddev_samp("balanced_accuracy").alias("bal_std"))
-        rows.append((*combo, *s.first()))
-    kinds = {int: "int", float: "double", str: "string", type(None): "int"}
-    of = {n: next((type(v) for s in spaces for v in s[n] if v is not None), type(None)) for n in names}
-    scores = ("f1_mean", "f1_std", "bal_mean", "bal_std")
-    out = pred.sparkSession.createDataFrame(rows, ", ".join([f"{n} {kinds[of[n]]}" for n in names] + [f"{c} double" for c in scores]))
-    return out.select(*names, *[F.round(c, 6).alias(c) for c in scores])
-
-
 def best_per(grid_df: DataFrame, axis: str) -> DataFrame:
     """Best scores per value of one axis (max over the others)."""
     return grid_df.groupBy(axis).agg(F.max("f1_mean").alias("f1_mean"), F.max("bal_mean").alias("bal_mean"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import audit
 from ..session import ensure_checkpoint_dir
 from ..sources import load, write_table
+from .sizing import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,10 +35,10 @@ BOUND_FEATURES, BOUND_LABEL = ["l_quantity", "l_linenumber", "l_linestatus"], "l
 LINEITEM_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
-def document_measures(docs: DataFrame) -> DataFrame:
-    """Numeric measures derived from document text (for correlation audits)."""
+def document_measures(docs: DataFrame, *more: str) -> DataFrame:
+    """Numeric measures derived from document text (for correlation audits), and ``more`` columns."""
     return docs.select(
-        "doc_id", "n_chars",
+        "doc_id", *more, "n_chars",
         F.length("text").cast("bigint").alias("text_len"),
         (F.length("text") - F.length(F.regexp_replace("text", " ", ""))).cast("bigint").alias("n_spaces"),
         (F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1).cast("bigint").alias("n_lines"),
@@ -213,9 +214,12 @@ def oof_predictions(spark, sf, ks, weights, metric="manhattan"):
 
 def knn_configurations(spark, sf):
     """k-NN configurations scored out of fold: (configuration, query, fold, y, pred)."""
-    parts = []
-    for weights in ("uniform", "distance"):
-        p = oof_predictions(spark, sf, [1, 5, 15], weights)
+    f = embedding_folds(spark, sf)
+    neigh = neighbors.knn(f, f, "vec_id", "embedding", "label", 15, "manhattan", fold="fold")
+    meta = f.select(F.col("vec_id").alias("query"), "fold", F.col("label").alias("y"))
+    classes, parts = embedding_classes(spark, sf), []
+    for weights in ("uniform", "distance"):       # both votes read one neighbour search (a reused exchange)
+        p = neighbors.vote(neigh, [1, 5, 15], weights, classes).join(meta, "query")
         parts.append(p.select(F.concat(F.lit("knn_k"), F.col("k").cast("string"), F.lit("_" + weights))
                               .alias("configuration"), "query", "fold", "y", "pred"))
     return parts[0].unionByName(parts[1])
@@ -314,9 +318,8 @@ def lineitem_classes(spark, sf) -> list[str]:
 
 def lineitem_eval_folds(spark, sf, k: int = 10):
     """75% evaluation partition of lineitem, stratified by return flag, in k folds."""
-    s = sampling.stratified_split(lineitem_keyed(spark, sf), "row_key", BOUND_LABEL, 0.25, SEED)
-    ev = s.filter(F.col("part") == "evaluation").select("row_key", *BOUND_FEATURES, BOUND_LABEL)
-    return sampling.stratified_folds(ev, "row_key", BOUND_LABEL, k, SEED)
+    rows = lineitem_keyed(spark, sf).select("row_key", *BOUND_FEATURES, BOUND_LABEL)
+    return sampling.evaluation_folds(rows, "row_key", BOUND_LABEL, 0.25, k, SEED)
 
 
 def _memorisation(spark, sf):
@@ -517,9 +520,8 @@ def _each_fold(parts):
 
 def _scaled(spark, sf, kind):
     """Every row, scaled with the parameters of the other folds."""
-    f = lineitem_folds(spark, sf).persist()
-    params = features.fit_scaler_by_fold(f, SCALE_COLS, kind, "fold")
-    out = _each_fold([features.apply_scaler(f.filter(F.col("fold") == k), p) for k, p in sorted(params.items())])
+    f = materialize(lineitem_folds(spark, sf).select("row_key", "fold", *SCALE_COLS))
+    out = features.apply_scaler_by_fold(f, features.fit_scaler_by_fold(f, SCALE_COLS, kind, "fold"), "fold")
     return out.select("row_key", *[F.round(c, 6).alias(c) for c in SCALE_COLS])
 
 
@@ -543,9 +545,7 @@ from ..operators import rules, trees  # noqa: E402
 
 def labelled_documents(spark, sf):
     """documents x labels with numeric measures, as used by the imbalanced-target queries."""
-    d = document_measures(load(spark, sf, "documents")).join(
-        load(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id")
-    return d.join(load(spark, sf, "labels"), "doc_id", "inner")
+    return document_measures(load(spark, sf, "documents"), "lang", "source").join(load(spark, sf, "labels"), "doc_id", "inner")
 
 
 def _doc_tree_folds(spark, sf):
@@ -587,10 +587,24 @@ def q_tree_distribution(spark, sf):
 # in MLlib (None), and its weighting none or balanced is alpha 0 or 1
 TREE_SPACES = [{"impurity": ["gini", "entropy"], "max_depth": [5, 10, 15, 20, None], "min_leaf": [1, 5, 20], "alpha": [0.0, 1.0]},
                {"impurity": ["entropy"], "max_depth": [13, 20, None], "min_leaf": [1, 2, 5], "alpha": [0.0, 0.25, 0.5, 0.75, 1.0]}]
+TREE_PENALTIES = [0.0, 1e-6, 1e-5, 5e-5, 1e-4, 5e-4]
+
+
+class _TreeSearch:
+    """Tree searches on the labelled documents; queries of one session share the
+    finished parts, which are bound to the settings and the rows."""
+
+    def __init__(self, spark, sf):
+        rows = _doc_tree_folds(spark, sf)
+        self.study = Study(spark, "tree-search", {"measures": DOC_MEASURES, "folds": 5, "seed": SEED}, rows.drop("text"))
+        self.ready = lambda: studies.prepared_tree_folds(rows, "fold", "doc_id", "toxic", DOC_MEASURES, ["lang", "source"])
+
+    def grid(self, *spaces):
+        return search.tree_grid(search.tree_confusions(self.ready, "toxic", [0, 1], list(spaces), self.study))
 
 
 def _doc_tree_grid(spark, sf):
-    return trees.grid(_doc_tree(_doc_tree_folds(spark, sf)), *TREE_SPACES)
+    return _TreeSearch(spark, sf).grid(*TREE_SPACES).drop("ccp_alpha")
 
 
 @register("tree_grid")
@@ -642,6 +656,7 @@ def q_plain_vs_tuned(spark, sf):
 
 # ---------------------------------------------------------------- search and studies
 from . import search, studies  # noqa: E402
+from .runner import Study  # noqa: E402
 
 DOC_NUMERIC = ["n_chars", "text_len", "n_spaces", "n_lines"]
 DOC_NOMINAL = ["lang", "source"]
@@ -1170,13 +1185,12 @@ def q_report_tree_search(spark, sf):
 
 @register("tree_refined_grid")
 def q_tree_refined(spark, sf):
-    """Depth, exponent and leaf size searched again around the winner of the
-    whole grid, with its impurity."""
-    tree = _doc_tree(_doc_tree_folds(spark, sf))
-    b = search.best(trees.grid(tree, *TREE_SPACES), "f1_mean", ["impurity", "max_depth", "min_leaf", "alpha"])
-    fine = trees.refine(b | {}, {"max_depth": search.refine_depth, "min_leaf": lambda n: [n, 1, 2, 5], "alpha": search.refine_alpha})
-    rows = trees.grid(tree, {"impurity": [b["impurity"]]} | fine)
-    return rows.withColumn("max_depth", F.col("max_depth").cast("int"))
+    """Depth, exponent and leaf size searched again around the winner of
+    the whole grid, with its impurity, each tree also pruned by every penalty."""
+    tree = _TreeSearch(spark, sf)
+    b = search.best(tree.grid(*TREE_SPACES), "f1_mean", search.TREE_AXES)
+    fine = trees.refine(b, {"max_depth": search.refine_depth, "min_leaf": lambda n: [n, 1, 2, 5], "alpha": search.refine_alpha})
+    return tree.grid({"impurity": [b["impurity"]], "ccp_alpha": TREE_PENALTIES} | fine)
 
 
 @register("choose_k_and_rule")

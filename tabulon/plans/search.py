@@ -2,15 +2,24 @@
 
 k-NN grids use one neighbour table per distance metric at the largest k;
 every (k, weights) setting is a vote over that table, so a 40-setting grid
-costs one neighbour search per metric, not 40.
+costs one neighbour search per metric, not 40. Tree grids fit one deep tree for
+each (impurity, leaf size, weighting) and fold; depths and penalties are cuts
+of it.
 """
 
 from __future__ import annotations
 
+import itertools
+from threading import Lock
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import metrics, neighbors
+from ..operators import metrics, neighbors, treepaths, trees
+from .runner import Study
+
+ROWS_PER_TASK = 20_000        # of a training fold, in each of the many passes of a tree fit
+TREE_AXES = ["impurity", "max_depth", "min_leaf", "alpha", "ccp_alpha"]
 
 
 def score_predictions(pred: DataFrame, by: list[str], domain: str = "observed",
@@ -42,6 +51,64 @@ def knn_grid(df: DataFrame, key: str, features: str, label: str, fold: str, clas
         F.desc("f1_mean"), "k", "weights", "metric")
 
 
+def tree_confusions(ready, label: str, classes: list, spaces: list[dict], study: Study, threads: int = 8) -> DataFrame:
+    """Held-out confusion counts of every tree setting: ``impurity, max_depth,
+    min_leaf, alpha, ccp_alpha, fold, y, pred, n``.
+
+    ready: a function that gives (fold, prepared rows) pairs, called once if
+    anything is left to fit; spaces: dicts of TREE_AXES -> values
+    (None for the unbounded depth; ccp_alpha may be left out). Settings that
+    differ in depth or penalty share their fits; each (impurity, min_leaf,
+    alpha) is a part of ``study``, finished parts are not fitted again, and
+    parts are submitted from driver threads, as each is a chain of small jobs."""
+    fits: dict[tuple, list] = {}
+    for s in spaces:
+        for i, d, m, a, c in itertools.product(*[s.get(x, [0.0]) for x in TREE_AXES]):
+            cuts = fits.setdefault((i, m, float(a)), [])
+            if (d, float(c)) not in cuts:
+                cuts.append((d, float(c)))
+    schema = ("impurity string, max_depth int, min_leaf int, alpha double, ccp_alpha double, "
+              f"fold int, y {_sql_type(classes)}, pred {_sql_type(classes)}, n bigint")
+    counts: dict = {}
+    lock, prepared_folds = Lock(), []
+
+    def folds():
+        with lock:
+            if not prepared_folds:
+                prepared_folds.extend(ready())
+        return prepared_folds
+
+    def part(impurity, min_leaf, alpha, cuts):
+        def rows():
+            out = []
+            depth = max(trees.UNBOUNDED_DEPTH if d is None else d for d, _ in cuts)
+            for f, prepared in folds():
+                train, test = prepared.filter(F.col("fold") != f), prepared.filter(F.col("fold") == f)
+                if f not in counts:
+                    counts[f] = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
+                tasks = -(-sum(counts[f].values()) // ROWS_PER_TASK)        # fewer only: a small fold is not worth many tasks
+                model = treepaths.fit_deep(train.coalesce(max(1, tasks)), "features", label, classes, depth, min_leaf, impurity,
+                                           trees.class_weights(counts[f], classes, alpha))
+                out += [(impurity, d, min_leaf, alpha, c, int(f), y, p, n)
+                        for d, c, y, p, n in treepaths.path_confusions(model, test.coalesce(max(1, tasks)), "features", label, classes, cuts)]
+            return study.spark.createDataFrame(out, schema).coalesce(1)
+        return rows
+
+    return study.run({f"{i}-{m}-{a}-{cuts}": part(i, m, a, cuts) for (i, m, a), cuts in fits.items()}, threads)
+
+
+def _sql_type(classes: list) -> str:
+    return "string" if isinstance(classes[0], str) else "int"
+
+
+def tree_grid(conf: DataFrame) -> DataFrame:
+    """E11 for trees: mean and SD over folds for each setting of ``tree_confusions``."""
+    folds = metrics.scores(conf, [*TREE_AXES, "fold"])
+    return folds.groupBy(*TREE_AXES).agg(
+        *[F.round(agg(m), 6).alias(f"{n}_{stat}") for m, n in (("f1_macro", "f1"), ("balanced_accuracy", "bal"))
+          for agg, stat in ((F.avg, "mean"), (F.stddev_samp, "std"))])
+
+
 def best(grid: DataFrame, score: str = "f1_mean", axes: list[str] = ()) -> dict:
     """O1: the best row (ties broken by the axes in order); one row collected."""
     return grid.orderBy(F.desc(score), *[F.asc_nulls_last(a) for a in axes]).limit(1).first().asDict()

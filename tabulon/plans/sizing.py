@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,12 +11,13 @@ MAX_BROADCAST_BYTES = 64 << 20
 def bounded_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``small`` only after proving it has at most ``max_bytes``.
 
-    The table is persisted (it is small by construction, a few rows per class,
-    bucket or feature), its row widths are summed (strings by their octets, 16
-    bytes for any other value and for each row), and it is hinted for broadcast;
-    beyond the bound it is returned un-hinted and Spark shuffles both sides.
+    The table is checkpointed (it is small by construction, a few rows per class,
+    bucket or feature; Spark removes the files once nothing refers to them), its
+    row widths are summed (strings by their octets, 16 bytes for any other value
+    and for each row), and it is hinted for broadcast; beyond the bound it is
+    returned un-hinted and Spark shuffles both sides.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = materialize(small)
     width = F.lit(16)
     for f in small.schema.fields:
         text = f.dataType.simpleString() in ("string", "binary")
