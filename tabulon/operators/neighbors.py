@@ -337,20 +337,25 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
     else:
         by = ["_s"] if same else ["_cell"]
         tb = max(1, math.ceil(nt / train_block))
+        # enough query blocks to keep every core busy, more where a group has many queries;
+        # training blocks where a cell or value has many rows
+        spare = min(max(1, math.ceil(2 * cores / tb)), max(1, nq))
         if same:                                        # rows of different values never meet
             q, t = q.withColumn("_s", F.col("qfold")).withColumn("bound", F.lit(float("inf"))), t.withColumn("_s", F.col("tfold"))
         elif tb > 1 and nq:
             q, t = _routed(q, t, k, metric, exclude, 1 << (tb - 1).bit_length(), nt)
         else:
             q, t = q.withColumn("_cell", F.lit(0)).withColumn("bound", F.lit(float("inf"))), t.withColumn("_cell", F.lit(0))
-        # enough query blocks to keep every core busy, more where a group has many queries;
-        # training blocks where a cell or value has many rows
-        spare = min(max(1, math.ceil(2 * cores / tb)), max(1, nq))
-        q_blocks = _blocks(q, by, query_block, "_qn").withColumn("_qn", F.greatest("_qn", F.lit(spare)))
-        groups = bounded_broadcast(q_blocks.join(_blocks(t, by, train_block, "_tn"), by))
-        numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        q = q.join(groups, by).withColumn("_qb", F.pmod(F.xxhash64("q"), F.col("_qn"))).withColumn("_tb", numbers("_tn")).drop("_qn", "_tn")
-        t = t.join(groups, by).withColumn("_tb", F.pmod(F.xxhash64("t"), F.col("_tn"))).withColumn("_qb", numbers("_qn")).drop("_qn", "_tn")
+        if same or tb > 1:
+            q_blocks = _blocks(q, by, query_block, "_qn").withColumn("_qn", F.greatest("_qn", F.lit(spare)))
+            groups = bounded_broadcast(q_blocks.join(_blocks(t, by, train_block, "_tn"), by))
+            q, t = q.join(groups, by), t.join(groups, by)
+        else:
+            many = F.lit(max(spare, math.ceil(nq / query_block)))
+            q, t = [x.withColumn("_qn", many).withColumn("_tn", F.lit(1)) for x in (q, t)]
+        numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+        q = q.withColumn("_qb", F.pmod(F.xxhash64("q"), F.col("_qn"))).withColumn("_tb", numbers("_tn")).drop("_qn", "_tn")
+        t = t.withColumn("_tb", F.pmod(F.xxhash64("t"), F.col("_tn"))).withColumn("_qb", numbers("_qn")).drop("_qn", "_tn")
         blocks = [*by, "_qb", "_tb"]
         local = q.groupBy(*blocks).cogroup(t.groupBy(*blocks)).applyInPandas(_meet(k, metric, exclude, compared), NEIGHBOUR_SCHEMA)
     rn = F.row_number().over(Window.partitionBy("query").orderBy("d_r", "neighbor"))

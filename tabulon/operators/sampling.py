@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_hex
-from ..plans.sizing import bounded_broadcast, join_null_safe, materialize
+from ..plans.sizing import bounded_broadcast, join_null_safe
 
 SYNTHETIC_BLOCK = 100_000
 
@@ -51,10 +51,10 @@ def _hashed(df: DataFrame, key, label: str, seed: int, digits: int | None) -> Da
 def bucket_counts(df: DataFrame, key, label: str, seed: int = 42, digits: int | None = None) -> DataFrame:
     """Rows per (class, hash bucket): at most classes x 16^digits rows.
 
-    Checkpointed, because the offsets, the class counts and the quotas of one
-    split are all derived from it; the input is scanned once for it."""
-    return materialize(_hashed(df, key, label, seed, digits).groupBy("_c", "_b")
-                       .agg(F.first(label).alias(label), F.count(F.lit(1)).alias("_nb")))
+    Reads the key and the label only, so it is counted again where a split needs
+    it twice (quotas in the driver's job, offsets in the rows' plan)."""
+    return (_hashed(df.select(label, _key(key).alias("_k")), "_k", label, seed, digits).groupBy("_c", "_b")
+            .agg(F.first(label).alias(label), F.count(F.lit(1)).alias("_nb")))
 
 
 def hash_rank(df: DataFrame, key, label: str, seed: int = 42, digits: int | None = None,

@@ -190,8 +190,8 @@ EMB_FOLDS = 5
 def embedding_folds(spark, sf):
     """Embeddings with a stratified 5-fold column (vec_id, embedding, label, fold)."""
     e = load(spark, sf, "embeddings")
-    return sampling.stratified_folds(e, "vec_id", "label", EMB_FOLDS, SEED) \
-        .select("vec_id", "embedding", "label", "fold")
+    folds = sampling.stratified_folds(e, "vec_id", "label", EMB_FOLDS, SEED)
+    return materialize(folds.select("vec_id", "embedding", "label", "fold"))      # read several times by every search
 
 
 def embedding_classes(spark, sf) -> list[int]:
@@ -205,7 +205,7 @@ def oof_neighbours(spark, sf, k, metric="manhattan"):
 
 
 def oof_predictions(spark, sf, ks, weights, metric="manhattan"):
-    f = embedding_folds(spark, sf).persist()
+    f = embedding_folds(spark, sf)
     neigh = neighbors.knn(f, f, "vec_id", "embedding", "label", max(ks), metric, fold="fold")
     v = neighbors.vote(neigh, ks, weights, embedding_classes(spark, sf))
     meta = f.select(F.col("vec_id").alias("query"), "fold", F.col("label").alias("y"))
@@ -669,14 +669,14 @@ def doc_study_frame(spark, sf, k: int = 5):
 
 @register("knn_grid")
 def q_knn_grid(spark, sf):
-    f = embedding_folds(spark, sf).persist()
+    f = embedding_folds(spark, sf)
     return search.knn_grid(f, "vec_id", "embedding", "label", "fold", embedding_classes(spark, sf),
                            [1, 3, 5, 7, 9, 11, 15, 21, 31, 41], ["uniform", "distance"], ["manhattan", "euclidean"])
 
 
 @register("knn_refined_grid")
 def q_knn_refine(spark, sf):
-    f = embedding_folds(spark, sf).persist()
+    f = embedding_folds(spark, sf)
     classes = embedding_classes(spark, sf)
     coarse = search.knn_grid(f, "vec_id", "embedding", "label", "fold", classes, [1, 5, 15], ["uniform", "distance"],
                              ["manhattan"])
@@ -1013,7 +1013,7 @@ def q_training_probe_gap(spark, sf):
     """Optimism gap of k-NN: accuracy on a stratified probe of 10,000 rows of
     each training fold (the whole fold if smaller; scored against that fold)
     minus out-of-fold accuracy."""
-    f = embedding_folds(spark, sf).persist()
+    f = embedding_folds(spark, sf)
     classes = embedding_classes(spark, sf)
     parts = []
     for fo in sorted(r[0] for r in f.select("fold").distinct().collect()):
@@ -1063,8 +1063,9 @@ def q_knn_lineitem_holdout(spark, sf):
     blocked join is tested against brute force."""
     from ..functions.exprs import signed_log
     from .sizing import global_rank
-    f = global_rank(lineitem_folds(spark, sf), LINEITEM_KEY, "rid")
-    x = f.select("rid", "fold", "l_orderkey", F.array(*[signed_log(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]).alias("x"),
+    measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    f = global_rank(lineitem_folds(spark, sf).select(*LINEITEM_KEY, *measures, BOUND_LABEL, "fold"), LINEITEM_KEY, "rid")
+    x = f.select("rid", "fold", "l_orderkey", F.array(*[signed_log(c) for c in measures]).alias("x"),
                  F.when(F.col(BOUND_LABEL) == "A", 0).when(F.col(BOUND_LABEL) == "N", 1).otherwise(2).alias("y"))
     n = neighbors.knn(x.filter("l_orderkey % 100 = 0"), x, "rid", "x", "y", 31, "manhattan", fold="fold")
     return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))

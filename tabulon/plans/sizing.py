@@ -6,23 +6,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
+MAX_LOCAL_ROWS = 10_000
 
 
 def bounded_broadcast(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``small`` only after proving it has at most ``max_bytes``.
 
-    The table is checkpointed (it is small by construction, a few rows per class,
-    bucket or feature; Spark removes the files once nothing refers to them), its
+    A table of up to ``MAX_LOCAL_ROWS`` rows (a few per class, fold or feature)
+    is fetched in one job and becomes a local table. A larger one is
+    checkpointed (Spark removes the files once nothing refers to them) and its
     row widths are summed (strings by their octets, 16 bytes for any other value
-    and for each row), and it is hinted for broadcast; beyond the bound it is
-    returned un-hinted and Spark shuffles both sides.
+    and for each row). Beyond the bound it is returned un-hinted and Spark
+    shuffles both sides.
     """
-    small = materialize(small)
-    width = F.lit(16)
-    for f in small.schema.fields:
-        text = f.dataType.simpleString() in ("string", "binary")
-        width = width + (F.coalesce(F.octet_length(f.name), F.lit(0)) if text else F.lit(16))
-    n = small.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    text = [f.name for f in small.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    fixed = 16 * (1 + len(small.columns) - len(text))
+    rows = small.limit(MAX_LOCAL_ROWS + 1).collect()
+    if len(rows) <= MAX_LOCAL_ROWS:
+        n = sum(fixed + sum(len(r[c]) if r[c] is not None else 0 for c in text) for r in rows)
+        small = small.sparkSession.createDataFrame(rows, small.schema)
+    else:
+        small = materialize(small)
+        width = F.lit(fixed)
+        for c in text:
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        n = small.agg(F.sum(width.cast("bigint"))).first()[0] or 0
     return F.broadcast(small) if n <= max_bytes else small
 
 
