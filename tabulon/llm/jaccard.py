@@ -32,7 +32,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +45,9 @@ BROADCAST_IDS = 1 << 20        # ids that may be broadcast (16 MB); beyond, a sh
 MIN_BITS = 64
 _SETS = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bitmap binary"
 _PACKED = "part int, postings binary"
+_PAIRS = "a bigint, b bigint"
+LIST_ROWS = 4096               # postings of a list that are compared in one task
+PART_ROWS = 200_000            # postings packed into one task
 _POSTING = np.dtype([("token", "<u8"), ("doc_id", "<i8"), ("size", "<i4"), ("pos", "<i4")])
 
 
@@ -147,19 +149,6 @@ def min_overlap(a, b, percent: int):
     return -(-(a + b) * percent // (100 + percent))
 
 
-def _fold(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 128-bit digest of each set (0 for an empty one)."""
-    full = np.flatnonzero(np.diff(first))
-    out = []
-    with np.errstate(over="ignore"):
-        for x in (mix(h ^ np.uint64(0x9E3779B97F4A7C15)), mix(h + np.uint64(0xD6E8FEB86659FD93))):
-            d = np.zeros(len(first) - 1, np.uint64)
-            if len(full):
-                d[full] = np.add.reduceat(x, first[full])
-            out.append(d)
-    return out[0], out[1]
-
-
 def _bits(size: np.ndarray) -> np.ndarray:
     """Bits of a set's bitmap: the power of two from its size on."""
     return np.maximum(MIN_BITS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
@@ -246,27 +235,35 @@ def _candidates(percent: int):
 
 
 class _Lists:
-    """Postings of some tokens as arrays, with the filters of a pair of rows."""
-
-    def __init__(self, group: pd.DataFrame, order: list[str], percent: int):
-        g = group.sort_values(order, kind="stable")
-        self.token, self.size, self.pos, self.ids = (g[c].to_numpy().astype(np.int64) for c in ("token", "size", "pos", "doc_id"))
-        self.comp = g["component"].to_numpy().astype(np.int64) if "component" in g else self.ids
+    """Postings of some lists as arrays, with the filters of a pair of rows.
+
+    postings: (list, doc_id, size, pos, component); bitmaps: (owner, bits),
+    one row for each document of the postings."""
+
+    def __init__(self, postings: pa.Table, bitmaps: pa.Table, percent: int):
+        cols = [postings.column(c).to_numpy().astype(np.int64) for c in ("list", "doc_id", "size", "pos", "component")]
+        order = np.lexsort((cols[1], cols[2], cols[0]))
+        self.list, self.ids, self.size, self.pos, self.comp = (c[order] for c in cols)
+        docs = bitmaps.column("owner").to_numpy().astype(np.int64)
+        by_id = np.argsort(docs, kind="stable")
+        self.bitmap = one(bitmaps.column("bits"))
+        self.doc = by_id[np.searchsorted(docs[by_id], self.ids)]        # row of the bitmap of each posting
         self.bits = _bits(self.size)
-        self.bitmap = g["bitmap"].to_numpy()
+        self.doc_bits = np.zeros(len(docs), np.int64)
+        self.doc_bits[self.doc] = self.bits
         self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.percent = percent
 
     def _matrix(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bitmaps of the rows with ``bits`` bits or more, folded to
-        ``bits``, and each row's place in the matrix."""
+        """Bitmaps of the documents with ``bits`` bits or more, folded to
+        ``bits``, and each document's place in the matrix."""
         if bits not in self.folded:
-            rows = np.flatnonzero(self.bits >= bits)
-            out = np.zeros((len(rows), bits // 64), np.uint64)
-            for k, i in enumerate(rows):
-                out[k] = np.bitwise_xor.reduce(np.frombuffer(self.bitmap[i], "<u8").reshape(-1, bits // 64), axis=0)
-            place = np.full(len(self.ids), -1, np.int64)
-            place[rows] = np.arange(len(rows))
+            docs = np.flatnonzero(self.doc_bits >= bits)
+            out = np.zeros((len(docs), bits // 64), np.uint64)
+            for k, i in enumerate(docs):
+                out[k] = _narrowed(self.bitmap[i].as_buffer(), bits)
+            place = np.full(len(self.doc_bits), -1, np.int64)
+            place[docs] = np.arange(len(docs))
             self.folded[bits] = out, place
         return self.folded[bits]
 
@@ -287,57 +284,101 @@ class _Lists:
             step = max(1, (1 << 22) // int(bits // 8))
             for s in range(0, len(of), step):
                 k = of[s:s + step]
-                differ[k] = np.bitwise_count(table_[place[i[k]]] ^ table_[place[j[k]]]).sum(axis=1, dtype=np.int64)
+                differ[k] = np.bitwise_count(table_[place[self.doc[i[k]]]] ^ table_[place[self.doc[j[k]]]]).sum(axis=1, dtype=np.int64)
         keep = self.size[i] + self.size[j] - differ >= 2 * need
         return i[keep], j[keep], differ[keep]
 
 
-def _pair_frame(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+def _narrowed(bitmap: pa.Buffer, bits: int) -> np.ndarray:
+    """A bitmap folded to ``bits`` bits: parities of parities."""
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, "<u8").reshape(-1, bits // 64), axis=0)
 
 
-def _hub_pairs(percent: int):
-    """Pairs of each list's first set (least position) with the others."""
-    def run(group):
-        x = _Lists(group, ["token", "pos", "size", "doc_id"], percent)
-        new = np.flatnonzero(np.diff(x.token, prepend=x.token[0] - 1))
-        hub = np.repeat(new, np.diff(np.append(new, len(x.token))))
-        i, j, _ = x.passing(hub, np.arange(len(hub)))
-        return _pair_frame(x.ids[i], x.ids[j])
-    return run
+def _pair_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
+    return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
 
 
-def _cross_pairs(percent: int, nearest: bool):
-    """Pairs of each token's list that lie in different components and pass
-    the filters: all of them, or only each set's nearest. Lists are sorted by
-    size and compared at growing distance, so only pairs within the length
-    filter are looked at and pairs of one component are never kept."""
-    def run(group):
-        x = _Lists(group, ["token", "size", "doc_id"], percent)
-        left, out, d = np.arange(len(x.token)), [_pair_frame(x.ids[:0], x.ids[:0])], 0
+def _hub_pairs(live: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each list's first set (least position) with the others
+    that pass the filters. The hub is an aggregate over the list and is joined
+    back to it, so no list is ever one group; bitmaps are looked up once for
+    each distinct pair that the length and positional filters leave."""
+    hubs = live.groupBy("token").agg(F.min(F.struct("pos", "size", "doc_id")).alias("hub"))
+    size, other = F.col("size"), F.col("hub.size")
+    need = F.expr(f"((size + hub.size) * {percent} + {99 + percent}) div {100 + percent}")      # min_overlap, in integers
+    near = (live.join(hubs, "token").filter(F.col("doc_id") != F.col("hub.doc_id"))
+            .filter(100 * F.least(size, other) >= percent * F.greatest(size, other))
+            .filter(F.least(size - F.col("pos"), other - F.col("hub.pos")) >= need)
+            .select("doc_id", F.col("hub.doc_id").alias("_hub"), "size", other.alias("_size")).distinct())
+    with_bits = (near.join(bitmaps, "doc_id").withColumnRenamed("bitmap", "_bits")
+                 .join(bitmaps.select(F.col("doc_id").alias("_hub"), "bitmap"), "_hub")
+                 .select("doc_id", "_hub", "size", "_size", "_bits", "bitmap"))
+
+    def run(batches):
+        for b in batches:
+            size, other = (b.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+            bits = np.minimum(_bits(size), _bits(other))
+            differ = np.fromiter((np.bitwise_count(_narrowed(x.as_buffer(), k) ^ _narrowed(y.as_buffer(), k)).sum()
+                                  for x, y, k in zip(b.column(4), b.column(5), bits.tolist())), np.int64, b.num_rows)
+            keep = size + other - differ >= 2 * min_overlap(size, other, percent)
+            x, y = (b.column(i).to_numpy()[keep] for i in (0, 1))
+            yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+    return with_bits.mapInArrow(run, _PAIRS).distinct()
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Postings with their ``list``. A token with more than ``LIST_ROWS``
+    postings is dealt to blocks by document and becomes a list for every pair of
+    blocks, so that no list is long and every two postings share a list."""
+    many = (rows.groupBy("token").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("_n")).filter("_n > 1"))
+    mine = F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int")
+    other = F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_n") - 1)))
+    dealt = rows.join(_small(cut(many)), "token", "left").withColumn("_other", other)
+    key = F.xxhash64("token", F.least(mine, "_other"), F.greatest(mine, "_other"))
+    return dealt.withColumn("list", F.when(F.col("_n").isNull(), F.col("token")).otherwise(key)).drop("_n", "_other")
+
+
+def _cross_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int, nearest: bool, spark: SparkSession) -> DataFrame:
+    """Pairs of each list that lie in different components and pass the
+    filters: all of them, or only each set's nearest. Lists are sorted by size
+    and compared at growing distance, so only pairs within the length filter
+    are looked at and pairs of one component are never kept.
+
+    Lists are packed into parts, as many as the counted postings need; a part
+    holds each document's bitmap once."""
+    rows = cut(_in_blocks(rows))
+    parts = max(shuffle_parts(spark), -(-rows.count() // PART_ROWS))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("list"), F.lit(parts)).cast("int"))
+    owners = rows.select("part", "doc_id").distinct().join(bitmaps, "doc_id").toDF("owner", "owner_part", "bits")
+
+    def run(key, postings, bits):
+        x = _Lists(postings, bits, percent)
+        left, out, d = np.arange(len(x.list)), [np.zeros((2, 0), np.int64)], 0
         mate, least = np.full(len(left), -1), np.full(len(left), np.iinfo(np.int64).max)
         while True:
             d += 1
-            left = left[left + d < len(x.token)]
-            left = left[(x.token[left + d] == x.token[left]) & (100 * x.size[left] >= percent * x.size[left + d])]
+            left = left[left + d < len(x.list)]
+            left = left[(x.list[left + d] == x.list[left]) & (100 * x.size[left] >= percent * x.size[left + d])]
             if not len(left):
                 break
             apart = left[x.comp[left] != x.comp[left + d]]
             i, j, differ = x.passing(apart, apart + d)
             if not nearest:
-                if len(i):
-                    out.append(_pair_frame(x.ids[i], x.ids[j]))
+                out.append(np.stack([x.ids[i], x.ids[j]]))
                 continue
             for a, b in ((i, j), (j, i)):
                 closer = differ < least[a]
                 mate[a[closer]], least[a[closer]] = b[closer], differ[closer]
         if nearest:
-            rows = np.flatnonzero(mate >= 0)
-            rows = rows[np.lexsort((x.ids[mate[rows]], least[rows], x.ids[rows]))]
-            rows = rows[np.diff(x.ids[rows], prepend=x.ids[rows[:1]] - 1) != 0]    # one for each document here
-            out.append(_pair_frame(x.ids[rows], x.ids[mate[rows]]))
-        return pd.concat(out).drop_duplicates()
-    return run
+            at = np.flatnonzero(mate >= 0)
+            at = at[np.lexsort((x.ids[mate[at]], least[at], x.ids[at]))]
+            at = at[np.diff(x.ids[at], prepend=x.ids[at[:1]] - 1) != 0]    # one for each document here
+            out.append(np.stack([x.ids[at], x.ids[mate[at]]]))
+        return _pair_table(*np.concatenate(out, axis=1))
+
+    return (rows.select("part", "list", "doc_id", "size", "pos", "component").groupBy("part")
+            .cogroup(owners.groupBy("owner_part")).applyInArrow(run, _PAIRS).distinct())
 
 
 def _small(rows: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -404,7 +445,6 @@ def _links(docs: DataFrame, n: int, percent: int, nearest: int, by_row: bool) ->
     """The sets table, and links whose components are those of the whole join
     (None if a doc_id has several different sets and ``by_row`` is False)."""
     spark = docs.sparkSession
-    parts = shuffle_parts(spark)
     sets = cut(docs.mapInArrow(_sets(n), _SETS))
     known = sets.filter("n_shingles > 0 and doc_id is not null")
     if not by_row and not (sets.filter("doc_id is not null").groupBy("doc_id")
@@ -416,26 +456,25 @@ def _links(docs: DataFrame, n: int, percent: int, nearest: int, by_row: bool) ->
     copies = _small(cut(lead.filter("rep <> _far").select(*key, "rep")), BROADCAST_IDS // 4)
     equal = cut(known.join(copies, key).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
     rarity = spark.sparkContext.broadcast(_counters(docs))          # fixed size: 4 MB
+    posted = known.agg(F.sum(F.expr(f"n_shingles - (n_shingles * {percent} + 99) div 100 + 1"))).first()[0] or 0
+    parts = max(shuffle_parts(spark), -(-posted // PART_ROWS))
     # only the smallest document of equal sets is posted
     leads = docs.join(_small(equal.select(F.col("a").alias("doc_id"))), "doc_id", "left_anti").select("doc_id", "text")
     live = cut(leads.mapInArrow(_postings(rarity, n, percent, parts), _PACKED).groupBy("part")
                .applyInArrow(_candidates(percent), "token bigint, doc_id bigint, size int, pos int"))
     bitmaps = known.select("doc_id", "bitmap").dropDuplicates(["doc_id"])
-    part = F.pmod(F.col("token"), F.lit(parts)).cast("int")
-    pairs = "a bigint, b bigint"
 
     def verified(found: DataFrame) -> DataFrame:
         ids = found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         return cut(_verified(found, _whole_sets(docs, ids, n), percent))
 
-    hub = cut(live.join(bitmaps, "doc_id").withColumn("part", part).groupBy("part").applyInPandas(_hub_pairs(percent), pairs).distinct())
+    hub = cut(_hub_pairs(live, bitmaps, percent))
     near, tested = verified(hub), hub
     for only_nearest in [True] * nearest + [False]:
         found = components(near).withColumnRenamed("id", "doc_id")
         here = live.join(found, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         apart = here.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-        cross = (here.join(apart, "token", "left_semi").join(bitmaps, "doc_id").withColumn("part", part).groupBy("part")
-                 .applyInPandas(_cross_pairs(percent, only_nearest), pairs).distinct())
+        cross = _cross_pairs(here.join(apart, "token", "left_semi"), bitmaps, percent, only_nearest, spark)
         cross = cut(cross.join(tested, ["a", "b"], "left_anti"))
         del found, here, apart
         release(spark)

@@ -155,3 +155,12 @@ def test_components_long_chain(spark):
     got = {r["id"]: r["component"] for r in components(links.repartition(16)).collect()}
     assert got == {**dict.fromkeys(range(301), 0), 1000: 1000, 1001: 1000}
     assert components(links.limit(0)).count() == 0
+
+
+def test_jaccard_long_lists_are_compared_in_blocks(spark, monkeypatch):
+    from tabulon.llm import jaccard
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 5)
+    monkeypatch.setattr(jaccard, "PART_ROWS", 20)
+    rows = corpus(11, 60)
+    for nearest in (0, 1):
+        assert got_components(jaccard_components(frame(spark, rows), 3, 60, nearest)) == brute_components(rows, 3, 60)
