@@ -164,17 +164,17 @@ def _columns(queries: np.ndarray, searched: Searched, found: tuple) -> dict[str,
     return {"query": queries[q], "neighbor": searched.keys[t], "label": searched.labels[t].astype(np.int32), "d": d, "d_r": np.round(d, 9)}
 
 
-def _matrix(column) -> np.ndarray:
-    return np.stack(column).astype(np.float64) if len(column) else np.zeros((0, 1))
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64)
 
 
 def _meet(k: int, metric: str, exclude: str, compared=None):
     def run(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
-        searched = Searched(_matrix(tpdf["tf"].to_numpy()), tpdf["t"].to_numpy(np.int64), tpdf["y"].to_numpy(np.int32), tpdf["tfold"].to_numpy(np.int64), metric)
-        keys = qpdf["q"].to_numpy(np.int64)
         if not len(qpdf) or not len(tpdf):
-            return pd.DataFrame(_columns(keys, searched, (np.zeros(0, int), np.zeros(0, int), np.zeros(0))))
-        found = searched.nearest(_matrix(qpdf["qf"].to_numpy()), keys, qpdf["qfold"].to_numpy(np.int64), k, exclude, qpdf["bound"].to_numpy(float))
+            return pd.DataFrame({c: np.zeros(0, t) for c, t in (("query", "i8"), ("neighbor", "i8"), ("label", "i4"), ("d", "f8"), ("d_r", "f8"))})
+        searched = Searched(_matrix(tpdf["tf"]), tpdf["t"].to_numpy(np.int64), tpdf["y"].to_numpy(np.int32), tpdf["tfold"].to_numpy(np.int64), metric)
+        keys = qpdf["q"].to_numpy(np.int64)
+        found = searched.nearest(_matrix(qpdf["qf"]), keys, qpdf["qfold"].to_numpy(np.int64), k, exclude, qpdf["bound"].to_numpy(float))
         if compared is not None:
             compared.add(searched.compared)
         return pd.DataFrame(_columns(keys, searched, found))

@@ -420,9 +420,15 @@ WILCOXON = f"""(WITH pd AS {PAIRS},
 ORACLE["wilcoxon_pairs"] = f"SELECT * FROM {WILCOXON}"
 
 ORACLE["paired_t"] = f"""
-SELECT group_a, group_b, round(avg(a), 6) AS mean_a, round(avg(b), 6) AS mean_b, round(avg(d), 6) AS mean_difference,
-       round(avg(d) / (stddev_samp(d) / sqrt(count(*))), 6) AS paired_t_statistic, count(*)::INTEGER AS n
-FROM {PAIRS} GROUP BY ALL"""
+WITH g AS (SELECT group_a, group_b, avg(a) AS ma, avg(b) AS mb, avg(d) AS md, count(*) AS n, count(*) - 1 AS v,
+                  avg(d) / (stddev_samp(d) / sqrt(count(*))) AS t FROM {PAIRS} GROUP BY ALL),
+a AS (SELECT *, atan(abs(t) / sqrt(v)) AS th, v % 2 AS o FROM g),
+s AS (SELECT *, sin(th) * list_sum(list_transform(range(v // 2), lambda k: (CASE WHEN o = 1 THEN cos(th) ELSE 1.0 END)
+        * coalesce(list_product(list_transform(range(1, k + 1), lambda i: (2 * i - 1 + o) / (2 * i + o) * cos(th) * cos(th))), 1.0))) AS inside FROM a)
+SELECT group_a, group_b, round(ma, 6) AS mean_a, round(mb, 6) AS mean_b, round(md, 6) AS mean_difference,
+       round(t, 6) AS paired_t_statistic,
+       round(1.0 - CASE WHEN o = 1 THEN 2.0 / pi() * (th + inside) ELSE inside END, 9) AS paired_t_p, n::INTEGER AS n
+FROM s"""
 
 ORACLE["holm"] = f"""
 WITH w AS (SELECT group_a, group_b, wilcoxon_p FROM {WILCOXON}),

@@ -33,6 +33,51 @@ def test_chi2_and_t_helpers():
     assert math.isclose(stats._t_two_sided(2.26215716, 9), 0.05, rel_tol=1e-6)
 
 
+def test_signed_rank_p_at_any_length():
+    from fractions import Fraction
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 12, 300):
+        ranks = sorted(int(x) for x in rng.integers(1, 2 * n + 1, n))
+        counts = [1]                                       # big integers: subsets by their sum
+        for r in ranks:
+            counts = [(counts[s] if s < len(counts) else 0) + (counts[s - r] if 0 <= s - r < len(counts) else 0) for s in range(len(counts) + r)]
+        for share in (0.1, 0.4, 0.5):
+            w2 = int(sum(ranks) * share)
+            want = min(1.0, float(Fraction(2 * sum(counts[:w2 + 1]), 2 ** n)))
+            assert abs(stats._signed_rank_p(ranks, w2) - want) < 1e-12
+    n = 2000                                               # 2^2000 is beyond a double; the normal limit is close
+    half = n * (n + 1) // 2
+    sd = math.sqrt(n * (n + 1) * (2 * n + 1) / 24)
+    w = int(half / 2 - 2 * sd)
+    assert abs(stats._signed_rank_p([2 * r for r in range(1, n + 1)], 2 * w) - math.erfc((half / 2 - w - 0.5) / sd / math.sqrt(2))) < 1e-4
+
+
+def test_t_tail_against_known_values():
+    for t, df, p in ((12.706204736, 1, 0.05), (4.302652730, 2, 0.05), (3.182446305, 3, 0.05), (2.776445105, 4, 0.05), (3.249835542, 9, 0.01),
+                     (1.983971519, 100, 0.05), (0.0, 7, 1.0)):
+        assert abs(stats._t_two_sided(t, df) - p) < 1e-8 and stats._t_two_sided(-t, df) == stats._t_two_sided(t, df)
+
+
+def test_null_levels_beside_others(spark):
+    rows = [("a",)] * 5 + [(None,)] * 4 + [("b",)] * 3 + [("rare",)]
+    df = spark.createDataFrame(rows, "c string")
+    kept = features.fit_rare_levels(df, ["c"], 0.2)
+    assert kept == {"c": [None, "a", "b"]}
+    grouped = features.apply_rare_levels(df, kept)
+    assert {(r["c"], r["n"]) for r in grouped.groupBy("c").agg(F.count("*").alias("n")).collect()} == {(None, 4), ("a", 5), ("b", 3), ("other", 1)}
+    assert features.apply_rare_levels(df, {"c": ["a"]}).filter("c is null").count() == 0
+    levels = features.fit_one_hot(grouped, ["c"])["c"]
+    assert levels == [None, "a", "b", "other"]
+    hot = {r["c"]: r["x"] for r in grouped.select("c", features.one_hot_expr("c", levels).alias("x")).collect()}
+    assert hot[None] == [1.0, 0, 0, 0] and hot["b"] == [0, 0, 1.0, 0]
+    assert spark.createDataFrame([("new",)], "c string").select(features.one_hot_expr("c", levels)).first()[0] == [0, 0, 0, 0]
+    codes = features.fit_ordinal(df, ["c"])
+    got = {r["c"]: r["c_code"] for r in features.apply_ordinal(df.unionByName(spark.createDataFrame([("new",)], "c string")), codes, ["c"]).collect()}
+    assert got == {None: 0, "a": 1, "b": 2, "rare": 3, "new": -1}
+    both = features.knn_features(df.withColumn("v", F.rand(1)), df.withColumn("v", F.rand(1)), ["v"], ["c"], scale=None, min_frequency=0.2)
+    assert all(None not in r["features"] for r in both.collect())
+
+
 def test_rank_scaler_matches_reference_rule(spark):
     rng = np.random.default_rng(2)
     tr = np.round(rng.exponential(3, 3000), 1)       # many ties, more rows than knots
