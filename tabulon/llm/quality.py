@@ -121,8 +121,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE, min_rows: int = 5) -> Model:
     # only, so that no text passes through one task
     most = min(int(2.0 * sample / total * 2.0 ** 63), 2 ** 63 - 1)
     hashed = docs.select("text", F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("_h")).filter(F.col("_h") <= most)
-    last = hashed.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
-    chosen = hashed.filter(F.col("_h") <= F.lit(last if last is not None else -1)).select("text")
+    last = hashed.select("_h").distinct().orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    # rows that repeat a doc_id and its text count once
+    chosen = hashed.filter(F.col("_h") <= F.lit(last if last is not None else -1)).dropDuplicates(["_h"]).select("text")
     rows = chosen.mapInArrow(_featured, "pattern bigint, features binary").collect()
     owner = np.repeat(np.arange(len(rows)), [len(r["features"]) // 4 for r in rows])
     feature = np.concatenate([np.frombuffer(r["features"], "<i4") for r in rows] or [np.zeros(0, "<i4")]).astype(np.int64)

@@ -115,7 +115,8 @@ def document_ids(texts: pa.Array, vocabulary: str, end_id: int = END_ID) -> Iter
 
 
 def token_rows(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids array<int>) for each row of documents, partitioning kept."""
+    """(doc_id, place, ids array<int>) for each row of documents (doc_id, text,
+    place), partitioning kept."""
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 256):
@@ -123,9 +124,9 @@ def token_rows(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFr
                 ids = list(document_ids(part.column(1), vocabulary, end_id))
                 ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype("int32")
                 values = pa.array(np.frombuffer(b"".join(ids), "<u4").astype("int32"))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), values)],
-                                                 ["doc_id", "ids"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>")
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.ListArray.from_arrays(pa.array(ends), values)],
+                                                 ["doc_id", "place", "ids"])
+    return docs.select("doc_id", "text", "place").mapInArrow(run, "doc_id bigint, place bigint, ids array<int>")
 
 
 def crc32(ids: bytes) -> int:

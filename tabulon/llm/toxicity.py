@@ -110,11 +110,16 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
     ys = [c.cast("double").alias(f"y{k}") for k, c in enumerate(categories.values())]
     known = labels.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), *ys)
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", *[f"y{k}" for k in range(len(names))]).limit(sample)
+    n = len(names)
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
             .join(F.broadcast(chosen), "doc_id")       # at most `sample` rows
             .select("text", F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(7)), F.lit(FOLDS)).cast("int").alias("fold"),
-                    *[f"y{k}" for k in range(len(names))]))
-    n = len(names)
+                    *[f"y{k}" for k in range(n)],
+                    F.xxhash64("doc_id", "text", *[f"y{k}" for k in range(n)]).alias("_h")))
+    # an id may have many rows: equal ones count once, and different ones are
+    # sampled by their hash, so that at most `sample` rows are left
+    last = rows.select("_h").distinct().orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    rows = rows.filter(F.col("_h") <= F.lit(last if last is not None else 0)).dropDuplicates(["_h"]).drop("_h")
     schema = ", ".join(["fold int", *[f"y{k} double" for k in range(n)], "features binary"])
     rows = cut(rows.mapInArrow(_features(n), schema))
     blocks = (rows.mapInArrow(_counts(n), "block int, counts binary").groupBy("block")

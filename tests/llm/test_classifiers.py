@@ -107,3 +107,21 @@ def test_em_finds_a_labeller_that_errs_on_good_documents():
     values, counts = np.unique((vote * 3 ** np.arange(m - 1, -1, -1)).sum(axis=1), return_counts=True)
     _, rate, _ = quality.estimate(values, counts.astype(float))
     assert abs(rate[1][2] - 0.05) < 0.01 and np.delete(rate[1], 2).max() <= quality.FALSE_ALARM
+
+
+def test_samples_stay_bounded_when_an_id_repeats(spark, monkeypatch):
+    rows = [(1, f"text {i} of one id" if i % 2 else "the same text again") for i in range(600)] + [(i, f"plain words {i}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id bigint, toxic int")
+    sizes = []
+
+    class Counted(toxicity.Linear):
+        def fit(self, owner, col, extra, y, *more, **named):
+            sizes.append(len(y))
+            return super().fit(owner, col, extra, y, *more, **named)
+
+    monkeypatch.setattr(toxicity, "Linear", Counted)
+    monkeypatch.setattr(quality, "Linear", Counted)
+    toxicity.fit_chain(docs, labels, {"toxic": F.col("toxic")}, sample=10)
+    quality.fit(docs.filter("doc_id = 1 and text like 'the same%'"), sample=10)
+    assert sizes and max(sizes) <= 10 and sizes[-1] == 1

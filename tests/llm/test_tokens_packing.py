@@ -106,3 +106,22 @@ def test_many_equal_pieces_and_bad_lengths(spark):
     assert check_packing(best_fit(rows, 100).collect(), 100) == 800
     with pytest.raises(ValueError):
         best_fit(rows.withColumn("length", F.lit(101)), 100)
+
+
+def test_orc_start_follows_the_files_for_repeated_ids(spark):
+    """Different texts under one id, also spread over several files."""
+    rows = [(1, t) for t in ("a", "mid word here", "zz and a much longer text than the others", "a", None)] + [(2, "b c"), (None, "n"), (0, "zero")]
+    rows += [(3, f"text number {i} " * (i % 7)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    path = shared_folder(spark, "t")
+    got = token_output(spark, docs, path=path).collect()
+    files = read_tokens(spark, path).orderBy("place").collect()
+    at, want = 0, []
+    for r in files:
+        want.append((r["doc_id"], at, len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes())))
+        at += len(r["ids"])
+    assert sorted(map(str, want)) == sorted(str((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"])) for r in got)
+    order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in files]
+    assert order == sorted(order) and len({r["place"] for r in files}) == len(rows)
+    assert sorted((d is not None, d or 0, zlib.crc32(np.array([*library(t), 2], "<u4").tobytes())) for d, t in rows) == sorted(
+        (r[0] is not None, r[0] or 0, r[3]) for r in want)
