@@ -904,7 +904,7 @@ tr AS (SELECT fl.fo, f.vec_id, f.embedding, f.label FROM fl JOIN f ON f.fold <>
 rk AS (SELECT *, row_number() OVER (PARTITION BY fo, label ORDER BY md5('42-' || CAST(vec_id AS VARCHAR)), vec_id) AS rank_in_class FROM tr),
 cc AS (SELECT fo, label, count(*) AS n FROM tr GROUP BY ALL),
 c1 AS (SELECT *, sum(n) OVER (PARTITION BY fo) AS total FROM cc),
-c2 AS (SELECT *, least(total, 100) AS t FROM c1),
+c2 AS (SELECT *, least(total, 10000) AS t FROM c1),
 c3 AS (SELECT *, n::DOUBLE * t / total AS cont FROM c2),
 c4 AS (SELECT *, floor(cont) AS base, cont - floor(cont) AS rem FROM c3),
 c5 AS (SELECT *, t - sum(base) OVER (PARTITION BY fo) AS extra,

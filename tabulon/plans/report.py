@@ -139,7 +139,7 @@ def ablation_table(abl: DataFrame, order: list[str], score: str = "bal_mean") ->
     w = Window.orderBy("ord")
     t = abl.withColumn("ord", o)
     return t.select("ord", "variant", fmt_mean_sd(F.col("bal_mean"), F.col("bal_std")).alias("balanced_accuracy"),
-                    F.round(F.col(score) - F.first(score).over(w), 6).alias("change"), "f1_mean", "seconds")
+                    F.round(F.col(score) - F.first(score).over(w), 6).alias("change"), "f1_mean")
 
 
 def exponent_sweep(sweep: DataFrame) -> DataFrame:

@@ -25,7 +25,12 @@ TREE_AXES = ["impurity", "max_depth", "min_leaf", "alpha", "ccp_alpha"]
 def score_predictions(pred: DataFrame, by: list[str], domain: str = "observed",
                       n_classes: int | None = None) -> DataFrame:
     """Mean and SD over folds of balanced accuracy and macro F1 per ``by`` group."""
-    sc = metrics.scores(metrics.confusion(pred, [*by, "fold"]), [*by, "fold"], domain, n_classes)
+    return score_counts(metrics.confusion(pred, [*by, "fold"]), by, domain, n_classes)
+
+
+def score_counts(conf: DataFrame, by: list[str], domain: str = "observed", n_classes: int | None = None) -> DataFrame:
+    """E9 from confusion counts ``(by..., fold, y, pred, n)``."""
+    sc = metrics.scores(conf, [*by, "fold"], domain, n_classes)
     return sc.groupBy(*by).agg(
         F.round(F.avg("balanced_accuracy"), 6).alias("bal_mean"),
         F.round(F.stddev_samp("balanced_accuracy"), 6).alias("bal_std"),

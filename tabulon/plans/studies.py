@@ -1,20 +1,23 @@
 """Studies: compositions with their own output tables.
 
 Every configuration is scored out of fold with preparation fitted on the
-training folds only: for held-out fold f the transforms are fitted on the
-other folds and applied to all rows, so a loop over folds (bounded by the
-fold count) drives distributed jobs; nothing row-level passes the driver.
+training folds only: for held-out fold f the transforms are those of the other
+folds, taken for all folds from one pass over the rows, and applied to all
+rows, so a loop over folds (bounded by the fold count) drives distributed
+jobs; nothing row-level passes the driver. Finished configurations are parts
+of a stored study.
 """
 
 from __future__ import annotations
 
-import time
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import features, metrics, neighbors, rules, sampling, stats, trees
-from .search import score_predictions
+from .runner import Study, data_fingerprint
+from .search import score_counts
 from .sizing import materialize
 
 
@@ -44,27 +47,30 @@ def _with_smote(tr: DataFrame, key: str, label: str, feats: str) -> DataFrame:
         syn.select(synthetic_key(label).alias(key), label, feats))
 
 
+def prepared_knn_folds(df: DataFrame, fold: str, key: str, label: str, numeric: list[str], nominal: list[str], **prep) -> list[tuple]:
+    """(fold, prepared rows) for every fold, fitted on its training rows
+    (M11/M13). Checkpointed, so that several configurations share them."""
+    every = features.knn_features_by_fold(df, fold, numeric, nominal, **prep)
+    return _per_fold(lambda f: (f, materialize(every[f].select(key, label, fold, "features"))), sorted(every))
+
+
 def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str], nominal: list[str],
             classes: list, k: int = 5, weights: str = "distance", metric: str = "manhattan",
-            smote: bool = False, **prep) -> DataFrame:
-    """Out-of-fold k-NN distributions with per-fold preparation (M11/M13),
-    optional SMOTE on the prepared training rows (K6). ``query, fold, y, p, pred``."""
-    def one_fold(f):
-        train = df.filter(F.col(fold) != f)
-        # checkpointed: the size checks, SMOTE and the neighbour join all read
-        # it, and later plans start from a short leaf instead of re-analysing
-        # the whole preparation chain
-        prepared = materialize(features.knn_features(train, df, numeric, nominal, **prep)
-                               .select(key, label, fold, "features"))
-        tr = prepared.filter(F.col(fold) != f)
-        te = prepared.filter(F.col(fold) == f)
+            smote: bool = False, prepared: list[tuple] | None = None, **prep) -> DataFrame:
+    """Out-of-fold k-NN distributions with per-fold preparation (M11/M13) or on
+    ``prepared`` folds, optional SMOTE on the prepared training rows (K6).
+    ``query, fold, y, p, pred``."""
+    def one_fold(part):
+        f, rows = part
+        tr, te = rows.filter(F.col(fold) != f), rows.filter(F.col(fold) == f)
         if smote:
             tr = materialize(_with_smote(tr, key, label, "features"))
         neigh = neighbors.knn(te, tr, key, "features", label, k, metric)
         v = neighbors.vote(neigh, [k], weights, classes)
         return materialize(v.join(te.select(F.col(key).cast("long").alias("query"), F.col(label).alias("y")), "query")
                            .withColumn("fold", F.lit(f)).select("query", "fold", "y", "p", "pred"))
-    return _union(_per_fold(one_fold, _folds(df, fold)))
+    prepared = prepared or prepared_knn_folds(df, fold, key, label, numeric, nominal, **prep)
+    return _union(_per_fold(one_fold, prepared))
 
 
 def prepared_tree_folds(df: DataFrame, fold: str, key: str, label: str, numeric: list[str], nominal: list[str],
@@ -72,11 +78,8 @@ def prepared_tree_folds(df: DataFrame, fold: str, key: str, label: str, numeric:
     """(fold, prepared rows) for every fold, fitted on its training rows.
 
     Checkpointed, so a search over tree settings prepares each fold once."""
-    def one_fold(f):
-        train = df.filter(F.col(fold) != f)
-        return f, materialize(features.tree_features(train, df, numeric, nominal, scale=scale, corr=corr, onehot=onehot)
-                              .select(key, label, fold, "features"))
-    return _per_fold(one_fold, _folds(df, fold))
+    every = features.tree_features_by_fold(df, fold, numeric, nominal, scale=scale, corr=corr, onehot=onehot)
+    return _per_fold(lambda f: (f, materialize(every[f].select(key, label, fold, "features"))), sorted(every))
 
 
 def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str], nominal: list[str],
@@ -99,13 +102,17 @@ def oof_tree(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
     return _union(_per_fold(one_fold, prepared))
 
 
-def _timed_score(name_col: str, name: str, fn) -> DataFrame:
-    t0 = time.perf_counter()
-    pred = fn().persist()
-    pred.count()
-    secs = time.perf_counter() - t0
-    s = score_predictions(pred.withColumn(name_col, F.lit(name)), [name_col])
-    return s.withColumn("seconds", F.lit(round(secs, 3)))
+def _scored(df, key, name_col: str, settings: dict, configurations: dict, study: Study | None) -> DataFrame:
+    """Scores of every named configuration (a function that gives out-of-fold
+    predictions). Each one's confusion counts by fold are a part of a study, so
+    a study that was stopped goes on with the configurations that are missing."""
+    study = study or Study(df.sparkSession, name_col, settings | {"configurations": list(configurations), "key": key}, df)
+
+    def part(name, predictions):
+        return lambda: metrics.confusion(predictions(), ["fold"]).select(F.lit(name).alias(name_col), "fold", "y", "pred", "n").coalesce(1)
+
+    conf = study.run({name: part(name, p) for name, p in configurations.items()})
+    return score_counts(conf, [name_col])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -115,7 +122,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def ablation_knn(df, key, label, fold, numeric, nominal, classes, id_col=None) -> DataFrame:
+def ablation_knn(df, key, label, fold, numeric, nominal, classes, id_col=None, study: Study | None = None) -> DataFrame:
     """Selected pipeline and one step switched off at a time."""
     variants = {
         "selected": dict(scale="rank"),
@@ -124,15 +131,13 @@ def ablation_knn(df, key, label, fold, numeric, nominal, classes, id_col=None) -
         "correlation filter 0.95": dict(scale="rank", corr=0.95),
         "no rare-level grouping": dict(scale="rank", group=False),
     }
-    parts = [_timed_score("variant", n, lambda o=o: oof_knn(df, key, label, fold, numeric, nominal, classes, **o))
-             for n, o in variants.items()]
+    runs = {n: lambda o=o: oof_knn(df, key, label, fold, numeric, nominal, classes, **o) for n, o in variants.items()}
     if id_col:
-        parts.append(_timed_score("variant", "identifier kept", lambda: oof_knn(
-            df, key, label, fold, [*numeric, id_col], nominal, classes, scale="rank")))
-    return _union(parts)
+        runs["identifier kept"] = lambda: oof_knn(df, key, label, fold, [*numeric, id_col], nominal, classes, scale="rank")
+    return _scored(df, key, "variant", {"study": "ablation k-NN", "columns": [*numeric, *nominal]}, runs, study)
 
 
-def ablation_tree(df, key, label, fold, numeric, nominal, classes, **tree) -> DataFrame:
+def ablation_tree(df, key, label, fold, numeric, nominal, classes, study: Study | None = None, **tree) -> DataFrame:
     """Tree pipeline variants (ordinal vs one-hot, scaling, correlation filter, weighting)."""
     variants = {
         "selected": dict(),
@@ -143,32 +148,25 @@ def ablation_tree(df, key, label, fold, numeric, nominal, classes, **tree) -> Da
     }
     base = dict(max_depth=6, alpha=0.75)
     base.update(tree)
-    parts = []
-    for n, o in variants.items():
-        p = dict(base)
-        p.update({k: v for k, v in o.items() if k in ("alpha",)})
-        prep = {k: v for k, v in o.items() if k in ("onehot", "scale", "corr")}
-        parts.append(_timed_score("variant", n, lambda p=p, prep=prep: oof_tree(
-            df, key, label, fold, numeric, nominal, classes, **prep, **p)))
-    return _union(parts)
+    runs = {n: lambda o=o: oof_tree(df, key, label, fold, numeric, nominal, classes, **(base | o)) for n, o in variants.items()}
+    return _scored(df, key, "variant", {"study": "ablation tree", "columns": [*numeric, *nominal], "tree": base}, runs, study)
 
 
-def scaling_study(df, key, label, fold, numeric, nominal, classes, k: int = 5) -> DataFrame:
+def scaling_study(df, key, label, fold, numeric, nominal, classes, k: int = 5, study: Study | None = None) -> DataFrame:
     """D3: five scalers for k-NN, best first."""
-    parts = [_timed_score("transformation", s, lambda s=s: oof_knn(df, key, label, fold, numeric, nominal, classes,
-                                                                   k=k, scale=s))
-             for s in ("rank", "log", "robust", "zscore", "minmax")]
-    return _union(parts).orderBy(F.desc("bal_mean"))
+    runs = {s: lambda s=s: oof_knn(df, key, label, fold, numeric, nominal, classes, k=k, scale=s)
+            for s in ("rank", "log", "robust", "zscore", "minmax")}
+    found = _scored(df, key, "transformation", {"study": "scaling", "columns": [*numeric, *nominal], "k": k}, runs, study)
+    return found.orderBy(F.desc("bal_mean"), "transformation")
 
 
-def redundancy_study(df, key, label, fold, numeric, nominal, classes, k: int = 5) -> DataFrame:
+def redundancy_study(df, key, label, fold, numeric, nominal, classes, k: int = 5, study: Study | None = None) -> DataFrame:
     """Correlation filter none / 0.99 / 0.95 / 0.90."""
-    parts = []
-    for t in (None, 0.99, 0.95, 0.90):
-        s = _timed_score("setting", "none" if t is None else f"|r| >= {t}",
-                         lambda t=t: oof_knn(df, key, label, fold, numeric, nominal, classes, k=k, scale="rank", corr=t))
-        parts.append(s.withColumn("threshold", F.lit(t).cast("double")))
-    return _union(parts)
+    runs = {"none" if t is None else f"|r| >= {t}":
+            lambda t=t: oof_knn(df, key, label, fold, numeric, nominal, classes, k=k, scale="rank", corr=t)
+            for t in (None, 0.99, 0.95, 0.90)}
+    found = _scored(df, key, "setting", {"study": "redundancy", "columns": [*numeric, *nominal], "k": k}, runs, study)
+    return found.withColumn("threshold", F.when(F.col("setting") != "none", F.substring_index("setting", " ", -1)).cast("double"))
 
 
 def k_under_rule(pred_many_k: DataFrame, classes: list, rounds: int = 6) -> DataFrame:
@@ -204,26 +202,41 @@ def plain_vs_tuned(pred: DataFrame, weights: list[float], classes: list) -> Data
     return f1(pred).withColumnRenamed("f1_macro", "plain").join(f1(tuned).withColumnRenamed("f1_macro", "tuned"), "fold")
 
 
-def four_configurations(df, key, label, fold, numeric, nominal, classes, tune_fold_df=None,
-                        knn_k: int = 15, tree_params: dict | None = None, rounds: int = 6) -> DataFrame:
+def four_configurations(df, key, label, fold, numeric, nominal, classes, tune_fold_df=None, knn_k: int = 15,
+                        tree_params: dict | None = None, rounds: int = 6, study: Study | None = None) -> DataFrame:
     """K-NN, k-NN + SMOTE, tree, tree + SMOTE, each with its own decision
     multipliers fitted on out-of-fold distributions of the tuning rows
     (``tune_fold_df``) and applied to the evaluation folds. Returns the fold
     table ``configuration, fold, accuracy, balanced_accuracy, f1_macro, ...``."""
     tree_params = tree_params or dict(max_depth=6, alpha=0.75)
+    names = (fold, key, label, numeric, nominal)
+    ready = {}
+    lock = Lock()
+
+    def folds_of(kind, rows):                                # prepared once for a model with and without SMOTE
+        with lock:
+            if (kind, rows is df) not in ready:
+                ready[kind, rows is df] = (prepared_knn_folds if kind == "k-NN" else prepared_tree_folds)(rows, *names)
+            return ready[kind, rows is df]
+
     makers = {
-        "k-NN": lambda d, s: oof_knn(d, key, label, fold, numeric, nominal, classes, k=knn_k, smote=s),
-        "tree": lambda d, s: oof_tree(d, key, label, fold, numeric, nominal, classes, smote=s, **tree_params),
+        "k-NN": lambda d, s: oof_knn(d, key, label, fold, numeric, nominal, classes, k=knn_k, smote=s, prepared=folds_of("k-NN", d)),
+        "tree": lambda d, s: oof_tree(d, key, label, fold, numeric, nominal, classes, smote=s, prepared=folds_of("tree", d), **tree_params),
     }
-    parts = []
-    for name, make in makers.items():
-        for sm in (False, True):
-            conf_name = name + (" + SMOTE" if sm else "")
+    study = study or Study(df.sparkSession, "four-configurations", {
+        "columns": [*numeric, *nominal], "k": knn_k, "tree": tree_params, "rounds": rounds,
+        "tuning": tune_fold_df is not None and data_fingerprint(tune_fold_df)}, df)
+
+    def part(name, make, smote):
+        def rows():
             w = [1.0] * len(classes)
             if tune_fold_df is not None:
-                wdf, _ = rules.fit_multipliers(make(tune_fold_df, sm).select("fold", "y", "p"), classes, rounds=rounds)
+                wdf, _ = rules.fit_multipliers(make(tune_fold_df, smote).select("fold", "y", "p"), classes, rounds=rounds)
                 w = [r["w"] for r in wdf.orderBy("cls").collect()]
-            pred = rules.weighted_argmax(make(df, sm).drop("pred"), w, classes)
-            sc = metrics.scores(metrics.confusion(pred, ["fold"]), ["fold"])
-            parts.append(sc.withColumn("configuration", F.lit(conf_name)))
-    return _union(parts)
+            pred = rules.weighted_argmax(make(df, smote).drop("pred"), w, classes)
+            return metrics.confusion(pred, ["fold"]).select(F.lit(name).alias("configuration"), "fold", "y", "pred", "n").coalesce(1)
+        return rows
+
+    runs = {name + (" + SMOTE" if smote else ""): part(name + (" + SMOTE" if smote else ""), make, smote)
+            for name, make in makers.items() for smote in (False, True)}
+    return metrics.scores(study.run(runs, threads=len(runs)), ["configuration", "fold"])

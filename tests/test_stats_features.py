@@ -126,3 +126,23 @@ def test_exact_quantiles_bucketed_path_matches_numpy(spark):
         assert np.allclose(got["a"], np.percentile(a, [p * 100 for p in probs]), rtol=0, atol=1e-9)
         assert np.allclose(got["b"], np.percentile(b, [p * 100 for p in probs]), rtol=0, atol=1e-9)
         assert card == {"a": len(set(a)), "b": len(set(b))}
+
+
+def test_preparation_of_all_folds_equals_a_fit_for_each(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, i % 3, float(rng.integers(0, 50)), float(rng.normal()) if i % 11 else None, 1.0,
+             [None, "a", "b", "other", f"r{i}"][int(rng.integers(0, 5))], "only0" if i == 0 else "x") for i in range(150)]
+    df = spark.createDataFrame(rows, "id int, fold int, a double, b double, same double, c string, d string")
+    as_list = lambda v: v if isinstance(v, list) else [float(x) for x in v]
+    for options in (dict(scale="rank"), dict(scale="minmax", corr=0.9, min_frequency=0.05), dict(scale=None, group=False)):
+        every = features.knn_features_by_fold(df, "fold", ["a", "b", "same"], ["c", "d"], **options)
+        for f, got in every.items():
+            want = features.knn_features(df.filter(F.col("fold") != f), df, ["a", "b", "same"], ["c", "d"], **options)
+            assert sorted(map(str, got.select("id", "features").collect())) == sorted(map(str, want.select("id", "features").collect()))
+    for options in (dict(), dict(scale="robust", onehot=True)):
+        every = features.tree_features_by_fold(df.na.fill(0.0), "fold", ["a", "b"], ["c", "d"], **options)
+        for f, got in every.items():
+            full = df.na.fill(0.0)
+            want = features.tree_features(full.filter(F.col("fold") != f), full, ["a", "b"], ["c", "d"], **options)
+            w = {r["id"]: as_list(r["features"]) for r in want.select("id", "features").collect()}
+            assert {r["id"]: as_list(r["features"]) for r in got.select("id", "features").collect()} == w
