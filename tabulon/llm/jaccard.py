@@ -46,7 +46,7 @@ MIN_BITS = 64
 _SETS = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, bitmap binary"
 _PACKED = "part int, postings binary"
 _PAIRS = "a bigint, b bigint"
-LIST_ROWS = 4096               # postings of a list that are compared in one task
+LIST_ROWS = 1024               # postings of a list, or of each side of a pair of its blocks
 PART_ROWS = 200_000            # postings packed into one task
 _POSTING = np.dtype([("token", "<u8"), ("doc_id", "<i8"), ("size", "<i4"), ("pos", "<i4")])
 
@@ -237,13 +237,13 @@ def _candidates(percent: int):
 class _Lists:
     """Postings of some lists as arrays, with the filters of a pair of rows.
 
-    postings: (list, doc_id, size, pos, component); bitmaps: (owner, bits),
+    postings: (list, doc_id, size, pos, component, side); bitmaps: (owner, bits),
     one row for each document of the postings."""
 
     def __init__(self, postings: pa.Table, bitmaps: pa.Table, percent: int):
-        cols = [postings.column(c).to_numpy().astype(np.int64) for c in ("list", "doc_id", "size", "pos", "component")]
+        cols = [postings.column(c).to_numpy().astype(np.int64) for c in ("list", "doc_id", "size", "pos", "component", "side")]
         order = np.lexsort((cols[1], cols[2], cols[0]))
-        self.list, self.ids, self.size, self.pos, self.comp = (c[order] for c in cols)
+        self.list, self.ids, self.size, self.pos, self.comp, self.side = (c[order] for c in cols)
         docs = bitmaps.column("owner").to_numpy().astype(np.int64)
         by_id = np.argsort(docs, kind="stable")
         self.bitmap = one(bitmaps.column("bits"))
@@ -294,9 +294,12 @@ def _narrowed(bitmap: pa.Buffer, bits: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(bitmap, "<u8").reshape(-1, bits // 64), axis=0)
 
 
-def _pair_table(a: np.ndarray, b: np.ndarray) -> pa.Table:
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
+def _pair_table(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    """Rows (a, b), a < b, of pairs held in pieces; the pieces are not copied together."""
+    none = np.zeros(0, np.int64)
+    low = [pa.array(np.minimum(a, b)) for a, b in pairs or [(none, none)]]
+    high = [pa.array(np.maximum(a, b)) for a, b in pairs or [(none, none)]]
+    return pa.table({"a": pa.chunked_array(low), "b": pa.chunked_array(high)})
 
 
 def _hub_pairs(live: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
@@ -328,15 +331,18 @@ def _hub_pairs(live: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Postings with their ``list``. A token with more than ``LIST_ROWS``
-    postings is dealt to blocks by document and becomes a list for every pair of
-    blocks, so that no list is long and every two postings share a list."""
+    """Postings with their ``list`` and ``side``. A token with more than
+    ``LIST_ROWS`` postings is dealt to blocks by document and becomes a list for
+    every block and for every two blocks (sides 1 and 2, compared with each
+    other only), so that no list is long and every two postings meet once."""
     many = (rows.groupBy("token").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("_n")).filter("_n > 1"))
     mine = F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int")
     other = F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_n") - 1)))
     dealt = rows.join(_small(cut(many)), "token", "left").withColumn("_other", other)
     key = F.xxhash64("token", F.least(mine, "_other"), F.greatest(mine, "_other"))
-    return dealt.withColumn("list", F.when(F.col("_n").isNull(), F.col("token")).otherwise(key)).drop("_n", "_other")
+    side = F.when(F.col("_n").isNull() | (mine == F.col("_other")), 0).when(mine < F.col("_other"), 1).otherwise(2)
+    return (dealt.withColumn("list", F.when(F.col("_n").isNull(), F.col("token")).otherwise(key))
+            .withColumn("side", side).drop("_n", "_other"))
 
 
 def _cross_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int, nearest: bool, spark: SparkSession) -> DataFrame:
@@ -354,7 +360,7 @@ def _cross_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
 
     def run(key, postings, bits):
         x = _Lists(postings, bits, percent)
-        left, out, d = np.arange(len(x.list)), [np.zeros((2, 0), np.int64)], 0
+        left, out, d = np.arange(len(x.list)), [], 0
         mate, least = np.full(len(left), -1), np.full(len(left), np.iinfo(np.int64).max)
         while True:
             d += 1
@@ -362,10 +368,11 @@ def _cross_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
             left = left[(x.list[left + d] == x.list[left]) & (100 * x.size[left] >= percent * x.size[left + d])]
             if not len(left):
                 break
-            apart = left[x.comp[left] != x.comp[left + d]]
+            apart = left[(x.comp[left] != x.comp[left + d]) & ((x.side[left] == 0) | (x.side[left] != x.side[left + d]))]
             i, j, differ = x.passing(apart, apart + d)
             if not nearest:
-                out.append(np.stack([x.ids[i], x.ids[j]]))
+                if len(i):
+                    out.append((x.ids[i], x.ids[j]))
                 continue
             for a, b in ((i, j), (j, i)):
                 closer = differ < least[a]
@@ -374,10 +381,10 @@ def _cross_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
             at = np.flatnonzero(mate >= 0)
             at = at[np.lexsort((x.ids[mate[at]], least[at], x.ids[at]))]
             at = at[np.diff(x.ids[at], prepend=x.ids[at[:1]] - 1) != 0]    # one for each document here
-            out.append(np.stack([x.ids[at], x.ids[mate[at]]]))
-        return _pair_table(*np.concatenate(out, axis=1))
+            out.append((x.ids[at], x.ids[mate[at]]))
+        return _pair_table(out)
 
-    return (rows.select("part", "list", "doc_id", "size", "pos", "component").groupBy("part")
+    return (rows.select("part", "list", "doc_id", "size", "pos", "component", "side").groupBy("part")
             .cogroup(owners.groupBy("owner_part")).applyInArrow(run, _PAIRS).distinct())
 
 
