@@ -30,10 +30,6 @@ def _per_fold(fn, folds: list, threads: int = 4) -> list:
         return list(ex.map(fn, folds))
 
 
-def _folds(df: DataFrame, fold: str) -> list:
-    return sorted(r[0] for r in df.select(fold).distinct().collect())
-
-
 def synthetic_key(label: str):
     """Keys for synthetic rows: negative 62-bit hashes of (class, i), disjoint
     from the non-negative keys of real rows."""
