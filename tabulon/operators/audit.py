@@ -8,11 +8,11 @@ aggregate row, not by per-column jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import safe_div
-from ..plans.sizing import join_null_safe, join_single_rows, materialize
+from ..plans.sizing import bounded_broadcast, join_null_safe, join_single_rows, materialize
 
 PROFILE_COLUMNS = ["feature", "kind", "cardinality", "minimum", "maximum", "rng", "mean",
                    "std", "median", "skewness", "pct_outlier", "pct_zero"]
@@ -241,10 +241,37 @@ def named_correlation(df: DataFrame, a: str, b: str) -> DataFrame:
         .select(F.lit(f"{a}~{b}").alias("pair"), "r", "exact_one")
 
 
-def vector_label_counts(df: DataFrame, features: list[str], label: str) -> DataFrame:
+CHECK = "_check"
+
+
+def digest_keyed(df: DataFrame, texts: list[str]) -> DataFrame:
+    """A15-A19, D11 on long texts: ``df`` with each column of ``texts`` replaced by
+    its 128-bit digest (NULL stays NULL) and ``_check``, a hash of another kind
+    over all of them. `duplicates` and `majority_labels` then group and shuffle
+    digests only, and fail where rows of one digest differ in ``_check``."""
+    return df.withColumns({t: F.unhex(F.md5(F.col(t).cast("binary"))) for t in texts} | {CHECK: F.xxhash64(*texts)})
+
+
+def attach_texts(keyed: DataFrame, rows: DataFrame, texts: list[str], key: str) -> DataFrame:
+    """The texts behind the digests of ``keyed``, read from the row whose unique
+    ``key`` is its ``first_key``. A text moves only if ``keyed`` is too large to
+    broadcast, and then once for each digest."""
+    first = bounded_broadcast(keyed.drop(*texts))
+    return rows.select(F.col(key).alias("first_key"), *texts).join(first, "first_key").drop("first_key")
+
+
+def _same_text(value: Column, low: Column, high: Column) -> Column:
+    return F.when(low != high, F.raise_error(F.lit("different texts share a 128-bit digest"))).otherwise(value)
+
+
+def vector_label_counts(df: DataFrame, features: list[str], label: str, key: str | None = None) -> DataFrame:
     """(vector, label) -> n. One shuffle, map-side combined, so a hot vector
-    collapses to one row per input partition before it moves."""
-    return df.groupBy(*features, label).agg(F.count(F.lit(1)).alias("n"))
+    collapses to one row per input partition before it moves. ``key``: also the
+    smallest key, as ``first_key``. Of digest-keyed rows also the ends of the check."""
+    aggs = [F.min(key).alias("first_key")] if key else []
+    if CHECK in df.columns:
+        aggs += [F.min(CHECK).alias("_low"), F.max(CHECK).alias("_high")]
+    return df.groupBy(*features, label).agg(F.count(F.lit(1)).alias("n"), *aggs)
 
 
 def duplicates(df: DataFrame, features: list[str], label: str) -> DataFrame:
@@ -257,8 +284,11 @@ def duplicates(df: DataFrame, features: list[str], label: str) -> DataFrame:
     unresolvable         rows whose label is not their vector's majority label
     """
     vl = vector_label_counts(df, features, label)
-    vec = vl.groupBy(*features).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"),
-                                    F.max("n").alias("top"))
+    keyed = CHECK in df.columns
+    vec = vl.groupBy(*features).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels"), F.max("n").alias("top"),
+                                    *([F.min("_low").alias("_low"), F.max("_high").alias("_high")] if keyed else []))
+    if keyed:
+        vec = vec.withColumn("n", _same_text(F.col("n"), F.col("_low"), F.col("_high")))
     s = vec.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("vectors"),
                 F.sum("labels").alias("pairs"),
                 F.sum(F.when(F.col("labels") > 1, F.col("n")).otherwise(0)).alias("mixed"),
@@ -275,22 +305,26 @@ def duplicates(df: DataFrame, features: list[str], label: str) -> DataFrame:
     )
 
 
-def majority_labels(df: DataFrame, features: list[str], label: str) -> DataFrame:
+def majority_labels(df: DataFrame, features: list[str], label: str, key: str | None = None) -> DataFrame:
     """Majority label per feature vector (ties to the lowest label),
-    its count, the vector's size and how many labels it carries.
+    its count, the vector's size and how many labels it carries. With ``key``
+    also ``first_key``, the smallest key of the vector's rows.
 
     The window is partitioned by vector over the (vector, label) count table,
     so a partition holds at most one row per class."""
-    vl = vector_label_counts(df, features, label)
+    vl = vector_label_counts(df, features, label, key)
     w = Window.partitionBy(*features)
+    n_vector = F.sum("n").over(w)
+    if CHECK in df.columns:
+        n_vector = _same_text(n_vector, F.min("_low").over(w), F.max("_high").over(w))
+    first = [F.min("first_key").over(w).alias("first_key")] if key else []
     rn = F.row_number().over(w.orderBy(F.desc("n"), F.asc(label)))
-    return (vl.withColumn("_rn", rn)
-            .withColumn("n_vector", F.sum("n").over(w))
-            .withColumn("n_labels", F.count(F.lit(1)).over(w))
+    return (vl.select(*features, label, "n", rn.alias("_rn"), n_vector.alias("n_vector"),
+                      F.count(F.lit(1)).over(w).alias("n_labels"), *first)
             .filter(F.col("_rn") == 1)
             .select(*features, F.col(label).alias("majority"), F.col("n").alias("n_majority"),
                     F.col("n_vector").cast("bigint").alias("n_vector"),
-                    F.col("n_labels").cast("bigint").alias("n_labels")))
+                    F.col("n_labels").cast("bigint").alias("n_labels"), *(["first_key"] if key else [])))
 
 
 def mixed_label_rows(df: DataFrame, features: list[str], label: str) -> DataFrame:

@@ -43,6 +43,23 @@ def bound_order(values: DataFrame, order: list[str]) -> DataFrame:
     return values.select(*order, cond.alias("ordered"))
 
 
+def macro_f1_difference(conf: DataFrame, group: str, fold: str, a: str, b: str, digits: int = 6) -> DataFrame:
+    """V4: difference, percent change and ratio of mean macro F1 between the groups
+    ``a`` and ``b``, taken from confusion counts (group, fold, y, pred, n) with
+    2 TP / (2 TP + FP + FN) alone, so that it shares no step with the metric
+    tables and reports that it is compared with."""
+    conf.select(group, fold, "y", "pred", "n").createOrReplaceTempView("_derived_counts")
+    return conf.sparkSession.sql(f"""
+        WITH classes AS (
+          SELECT `{group}` AS g, `{fold}` AS f, c.class, c.hit, c.miss, n FROM _derived_counts
+          LATERAL VIEW inline(if(y = pred, array(struct(y AS class, 2 AS hit, 0 AS miss)),
+                                 array(struct(y AS class, 0 AS hit, 1 AS miss), struct(pred AS class, 0 AS hit, 1 AS miss)))) c AS class, hit, miss),
+        f1 AS (SELECT g, f, class, sum(hit * n) / sum((hit + miss) * n) AS f1 FROM classes GROUP BY g, f, class),
+        folds AS (SELECT g, f, round(avg(f1), {digits}) AS f1 FROM f1 GROUP BY g, f),
+        means AS (SELECT round(avg(f1) FILTER (WHERE g = '{a}'), {digits}) AS a, round(avg(f1) FILTER (WHERE g = '{b}'), {digits}) AS b FROM folds)
+        SELECT round(a - b, {digits}) AS difference, round(100 * (a - b) / b, {digits}) AS percent_change, round(a / b, {digits}) AS ratio FROM means""")
+
+
 def derived_numbers(stored: DataFrame, recomputed: DataFrame, by: list[str], values: list[str], tol: float = 1e-9) -> DataFrame:
     """V4: stored derived numbers against recomputed ones: one row per group and
     value, ``ok`` where both are present and equal within ``tol`` (or both absent)."""

@@ -12,6 +12,9 @@ that cannot be among the k.
 
 * Few queries (up to ``BROADCAST_BYTES`` of vectors, counted): they are
   broadcast and the training rows are searched where they lie, without a shuffle.
+* Level codes at the end of a vector (``codes``) count as one-hot columns do, so a
+  nominal column of any number of levels is one number a row; a box of codes that
+  leaves a query's code out is at least one mismatch away.
 * Otherwise every (cell, query block, training block) meets in one cogroup; no
   group exceeds one query block plus one training block (8,192 / 100,000 rows by
   default), however many rows share a cell.
@@ -47,23 +50,35 @@ LEAF_ROWS = 256               # training rows compared together
 CHUNK_CELLS = 1 << 16         # distances computed together
 
 
-def distances(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
-    """Distances (nq, nt), summed over the dimensions in order, as SQL does."""
+def distances(queries: np.ndarray, rows: np.ndarray, metric: str, codes: int = 0) -> np.ndarray:
+    """Distances (nq, nt), summed over the dimensions in order, as SQL does.
+
+    The last ``codes`` dimensions are level codes. One-hot vectors of two levels
+    differ in two places, those of a level and of an unseen one (negative) in one;
+    both metrics sum that up (before the root)."""
     out = np.zeros((len(queries), len(rows)))
     step = np.empty_like(out)
-    for j in range(rows.shape[1]):
+    numeric = rows.shape[1] - codes
+    for j in range(numeric, rows.shape[1]):
+        q, t = queries[:, j, None], rows[None, :, j]
+        out += ((q != t) & (np.maximum(q, t) >= 0)) * (1.0 + ((q >= 0) & (t >= 0)))
+    for j in range(numeric):
         np.subtract(queries[:, j, None], rows[None, :, j], out=step)
         np.abs(step, out=step) if metric == "manhattan" else np.multiply(step, step, out=step)
         out += step
     return np.sqrt(out, out=out) if metric == "euclidean" else out
 
 
-def box_distances(queries: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str) -> np.ndarray:
-    """Least distance (nq, boxes) from each query to any point of each box."""
+def box_distances(queries: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str, codes: int = 0) -> np.ndarray:
+    """Least distance (nq, boxes) from each query to any point of each box. A code
+    outside of the box's range differs from all codes in it."""
     out = np.zeros((len(queries), len(low)))
     for j in range(queries.shape[1]):
         q = queries[:, j, None]
         step = np.maximum(np.maximum(low[None, :, j] - q, q - high[None, :, j]), 0.0)
+        if j >= queries.shape[1] - codes:               # two unseen levels are equal
+            out += (step > 0) & (np.maximum(q, high[None, :, j]) >= 0)
+            continue
         out += step if metric == "manhattan" else step * step
     return np.sqrt(out, out=out) if metric == "euclidean" else out
 
@@ -73,7 +88,15 @@ def _reach(bound: np.ndarray) -> np.ndarray:
     return bound + 2e-9 + 1e-12 * np.abs(np.where(np.isfinite(bound), bound, 0.0))
 
 
-def near_blocks(rows: np.ndarray, leaf: int = LEAF_ROWS) -> list[np.ndarray]:
+def _widest(part: np.ndarray, codes: int) -> int:
+    """The dimension with the widest range; levels are at most 2 apart."""
+    width = part.max(0) - part.min(0)
+    if codes:
+        width[-codes:] = np.minimum(width[-codes:], 2.0)
+    return int(np.argmax(width))
+
+
+def near_blocks(rows: np.ndarray, leaf: int = LEAF_ROWS, codes: int = 0) -> list[np.ndarray]:
     """Row numbers in blocks of at most ``leaf`` rows, halved at the median of
     the dimension in which a block is widest."""
     todo, out = [np.arange(len(rows))], []
@@ -83,7 +106,7 @@ def near_blocks(rows: np.ndarray, leaf: int = LEAF_ROWS) -> list[np.ndarray]:
             out.append(at)
             continue
         part = rows[at]
-        widest = int(np.argmax(part.max(0) - part.min(0)))
+        widest = _widest(part, codes)
         order = np.argpartition(part[:, widest], len(at) // 2)
         todo += [at[order[:len(at) // 2]], at[order[len(at) // 2:]]]
     return out
@@ -94,8 +117,9 @@ class Searched:
 
     compared: pairs whose distance was computed."""
 
-    def __init__(self, rows: np.ndarray, keys: np.ndarray, labels: np.ndarray, folds: np.ndarray, metric: str, leaf: int = LEAF_ROWS):
-        blocks = near_blocks(rows, leaf) if len(rows) else []
+    def __init__(self, rows: np.ndarray, keys: np.ndarray, labels: np.ndarray, folds: np.ndarray, metric: str, leaf: int = LEAF_ROWS,
+                 codes: int = 0):
+        blocks = near_blocks(rows, leaf, codes) if len(rows) else []
         order = np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
         self.rows, self.keys, self.labels, self.folds = rows[order], keys[order], labels[order], folds[order]
         self.ends = np.cumsum([len(b) for b in blocks], dtype=np.int64)
@@ -104,7 +128,7 @@ class Searched:
         # rows with NaN are in no box; they have no finite distance either
         self.low = np.nan_to_num(np.array([np.fmin.reduce(self.rows[s:e]) for s, e in self.spans]).reshape(len(blocks), -1), nan=np.inf, posinf=np.inf, neginf=-np.inf)
         self.high = np.nan_to_num(np.array([np.fmax.reduce(self.rows[s:e]) for s, e in self.spans]).reshape(len(blocks), -1), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
-        self.metric, self.compared = metric, 0
+        self.metric, self.codes, self.compared = metric, codes, 0
 
     def nearest(self, queries: np.ndarray, keys: np.ndarray, folds: np.ndarray, k: int, exclude: str = "",
                 bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +143,7 @@ class Searched:
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(0)
         bound = np.full(n, np.inf) if bound is None else bound.astype(float).copy()
-        apart = box_distances(queries, self.low, self.high, self.metric)
+        apart = box_distances(queries, self.low, self.high, self.metric, self.codes)
         first = apart.argmin(1)
         found_q, found_t, found_d = [], [], []
 
@@ -128,7 +152,7 @@ class Searched:
             step = max(1, CHUNK_CELLS // (e - s))
             for c in range(0, len(who), step):
                 q = who[c:c + step]
-                d = distances(queries[q], self.rows[s:e], self.metric)
+                d = distances(queries[q], self.rows[s:e], self.metric, self.codes)
                 self.compared += d.size
                 if exclude:
                     same = folds[q, None] == self.folds[None, s:e]
@@ -168,11 +192,11 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _meet(k: int, metric: str, exclude: str, compared=None):
+def _meet(k: int, metric: str, exclude: str, compared=None, codes: int = 0):
     def run(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
         if not len(qpdf) or not len(tpdf):
             return pd.DataFrame({c: np.zeros(0, t) for c, t in (("query", "i8"), ("neighbor", "i8"), ("label", "i4"), ("d", "f8"), ("d_r", "f8"))})
-        searched = Searched(_matrix(tpdf["tf"]), tpdf["t"].to_numpy(np.int64), tpdf["y"].to_numpy(np.int32), tpdf["tfold"].to_numpy(np.int64), metric)
+        searched = Searched(_matrix(tpdf["tf"]), tpdf["t"].to_numpy(np.int64), tpdf["y"].to_numpy(np.int32), tpdf["tfold"].to_numpy(np.int64), metric, codes=codes)
         keys = qpdf["q"].to_numpy(np.int64)
         found = searched.nearest(_matrix(qpdf["qf"]), keys, qpdf["qfold"].to_numpy(np.int64), k, exclude, qpdf["bound"].to_numpy(float))
         if compared is not None:
@@ -198,7 +222,7 @@ def _collected(rows: DataFrame, names: tuple[str, ...]) -> tuple | None:
     return _arrow_rows(t.to_batches()[0], names) if t.num_rows else None
 
 
-def _search_in_place(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, compared=None) -> DataFrame:
+def _search_in_place(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, compared=None, codes: int = 0) -> DataFrame:
     """Winners of each training task for all queries, which are broadcast."""
     collected = _collected(q, ("qf", "q", "qfold"))
     spark = q.sparkSession
@@ -214,7 +238,7 @@ def _search_in_place(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: s
         def merged(parts: list[pa.RecordBatch]) -> None:
             nonlocal best, bound
             cols = [np.concatenate(c) for c in zip(*[_arrow_rows(b, ("tf", "t", "y", "tfold")) for b in parts])]
-            searched = Searched(*cols, metric)
+            searched = Searched(*cols, metric, codes=codes)
             found = searched.nearest(queries, keys, folds, k, exclude, bound)
             if compared is not None:
                 compared.add(searched.compared)
@@ -247,7 +271,7 @@ def _search_in_place(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: s
 class Cells:
     """Regions of space: median splits of a sample, ``n`` leaves (a power of two)."""
 
-    def __init__(self, sample: np.ndarray, n: int):
+    def __init__(self, sample: np.ndarray, n: int, codes: int = 0):
         dims = sample.shape[1]
         self.dim, self.cut = np.zeros(n, np.int64), np.zeros(n)          # inner nodes 1 .. n-1, children 2i, 2i+1
         self.low, self.high = np.full((2 * n, dims), -np.inf), np.full((2 * n, dims), np.inf)
@@ -255,7 +279,7 @@ class Cells:
         for i in range(1, n):
             part = parts.pop(i)
             if len(part):
-                self.dim[i] = int(np.argmax(part.max(0) - part.min(0)))
+                self.dim[i] = _widest(part, codes)
                 self.cut[i] = np.median(part[:, self.dim[i]])
             j = self.dim[i]
             left = part[:, j] <= self.cut[i]
@@ -273,13 +297,14 @@ class Cells:
         return at - self.n
 
 
-def _routed(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, n_cells: int, n_rows: int) -> tuple[DataFrame, DataFrame]:
+def _routed(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, n_cells: int, n_rows: int,
+            codes: int = 0) -> tuple[DataFrame, DataFrame]:
     """q and t with ``_cell``: training rows in their own cell, queries in each
     cell that may hold one of their k nearest, with the bound of their k-th distance."""
     share = F.lit(SAMPLE_ROWS / max(n_rows, 1))
     chosen = t.filter(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < share * (1 << 30)).limit(4 * SAMPLE_ROWS)
     sample = _collected(chosen, ("tf", "t", "y", "tfold")) or _collected(t.limit(1), ("tf", "t", "y", "tfold"))
-    cells = Cells(sample[0], n_cells)
+    cells = Cells(sample[0], n_cells, codes)
 
     def place(batches):
         for b in batches:
@@ -287,7 +312,7 @@ def _routed(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, n_cel
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], [*b.schema.names, "_cell"])
 
     def route(batches):
-        some = Searched(*sample, metric)
+        some = Searched(*sample, metric, codes=codes)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -297,7 +322,7 @@ def _routed(q: DataFrame, t: DataFrame, k: int, metric: str, exclude: str, n_cel
             bound = np.full(len(keys), np.inf)
             last = np.cumsum(n) - 1
             bound[n >= k] = d[last[n >= k]]             # winners are in order, so the last one is the k-th
-            who, cell = np.nonzero(box_distances(queries, cells.low, cells.high, metric) <= _reach(bound)[:, None])
+            who, cell = np.nonzero(box_distances(queries, cells.low, cells.high, metric, codes) <= _reach(bound)[:, None])
             some_rows = b.take(pa.array(who))
             yield pa.RecordBatch.from_arrays([*some_rows.columns, pa.array(bound[who]), pa.array(cell.astype(np.int64))],
                                              [*some_rows.schema.names, "bound", "_cell"])
@@ -313,14 +338,17 @@ def _blocks(rows: DataFrame, by: list[str], size: int, name: str) -> DataFrame:
 
 def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: str, k: int,
         metric: str = "manhattan", fold: str | None = None, same: str | None = None,
-        query_block: int = 8192, train_block: int = 100_000, broadcast_bytes: int = BROADCAST_BYTES, compared=None) -> DataFrame:
+        query_block: int = 8192, train_block: int = 100_000, broadcast_bytes: int = BROADCAST_BYTES, compared=None,
+        codes: int = 0) -> DataFrame:
     """The k nearest training rows of every query row.
 
     Output ``query, neighbor, label, d, d_r, rn``: ``d`` the exact distance,
     ``d_r`` rounded to 9 decimals, ``rn`` 1..k in (d_r, neighbor) order. Keys are
     integers. With ``fold``, a query only meets training rows of other folds;
     with ``same`` (an integer-coded column), only other rows with the same value
-    (same-class neighbours for SMOTE). ``compared``: an accumulator that is given
+    (same-class neighbours for SMOTE). The last ``codes`` entries of a vector are level
+    codes of nominal columns (negative: unseen), compared as their one-hot vectors.
+    ``compared``: an accumulator that is given
     the number of pairs whose distance was computed."""
     part = same or fold
     exclude = "other" if same else ("fold" if fold else "")
@@ -333,7 +361,7 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
     nq, nt = size[0], t.count()
     cores = queries.sparkSession.sparkContext.defaultParallelism
     if same is None and (size[1] or 0) <= broadcast_bytes and nt > max(4 * nq, train_block):
-        local = _search_in_place(q, t, k, metric, exclude, compared)
+        local = _search_in_place(q, t, k, metric, exclude, compared, codes)
     else:
         by = ["_s"] if same else ["_cell"]
         tb = max(1, math.ceil(nt / train_block))
@@ -343,7 +371,7 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
         if same:                                        # rows of different values never meet
             q, t = q.withColumn("_s", F.col("qfold")).withColumn("bound", F.lit(float("inf"))), t.withColumn("_s", F.col("tfold"))
         elif tb > 1 and nq:
-            q, t = _routed(q, t, k, metric, exclude, 1 << (tb - 1).bit_length(), nt)
+            q, t = _routed(q, t, k, metric, exclude, 1 << (tb - 1).bit_length(), nt, codes)
         else:
             q, t = q.withColumn("_cell", F.lit(0)).withColumn("bound", F.lit(float("inf"))), t.withColumn("_cell", F.lit(0))
         if same or tb > 1:
@@ -357,7 +385,7 @@ def knn(queries: DataFrame, train: DataFrame, key: str, features: str, label: st
         q = q.withColumn("_qb", F.pmod(F.xxhash64("q"), F.col("_qn"))).withColumn("_tb", numbers("_tn")).drop("_qn", "_tn")
         t = t.withColumn("_tb", F.pmod(F.xxhash64("t"), F.col("_tn"))).withColumn("_qb", numbers("_qn")).drop("_qn", "_tn")
         blocks = [*by, "_qb", "_tb"]
-        local = q.groupBy(*blocks).cogroup(t.groupBy(*blocks)).applyInPandas(_meet(k, metric, exclude, compared), NEIGHBOUR_SCHEMA)
+        local = q.groupBy(*blocks).cogroup(t.groupBy(*blocks)).applyInPandas(_meet(k, metric, exclude, compared, codes), NEIGHBOUR_SCHEMA)
     rn = F.row_number().over(Window.partitionBy("query").orderBy("d_r", "neighbor"))
     return local.withColumn("rn", rn).filter(F.col("rn") <= k)
 

@@ -252,6 +252,15 @@ def predictions_sql(ks: list[int], weights: str, metric: str = "manhattan", fold
 
 ORACLE["knn_neighbours"] = f"SELECT query, neighbor, round(d, 6) AS d, rn::INTEGER AS rn FROM {neighbours_sql(5)}"
 ORACLE["knn_neighbours_euclidean"] = f"SELECT query, neighbor, round(d, 6) AS d, rn::INTEGER AS rn FROM {neighbours_sql(5, 'euclidean')}"
+ORACLE["knn_many_levels"] = """
+WITH e AS (SELECT min(o_totalprice) AS p0, max(o_totalprice) AS p1 FROM orders),
+x AS (SELECT o_orderkey AS k, o_custkey, o_orderpriority, o_orderstatus, (o_totalprice - p0) / (p1 - p0) AS p FROM orders, e),
+d AS (SELECT q.k AS query, t.k AS neighbor, abs(q.p - t.p)
+             + 2 * ((q.o_custkey IS DISTINCT FROM t.o_custkey)::INT + (q.o_orderpriority IS DISTINCT FROM t.o_orderpriority)::INT
+                    + (q.o_orderstatus IS DISTINCT FROM t.o_orderstatus)::INT) AS d
+      FROM x q, x t WHERE q.k % 100 = 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(d, 9), neighbor) AS rn FROM d)
+SELECT query, neighbor, round(d, 6) AS d, rn::INTEGER AS rn FROM n WHERE rn <= 5"""
 ORACLE["knn_vote_uniform"] = f"SELECT query, pred FROM {predictions_sql([5], 'uniform')}"
 ORACLE["knn_vote_distance"] = f"SELECT query, pred FROM {predictions_sql([5], 'distance')}"
 ORACLE["knn_many_k"] = f"SELECT query, k, pred FROM {predictions_sql([1, 5, 15], 'uniform')}"

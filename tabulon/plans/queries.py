@@ -237,6 +237,20 @@ def q_knn_neighbours_euclid(spark, sf):
     return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))
 
 
+MANY_LEVELS = ["o_custkey", "o_orderpriority", "o_orderstatus"]
+
+
+@register("knn_many_levels")
+def q_knn_many_levels(spark, sf):
+    """M4, M11, J9 with a nominal column whose levels grow with the table (customers):
+    the 5 nearest of every order whose key 100 divides among all orders, the price
+    by min-max, levels as codes that count as one-hot columns."""
+    o = load(spark, sf, "orders")
+    x = features.knn_features(o, o, ["o_totalprice"], MANY_LEVELS, scale="minmax", group=False, codes=True)
+    n = neighbors.knn(x.filter("o_orderkey % 100 = 0"), x, "o_orderkey", "features", "o_custkey", 5, codes=len(MANY_LEVELS))
+    return n.select("query", "neighbor", F.round("d", 6).alias("d"), F.col("rn").cast("int").alias("rn"))
+
+
 @register("knn_vote_uniform")
 def q_knn_vote_uniform(spark, sf):
     return oof_predictions(spark, sf, [5], "uniform").select("query", "pred")
@@ -1073,16 +1087,22 @@ def q_knn_lineitem_holdout(spark, sf):
 
 @register("audit_text_duplicates")
 def q_audit_text_duplicates(spark, sf):
-    """D11 on whole document texts: exact copies and conflicting quality labels."""
-    d = load(spark, sf, "documents").select("doc_id", "text").join(load(spark, sf, "labels"), "doc_id")
-    return audit.duplicates(d, ["text"], "quality")
+    """D11 on whole document texts: exact copies and conflicting quality labels.
+    Texts become digests where they are scanned; no text is shuffled."""
+    return audit.duplicates(_labelled_digests(spark, sf), ["text"], "quality")
+
+
+def _labelled_digests(spark, sf):
+    d = audit.digest_keyed(load(spark, sf, "documents").select("doc_id", "text"), ["text"])
+    return d.join(load(spark, sf, "labels"), "doc_id")
 
 
 @register("audit_text_majority")
 def q_audit_text_majority(spark, sf):
-    """A18 on whole document texts: majority quality label per distinct text."""
-    d = load(spark, sf, "documents").select("doc_id", "text").join(load(spark, sf, "labels"), "doc_id")
-    return audit.majority_labels(d, ["text"], "quality")
+    """A18 on whole document texts: majority quality label per distinct text,
+    counted by digest; the texts come from a second scan."""
+    found = audit.majority_labels(_labelled_digests(spark, sf), ["text"], "quality", key="doc_id")
+    return audit.attach_texts(found, load(spark, sf, "documents"), ["text"], "doc_id")
 
 
 @register("audit_label_balance")
@@ -1171,10 +1191,12 @@ def q_report_corrections(spark, sf):
 
 @register("check_derived_numbers")
 def q_check_derived(spark, sf):
-    """V4: the stored differences between configurations, recomputed from the folds."""
+    """V4: the stored differences between configurations against those that plain
+    SQL takes from the confusion counts."""
     path = f"{ensure_checkpoint_dir(spark)}/derived-{uuid.uuid4().hex}"
     write_table(q_report_differences(spark, sf).withColumn("comparison", F.lit("k15 vs k1")), path)
-    again = q_report_differences(spark, sf).withColumn("comparison", F.lit("k15 vs k1"))
+    again = checks.macro_f1_difference(_knn_config_folds(spark, sf)[1], "configuration", "fold", "knn_k15_distance", "knn_k1_uniform") \
+        .withColumn("comparison", F.lit("k15 vs k1"))
     return checks.derived_numbers(spark.read.parquet(path), again, ["comparison"], ["difference", "percent_change", "ratio"])
 
 

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from tabulon.operators import audit
 
@@ -24,6 +25,28 @@ def test_majority_ties_go_to_lowest_label(spark):
     assert m == {"v": 1, "w": 3}
 
 
+def test_texts_grouped_by_digest(spark):
+    long = "x" * 100_000
+    rows = [(1, long, 0), (2, long, 0), (3, long, 1), (4, "b", 2), (5, "b", 2), (6, None, 1), (7, None, 1), (8, "", 1), (9, long + "y", 0)]
+    df = spark.createDataFrame(rows, "id long, t string, y int").repartition(3)
+    keyed = audit.digest_keyed(df, ["t"])
+    assert audit.duplicates(keyed, ["t"], "y").first() == audit.duplicates(df, ["t"], "y").first()
+    found = audit.majority_labels(keyed, ["t"], "y", key="id")
+    assert all(len(r["t"] or b"0" * 16) == 16 for r in found.collect())          # digests are all that is grouped and moved
+    with_text = audit.attach_texts(found, df, ["t"], "id")
+    plain = audit.majority_labels(df, ["t"], "y")
+    assert sorted(map(str, with_text.select(plain.columns).collect())) == sorted(map(str, plain.collect())) and plain.count() == 5
+    empty = df.limit(0)
+    assert audit.attach_texts(audit.majority_labels(audit.digest_keyed(empty, ["t"]), ["t"], "y", key="id"), empty, ["t"], "id").count() == 0
+
+
+def test_digest_collisions_are_refused(spark):
+    df = spark.createDataFrame([(bytearray(16), 0, 7), (bytearray(16), 1, 8)], "t binary, y int, _check long")
+    for grouped in (audit.duplicates(df, ["t"], "y"), audit.majority_labels(df, ["t"], "y")):
+        with pytest.raises(Exception, match="share a 128-bit digest"):
+            grouped.collect()
+
+
 def test_profile_matches_pandas(spark):
     x = [1.0, 2.0, 2.0, 3.0, 50.0, 0.0, 4.0, 5.0]
     df = spark.createDataFrame([(v, 7.0) for v in x], "a double, c double")

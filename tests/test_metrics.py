@@ -1,8 +1,9 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tabulon.operators import metrics
+from tabulon.operators import checks, metrics
 
 
 def _np_scores(y, p, K):
@@ -38,3 +39,25 @@ def test_confusion_filled_sums_to_rows(spark):
     c = metrics.confusion_filled(metrics.confusion(df, ["f"]), ["f"], [0, 1, 2])
     assert c.count() == 2 * 9
     assert sum(r["n"] for r in c.collect()) == 3
+
+
+def test_macro_f1_difference_from_counts_can_contradict_a_report(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for g, right in (("a", 0.8), ("b", 0.5)):
+        per = []
+        for f in range(3):
+            y = rng.integers(0, 3, 90)
+            p = np.where(rng.random(90) < right, y, rng.integers(0, 4, 90))
+            per.append(_np_scores(y, p, 4)["f1_macro"])
+            rows += [(g, f, int(i), int(j), 1) for i, j in zip(y, p)]
+        want[g] = np.mean(per)
+    conf = spark.createDataFrame(rows, "configuration string, fold int, y int, pred int, one int") \
+        .groupBy("configuration", "fold", "y", "pred").agg(F.sum("one").alias("n"))
+    got = checks.macro_f1_difference(conf, "configuration", "fold", "a", "b")
+    assert abs(got.first()["difference"] - (want["a"] - want["b"])) < 2e-6 and abs(got.first()["ratio"] - want["a"] / want["b"]) < 1e-5
+    named = got.withColumn("comparison", F.lit("a vs b"))
+    values = ["difference", "percent_change", "ratio"]
+    ok = lambda stored: {r["name"]: r["ok"] for r in checks.derived_numbers(stored, named, ["comparison"], values).collect()}
+    assert ok(named) == dict.fromkeys(values, True)
+    assert ok(named.withColumn("ratio", F.col("ratio") + 0.001)) == {"difference": True, "percent_change": True, "ratio": False}

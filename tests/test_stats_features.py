@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tabulon.operators import features, stats
@@ -146,3 +147,26 @@ def test_preparation_of_all_folds_equals_a_fit_for_each(spark):
             want = features.tree_features(full.filter(F.col("fold") != f), full, ["a", "b"], ["c", "d"], **options)
             w = {r["id"]: as_list(r["features"]) for r in want.select("id", "features").collect()}
             assert {r["id"]: as_list(r["features"]) for r in got.select("id", "features").collect()} == w
+
+
+def test_sparse_one_hot_equals_dense_and_takes_any_number_of_levels(spark):
+    rows = [("a", "x", 1.0), ("b", None, 2.0), (None, "x", 3.0), ("c", "y", 4.0)]
+    train = spark.createDataFrame(rows, "c string, e string, v double")
+    df = train.unionByName(spark.createDataFrame([("new", None, 5.0)], train.schema))
+    dense = features.tree_features(train, df, ["v"], ["c", "e"], onehot=True)
+    sparse = features.tree_features(train, df, ["v"], ["c", "e"], onehot=True, sparse=True)
+    key = lambda r: r["v"]
+    assert [r["features"].toArray().tolist() for r in sorted(sparse.collect(), key=key)] == [r["features"].toArray().tolist() for r in sorted(dense.collect(), key=key)]
+    assert sparse.columns == dense.columns
+
+    many = spark.range(100_000).select(F.when(F.col("id") > 0, F.concat(F.lit("level"), "id")).alias("c"), F.col("id").cast("double").alias("v"))
+    hot = features.one_hot_sparse(many, features.fit_ordinal(many, ["c"]), ["c"]).select("v", "c_onehot")
+    small = {r["v"]: r["c_onehot"] for r in hot.filter("v % 20000 = 0").collect()}
+    assert all(v.size == 100_000 and len(v.indices) == 1 for v in small.values()) and small[0.0].indices[0] == 0     # NULL comes first
+    assert len({int(v.indices[0]) for v in small.values()}) == 5
+    with pytest.raises(ValueError, match="sparse"):
+        features.fit_one_hot(many, ["c"])
+    coded = features.knn_features(many, many.limit(3), ["v"], ["c"], group=False, scale=None, codes=True)
+    assert all(len(r["features"]) == 2 for r in coded.collect())
+    none = features.one_hot_sparse(many.limit(5), features.fit_ordinal(many.limit(0), ["c"]), ["c"])
+    assert all(not len(r["c_onehot"].indices) for r in none.collect())
