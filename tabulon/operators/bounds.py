@@ -49,6 +49,27 @@ def resubstitution_per_class(df: DataFrame, features: list[str], label: str) ->
         "cls", F.col("f1").alias("f1_resubstitution"), "support")
 
 
+def share_needed(per_class: DataFrame, target: float, bound: str = "f1_resubstitution") -> DataFrame:
+    """With the ``hardest`` classes (lowest ``bound`` first, ties by class) at
+    their bound, the mean score the other classes must reach for a macro score of
+    ``target``, the mean bound they have, and whether that is enough. One row for
+    each number of hardest classes but all. ``per_class`` has a row a class, so
+    the windows see no more than that. Rounded to 9 places: bounds have 6, and
+    halves of them would tie at 6."""
+    order = Window.orderBy(F.asc_nulls_first(bound), "cls")
+    c = per_class.select("cls", F.coalesce(bound, F.lit(0.0)).alias("_b"),
+                         F.row_number().over(order).alias("hardest"), F.count(F.lit(1)).over(Window.partitionBy()).alias("_k"),
+                         F.sum(F.coalesce(bound, F.lit(0.0))).over(Window.partitionBy()).alias("_all"))
+    so_far = F.sum("_b").over(Window.orderBy("hardest"))
+    others = F.col("_k") - F.col("hardest")
+    return (c.withColumn("_done", so_far).filter("hardest < _k")
+            .select(F.col("hardest").cast("int").alias("hardest"), F.col("cls").alias("last_class"),
+                    F.round(F.col("_done") / F.col("_k"), 9).alias("macro_share"),
+                    F.round((F.lit(target) * F.col("_k") - F.col("_done")) / others, 9).alias("needed"),
+                    F.round((F.col("_all") - F.col("_done")) / others, 9).alias("bound_of_others"))
+            .withColumn("enough", F.col("bound_of_others") >= F.col("needed")))
+
+
 def memorisation_predictions(df: DataFrame, features: list[str], label: str, fold: str) -> DataFrame:
     """Held-out counts with the memorising prediction per fold.
 

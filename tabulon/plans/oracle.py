@@ -662,6 +662,13 @@ m AS (SELECT cls, configuration, round(avg(recall), 6) AS recall, sum(t) AS n FR
 SELECT cls, {", ".join(f"max(recall) FILTER (WHERE configuration = '{c}') AS {c}" for c in _CFGS)}, max(n)::BIGINT AS n
 FROM m GROUP BY cls"""
 
+ORACLE["report_class_leads"] = f"""
+WITH p AS (SELECT cls, n, round(knn_k15_distance - knn_k1_uniform, 6) AS gap FROM ({ORACLE["report_per_class"]})),
+s AS (SELECT *, CASE WHEN gap > 0.005 THEN 'knn_k15_distance' WHEN gap < -0.005 THEN 'knn_k1_uniform' ELSE 'tie' END AS lead FROM p),
+g AS (SELECT lead, count(*)::BIGINT AS classes, sum(n) AS n, string_agg(CAST(cls AS VARCHAR), ',' ORDER BY n DESC, cls) AS members,
+             max(abs(gap)) AS widest_gap FROM s GROUP BY lead)
+SELECT lead, classes, members, round(100.0 * n / sum(n) OVER (), 1) AS percent, widest_gap FROM g"""
+
 ORACLE["report_per_fold"] = f"""
 WITH f AS {CFG_FOLDS}
 SELECT CAST(fold AS VARCHAR) AS fold, {", ".join(f"max(f1_macro) FILTER (WHERE configuration = '{c}') AS {c}" for c in _CFGS)} FROM f GROUP BY fold
@@ -803,6 +810,15 @@ SELECT round(macro_f1_resubstitution - macro_f1_memorisation_cv, 6) AS gap,
              (macro_f1_conceded_cv - macro_f1_memorisation_cv) / (macro_f1_resubstitution - macro_f1_memorisation_cv) END, 6)
        AS share_closed_by_conceding FROM o"""
 
+ORACLE["bound_share_needed"] = f"""
+WITH r AS ({ORACLE['bound_resubstitution_per_class']}),
+c AS (SELECT cls, coalesce(f1_resubstitution, 0.0) AS b, row_number() OVER (ORDER BY f1_resubstitution NULLS FIRST, cls) AS hardest,
+             count(*) OVER () AS k, sum(coalesce(f1_resubstitution, 0.0)) OVER () AS total FROM r),
+d AS (SELECT *, sum(b) OVER (ORDER BY hardest) AS done FROM c),
+o AS (SELECT hardest::INTEGER AS hardest, cls AS last_class, round(done / k, 9) AS macro_share,
+             round((0.7 * k - done) / (k - hardest), 9) AS needed, round((total - done) / (k - hardest), 9) AS bound_of_others FROM d WHERE hardest < k)
+SELECT *, bound_of_others >= needed AS enough FROM o"""
+
 ORACLE["report_search_scale"] = f"""
 SELECT 'knn_grid' AS search, count(*)::BIGINT AS settings,
        count(*) = count(DISTINCT k) * count(DISTINCT weights) * count(DISTINCT metric) AS complete FROM {KNN_GRID}"""

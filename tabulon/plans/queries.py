@@ -801,6 +801,12 @@ def q_report_per_class(spark, sf):
     return report.per_class_by_configuration(pc, KNN_CONFIGS)
 
 
+@register("report_class_leads")
+def q_report_class_leads(spark, sf):
+    """Which configuration leads in which classes, and their share of the rows."""
+    return report.class_leads(q_report_per_class(spark, sf), "knn_k15_distance", "knn_k1_uniform")
+
+
 @register("report_per_fold")
 def q_report_per_fold(spark, sf):
     folds, _ = _knn_config_folds(spark, sf)
@@ -937,6 +943,21 @@ def q_report_ablation(spark, sf):
     return report.ablation_table(q_ablation_knn(spark, sf), ABLATION_ORDER)
 
 
+TREE_ABLATION_ORDER = ["selected", "one-hot nominals", "min-max scaling", "correlation filter 0.95", "unweighted"]
+
+
+@register("report_ablation_tree")
+def q_report_ablation_tree(spark, sf):
+    """The tree half of the ablation table, changes against the selected pipeline."""
+    return report.ablation_table(q_ablation_tree(spark, sf), TREE_ABLATION_ORDER)
+
+
+@register("report_correlation_cost")
+def q_report_correlation_cost(spark, sf):
+    """What each correlation threshold costs against keeping every feature."""
+    return report.gain_over(q_redundancy_study(spark, sf), "setting", "none", "bal_mean")
+
+
 @register("report_exponent_sweep")
 def q_report_exponent(spark, sf):
     return report.exponent_sweep(q_alpha_sweep(spark, sf))
@@ -1019,6 +1040,12 @@ def q_bound_progress(spark, sf):
                     .alias("share_closed_by_conceding"))
 
 
+@register("bound_share_needed")
+def q_bound_share_needed(spark, sf):
+    """What the easier classes would have to score for a macro F1 of 0.7."""
+    return bounds.share_needed(bounds.resubstitution_per_class(load(spark, sf, "lineitem"), BOUND_FEATURES, BOUND_LABEL), 0.7)
+
+
 TRAIN_PROBE = 10_000
 
 

@@ -51,6 +51,20 @@ def per_class_by_configuration(per_class: DataFrame, configurations: list[str])
     return m.groupBy("cls").pivot("configuration", configurations).agg(F.first("recall")).join(size, "cls")
 
 
+def class_leads(per_class: DataFrame, a: str, b: str, tol: float = 0.005) -> DataFrame:
+    """The classes in which configuration ``a`` or ``b`` has the higher
+    recall (a tie within ``tol``), largest class first, with their number, share of
+    all rows and the widest gap. ``per_class`` is `per_class_by_configuration`."""
+    gap = F.round(F.col(a) - F.col(b), 6)
+    side = F.when(gap > tol, F.lit(a)).when(gap < -tol, F.lit(b)).otherwise(F.lit("tie"))
+    by_size = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("_n"), "cls")))
+    g = (per_class.withColumn("lead", side).withColumn("gap", gap).groupBy("lead")
+         .agg(F.count(F.lit(1)).cast("bigint").alias("classes"), F.sum("n").cast("bigint").alias("n"), by_size.alias("_m"),
+              F.max(F.abs("gap")).alias("widest_gap")))
+    return g.select("lead", "classes", F.array_join(F.transform("_m", lambda x: x["cls"].cast("string")), ",").alias("members"),
+                    F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 1).alias("percent"), "widest_gap")
+
+
 def bounds_by_class(resub: DataFrame, cv: DataFrame) -> DataFrame:
     """Bounds per class plus a macro-mean row."""
     j = resub.select("cls", "f1_resubstitution").join(cv, "cls", "inner")

@@ -3,7 +3,8 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabulon.operators import checks, metrics
+from tabulon.operators import bounds, checks, metrics
+from tabulon.plans import report
 
 
 def _np_scores(y, p, K):
@@ -61,3 +62,16 @@ def test_macro_f1_difference_from_counts_can_contradict_a_report(spark):
     ok = lambda stored: {r["name"]: r["ok"] for r in checks.derived_numbers(stored, named, ["comparison"], values).collect()}
     assert ok(named) == dict.fromkeys(values, True)
     assert ok(named.withColumn("ratio", F.col("ratio") + 0.001)) == {"difference": True, "percent_change": True, "ratio": False}
+
+
+def test_share_needed_and_class_leads(spark):
+    per = spark.createDataFrame([("a", 0.9), ("b", 0.2), ("c", None), ("d", 0.6)], "cls string, f1_resubstitution double")
+    got = {r["hardest"]: r for r in bounds.share_needed(per, 0.5).collect()}
+    assert [got[i]["last_class"] for i in (1, 2, 3)] == ["c", "b", "d"] and len(got) == 3
+    assert math.isclose(got[2]["needed"], (0.5 * 4 - 0.2) / 2) and math.isclose(got[2]["bound_of_others"], 0.75) and not got[2]["enough"]
+    assert math.isclose(got[3]["needed"], 1.2) and not got[3]["enough"] and not got[1]["enough"]
+    assert bounds.share_needed(per, 0.4).filter("hardest = 2").first()["enough"]
+    assert bounds.share_needed(per.limit(0), 0.5).count() == 0 and bounds.share_needed(per.limit(1), 0.5).count() == 0
+    wide = spark.createDataFrame([(0, 0.5, 0.4, 10), (1, 0.9, 0.9, 60), (2, 0.1, 0.4, 20), (3, 0.7, 0.2, 10)], "cls int, x double, y double, n long")
+    leads = {r["lead"]: tuple(r)[1:] for r in report.class_leads(wide, "x", "y").collect()}
+    assert leads == {"x": (2, "0,3", 20.0, 0.5), "tie": (1, "1", 60.0, 0.0), "y": (1, "2", 20.0, 0.3)}
