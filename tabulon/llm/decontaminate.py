@@ -11,8 +11,8 @@ matching words in a row, and so an n-gram of the item, or each of its runs of
 matches is shorter; then the mismatches and gaps between the runs cost so much
 that it must match a known number of the item's words, and so one of the item's
 rarest words (`_rarest`; about a third of a long item, the whole of a tiny one).
-Both are the seeds. Which words are rare is counted on a sample of the documents;
-the sample decides how much work is done, never what is found. The words around
+Both are the seeds. Which words are rare is counted over all documents;
+the counts decide how much work is done, never what is found. The words around
 the hits, as far as an alignment of that score can reach, make a region. A
 region's words that the item has count 2 and others -1; where no stretch of it
 sums up to the threshold no alignment can, and the rest is aligned.
@@ -39,7 +39,6 @@ from .words import Words, chunks, mix, split
 SEED = 3
 ITEM_BYTES = 16 << 20
 THRESHOLD = 0.5
-SAMPLE_BYTES = 32 << 20       # of texts, to tell rare words from common ones
 PART = 1 << 20                # words of regions looked at together
 _REGION = "doc_id bigint, item int, first bigint, words binary"
 
@@ -223,24 +222,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     tests = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // item_bytes) or 1
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    sample = docs.select("text") if total <= SAMPLE_BYTES else docs.select("text").sample(SAMPLE_BYTES / total, seed=7)
     out = None
     for k in range(blocks):
         part = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else tests
         rows = sorted(part.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"] or ""))
-        found = _block(spark, docs, sample, rows, threshold, seed)
+        found = _block(spark, docs, rows, threshold, seed)
         out = found if out is None else out.unionByName(found)
     best = W.partitionBy("doc_id", "item_id").orderBy(F.desc("score"), "start", "end")
     return out.withColumn("_n", F.row_number().over(best)).filter("_n = 1").drop("_n")
 
 
-def _block(spark: SparkSession, docs: DataFrame, sample: DataFrame, rows: list, threshold: float, seed: int) -> DataFrame:
+def _block(spark: SparkSession, docs: DataFrame, rows: list, threshold: float, seed: int) -> DataFrame:
     w = split(pa.array([r["text"] for r in rows], pa.string()), lower=True)
     keys = np.unique(w.hash)
     df = np.zeros(len(keys), np.int64)
     share = spark.sparkContext.broadcast(keys)
-    for r in sample.mapInArrow(_counted(share), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select("text").mapInArrow(_counted(share), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():
         df[r["word"]] = r["n"]                         # one row for each word of the items at most
     block = spark.sparkContext.broadcast(Items(w, threshold, seed, df))        # at most item_bytes of text
     regions = docs.mapInArrow(_regions(block, seed), _REGION)

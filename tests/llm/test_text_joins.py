@@ -164,3 +164,15 @@ def test_jaccard_long_lists_are_compared_in_blocks(spark, monkeypatch):
     rows = corpus(11, 60)
     for nearest in (0, 1):
         assert got_components(jaccard_components(frame(spark, rows), 3, 60, nearest)) == brute_components(rows, 3, 60)
+
+
+def test_decontamination_counts_words_over_all_documents(spark, monkeypatch):
+    """Which words are rare is counted over every document, however many bytes they have."""
+    from tabulon.llm import decontaminate
+    monkeypatch.setattr(decontaminate, "SAMPLE_BYTES", 200, raising=False)
+    seen, init = [], decontaminate.Items.__init__
+    monkeypatch.setattr(decontaminate.Items, "__init__", lambda self, w, threshold, seed, df: (seen.append(df.tolist()), init(self, w, threshold, seed, df))[1])
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id bigint, text string")
+    docs = frame(spark, [(i, "alpha beta " + "other words here " * 3) for i in range(100)] + [(100, None)])
+    assert decontaminate.contaminated(docs, bench).count() == 100
+    assert sorted(seen[0]) == [0, 0, 100, 100]
