@@ -3,12 +3,16 @@ ranks and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
+import inspect
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -39,6 +43,38 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return this process's free memory to the system. Python workers are kept
+    between tasks, and what each once needed would count until they end."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable) -> Callable:
+    """``run`` for a task (a generator over batches) or a group (a function of
+    tables) that gives the memory it needed back when it is done."""
+    if inspect.isgeneratorfunction(run):
+        @functools.wraps(run)
+        def task(*args):
+            try:
+                yield from run(*args)
+            finally:
+                give_back()
+        return task
+
+    # no functools.wraps: Spark counts the arguments of a group's function
+    def done(result):
+        give_back()
+        return result
+
+    n = len(inspect.signature(run).parameters)
+    if n == 3:
+        return lambda key, left, right: done(run(key, left, right))
+    return lambda key, group: done(run(key, group))
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .buckets import in_sorted, one
-from .common import table
+from .common import frugal, table
 from .words import Words, chunks, mix, split
 
 SEED = 3
@@ -237,13 +237,13 @@ def _block(spark: SparkSession, docs: DataFrame, rows: list, threshold: float, s
     keys = np.unique(w.hash)
     df = np.zeros(len(keys), np.int64)
     share = spark.sparkContext.broadcast(keys)
-    for r in docs.select("text").mapInArrow(_counted(share), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select("text").mapInArrow(frugal(_counted(share)), "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect():
         df[r["word"]] = r["n"]                         # one row for each word of the items at most
     block = spark.sparkContext.broadcast(Items(w, threshold, seed, df))        # at most item_bytes of text
-    regions = docs.mapInArrow(_regions(block, seed), _REGION)
+    regions = docs.mapInArrow(frugal(_regions(block, seed)), _REGION)
     # regions of one item may be many: spread them evenly before the alignment
     spread = regions.repartition(F.col("doc_id"), F.col("item"), F.col("first"), F.xxhash64("words"))
-    hit = spread.mapInPandas(_aligned(block, threshold), "doc_id bigint, item int, score double, start bigint, end bigint")
+    hit = spread.mapInPandas(frugal(_aligned(block, threshold)), "doc_id bigint, item int, score double, start bigint, end bigint")
     names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(rows)], "item int, item_id bigint")
     return hit.join(names, "item").select("doc_id", "item_id", "score", "start", "end")
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buckets import ids_of, in_sorted, one
-from .common import components, cut, release, shuffle_parts, table, with_running_total
+from .common import components, cut, frugal, release, shuffle_parts, table, with_running_total
 from .words import Words, chunks, mix, split
 
 COUNTERS = 1 << 20
@@ -93,7 +93,7 @@ def _counters(docs: DataFrame) -> np.ndarray:
                          "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     schema = "block int, counts binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect()
+    rows = docs.select("text").mapInArrow(frugal(count), schema).groupBy("block").applyInArrow(frugal(add), schema).collect()
     out = np.zeros((COUNTERS // cells, cells), np.uint64)
     for r in rows:
         out[r["block"]] = np.frombuffer(zlib.decompress(r["counts"]), "<u8")
@@ -327,7 +327,7 @@ def _hub_pairs(live: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
             keep = size + other - differ >= 2 * min_overlap(size, other, percent)
             x, y = (b.column(i).to_numpy()[keep] for i in (0, 1))
             yield pa.RecordBatch.from_pydict({"a": np.minimum(x, y), "b": np.maximum(x, y)})
-    return with_bits.mapInArrow(run, _PAIRS).distinct()
+    return with_bits.mapInArrow(frugal(run), _PAIRS).distinct()
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
@@ -385,7 +385,7 @@ def _cross_pairs(rows: DataFrame, bitmaps: DataFrame, percent: int, nearest: boo
         return _pair_table(out)
 
     return (rows.select("part", "list", "doc_id", "size", "pos", "component", "side").groupBy("part")
-            .cogroup(owners.groupBy("owner_part")).applyInArrow(run, _PAIRS).distinct())
+            .cogroup(owners.groupBy("owner_part")).applyInArrow(frugal(run), _PAIRS).distinct())
 
 
 def _small(rows: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
@@ -404,7 +404,7 @@ def _whole_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(
                     [h[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary())], ["doc_id", "shingles"])
     chosen = docs.select("doc_id", "text").join(_small(cut(ids)), "doc_id", "left_semi")
-    return chosen.mapInArrow(run, "doc_id bigint, shingles binary").dropDuplicates(["doc_id"])
+    return chosen.mapInArrow(frugal(run), "doc_id bigint, shingles binary").dropDuplicates(["doc_id"])
 
 
 def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
@@ -419,7 +419,7 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
                 common = int(in_sorted(x, y).sum())
                 keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep))
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, nearest: int = 2) -> DataFrame:
@@ -452,7 +452,7 @@ def _links(docs: DataFrame, n: int, percent: int, nearest: int, by_row: bool) ->
     """The sets table, and links whose components are those of the whole join
     (None if a doc_id has several different sets and ``by_row`` is False)."""
     spark = docs.sparkSession
-    sets = cut(docs.mapInArrow(_sets(n), _SETS))
+    sets = cut(docs.mapInArrow(frugal(_sets(n)), _SETS))
     known = sets.filter("n_shingles > 0 and doc_id is not null")
     if not by_row and not (sets.filter("doc_id is not null").groupBy("doc_id")
                            .agg(F.min("set_lo").alias("x"), F.max("set_lo").alias("y")).filter("x <> y").isEmpty()):
@@ -467,8 +467,8 @@ def _links(docs: DataFrame, n: int, percent: int, nearest: int, by_row: bool) ->
     parts = max(shuffle_parts(spark), -(-posted // PART_ROWS))
     # only the smallest document of equal sets is posted
     leads = docs.join(_small(equal.select(F.col("a").alias("doc_id"))), "doc_id", "left_anti").select("doc_id", "text")
-    live = cut(leads.mapInArrow(_postings(rarity, n, percent, parts), _PACKED).groupBy("part")
-               .applyInArrow(_candidates(percent), "token bigint, doc_id bigint, size int, pos int"))
+    live = cut(leads.mapInArrow(frugal(_postings(rarity, n, percent, parts)), _PACKED).groupBy("part")
+               .applyInArrow(frugal(_candidates(percent)), "token bigint, doc_id bigint, size int, pos int"))
     bitmaps = known.select("doc_id", "bitmap").dropDuplicates(["doc_id"])
 
     def verified(found: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, with_running_total
+from .common import cut, frugal, table, with_running_total
 from .tokens import crc32, default_vocabulary, document_ids
 
 CAPACITY = 1024
@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(frugal(run), PIECES)
 
 
 def plan_rounds(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -120,7 +120,7 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY, tie: tuple[str, ...] =
             yield b.drop(columns="_rank").assign(sequence_id=seq[i] + rank - first[i], offset=off[i])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", sequence_id bigint, offset bigint"
-    return ranked.select(*names, "_rank").mapInPandas(place, schema)
+    return ranked.select(*names, "_rank").mapInPandas(frugal(place), schema)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:

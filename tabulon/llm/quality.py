@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buckets import one
-from .common import table
+from .common import frugal, table
 from .features import DIMS, SHAPES, Linear, of_texts, statistics
 from .words import chunks, split
 
@@ -111,7 +111,7 @@ def _featured(batches):
 
 def fit(docs: DataFrame, sample: int = SAMPLE, min_rows: int = 5) -> Model:
     texts = docs.select("text")
-    counted = (texts.mapInArrow(_patterns, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).collect())
+    counted = (texts.mapInArrow(frugal(_patterns), "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).collect())
     patterns = np.array(sorted(r["pattern"] for r in counted), np.int64)
     by = {r["pattern"]: r["n"] for r in counted}
     post, _, share = estimate(patterns, np.array([by[p] for p in patterns.tolist()], float))
@@ -124,7 +124,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, min_rows: int = 5) -> Model:
     last = hashed.select("_h").distinct().orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
     # rows that repeat a doc_id and its text count once
     chosen = hashed.filter(F.col("_h") <= F.lit(last if last is not None else -1)).dropDuplicates(["_h"]).select("text")
-    rows = chosen.mapInArrow(_featured, "pattern bigint, features binary").collect()
+    rows = chosen.mapInArrow(frugal(_featured), "pattern bigint, features binary").collect()
     owner = np.repeat(np.arange(len(rows)), [len(r["features"]) // 4 for r in rows])
     feature = np.concatenate([np.frombuffer(r["features"], "<i4") for r in rows] or [np.zeros(0, "<i4")]).astype(np.int64)
     held = np.bincount(feature, minlength=DIMS) >= min(min_rows, max(len(rows) // 100, 1))
@@ -157,7 +157,7 @@ def score_documents(docs: DataFrame, model: Model, names: list[str] | None = Non
     shared = docs.sparkSession.sparkContext.broadcast(model)        # fixed size: 1 MB and the weights
     read = docs.select(*dict.fromkeys([*names, "text"]))
     schema = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
-    return read.mapInArrow(_scored(shared, names), f"{schema}, posterior double, score double, keep boolean")
+    return read.mapInArrow(frugal(_scored(shared, names)), f"{schema}, posterior double, score double, keep boolean")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

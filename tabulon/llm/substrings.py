@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buckets import PACKED, bucketed, by_bucket, empty_packed, ids_of, in_sorted, one, packed, unpacked
-from .common import shuffle_parts, table
+from .common import frugal, shuffle_parts, table
 from .words import Words, chunks, split
 
 THRESHOLD = 13
@@ -183,13 +183,13 @@ def dedup_substrings(docs: DataFrame, threshold: int = THRESHOLD, seed: int = SE
     names = [c for c in docs.columns if c not in ADDED and c != "_bucket"]
     laid = bucketed(docs.select(*names))
     ranges = lambda: laid.groupBy("_bucket")  # noqa: E731  one shuffle of the texts serves the three passes
-    seeds = ranges().applyInArrow(_seeds(parts, threshold, seed), PACKED)
-    shared = seeds.groupBy("part").applyInArrow(_shared, PACKED)
-    runs = ranges().cogroup(shared.groupBy("bucket")).applyInArrow(_extend(parts, threshold, seed), PACKED)
-    earlier = runs.groupBy("part").applyInArrow(_earlier, PACKED)
+    seeds = ranges().applyInArrow(frugal(_seeds(parts, threshold, seed)), PACKED)
+    shared = seeds.groupBy("part").applyInArrow(frugal(_shared), PACKED)
+    runs = ranges().cogroup(shared.groupBy("bucket")).applyInArrow(frugal(_extend(parts, threshold, seed)), PACKED)
+    earlier = runs.groupBy("part").applyInArrow(frugal(_earlier), PACKED)
     schema = ", ".join([f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names]
                        + [f"{n} {t}" for n, t in ADDED.items()])
-    return ranges().cogroup(earlier.groupBy("bucket")).applyInArrow(_remove(names, threshold), schema)
+    return ranges().cogroup(earlier.groupBy("bucket")).applyInArrow(frugal(_remove(names, threshold)), schema)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 import random
+import re
+from pathlib import Path
 
 from brute import alignment, jaccard_components as brute_components, substrings as brute_substrings, words
 import numpy as np
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import components
+from tabulon.llm.common import components, frugal
 from tabulon.llm.decontaminate import contaminated, local_alignment
 from tabulon.llm.jaccard import jaccard_components
 from tabulon.llm.substrings import dedup_substrings
@@ -176,3 +178,17 @@ def test_decontamination_counts_words_over_all_documents(spark, monkeypatch):
     docs = frame(spark, [(i, "alpha beta " + "other words here " * 3) for i in range(100)] + [(100, None)])
     assert decontaminate.contaminated(docs, bench).count() == 100
     assert sorted(seen[0]) == [0, 0, 100, 100]
+
+
+def test_workers_give_back_the_memory_of_a_task():
+    held = lambda: int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    def task(batches):
+        for b in batches:
+            parts = [np.ones(12_000) for _ in range(1000)]       # 96 MB, each below what malloc maps on its own
+            keep.append(parts[-1])                               # lies above what is freed
+            yield b
+
+    keep, before = [], held()
+    assert list(frugal(task)([1])) == [1] and held() < before + 40
+    assert frugal(lambda key, group: key + group)(1, 2) == 3 and frugal(lambda key, a, b: key + a + b)(1, 2, 3) == 6
