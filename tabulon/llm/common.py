@@ -3,7 +3,6 @@ ranks and connected components."""
 
 from __future__ import annotations
 
-import ctypes
 import functools
 import gc
 import inspect
@@ -12,12 +11,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, give_back
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,15 +41,6 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def give_back() -> None:
-    """Return this process's free memory to the system. Python workers are kept
-    between tasks, and what each once needed would count until they end."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
-    if trim:
-        trim(0)
-
-
 def frugal(run: Callable) -> Callable:
     """``run`` for a task (a generator over batches) or a group (a function of
     tables) that gives the memory it needed back when it is done."""
