@@ -75,32 +75,42 @@ def tree_confusions(ready, label: str, classes: list, spaces: list[dict], study:
                 cuts.append((d, float(c)))
     schema = ("impurity string, max_depth int, min_leaf int, alpha double, ccp_alpha double, "
               f"fold int, y {_sql_type(classes)}, pred {_sql_type(classes)}, n bigint")
-    counts: dict = {}
-    lock, prepared_folds = Lock(), []
+    lock, locks, made = Lock(), {}, {}
 
-    def folds():
+    def once(key, make):                                 # shared by the threads, computed by the first that needs it
         with lock:
-            if not prepared_folds:
-                prepared_folds.extend(ready())
-        return prepared_folds
+            mine = locks.setdefault(key, Lock())
+        with mine:
+            if key not in made:
+                made[key] = make()
+            return made[key]
 
     def part(impurity, min_leaf, alpha, cuts):
         def rows():
             out = []
             depth = max(trees.UNBOUNDED_DEPTH if d is None else d for d, _ in cuts)
-            for f, prepared in folds():
+            for f, prepared in once("folds", lambda: list(ready())):
                 train, test = prepared.filter(F.col("fold") != f), prepared.filter(F.col("fold") == f)
-                if f not in counts:
-                    counts[f] = {r[0]: r[1] for r in train.groupBy(label).count().collect()}
-                tasks = -(-sum(counts[f].values()) // ROWS_PER_TASK)        # fewer only: a small fold is not worth many tasks
-                model = treepaths.fit_deep(train.coalesce(max(1, tasks)), "features", label, classes, depth, min_leaf, impurity,
-                                           trees.class_weights(counts[f], classes, alpha))
+                counts = once(("counts", f), lambda: {r[0]: r[1] for r in train.groupBy(label).count().collect()})
+                tasks = max(1, -(-sum(counts.values()) // ROWS_PER_TASK))       # fewer only: a small fold is not worth many tasks
+                names = ("features", label, classes)
+                weights = trees.class_weights(counts, classes, alpha)
+                values = once(("values", f), lambda: treepaths.value_table(train.coalesce(tasks), *names))
+                binned = once(("cells", f, alpha), lambda: treepaths.bin_rows(
+                    train.coalesce(tasks), *names, [counts.get(c, 0) for c in classes], weights, table=values))
+                held = once(("held", f, alpha), lambda: treepaths.binned_cells(test.coalesce(tasks), *names, binned.thresholds).persist())
+                model = treepaths.fit_deep(train, *names, depth, min_leaf, impurity, weights, binned=binned)
                 out += [(impurity, d, min_leaf, alpha, c, int(f), y, p, n)
-                        for d, c, y, p, n in treepaths.path_confusions(model, test.coalesce(max(1, tasks)), "features", label, classes, cuts)]
+                        for d, c, y, p, n in treepaths.path_confusions(model, test, *names, cuts, cells=held)]
             return study.spark.createDataFrame(out, schema).coalesce(1)
         return rows
 
-    return study.run({f"{i}-{m}-{a}-{cuts}": part(i, m, a, cuts) for (i, m, a), cuts in fits.items()}, threads)
+    try:
+        return study.run({f"{i}-{m}-{a}-{cuts}": part(i, m, a, cuts) for (i, m, a), cuts in fits.items()}, threads)
+    finally:
+        for key, table in made.items():
+            if key[0] in ("values", "cells", "held"):
+                (table.cells if key[0] == "cells" else table).unpersist()
 
 
 def _sql_type(classes: list) -> str:

@@ -124,3 +124,60 @@ def test_study_parts_are_bound_to_settings_and_data(spark, tmp_path):
     Study(spark, "s", {"k": 2}, data, str(tmp_path)).run({"a": part(2)})
     Study(spark, "s", {"k": 1}, spark.range(6), str(tmp_path)).run({"a": part(2)})
     assert len(calls) == 4
+
+
+def test_one_penalty_needs_no_order_of_links():
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        t = random_tree(rng, int(rng.integers(0, 40)))
+        for depth, penalty in itertools.product((0, 2, 30), (0.0, 1e-6, 0.01, 0.05, 2.0)):
+            end, risk, leaves = treepaths.cut_tree(t, depth, penalty)
+            want = terminal_nodes(t, depth, penalty)
+            assert (end[t.leaves] == want).all() and leaves == len(set(want.tolist()))
+            assert abs(risk - sum(t.risk[i] for i in set(want.tolist()))) < 1e-12
+
+
+@pytest.mark.parametrize("impurity,leaf,alpha", [("gini", 1, 0.75), ("entropy", 3, 0.0)])
+def test_large_nodes_are_split_in_spark_and_small_ones_in_tasks(spark, rows, monkeypatch, impurity, leaf, alpha):
+    train, test = rows.filter("fold <> 0"), rows.filter("fold = 0")
+    counts = {r[0]: r[1] for r in train.groupBy("y").count().collect()}
+    settings = [(d, p) for d in (0, 1, 3, 6, None) for p in (0.0, 1e-4, 2e-3, 0.02, 1.0)]
+    found, upper = [], []
+    for cells in (10_000, 40, 8):
+        monkeypatch.setattr(treepaths, "LOCAL_CELLS", cells)
+        model = treepaths.fit_deep(train, "features", "y", [0, 1, 2], 30, leaf, impurity, trees.class_weights(counts, [0, 1, 2], alpha))
+        upper.append(len(model.top.left))
+        found.append(sorted(treepaths.path_confusions(model, test, "features", "y", [0, 1, 2], settings), key=str))
+    assert found[0] == found[1] == found[2]
+    assert upper[0] == 1 < upper[1] < upper[2]                          # what the driver holds: nodes of more cells, and their children
+    assert all(sum(r[4] for r in found[0] if r[:2] == s) == test.count() for s in settings)
+    assert len({tuple(r[2:] for r in found[0] if r[:2] == s) for s in settings}) > 5
+
+
+def test_thresholds_of_repeated_and_many_values(spark):
+    """A third of the rows on one value, zeros, few values, and more values than bins over several partitions."""
+    rng = np.random.default_rng(1)
+    x = np.stack([np.where(rng.random(3000) < 0.33, 7.0, rng.integers(0, 500, 3000)), rng.integers(-1, 3, 3000),
+                  np.full(3000, 2.0), rng.integers(1, 4000, 3000) ** 2 / 7.0, np.where(rng.random(3000) < 0.6, 1.0, rng.integers(1, 90, 3000))], 1)
+    y = rng.integers(0, 2, 3000)
+    df = spark.createDataFrame([(x[i].tolist(), int(y[i])) for i in range(3000)], "x array<double>, y int").repartition(5)
+    n = [int((y == 0).sum()), int((y == 1).sum())]
+    table = treepaths.value_table(df, "x", "y", [0, 1])
+    for weights in ([1.0, 1.0], [0.5, 3.25]):
+        got = treepaths.thresholds(table, n, weights)
+        for j in range(5):
+            values = np.unique(x[:, j])
+            mass = [float(np.array(weights)[y[x[:, j] == v]].sum()) for v in values]
+            want, upto = [], mass[0]
+            stride = target = sum(mass) / 64
+            for i in range(1, len(values)):
+                before, upto = upto, upto + mass[i]
+                if len(values) <= 64 or abs(before - target) < abs(upto - target):
+                    want.append((values[i - 1] + values[i]) / 2)
+                    target += stride
+            assert got[j].tolist() == want and len(want) <= 63
+
+
+def test_unknown_labels_are_an_error(spark, rows):
+    with pytest.raises(Exception, match="labels must be one of"):
+        treepaths.fit_deep(rows, "features", "y", [0, 1], 3, 1, "gini", [1.0, 1.0])
