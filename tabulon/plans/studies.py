@@ -55,17 +55,20 @@ def oof_knn(df: DataFrame, key: str, label: str, fold: str, numeric: list[str],
             smote: bool = False, prepared: list[tuple] | None = None, **prep) -> DataFrame:
     """Out-of-fold k-NN distributions with per-fold preparation (M11/M13) or on
     ``prepared`` folds, optional SMOTE on the prepared training rows (K6).
-    ``query, fold, y, p, pred``."""
+    ``query, fold, y, p, pred``. Folds prepared here have nominals as level codes,
+    which the search counts as their one-hot columns; SMOTE needs the columns."""
+    codes = 0 if smote or prepared else len(nominal)
+
     def one_fold(part):
         f, rows = part
         tr, te = rows.filter(F.col(fold) != f), rows.filter(F.col(fold) == f)
         if smote:
             tr = materialize(_with_smote(tr, key, label, "features"))
-        neigh = neighbors.knn(te, tr, key, "features", label, k, metric)
+        neigh = neighbors.knn(te, tr, key, "features", label, k, metric, codes=codes)
         v = neighbors.vote(neigh, [k], weights, classes)
         return materialize(v.join(te.select(F.col(key).cast("long").alias("query"), F.col(label).alias("y")), "query")
                            .withColumn("fold", F.lit(f)).select("query", "fold", "y", "p", "pred"))
-    prepared = prepared or prepared_knn_folds(df, fold, key, label, numeric, nominal, **prep)
+    prepared = prepared or prepared_knn_folds(df, fold, key, label, numeric, nominal, codes=bool(codes), **prep)
     return _union(_per_fold(one_fold, prepared))
 
 
@@ -107,7 +110,7 @@ def _scored(df, key, name_col: str, settings: dict, configurations: dict, study:
     def part(name, predictions):
         return lambda: metrics.confusion(predictions(), ["fold"]).select(F.lit(name).alias(name_col), "fold", "y", "pred", "n").coalesce(1)
 
-    conf = study.run({name: part(name, p) for name, p in configurations.items()})
+    conf = study.run({name: part(name, p) for name, p in configurations.items()}, threads=2)     # one's small jobs fill the other's gaps
     return score_counts(conf, [name_col])
 
 
