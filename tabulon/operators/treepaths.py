@@ -26,11 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import materialize
+from ..plans.sizing import compact, materialize
 from .trees import UNBOUNDED_DEPTH
 
 LOCAL_CELLS = 1 << 16        # a node of as many cells is grown within one task
@@ -182,7 +183,7 @@ def value_table(rows: DataFrame, features: str, label: str, classes: list) -> Da
         "j", "v", "many", (F.col("_before") + F.row_number().over(w) - 1).alias("rank"),
         F.coalesce(F.lag("v").over(w), F.col("_last")).alias("prev"), F.array(*[f"n{k}" for k in ks]).alias("n"),
         F.array(*[F.col(f"_s{k}") + F.sum(f"n{k}").over(w) for k in ks]).alias("c"), "_pid")
-    return t.select("*", F.struct(F.lag("c", 64).over(w).alias("c"), F.lag("n", 64).over(w).alias("n")).alias("back")).persist()
+    return compact(t.select("*", F.struct(F.lag("c", 64).over(w).alias("c"), F.lag("n", 64).over(w).alias("n")).alias("back")), 1)
 
 
 def thresholds(table: DataFrame, counts: list[int], weights: list[float], max_bins: int = 64) -> list[np.ndarray]:
@@ -202,7 +203,7 @@ def thresholds(table: DataFrame, counts: list[int], weights: list[float], max_bi
     near = table.withColumn("passed", passed("c", "n")).filter(
         (F.col("many") <= most + 1) | F.col("back.c").isNull() | (F.col("passed") > passed("back.c", "back.n")))
     out: dict[int, list] = {}
-    for r in near.select("j", "rank", "v", "prev", "many", "passed").orderBy("j", "rank").collect():
+    for r in sorted(near.select("j", "rank", "v", "prev", "many", "passed").collect(), key=lambda r: r[:2]):
         cuts = out.setdefault(r["j"], [])
         if r["rank"] > 0 and (r["many"] <= most + 1 or len(cuts) < r["passed"]):
             cuts.append((r["prev"] + r["v"]) / 2.0)
@@ -211,14 +212,16 @@ def thresholds(table: DataFrame, counts: list[int], weights: list[float], max_bi
 
 def binned_cells(rows: DataFrame, features: str, label: str, classes: list, cuts: list[np.ndarray]) -> DataFrame:
     """One row per distinct vector of bins (a byte per feature): ``cell, n0..`` rows by class."""
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            if len(b):
-                x = np.vstack(b["x"].to_numpy())
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
                 bins = np.stack([np.searchsorted(t, x[:, j], "left") for j, t in enumerate(cuts)], 1).astype(np.uint8)
-                yield pd.DataFrame({"cell": [r.tobytes() for r in bins], "y": b["y"].to_numpy()})
+                ends = np.arange(b.num_rows + 1, dtype=np.int32) * bins.shape[1]
+                cell = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(bins.tobytes())])
+                yield pa.RecordBatch.from_arrays([cell, b.column(1)], ["cell", "y"])
 
-    flat = _places(rows, features, label, classes).mapInPandas(batches, "cell binary, y int")
+    flat = _places(rows, features, label, classes).mapInArrow(batches, "cell binary, y int")
     return flat.groupBy("cell").agg(*[F.count_if(F.col("y") == k).alias(f"n{k}") for k in range(len(classes))])
 
 
@@ -226,7 +229,7 @@ def bin_rows(train: DataFrame, features: str, label: str, classes: list, counts:
              max_bins: int = 64, table: DataFrame | None = None) -> Binned:
     """Thresholds and cells of training rows, shared by all trees on the same rows and weights."""
     cuts = thresholds(value_table(train, features, label, classes) if table is None else table, counts, weights, max_bins)
-    cells = binned_cells(train, features, label, classes, cuts).persist()
+    cells = compact(binned_cells(train, features, label, classes, cuts), 1)
     return Binned(cuts, cells, cells.count())
 
 

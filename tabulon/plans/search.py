@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics, neighbors, treepaths, trees
 from .runner import Study
-from .sizing import materialize
+from .sizing import ROWS_PER_TASK, compact, materialize
 
-ROWS_PER_TASK = 20_000        # of a training fold, in each of the many passes of a tree fit
 TREE_AXES = ["impurity", "max_depth", "min_leaf", "alpha", "ccp_alpha"]
 
 
@@ -98,19 +97,14 @@ def tree_confusions(ready, label: str, classes: list, spaces: list[dict], study:
                 values = once(("values", f), lambda: treepaths.value_table(train.coalesce(tasks), *names))
                 binned = once(("cells", f, alpha), lambda: treepaths.bin_rows(
                     train.coalesce(tasks), *names, [counts.get(c, 0) for c in classes], weights, table=values))
-                held = once(("held", f, alpha), lambda: treepaths.binned_cells(test.coalesce(tasks), *names, binned.thresholds).persist())
+                held = once(("held", f, alpha), lambda: compact(treepaths.binned_cells(test.coalesce(tasks), *names, binned.thresholds), 1))
                 model = treepaths.fit_deep(train, *names, depth, min_leaf, impurity, weights, binned=binned)
                 out += [(impurity, d, min_leaf, alpha, c, int(f), y, p, n)
                         for d, c, y, p, n in treepaths.path_confusions(model, test, *names, cuts, cells=held)]
             return study.spark.createDataFrame(out, schema).coalesce(1)
         return rows
 
-    try:
-        return study.run({f"{i}-{m}-{a}-{cuts}": part(i, m, a, cuts) for (i, m, a), cuts in fits.items()}, threads)
-    finally:
-        for key, table in made.items():
-            if key[0] in ("values", "cells", "held"):
-                (table.cells if key[0] == "cells" else table).unpersist()
+    return study.run({f"{i}-{m}-{a}-{cuts}": part(i, m, a, cuts) for (i, m, a), cuts in fits.items()}, threads)
 
 
 def _sql_type(classes: list) -> str:

@@ -181,3 +181,18 @@ def test_thresholds_of_repeated_and_many_values(spark):
 def test_unknown_labels_are_an_error(spark, rows):
     with pytest.raises(Exception, match="labels must be one of"):
         treepaths.fit_deep(rows, "features", "y", [0, 1], 3, 1, "gini", [1.0, 1.0])
+
+
+def test_cells_and_values_of_few_rows_are_in_few_partitions(spark):
+    df = spark.range(0, 600, 1, 16).select((F.col("id") % 2).cast("int").alias("y"), F.array((F.col("id") % 300).cast("double"), (F.col("id") % 7).cast("double")).alias("x"))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        values = treepaths.value_table(df, "x", "y", [0, 1])
+        binned = treepaths.bin_rows(df, "x", "y", [0, 1], [300, 300], [1.0, 1.0], table=values)
+        assert values.rdd.getNumPartitions() == 1 and binned.cells.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    x = np.array([[i % 300, i % 7] for i in range(600)], float)
+    cells = {tuple(np.searchsorted(t, v) for t, v in zip(binned.thresholds, r)) for r in x}
+    assert {tuple(r["cell"]) for r in binned.cells.collect()} == cells and binned.n_cells == len(cells)
