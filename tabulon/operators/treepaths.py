@@ -183,7 +183,7 @@ def value_table(rows: DataFrame, features: str, label: str, classes: list) -> Da
         "j", "v", "many", (F.col("_before") + F.row_number().over(w) - 1).alias("rank"),
         F.coalesce(F.lag("v").over(w), F.col("_last")).alias("prev"), F.array(*[f"n{k}" for k in ks]).alias("n"),
         F.array(*[F.col(f"_s{k}") + F.sum(f"n{k}").over(w) for k in ks]).alias("c"), "_pid")
-    return compact(t.select("*", F.struct(F.lag("c", 64).over(w).alias("c"), F.lag("n", 64).over(w).alias("n")).alias("back")), 1)
+    return compact(t.select("*", F.struct(F.lag("c", 64).over(w).alias("c"), F.lag("n", 64).over(w).alias("n")).alias("back")))
 
 
 def thresholds(table: DataFrame, counts: list[int], weights: list[float], max_bins: int = 64) -> list[np.ndarray]:
@@ -229,7 +229,7 @@ def bin_rows(train: DataFrame, features: str, label: str, classes: list, counts:
              max_bins: int = 64, table: DataFrame | None = None) -> Binned:
     """Thresholds and cells of training rows, shared by all trees on the same rows and weights."""
     cuts = thresholds(value_table(train, features, label, classes) if table is None else table, counts, weights, max_bins)
-    cells = compact(binned_cells(train, features, label, classes, cuts), 1)
+    cells = compact(binned_cells(train, features, label, classes, cuts))
     return Binned(cuts, cells, cells.count())
 
 
